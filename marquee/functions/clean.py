@@ -79,15 +79,22 @@ def fix_types(df: DataFrame, spec: dict[str, str], mode: str = "lenient") -> Dat
     a new DataFrame; write it to a new path, never over its own input.
     """
     conv = lenient if mode == "lenient" else strict
+
+    # higher-order functions read the lambda's arity, so bind the target type
+    # in a closure rather than as a default argument
+    def on_element(t):
+        return lambda e: conv(e, t)
+
+    def on_value(t):
+        return lambda _k, v: conv(v, t)
+
     cols = {}
     for name, to in spec.items():
         c = F.col(name)
         if to.startswith("array<"):
-            elem = to[len("array<"):-1]
-            cols[name] = F.transform(c, lambda e, elem=elem: conv(e, elem))
+            cols[name] = F.transform(c, on_element(to[len("array<"):-1]))
         elif to.startswith("map<"):
-            vt = to[len("map<"):-1].split(",")[1].strip()
-            cols[name] = F.transform_values(c, lambda _k, v, vt=vt: conv(v, vt))
+            cols[name] = F.transform_values(c, on_value(to[len("map<"):-1].split(",")[1].strip()))
         else:
             cols[name] = conv(c, to)
     return df.withColumns(cols)

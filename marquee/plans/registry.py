@@ -307,3 +307,353 @@ from x group by genre""")
 def q_rda4_max(spark, sf_dir):
     d = den(spark, sf_dir)
     return Q.rda4_max(d["movies"], d["directors"])
+
+
+# -- document operators, one key each --------------------------------------
+
+_NAMES_IN = Q.default_names() + ["Nobody Here"]
+
+
+@register("flt_array_contains", oracle_with("movies", "movies_genres") + """
+select m.id, m.name from movies m
+where exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre = 'STANDARD')""")
+def q_flt_array_contains(spark, sf_dir):
+    m = den(spark, sf_dir)["movies"]
+    return m.filter(D.has_element("list_genres", "STANDARD")).select("id", "name")
+
+
+@register("flt_in_list", oracle_with("directors") + f"""
+select id, first_name || ' ' || last_name as full_name from directors
+where first_name || ' ' || last_name in ({_names_sql(_NAMES_IN)})""")
+def q_flt_in_list(spark, sf_dir):
+    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    return (d.select("id", D.full_name().alias("full_name"))
+            .filter(D.in_list("full_name", _NAMES_IN)))
+
+
+@register("flt_arrays_overlap", oracle_with("movies", "movies_genres") + """
+select m.id, m.name from movies m
+where exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre in ('PROMO', 'SMALL'))""")
+def q_flt_arrays_overlap(spark, sf_dir):
+    m = den(spark, sf_dir)["movies"]
+    return m.filter(D.any_element_in("list_genres", ["PROMO", "SMALL"])).select("id", "name")
+
+
+@register("flt_not_nan", oracle_with("movies") + """
+select id, "rank" from movies where "rank" is not null and not isnan("rank")""")
+def q_flt_not_nan(spark, sf_dir):
+    m = den(spark, sf_dir)["movies"]
+    return m.filter(D.not_nan("rank")).select("id", "rank")
+
+
+@register("arr_transform", _with(("actors", "roles"), _ROLE_LISTS) + """
+select a.id, 0 as list_part, coalesce(l.list_movies_id, '') as list_movies_id,
+  coalesce(l.n_movies, 0) as n_movies
+from actors a left join role_lists l on l.actor_id = a.id""")
+def q_arr_transform(spark, sf_dir):
+    """map a conversion over every element (text ids back to bigint)."""
+    a = den(spark, sf_dir)["actors"]
+    as_text = a.select("id", "list_part", F.col("list_movies_id").cast("array<string>").alias("l"))
+    typed = as_text.select("id", "list_part",
+                           F.transform("l", lambda e: e.try_cast("bigint")).alias("l"))
+    return typed.select("id", "list_part", D.sorted_text("l").alias("list_movies_id"),
+                        F.size("l").cast("bigint").alias("n_movies"))
+
+
+@register("arr_size", _W_DEN_MOVIES + """
+select m.id, coalesce(g.n, 0) as n_genres, coalesce(d.n, 0) as n_directors from movies m
+left join (select movie_id, count(genre) as n from movies_genres group by 1) g on g.movie_id = m.id
+left join (select movie_id, count(director_id) as n from movies_directors group by 1) d on d.movie_id = m.id""")
+def q_arr_size(spark, sf_dir):
+    m = den(spark, sf_dir)["movies"]
+    return m.select("id", F.size("list_genres").cast("bigint").alias("n_genres"),
+                    F.size("list_directors_id").cast("bigint").alias("n_directors"))
+
+
+@register("arr_unwind", oracle_with("movies", "movies_genres") + """
+select m.id, g.genre from movies m join movies_genres g on g.movie_id = m.id""")
+def q_arr_unwind(spark, sf_dir):
+    m = den(spark, sf_dir)["movies"]
+    return m.select("id", F.explode("list_genres").alias("genre"))
+
+
+@register("map_entries", oracle_with("directors", "movies_directors", "directors_genres") + """
+select d.id, g.genre, g.prob from directors d join directors_genres g on g.director_id = d.id
+where g.genre is not null and g.prob is not null""")
+def q_map_entries(spark, sf_dir):
+    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    e = d.select("id", F.explode(F.map_entries("dict_genres_den_prob")).alias("e"))
+    return e.select("id", F.col("e.key").alias("genre"), F.col("e.value").alias("prob"))
+
+
+@register("map_from_entries", _with(("directors", "movies_directors", "directors_genres")) + f"""
+select d.id, coalesce(string_agg(g.genre || ':' || {_fx('g.prob')}, ',' order by g.genre), '') as dict_major
+from directors d left join directors_genres g on g.director_id = d.id and g.prob >= 0.5
+group by d.id""")
+def q_map_from_entries(spark, sf_dir):
+    """entries filtered as an array, then turned back into a map."""
+    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    kept = F.filter(F.map_entries("dict_genres_den_prob"), lambda e: e["value"] >= F.lit(0.5))
+    return d.select("id", D.map_text(F.map_from_entries(kept)).alias("dict_major"))
+
+
+@register("map_transform_values", _W_DIRECTORS + """
+select d.id, coalesce(g.dict_text, '') as dict_genres_den_prob
+from directors d left join genre_maps g on g.director_id = d.id""")
+def q_map_transform_values(spark, sf_dir):
+    """A map of text values converted value by value to double."""
+    from marquee.functions.clean import fix_types
+    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    as_text = d.select("id", F.col("dict_genres_den_prob").cast("map<string,string>")
+                       .alias("dict_genres_den_prob"))
+    fixed = fix_types(as_text, {"dict_genres_den_prob": "map<string,double>"})
+    return fixed.select("id", D.map_text("dict_genres_den_prob").alias("dict_genres_den_prob"))
+
+
+@register("map_filter", oracle_with("directors", "movies_directors", "directors_genres") + """
+select d.id, coalesce(c.n, 0) as n_nonzero from directors d
+left join (select director_id, count(*) as n from directors_genres
+           where genre is not null and prob is not null and prob <> 0 group by 1) c on c.director_id = d.id""")
+def q_map_filter(spark, sf_dir):
+    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    return d.select("id", F.size(D.nonzero_entries("dict_genres_den_prob")).cast("bigint")
+                    .alias("n_nonzero"))
+
+
+@register("fn_cond", oracle_with("movies") + """
+select id, case when "rank" is null then -1.0 else "rank" end as rank_filled,
+  case when "rank" > 8 then 'high' when "rank" > 5 then 'mid' else 'low' end as rank_class
+from movies""")
+def q_fn_cond(spark, sf_dir):
+    m = den(spark, sf_dir)["movies"]
+    r = F.col("rank")
+    return m.select("id", F.when(r.isNull(), F.lit(-1.0)).otherwise(r).alias("rank_filled"),
+                    F.when(r > 8, "high").when(r > 5, "mid").otherwise("low").alias("rank_class"))
+
+
+@register("agg_push", oracle_with("directors", "movies_directors") + f"""
+select md.movie_id from directors d join movies_directors md on md.director_id = d.id
+where d.first_name || ' ' || d.last_name in ({_names_sql(Q.default_names())})""")
+def q_agg_push(spark, sf_dir):
+    """The pushed list of movie ids of the chosen directors, kept as rows
+    of a DataFrame (one per unwound element) instead of one global array."""
+    d = den(spark, sf_dir)["directors"]
+    chosen = Q.director_rows(d).filter(D.in_list(D.full_name(), Q.default_names()))
+    return Q.movie_ids_of(d, chosen).withColumnRenamed("id", "movie_id")
+
+
+@register("project_full_name", oracle_with("directors") + """
+select id, first_name || ' ' || last_name as full_name from directors""")
+def q_project_full_name(spark, sf_dir):
+    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    return d.select("id", D.full_name().alias("full_name"))
+
+
+@register("str_distinct_parts", _with(("actors", "roles"), _ROLE_LISTS) + """
+select a.id, 0 as list_part,
+  cast(len(list_distinct(string_split(coalesce(l.list_movies_id, ''), ','))) as bigint) as n_distinct
+from actors a left join role_lists l on l.actor_id = a.id""")
+def q_str_distinct_parts(spark, sf_dir):
+    """distinct parts of a delimited text (an actor's movie list as text)."""
+    a = den(spark, sf_dir)["actors"]
+    text = F.array_join(F.col("list_movies_id").cast("array<string>"), ",")
+    return a.select("id", "list_part", D.distinct_parts(text).cast("bigint").alias("n_distinct"))
+
+
+@register("str_split_trim", _W_DEN_MOVIES + """
+select id, replace(list_genres, ',', '|') as genres from den_movies""")
+def q_str_split_trim(spark, sf_dir):
+    """a quoted, blank-padded list text split back into clean parts."""
+    m = den(spark, sf_dir)["movies"]
+    quoted = F.array_join(F.transform("list_genres", lambda g: F.concat(F.lit("'"), g, F.lit("'"))),
+                          ",  ")
+    return m.select("id", F.array_join(D.split_trim(quoted), "|").alias("genres"))
+
+
+# -- cleaning and type repair ---------------------------------------------
+
+def _movies_as_text(spark, sf_dir):
+    m = Catalog(spark, sf_dir).movies()
+    return m.select([F.col(c).cast("string").alias(c) for c in m.columns])
+
+
+@register("clean_numeric", oracle_with("movies") + 'select id, "rank", "year" from movies')
+def q_clean_numeric(spark, sf_dir):
+    from marquee.functions.clean import clean_numeric, lenient
+    t = clean_numeric(_movies_as_text(spark, sf_dir))
+    return t.select(lenient(F.col("id"), "bigint").alias("id"), "rank", "year")
+
+
+@register("clean_sentinel", oracle_with("movies") + 'select id, coalesce("year", -1) as "year" from movies')
+def q_clean_sentinel(spark, sf_dir):
+    from marquee.functions.clean import clean_sentinel, lenient
+    t = clean_sentinel(_movies_as_text(spark, sf_dir))
+    return t.select(lenient(F.col("id"), "bigint").alias("id"), "year")
+
+
+def _fix_types(spark, sf_dir, mode):
+    from marquee.functions.clean import fix_types
+    m = den(spark, sf_dir)["movies"]
+    as_text = m.select(F.col("id").cast("string").alias("id"), F.col("rank").cast("string").alias("rank"),
+                       F.col("list_directors_id").cast("array<string>").alias("list_directors_id"),
+                       "den_nb_actors")
+    fixed = fix_types(as_text, {"id": "bigint", "rank": "double",
+                                "list_directors_id": "array<bigint>"}, mode)
+    return fixed.select("id", "rank", D.sorted_text("list_directors_id").alias("list_directors_id"),
+                        "den_nb_actors")
+
+
+_FIX_SQL = _W_DEN_MOVIES + 'select id, "rank", list_directors_id, den_nb_actors from den_movies'
+
+
+@register("fix_types_lenient", _FIX_SQL)
+def q_fix_types_lenient(spark, sf_dir):
+    return _fix_types(spark, sf_dir, "lenient")
+
+
+@register("fix_types_strict", _FIX_SQL)
+def q_fix_types_strict(spark, sf_dir):
+    return _fix_types(spark, sf_dir, "strict")
+
+
+# -- sources and sinks (written under the shared checkpoint folder) --------
+
+@register("src_csv_roundtrip", oracle_with("movies") + 'select id, name, "year", "rank" from movies')
+def q_src_csv_roundtrip(spark, sf_dir):
+    from marquee.functions.clean import type_table
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    path = scratch_path(spark, "movies-csv")
+    files.write_source_csv(Catalog(spark, sf_dir).movies(), path)
+    return type_table(files.read_source_csv(spark, path, "movies"), "movies", "lenient")
+
+
+@register("sink_json_roundtrip", _W_DEN_MOVIES + """
+select id, name, "year", "rank", list_genres, list_directors_id, den_nb_actors from den_movies""")
+def q_sink_json_roundtrip(spark, sf_dir):
+    from marquee import schemas
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    path = scratch_path(spark, "den-movies-json")
+    files.write_json(den(spark, sf_dir)["movies"], path)
+    m = files.read_json(spark, path, schemas.DEN_MOVIES)
+    return m.select("id", "name", "year", "rank",
+                    D.sorted_text("list_genres").alias("list_genres"),
+                    D.sorted_text("list_directors_id").alias("list_directors_id"),
+                    "den_nb_actors")
+
+
+@register("sink_append", oracle_with("actors") + "select id, cast(2 as bigint) as n_copies from actors")
+def q_sink_append(spark, sf_dir):
+    """The same rows appended twice; every id is then stored twice,
+    and the observed counts of both writes agree."""
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    path = scratch_path(spark, "den-actors-append")
+    a = den(spark, sf_dir)["actors"]
+    n1 = files.append(a, path)
+    n2 = files.append(a, path)
+    if n1 != n2:
+        raise RuntimeError(f"append wrote {n1} then {n2} rows")
+    stored = spark.read.parquet(path)
+    return (stored.filter(F.col("list_part") == 0).groupBy("id")
+            .agg(F.count(F.lit(1)).alias("n_copies")))
+
+
+# -- reports -----------------------------------------------------------------
+
+def _share_sql(src: str, pred: str) -> str:
+    return f"""
+select count(*) filter (where {pred}) as matched,
+  count(*) - count(*) filter (where {pred}) as other,
+  count(*) as total,
+  {_r6(f'count(*) filter (where {pred}) * 100.0 / count(*)')} as pct_matched,
+  {_fx(f'count(*) filter (where {pred}) * 100.0 / count(*)', 1)} || '%' as pct_label
+from {src}"""
+
+
+@register("rpt_share_genres", oracle_with("directors", "movies_directors", "directors_genres") + """,
+nz as (select d.id, coalesce(c.n, 0) as n from directors d
+  left join (select director_id, count(*) as n from directors_genres
+             where genre is not null and prob is not null and prob <> 0 group by 1) c
+  on c.director_id = d.id)""" + _share_sql("nz", "n = 2"))
+def q_rpt_share_genres(spark, sf_dir):
+    from marquee.plans.reports import share_directors_with_n_genres
+    return share_directors_with_n_genres(den(spark, sf_dir)["directors"], 2)
+
+
+@register("rpt_share_movies", _W_DEN_MOVIES + _share_sql(
+    "den_movies", 'den_nb_actors < 5 and "rank" > 7'))
+def q_rpt_share_movies(spark, sf_dir):
+    from marquee.plans.reports import share_movies
+    return share_movies(den(spark, sf_dir)["movies"], 5, 7)
+
+
+@register("rpt_distribution", oracle_with("movies", "directors", "actors") + """,
+a as (select cast(id % 4 as int) as shard, count(*) as n from actors group by 1),
+m as (select cast(id % 4 as int) as shard, count(*) as n from movies group by 1),
+d as (select cast(id % 4 as int) as shard, count(*) as n from directors group by 1)
+select coalesce(a.shard, m.shard, d.shard) as shard, coalesce(a.n, 0) as count_actors,
+  coalesce(m.n, 0) as count_movies, coalesce(d.n, 0) as count_directors
+from a full outer join m on a.shard = m.shard full outer join d on coalesce(a.shard, m.shard) = d.shard""")
+def q_rpt_distribution(spark, sf_dir):
+    from marquee.plans.reports import distribution
+    d = den(spark, sf_dir)
+    return distribution({"actors": Q.director_rows(d["actors"]), "movies": d["movies"],
+                         "directors": Q.director_rows(d["directors"])}, shards=4)
+
+
+@register("rpt_partition_sizes")
+def q_rpt_partition_sizes(spark, sf_dir):
+    from marquee.plans.reports import partition_sizes
+    return partition_sizes(den(spark, sf_dir)["movies"])
+
+
+@register("rpt_table_stats", _W_ALL + f""",
+ds as (select d.id, coalesce(l.n_movies, 0) as n, d.first_name from directors d
+       left join movie_lists l on l.director_id = d.id),
+acs as (select a.id, coalesce(l.n_movies, 0) as n, a.first_name from actors a
+        left join role_lists l on l.actor_id = a.id),
+ms as (select id, len(string_split(list_genres, ',')) - case when list_genres = '' then 1 else 0 end as n,
+       "rank" from den_movies)
+select 'movies' as collection, count(*) as n_rows, count(distinct id) as n_distinct_id,
+  cast(min(n) as bigint) as min_list, {_r6('avg(n)')} as avg_list, cast(max(n) as bigint) as max_list,
+  count(*) filter (where "rank" is null) as n_null from ms
+union all
+select 'directors', count(*), count(distinct id), cast(min(n) as bigint), {_r6('avg(n)')},
+  cast(max(n) as bigint), count(*) filter (where first_name is null) from ds
+union all
+select 'actors', count(*), count(distinct id), cast(min(n) as bigint), {_r6('avg(n)')},
+  cast(max(n) as bigint), count(*) filter (where first_name is null) from acs""")
+def q_rpt_table_stats(spark, sf_dir):
+    from marquee.plans.reports import table_stats
+    d = den(spark, sf_dir)
+    return (table_stats("movies", d["movies"], "list_genres", "rank")
+            .unionByName(table_stats("directors", d["directors"], "list_movies_id", "first_name"))
+            .unionByName(table_stats("actors", d["actors"], "list_movies_id", "first_name")))
+
+
+@register("agg_trimmed_mean", oracle_with("movies", "movies_genres") + f"""
+select g.genre, count(m."rank") as n_movies,
+  case when count(m."rank") > 2 then
+    {_r6('(sum(m."rank") - max(m."rank") - min(m."rank")) / (count(m."rank") - 2)')} end as trimmed_rank
+from movies m join movies_genres g on g.movie_id = m.id group by g.genre""")
+def q_agg_trimmed_mean(spark, sf_dir):
+    from marquee.operators.aggregates import trimmed_mean
+    m = den(spark, sf_dir)["movies"].select("rank", F.explode("list_genres").alias("genre"))
+    return m.groupBy("genre").agg(F.count("rank").alias("n_movies"),
+                                  D.round_half_up(trimmed_mean("rank")).alias("trimmed_rank"))
+
+
+@register("fmt_percent", oracle_with("movies", "movies_genres") + f""",
+c as (select g.genre, count(*) as n from movies m join movies_genres g on g.movie_id = m.id group by 1)
+select genre, n as n_movies, {_fx('n * 100.0 / sum(n) over ()', 1)} || '%' as pct_label from c""")
+def q_fmt_percent(spark, sf_dir):
+    """each genre's share of all genre tags as a percent label.  The
+    window has no partition, but it runs over the per-genre aggregate, whose
+    size is bounded by the genre vocabulary."""
+    from pyspark.sql import Window
+    m = den(spark, sf_dir)["movies"].select(F.explode("list_genres").alias("genre"))
+    c = m.groupBy("genre").agg(F.count(F.lit(1)).alias("n_movies"))
+    pct = F.col("n_movies") * F.lit(100.0) / F.sum("n_movies").over(Window.partitionBy())
+    return c.select("genre", "n_movies", D.percent_label(pct).alias("pct_label"))
