@@ -94,11 +94,17 @@ def join_then_group_movies(movies: DataFrame, movies_genres: DataFrame,
     return a
 
 
-def build_all(cat, max_len: int = nest.DEFAULT_MAX_LEN) -> dict[str, DataFrame]:
-    """The three document tables from a ``Catalog`` (lazy)."""
+def build_all(cat, max_len: int = nest.DEFAULT_MAX_LEN,
+              movies_genres: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The three document tables from a ``Catalog`` (lazy).
+
+    ``movies_genres`` is read by two tables; a job passes it in materialised
+    so its join runs once (see ``plans.jobs``).
+    """
+    mg = movies_genres if movies_genres is not None else cat.movies_genres()
     return {
-        "movies": den_movies(cat.movies(), cat.movies_genres(), cat.movies_directors(), cat.roles()),
+        "movies": den_movies(cat.movies(), mg, cat.movies_directors(), cat.roles()),
         "directors": den_directors(cat.directors(), cat.movies_directors(),
-                                   cat.directors_genres(), max_len),
+                                   cat.directors_genres(mg), max_len),
         "actors": den_actors(cat.actors(), cat.roles(), max_len),
     }

@@ -71,15 +71,18 @@ class Catalog:
         # no source column for gender; the denormalisation drops it anyway
         return s.withColumn("gender", F.lit(None).cast("string"))
 
-    def directors_genres(self) -> DataFrame:
+    def directors_genres(self, movies_genres: DataFrame | None = None) -> DataFrame:
         """Share of a director's movies that carry each genre.
 
         Both aggregates are partial-then-final hash aggregates, so a director
         with a huge filmography costs one row per (map task, genre) in the
         shuffle; the final join is between two tables unique on their keys.
+        ``movies_genres`` may be passed in already materialised, so the
+        line-item join behind it runs once per job.
         """
         md = self.movies_directors()
-        pairs = (md.join(self.movies_genres(), "movie_id")
+        mg = movies_genres if movies_genres is not None else self.movies_genres()
+        pairs = (md.join(mg, "movie_id")
                  .groupBy("director_id", "genre").agg(F.count(F.lit(1)).alias("_k")))
         n = md.groupBy("director_id").agg(F.count(F.lit(1)).alias("_n"))
         return (pairs.join(n, "director_id")
