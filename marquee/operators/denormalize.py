@@ -42,12 +42,13 @@ def den_movies(movies: DataFrame, movies_genres: DataFrame, movies_directors: Da
 
 
 def den_directors(directors: DataFrame, movies_directors: DataFrame,
-                  directors_genres: DataFrame, max_len: int = nest.DEFAULT_MAX_LEN) -> DataFrame:
+                  directors_genres: DataFrame, max_len: int = nest.DEFAULT_MAX_LEN,
+                  hot: DataFrame | None = None) -> DataFrame:
     parent = nest.unique_parent(directors.select("id", "first_name", "last_name"), "id")
     gmap = nest.child_map(directors_genres.withColumnRenamed("director_id", "id"),
                           "id", "genre", "prob", "dict_genres_den_prob")
     child = movies_directors.withColumnRenamed("director_id", "id").select("id", "movie_id")
-    hot = nest.hot_keys(child, "id", max_len)
+    hot = hot if hot is not None else nest.hot_keys(child, "id", max_len)
     lists = nest.bounded_list(child, "id", "movie_id", "list_movies_id", hot)
     with_map = parent.join(gmap, "id", "left")
     j = nest.drop_empty_parts(
@@ -62,11 +63,11 @@ def den_directors(directors: DataFrame, movies_directors: DataFrame,
 
 
 def den_actors(actors: DataFrame, roles: DataFrame,
-               max_len: int = nest.DEFAULT_MAX_LEN) -> DataFrame:
+               max_len: int = nest.DEFAULT_MAX_LEN, hot: DataFrame | None = None) -> DataFrame:
     # gender is read from the source but not kept (as in the reference)
     parent = nest.unique_parent(actors.select("id", "first_name", "last_name"), "id")
     child = roles.withColumnRenamed("actor_id", "id").select("id", "movie_id")
-    hot = nest.hot_keys(child, "id", max_len)
+    hot = hot if hot is not None else nest.hot_keys(child, "id", max_len)
     lists = nest.bounded_list(child, "id", "movie_id", "list_movies_id", hot)
     j = nest.drop_empty_parts(
         nest.expand_parts(parent, "id", hot).join(lists, ["id", "list_part"], "left"),
@@ -95,16 +96,19 @@ def join_then_group_movies(movies: DataFrame, movies_genres: DataFrame,
 
 
 def build_all(cat, max_len: int = nest.DEFAULT_MAX_LEN,
-              movies_genres: DataFrame | None = None) -> dict[str, DataFrame]:
+              movies_genres: DataFrame | None = None,
+              hot: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """The three document tables from a ``Catalog`` (lazy).
 
-    ``movies_genres`` is read by two tables; a job passes it in materialised
-    so its join runs once (see ``plans.jobs``).
+    ``movies_genres`` is read by two tables and ``hot`` (hot keys per person
+    table) by two joins each; a job passes them in materialised so each is
+    computed once (see ``plans.jobs``).
     """
     mg = movies_genres if movies_genres is not None else cat.movies_genres()
+    hot = hot or {}
     return {
         "movies": den_movies(cat.movies(), mg, cat.movies_directors(), cat.roles()),
         "directors": den_directors(cat.directors(), cat.movies_directors(),
-                                   cat.directors_genres(mg), max_len),
-        "actors": den_actors(cat.actors(), cat.roles(), max_len),
+                                   cat.directors_genres(mg), max_len, hot.get("directors")),
+        "actors": den_actors(cat.actors(), cat.roles(), max_len, hot.get("actors")),
     }

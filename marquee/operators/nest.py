@@ -62,6 +62,15 @@ def hot_keys(child: DataFrame, key: str, max_len: int) -> DataFrame:
             .select(key, F.ceil(F.col("_n") / F.lit(max_len)).cast("int").alias("_parts")))
 
 
+def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows.
+
+    Meant for a small table already written out (one cheap count); above the
+    bound the plain DataFrame is returned and Spark plans a shuffle join.
+    """
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def part_of(value: Column, parts: Column) -> Column:
     """Bucket of one element: 0 for ordinary keys, hash of the value for hot
     keys.  Hashing the value keeps equal values in one part, so per-part

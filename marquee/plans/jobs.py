@@ -30,6 +30,9 @@ from marquee.sources.testdata import Catalog
 
 SORT_KEYS = {"movies": ["year", "rank"], "directors": ["id"], "actors": ["id"]}
 
+# hot-key tables up to this many rows (16 bytes each) are broadcast
+HOT_BROADCAST_ROWS = 1_000_000
+
 
 def denormalize_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                     buckets: int | None = None, max_len: int = nest.DEFAULT_MAX_LEN,
@@ -41,7 +44,14 @@ def denormalize_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None
     # the movie-genre pairs come from the largest join of the job (line items
     # against parts) and feed two tables: write them once, read them twice
     mg = materialize(cat.movies_genres(), "movies_genres", out_dir)
-    tables = denormalize.build_all(cat, max_len, movies_genres=mg)
+    # hot keys (people with more than max_len movies): at most rows / max_len
+    # of them; written once, counted, broadcast only under HOT_BROADCAST_ROWS
+    hot = {}
+    for kind, child in (("directors", cat.movies_directors().select(F.col("director_id").alias("id"))),
+                        ("actors", cat.roles().select(F.col("actor_id").alias("id")))):
+        h = materialize(nest.hot_keys(child, "id", max_len), f"hot_{kind}", out_dir)
+        hot[kind] = nest.sized_broadcast(h, HOT_BROADCAST_ROWS)
+    tables = denormalize.build_all(cat, max_len, movies_genres=mg, hot=hot)
     names = {}
     for kind, df in tables.items():
         name = f"{prefix}_{kind}"

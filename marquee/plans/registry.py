@@ -657,3 +657,26 @@ def q_fmt_percent(spark, sf_dir):
     c = m.groupBy("genre").agg(F.count(F.lit(1)).alias("n_movies"))
     pct = F.col("n_movies") * F.lit(100.0) / F.sum("n_movies").over(Window.partitionBy())
     return c.select("genre", "n_movies", D.percent_label(pct).alias("pct_label"))
+
+
+# -- incremental load (streaming file source to a Parquet collection) --------
+
+@register("stream_load", _W_DEN_MOVIES + """
+select id, name, "year", "rank", list_genres, list_directors_id, den_nb_actors from den_movies""")
+def q_stream_load(spark, sf_dir):
+    """Export den_movies as JSON lines, load it with the streaming loader, run
+    the loader again (nothing new: nothing appended), read the collection."""
+    from marquee import schemas
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    from marquee.streaming.load import load_documents
+    src, table, ckpt = (scratch_path(spark, n) for n in ("export", "collection", "load-ckpt"))
+    files.write_json(den(spark, sf_dir)["movies"], src)
+    load_documents(spark, src, schemas.DEN_MOVIES, table, ckpt)
+    if load_documents(spark, src, schemas.DEN_MOVIES, table, ckpt) != 0:
+        raise RuntimeError("second load appended rows again")
+    m = spark.read.schema(schemas.DEN_MOVIES).parquet(table)
+    return m.select("id", "name", "year", "rank",
+                    D.sorted_text("list_genres").alias("list_genres"),
+                    D.sorted_text("list_directors_id").alias("list_directors_id"),
+                    "den_nb_actors")

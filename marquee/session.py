@@ -53,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only if unset."""
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: name a folder every executor "
+                               "shares (HDFS, object store); a machine-local one would not survive")
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:
