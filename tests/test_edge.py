@@ -135,10 +135,10 @@ def test_empty_array_unwind(spark):
 
 
 def test_null_part_full_name(spark):
-    df = spark.createDataFrame([(None, "Varda"), ("Agnès", "Varda")], "first_name string, last_name string")
+    df = spark.createDataFrame([(None, "Dumont"), ("Renée", "Dumont")], "first_name string, last_name string")
     names = [r[0] for r in df.select(D.full_name()).collect()]
-    assert names == [None, "Agnès Varda"]
-    assert df.filter(D.in_list(D.full_name(), ["Agnès Varda"])).count() == 1
+    assert names == [None, "Renée Dumont"]
+    assert df.filter(D.in_list(D.full_name(), ["Renée Dumont"])).count() == 1
 
 
 def _catalogue(spark):
@@ -151,8 +151,8 @@ def _catalogue(spark):
         (6, "m6", 2000, 8.0, ["Drama"], [12], 2),
     ])
     d = den_directors_df(spark, [
-        (11, 0, "Agnès", "Varda", [3, 5], {}),
-        (10, 0, "Agnès", "Varda", [1, 2, 4], {}),   # homonym with the lower id
+        (11, 0, "Renée", "Dumont", [3, 5], {}),
+        (10, 0, "Renée", "Dumont", [1, 2, 4], {}),   # homonym with the lower id
         (12, 0, "Other", "One", [6], {}),
     ])
     return m, d
@@ -160,8 +160,8 @@ def _catalogue(spark):
 
 def test_homonyms_use_lowest_id(spark):
     m, d = _catalogue(spark)
-    assert sorted(r.id for r in Q.ru4(m, d, "Agnès", "Varda", "Drama").collect()) == [1, 2]
-    assert Q.rda1(m, d, "Agnès", "Varda").first().average_rank == 8.0
+    assert sorted(r.id for r in Q.ru4(m, d, "Renée", "Dumont", "Drama").collect()) == [1, 2]
+    assert Q.rda1(m, d, "Renée", "Dumont").first().average_rank == 8.0
 
 
 def test_unknown_director(spark):
@@ -174,21 +174,21 @@ def test_unknown_director(spark):
 
 def test_rank_tie_and_unranked_group(spark):
     m, d = _catalogue(spark)
-    top = {r.genre: (r.best_name, r.best_rank) for r in Q.rda4_top(m, d, ["Agnès Varda"]).collect()}
+    top = {r.genre: (r.best_name, r.best_rank) for r in Q.rda4_top(m, d, ["Renée Dumont"]).collect()}
     assert top["Drama"] == ("m2", 9.0)     # m2 and m3 tie on 9.0: lowest id
     assert top["Noir"] == ("m4", None)     # only unranked movies: lowest id
-    mx = {r.genre: (r.best_rank, r.first_name) for r in Q.rda4_max(m, d, ["Agnès Varda"]).collect()}
+    mx = {r.genre: (r.best_rank, r.first_name) for r in Q.rda4_max(m, d, ["Renée Dumont"]).collect()}
     assert mx["Noir"] == (float("-inf"), "m4")
     assert mx["Drama"] == (9.0, "m1")      # literal form: first name is not the best
 
 
 def test_csv_header_line_becomes_null_id(spark):
     path = scratch_path(spark, "hdr-csv")
-    spark.createDataFrame([("id", "name", "year", "rank"), ("1", "Agnès", "1995", "7.5")],
+    spark.createDataFrame([("id", "name", "year", "rank"), ("1", "Renée", "1995", "7.5")],
                           schemas.text_schema("movies")).coalesce(1).write.csv(path)
     typed = clean.type_table(files.read_source_csv(spark, path, "movies"), "movies")
     rows = {(r.id, r.name) for r in typed.collect()}
-    assert rows == {(None, "name"), (1, "Agnès")}
+    assert rows == {(None, "name"), (1, "Renée")}
     assert typed.filter(F.col("id").isNull()).count() == 1
 
 
