@@ -680,3 +680,38 @@ def q_stream_load(spark, sf_dir):
                     D.sorted_text("list_genres").alias("list_genres"),
                     D.sorted_text("list_directors_id").alias("list_directors_id"),
                     "den_nb_actors")
+
+
+@register("den_from_csv", _W_DEN_MOVIES + """
+select id, name, "year", "rank", list_genres, list_directors_id, den_nb_actors from den_movies""")
+def q_den_from_csv(spark, sf_dir):
+    """S1 for all seven tables: the sources exported as headerless CSV, read
+    back positionally as text, typed leniently, and denormalised."""
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    base = scratch_path(spark, "sources-csv")
+    files.export_sources(Catalog(spark, sf_dir), base)
+    m = denormalize.build_all(files.CsvCatalog(spark, base))["movies"]
+    return m.select("id", "name", "year", "rank",
+                    D.sorted_text("list_genres").alias("list_genres"),
+                    D.sorted_text("list_directors_id").alias("list_directors_id"),
+                    "den_nb_actors")
+
+
+@register("den_directors_from_csv", _W_DIRECTORS + """
+select d.id, 0 as list_part, d.first_name, d.last_name,
+  coalesce(l.list_movies_id, '') as list_movies_id,
+  coalesce(g.dict_text, '') as dict_genres_den_prob
+from directors d left join movie_lists l on l.director_id = d.id
+left join genre_maps g on g.director_id = d.id""")
+def q_den_directors_from_csv(spark, sf_dir):
+    """den_directors from CSV sources, directors_genres read as its own file
+    (with prob as text, parsed leniently) instead of derived."""
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    base = scratch_path(spark, "sources-csv")
+    files.export_sources(Catalog(spark, sf_dir), base)
+    d = denormalize.build_all(files.CsvCatalog(spark, base))["directors"]
+    return d.select("id", "list_part", "first_name", "last_name",
+                    D.sorted_text("list_movies_id").alias("list_movies_id"),
+                    D.map_text("dict_genres_den_prob").alias("dict_genres_den_prob"))

@@ -6,6 +6,8 @@
 * S2 / S3 ``write_json`` / ``read_json``: JSON-lines interchange of the
   document tables, always with an explicit schema on read.  No
   ``coalesce(1)``: every task writes its own file.
+* S1 for a whole catalogue: ``CsvCatalog`` reads the seven source files and
+  ``export_sources`` writes them.
 * S4 / S5 ``append``: add rows to a Parquet collection and count the rows
   written with an ``Observation`` during that same write (no second pass).
 * S9 ``drain``: run a plan to the end without keeping its rows (noop sink).
@@ -13,10 +15,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marquee import schemas
+from marquee.functions.clean import type_table
 
 
 def read_source_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
@@ -58,3 +63,32 @@ def append(df: DataFrame, path: str, fmt: str = "parquet") -> int:
 def drain(df: DataFrame) -> None:
     """Run the whole plan, keep nothing (benchmark sink)."""
     df.write.format("noop").mode("overwrite").save()
+
+
+class CsvCatalog:
+    """The seven source tables read from headerless CSV files, typed.
+
+    Same interface as ``sources.testdata.Catalog`` (``movies()``,
+    ``movies_genres()``, ...), so the denormalisation and the queries run
+    unchanged on either.  ``mode`` picks lenient (null on bad text) or strict
+    (error on bad text) typing.
+    """
+
+    def __init__(self, spark: SparkSession, base: str, mode: str = "lenient"):
+        self.spark, self.base, self.mode = spark, base, mode
+
+    def table(self, name: str) -> DataFrame:
+        return type_table(read_source_csv(self.spark, os.path.join(self.base, name), name),
+                          name, self.mode)
+
+    def __getattr__(self, name: str):
+        if name in schemas.SOURCE_COLUMNS:
+            return lambda *args, **kw: self.table(name)
+        raise AttributeError(name)
+
+
+def export_sources(cat, base: str) -> None:
+    """Write the seven source tables of a catalogue as headerless CSV under
+    ``base`` (one folder per table, one file per task)."""
+    for name in schemas.SOURCE_COLUMNS:
+        write_source_csv(cat.table(name), os.path.join(base, name))
