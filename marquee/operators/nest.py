@@ -53,24 +53,15 @@ def hot_keys(child: DataFrame, key: str, max_len: int) -> DataFrame:
     """(key, _parts) for keys with more than ``max_len`` child rows.
 
     The count is a partial aggregate, safe under skew.  The result has at most
-    rows / max_len entries, so its size is bounded by construction; AQE turns
-    the joins against it into broadcast joins once its runtime size is known,
-    and falls back to a (skew-split) sort-merge join otherwise.
+    rows / max_len entries.  In a lazy plan AQE turns the joins against it
+    into broadcast joins once its runtime size is known; the job
+    (``plans.jobs.hot_table``) writes it, bounds it and always broadcasts it.
     """
     n = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     return (n.filter(F.col("_n") > F.lit(max_len))
             .select(key, F.ceil(F.col("_n") / F.lit(max_len)).cast("int").alias("_parts")))
 
 
-def sized_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after counting it: at most ``max_rows`` rows.
-
-    Meant for a small table already written out (one cheap count); above the
-    bound the plain DataFrame is returned and Spark plans a shuffle join.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 def part_of(value: Column, parts: Column) -> Column:
     """Bucket of one element: 0 for ordinary keys, hash of the value for hot
     keys.  Hashing the value keeps equal values in one part, so per-part
@@ -81,9 +72,20 @@ def part_of(value: Column, parts: Column) -> Column:
 
 def bounded_list(child: DataFrame, key: str, value: str, out: str,
                  hot: DataFrame) -> DataFrame:
-    """(key, list_part, out): the bucket layout of ``child_list``."""
-    tagged = child.join(hot, key, "left")
-    return (tagged.groupBy(key, part_of(F.col(value), F.col("_parts")).alias("list_part"))
+    """(key, list_part, out): the bucket layout of ``child_list``.
+
+    The explicit exchange on (key, list_part) right after the join is the one
+    the grouping needs anyway.  It matters when ``hot`` is not broadcast: the
+    sort-merge join then leaves the rows partitioned by ``key`` alone, which
+    the grouping would accept, building every part of a hot key in one task.
+    With the exchange above it, the join's own partitioning is free, so AQE
+    can split the hot key's skewed join partition, and the parts are built in
+    as many tasks as there are parts.
+    """
+    tagged = (child.join(hot, key, "left")
+              .select(key, value, part_of(F.col(value), F.col("_parts")).alias("list_part"))
+              .repartition(key, "list_part"))
+    return (tagged.groupBy(key, "list_part")
             .agg(F.sort_array(F.collect_list(value)).alias(out)))
 
 

@@ -44,13 +44,10 @@ def denormalize_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None
     # the movie-genre pairs come from the largest join of the job (line items
     # against parts) and feed two tables: write them once, read them twice
     mg = materialize(cat.movies_genres(), "movies_genres", out_dir)
-    # hot keys (people with more than max_len movies): at most rows / max_len
-    # of them; written once, counted, broadcast only under HOT_BROADCAST_ROWS
-    hot = {}
-    for kind, child in (("directors", cat.movies_directors().select(F.col("director_id").alias("id"))),
-                        ("actors", cat.roles().select(F.col("actor_id").alias("id")))):
-        h = materialize(nest.hot_keys(child, "id", max_len), f"hot_{kind}", out_dir)
-        hot[kind] = nest.sized_broadcast(h, HOT_BROADCAST_ROWS)
+    hot = {kind: hot_table(child, max_len, out_dir, f"hot_{kind}")
+           for kind, child in (
+               ("directors", cat.movies_directors().select(F.col("director_id").alias("id"))),
+               ("actors", cat.roles().select(F.col("actor_id").alias("id"))))}
     tables = denormalize.build_all(cat, max_len, movies_genres=mg, hot=hot)
     names = {}
     for kind, df in tables.items():
@@ -64,6 +61,23 @@ def denormalize_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None
     return names
 
 
+def hot_table(child: DataFrame, max_len: int, base: str, name: str) -> DataFrame:
+    """Hot keys of ``child`` (one row per key with more than max_len rows),
+    written once and returned as a broadcast with a proven size bound.
+
+    There are at most rows / max_len hot keys.  If that is still more than
+    HOT_BROADCAST_ROWS, the bucket size is raised to rows / HOT_BROADCAST_ROWS
+    (longer list parts, never dropped elements), which caps the hot table at
+    HOT_BROADCAST_ROWS rows.  The joins against it are then broadcast joins:
+    the child is never shuffled by a hot key.
+    """
+    h = materialize(nest.hot_keys(child, "id", max_len), name, base)
+    if h.count() > HOT_BROADCAST_ROWS:
+        wider = -(-child.count() // HOT_BROADCAST_ROWS)
+        h = materialize(nest.hot_keys(child, "id", max(wider, max_len)), name, base)
+    return F.broadcast(h)
+
+
 def open_catalogue(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
     return {k: spark.table(v) for k, v in names.items()}
 

@@ -45,3 +45,17 @@ def test_lookup_does_not_shuffle_bucketed_movies(spark):
         assert "Exchange" not in lines[i], text
         i -= 1
     assert "LeftSemi" in lines[i]
+
+
+def test_hot_table_is_bounded_then_broadcast(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from marquee.session import scratch_path
+    # key 1 holds half of all rows; 5000 other keys hold 2 each
+    child = spark.range(0, 20000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2).cast("bigint").alias("id"))
+    monkeypatch.setattr(jobs, "HOT_BROADCAST_ROWS", 3)
+    h = jobs.hot_table(child, 1, scratch_path(spark, "hot"), "hot")
+    assert [(r.id, r._parts) for r in h.collect()] == [(1, 2)]    # widened bucket size
+    assert "ResolvedHint" in h._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in h._jdf.queryExecution().logical().toString().lower()
