@@ -49,11 +49,8 @@ def den_directors(directors: DataFrame, movies_directors: DataFrame,
                           "id", "genre", "prob", "dict_genres_den_prob")
     child = movies_directors.withColumnRenamed("director_id", "id").select("id", "movie_id")
     hot = hot if hot is not None else nest.hot_keys(child, "id", max_len)
-    lists = nest.bounded_list(child, "id", "movie_id", "list_movies_id", hot)
     with_map = parent.join(gmap, "id", "left")
-    j = nest.drop_empty_parts(
-        nest.expand_parts(with_map, "id", hot).join(lists, ["id", "list_part"], "left"),
-        "list_movies_id")
+    j = nest.nest_parts(with_map, "id", child, "movie_id", "list_movies_id", hot)
     return j.select(
         "id", "list_part", "first_name", "last_name",
         F.coalesce("list_movies_id", nest.empty_array("bigint")).alias("list_movies_id"),
@@ -68,10 +65,7 @@ def den_actors(actors: DataFrame, roles: DataFrame,
     parent = nest.unique_parent(actors.select("id", "first_name", "last_name"), "id")
     child = roles.withColumnRenamed("actor_id", "id").select("id", "movie_id")
     hot = hot if hot is not None else nest.hot_keys(child, "id", max_len)
-    lists = nest.bounded_list(child, "id", "movie_id", "list_movies_id", hot)
-    j = nest.drop_empty_parts(
-        nest.expand_parts(parent, "id", hot).join(lists, ["id", "list_part"], "left"),
-        "list_movies_id")
+    j = nest.nest_parts(parent, "id", child, "movie_id", "list_movies_id", hot)
     return j.select(
         "id", "list_part", "first_name", "last_name",
         F.coalesce("list_movies_id", nest.empty_array("bigint")).alias("list_movies_id"),

@@ -70,39 +70,60 @@ def part_of(value: Column, parts: Column) -> Column:
         F.pmod(F.xxhash64(value), parts).cast("int"))
 
 
-def bounded_list(child: DataFrame, key: str, value: str, out: str,
-                 hot: DataFrame) -> DataFrame:
-    """(key, list_part, out): the bucket layout of ``child_list``.
-
-    The explicit exchange on (key, list_part) right after the join is the one
-    the grouping needs anyway.  It matters when ``hot`` is not broadcast: the
-    sort-merge join then leaves the rows partitioned by ``key`` alone, which
-    the grouping would accept, building every part of a hot key in one task.
-    With the exchange above it, the join's own partitioning is free, so AQE
-    can split the hot key's skewed join partition, and the parts are built in
-    as many tasks as there are parts.
+def tag_parts(child: DataFrame, key: str, value: str, hot: DataFrame) -> DataFrame:
+    """(key, value, list_part): the part each child row belongs to."""
+    return (child.join(hot, key, "left")
+            .select(key, value, part_of(F.col(value), F.col("_parts")).alias("list_part")))
+
+
+def first_part_lists(tagged: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """(key, out): part 0 of every key's list, grouped by ``key`` alone.
+
+    Unique on ``key``, so a left join against it is removed by Catalyst from
+    any query that does not read ``out``.  A hot key's part 0 holds about
+    max_len elements, like every other part.
+    """
+    return (tagged.filter(F.col("list_part") == 0)
+            .groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(out)))
+
+
+def other_part_lists(tagged: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """(key, list_part, out): parts 1.. of hot keys.
+
+    The explicit exchange on (key, list_part) is the one the grouping needs
+    anyway; it also keeps a sort-merge join partitioned by ``key`` alone (when
+    ``hot`` is not broadcast) from satisfying the grouping, which would build
+    every part of a hot key in one task.
+    """
+    return (tagged.filter(F.col("list_part") > 0)
+            .repartition(key, "list_part")
+            .groupBy(key, "list_part").agg(F.sort_array(F.collect_list(value)).alias(out)))
+
+
+def nest_parts(parent: DataFrame, key: str, child: DataFrame, value: str, out: str,
+               hot: DataFrame) -> DataFrame:
+    """Parent rows with their bucketed list: one row per (key, list_part).
+
+    * part 0, for every parent: the parent left-joined to ``first_part_lists``
+      on ``key`` (empty list when nothing is there);
+    * parts 1.., only for hot keys: the hot parents, expanded to one row per
+      part, inner-joined to ``other_part_lists`` on (key, list_part), so the
+      parts of one hot key land in different tasks; empty parts are skipped.
+
+    A query on ``list_part = 0`` folds the second branch away (its guard
+    ``list_part > 0`` contradicts it), and one that does not read ``out``
+    loses the list join too.
     """
-    tagged = (child.join(hot, key, "left")
-              .select(key, value, part_of(F.col(value), F.col("_parts")).alias("list_part"))
-              .repartition(key, "list_part"))
-    return (tagged.groupBy(key, "list_part")
-            .agg(F.sort_array(F.collect_list(value)).alias(out)))
-
-
-def expand_parts(parent: DataFrame, key: str, hot: DataFrame) -> DataFrame:
-    """One parent row per list part: ``list_part`` 0 for ordinary keys,
-    0..parts-1 for hot keys."""
-    return (parent.join(hot, parent[key] == hot[key], "left").drop(hot[key])
-            .withColumn("list_part", F.explode(
-                F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - F.lit(1))))
-            .drop("_parts"))
-
-
-def drop_empty_parts(df: DataFrame, list_col: str) -> DataFrame:
-    """A hot key's hash buckets can come out empty; keep part 0 (it carries
-    the parent's fields even when the key has no child rows) and every part
-    that holds elements."""
-    return df.filter((F.col("list_part") == F.lit(0)) | F.col(list_col).isNotNull())
+    tagged = tag_parts(child, key, value, hot)
+    first = (parent.join(first_part_lists(tagged, key, value, out), key, "left")
+             .withColumn("list_part", F.lit(0)))
+    hot_parents = (parent.join(hot, key, "inner")
+                   .withColumn("list_part", F.explode(F.sequence(F.lit(1), F.col("_parts") - F.lit(1))))
+                   .drop("_parts"))
+    rest = (hot_parents.join(other_part_lists(tagged, key, value, out), [key, "list_part"], "inner")
+            .filter(F.col("list_part") > 0))
+    cols = parent.columns + ["list_part", out]
+    return first.select(cols).unionByName(rest.select(cols))
 
 
 def unique_parent(parent: DataFrame, key: str) -> DataFrame:
