@@ -24,6 +24,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee import schemas
 from marquee.operators import denormalize, nest
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.testdata import Catalog
@@ -37,7 +38,11 @@ HOT_BROADCAST_ROWS = 1_000_000
 def denormalize_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
                     buckets: int | None = None, max_len: int = nest.DEFAULT_MAX_LEN,
                     prefix: str = "den") -> dict[str, str]:
-    """Write den_movies, den_directors, den_actors; return table names."""
+    """Write den_movies, den_directors, den_actors; return table names.
+
+    ``buckets`` defaults to the session's shuffle partition count; size it so
+    a bucket file of den_movies stays around 0.5-1 GB at the target scale.
+    """
     out_dir = out_dir or os.path.join(ensure_checkpoint_dir(spark), f"catalogue-{uuid.uuid4().hex[:8]}")
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cat = Catalog(spark, sf_dir)
@@ -82,6 +87,29 @@ def open_catalogue(spark: SparkSession, names: dict[str, str]) -> dict[str, Data
     return {k: spark.table(v) for k, v in names.items()}
 
 
+DEN_SCHEMAS = {"movies": schemas.DEN_MOVIES, "directors": schemas.DEN_DIRECTORS,
+               "actors": schemas.DEN_ACTORS}
+
+
+def attach_catalogue(spark: SparkSession, out_dir: str, buckets: int,
+                     prefix: str = "den") -> dict[str, str]:
+    """Declare the tables written by ``denormalize_job`` in another session.
+
+    The table definitions (columns, bucket spec, sort keys) are re-declared
+    over the files already in ``out_dir``, so a new session gets the same
+    bucketed scans without rewriting anything.
+    """
+    names = {}
+    for kind, schema in DEN_SCHEMAS.items():
+        name = f"{prefix}_{kind}"
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
+                  f"CLUSTERED BY (id) SORTED BY ({', '.join(SORT_KEYS[kind])}) INTO {buckets} BUCKETS "
+                  f"LOCATION '{os.path.join(out_dir, name)}'")
+        names[kind] = name
+    return names
+
+
 def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     """Cut lineage: write to the shared folder and read back."""
     base = base or ensure_checkpoint_dir(df.sparkSession)

@@ -59,3 +59,17 @@ def test_hot_table_is_bounded_then_broadcast(spark, monkeypatch):
     assert [(r.id, r._parts) for r in h.collect()] == [(1, 2)]    # widened bucket size
     assert "ResolvedHint" in h._jdf.queryExecution().analyzed().toString() or \
         "broadcast" in h._jdf.queryExecution().logical().toString().lower()
+
+
+def test_catalogue_reattached_in_a_new_definition(spark, tmp_path):
+    out = str(tmp_path / "cat")
+    names = jobs.denormalize_job(spark, SF_SMALL, out_dir=out, buckets=4, prefix="t_den3")
+    before = rows(Q.rda4_top(*[jobs.open_catalogue(spark, names)[k] for k in ("movies", "directors")]))
+    for n in names.values():
+        spark.sql(f"DROP TABLE {n}")          # external tables: files stay
+    again = jobs.attach_catalogue(spark, out, 4, prefix="t_den3")
+    c = jobs.open_catalogue(spark, again)
+    assert rows(Q.rda4_top(c["movies"], c["directors"])) == before
+    plan = c["movies"].join(c["directors"].select("id"), "id", "left_semi")._jdf \
+        .queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan or "bucket" in plan.lower()
