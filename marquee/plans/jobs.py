@@ -83,6 +83,17 @@ def hot_table(child: DataFrame, max_len: int, base: str, name: str) -> DataFrame
     return F.broadcast(h)
 
 
+def export_json(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """The document tables as JSON lines (the interchange format of the
+    reference's job), one file per task, never funnelled into one writer."""
+    from marquee.sources import files
+    paths = {}
+    for kind, df in tables.items():
+        paths[kind] = os.path.join(out_dir, f"den_{kind}.json")
+        files.write_json(df, paths[kind])
+    return paths
+
+
 def open_catalogue(spark: SparkSession, names: dict[str, str]) -> dict[str, DataFrame]:
     return {k: spark.table(v) for k, v in names.items()}
 

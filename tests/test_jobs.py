@@ -73,3 +73,18 @@ def test_catalogue_reattached_in_a_new_definition(spark, tmp_path):
     plan = c["movies"].join(c["directors"].select("id"), "id", "left_semi")._jdf \
         .queryExecution().executedPlan().toString()
     assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan or "bucket" in plan.lower()
+
+
+def test_export_json_then_stream_load(spark, tmp_path):
+    from marquee.session import scratch_path
+    from marquee.streaming.load import load_documents
+    from marquee import schemas
+    names = jobs.denormalize_job(spark, SF_SMALL, prefix="t_den4")
+    c = jobs.open_catalogue(spark, names)
+    paths = jobs.export_json(c, str(tmp_path / "json"))
+    assert len([f for f in __import__("os").listdir(paths["movies"]) if f.endswith(".json")]) >= 1
+    table = scratch_path(spark, "loaded-actors")
+    n = load_documents(spark, paths["actors"], schemas.DEN_ACTORS, table)
+    assert n == c["actors"].count()
+    back = spark.read.parquet(table)
+    assert rows(back.select(*c["actors"].columns)) == rows(c["actors"])
