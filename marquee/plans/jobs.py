@@ -128,7 +128,3 @@ def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
-
-def list_parts(df: DataFrame) -> DataFrame:
-    """Bucket layout summary: parts per key (1 for every ordinary key)."""
-    return df.groupBy("id").agg(F.count(F.lit(1)).alias("parts"))

@@ -39,14 +39,6 @@ def text_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, S, True) for c in SOURCE_COLUMNS[table]])
 
 
-def typed_schema(table: str) -> T.StructType:
-    types = SOURCE_TYPES[table]
-    return T.StructType([
-        T.StructField(c, T._parse_datatype_string(types.get(c, "string")), True)
-        for c in SOURCE_COLUMNS[table]
-    ])
-
-
 DEN_MOVIES = T.StructType([
     T.StructField("id", T.LongType()),
     T.StructField("name", S),
