@@ -49,13 +49,13 @@ def timed(fn, runs: int) -> float:
 
 def eight(m, d):
     return {
-        "ru1": lambda: Q.ru1(m(), "PROMO", 8),
-        "ru2": lambda: Q.ru2(d(), "PROMO"),
-        "ru3": lambda: Q.ru3(m(), "ECONOMY", 1995),
-        "ru4": lambda: Q.ru4(m(), d(), "Customer", "000000007", "SMALL"),
-        "rda1": lambda: Q.rda1(m(), d(), "Customer", "000000007"),
-        "rda2": lambda: Q.rda2(d(), 2),
-        "rda3": lambda: Q.rda3(m(), 5, 7),
+        "ru1": lambda: Q.ru1(m()),
+        "ru2": lambda: Q.ru2(d()),
+        "ru3": lambda: Q.ru3(m()),
+        "ru4": lambda: Q.ru4(m(), d()),
+        "rda1": lambda: Q.rda1(m(), d()),
+        "rda2": lambda: Q.rda2(d()),
+        "rda3": lambda: Q.rda3(m()),
         "rda4": lambda: Q.rda4_top(m(), d()),
     }
 

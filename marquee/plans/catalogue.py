@@ -21,6 +21,18 @@ from marquee.functions import docops as D
 from marquee.operators import aggregates as A
 from marquee.operators import lookup as L
 
+# Default query parameters (fixed values).  The thresholds and the year are the
+# reference's; its genre and person names are replaced by values that exist in
+# the test mapping (part types as genres, "Customer 00000000N" as names).
+RU1_GENRE, RU1_MIN_RANK = "PROMO", 8
+RU2_GENRE = "PROMO"
+RU3_GENRE, RU3_YEAR = "ECONOMY", 1995
+RU4_FIRST, RU4_LAST, RU4_GENRE = "Customer", "000000007", "SMALL"
+RDA1_FIRST, RDA1_LAST = "Customer", "000000007"
+RDA2_N_GENRES = 2
+RDA3_MAX_ACTORS, RDA3_MIN_RANK = 5, 7
+RDA4_N_DIRECTORS = 10
+
 
 def director_rows(den_directors: DataFrame) -> DataFrame:
     """One row per director (its first list part)."""
@@ -36,13 +48,13 @@ def movie_ids_of(den_directors: DataFrame, directors: DataFrame) -> DataFrame:
 
 # -- user queries ----------------------------------------------------------
 
-def ru1(den_movies: DataFrame, genre: str = "PROMO", min_rank: float = 8) -> DataFrame:
+def ru1(den_movies: DataFrame, genre: str = RU1_GENRE, min_rank: float = RU1_MIN_RANK) -> DataFrame:
     """Movies of a genre ranked above a value: name, rank."""
     return (den_movies.filter(D.has_element("list_genres", genre) & D.greater("rank", min_rank))
             .select("name", "rank"))
 
 
-def ru2(den_directors: DataFrame, genre: str = "PROMO", strict: bool = False) -> DataFrame:
+def ru2(den_directors: DataFrame, genre: str = RU2_GENRE, strict: bool = False) -> DataFrame:
     """Directors whose genre map has the genre.
 
     The reference's second condition compares the value with the *array*
@@ -54,14 +66,14 @@ def ru2(den_directors: DataFrame, genre: str = "PROMO", strict: bool = False) ->
     return director_rows(den_directors).filter(cond).select("first_name", "last_name")
 
 
-def ru3(den_movies: DataFrame, genre: str = "ECONOMY", year: int = 1995) -> DataFrame:
+def ru3(den_movies: DataFrame, genre: str = RU3_GENRE, year: int = RU3_YEAR) -> DataFrame:
     """Movies of a genre released in a year: name."""
     return (den_movies.filter(D.has_element("list_genres", genre) & (F.col("year") == F.lit(year)))
             .select("name"))
 
 
-def ru4(den_movies: DataFrame, den_directors: DataFrame, first_name: str = "Customer",
-        last_name: str = "000000007", genre: str = "SMALL") -> DataFrame:
+def ru4(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RU4_FIRST,
+        last_name: str = RU4_LAST, genre: str = RU4_GENRE) -> DataFrame:
     """Movies of one director (the lowest id with that name, D10) in a genre."""
     one = L.one_key(director_rows(den_directors),
                     (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
@@ -72,8 +84,8 @@ def ru4(den_movies: DataFrame, den_directors: DataFrame, first_name: str = "Cust
 
 # -- analyst queries -------------------------------------------------------
 
-def rda1(den_movies: DataFrame, den_directors: DataFrame, first_name: str = "Customer",
-         last_name: str = "000000007") -> DataFrame:
+def rda1(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RDA1_FIRST,
+         last_name: str = RDA1_LAST) -> DataFrame:
     """Average rank of one director's movies; unranked movies skipped; no row
     when the director is unknown or has no ranked movie (D7)."""
     one = L.one_key(director_rows(den_directors),
@@ -83,7 +95,7 @@ def rda1(den_movies: DataFrame, den_directors: DataFrame, first_name: str = "Cus
     return A.global_avg(ranked, "rank", "average_rank")
 
 
-def rda2(den_directors: DataFrame, n_genres: int = 2) -> DataFrame:
+def rda2(den_directors: DataFrame, n_genres: int = RDA2_N_GENRES) -> DataFrame:
     """Directors with exactly N genres of non-null, non-zero probability."""
     kept = director_rows(den_directors).select(
         "first_name", "last_name",
@@ -93,7 +105,8 @@ def rda2(den_directors: DataFrame, n_genres: int = 2) -> DataFrame:
             .select("first_name", "last_name"))
 
 
-def rda3(den_movies: DataFrame, max_actors: int = 5, min_rank: float = 7) -> DataFrame:
+def rda3(den_movies: DataFrame, max_actors: int = RDA3_MAX_ACTORS,
+         min_rank: float = RDA3_MIN_RANK) -> DataFrame:
     """Movies with fewer than X role rows and a rank above N: name."""
     return (den_movies.filter(D.less("den_nb_actors", max_actors) & D.greater("rank", min_rank))
             .select("name"))
@@ -126,6 +139,6 @@ def rda4_max(den_movies: DataFrame, den_directors: DataFrame,
                                   A.first_by_key("name").alias("first_name"))
 
 
-def default_names(n: int = 10) -> list[str]:
+def default_names(n: int = RDA4_N_DIRECTORS) -> list[str]:
     """Rda4's default director list on the test mapping: directors 1..n."""
     return [f"Customer {i:09d}" for i in range(1, n + 1)]

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from marquee.plans import catalogue as C
+
 _DIRECTOR = """
 one AS (SELECT id FROM den_directors
         WHERE list_part = 0 AND first_name = :first_name AND last_name = :last_name
@@ -56,18 +58,18 @@ QUERIES: dict[str, str] = {
               FROM m GROUP BY genre""",
 }
 
-# default arguments of each query (same defaults as plans.catalogue)
+# default arguments of each query: the fixed values of plans.catalogue
 DEFAULTS: dict[str, dict] = {
-    "ru1": {"genre": "PROMO", "min_rank": 8.0},
-    "ru2": {"genre": "PROMO"},
-    "ru2_strict": {"genre": "PROMO"},
-    "ru3": {"genre": "ECONOMY", "year": 1995},
-    "ru4": {"first_name": "Customer", "last_name": "000000007", "genre": "SMALL"},
-    "rda1": {"first_name": "Customer", "last_name": "000000007"},
-    "rda2": {"n_genres": 2},
-    "rda3": {"max_actors": 5, "min_rank": 7.0},
-    "rda4_top": {"names": [f"Customer {i:09d}" for i in range(1, 11)]},
-    "rda4_max": {"names": [f"Customer {i:09d}" for i in range(1, 11)]},
+    "ru1": {"genre": C.RU1_GENRE, "min_rank": float(C.RU1_MIN_RANK)},
+    "ru2": {"genre": C.RU2_GENRE},
+    "ru2_strict": {"genre": C.RU2_GENRE},
+    "ru3": {"genre": C.RU3_GENRE, "year": C.RU3_YEAR},
+    "ru4": {"first_name": C.RU4_FIRST, "last_name": C.RU4_LAST, "genre": C.RU4_GENRE},
+    "rda1": {"first_name": C.RDA1_FIRST, "last_name": C.RDA1_LAST},
+    "rda2": {"n_genres": C.RDA2_N_GENRES},
+    "rda3": {"max_actors": C.RDA3_MAX_ACTORS, "min_rank": float(C.RDA3_MIN_RANK)},
+    "rda4_top": {"names": C.default_names()},
+    "rda4_max": {"names": C.default_names()},
 }
 
 
