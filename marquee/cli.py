@@ -47,15 +47,18 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--out", required=True)
     e.add_argument("--buckets", type=int, required=True)
     e.add_argument("--to", required=True)
+    for p in (b, q, e):
+        p.add_argument("--prefix", default="den", help="table name prefix")
     args = ap.parse_args(argv)
 
     spark = build_session()
     if args.cmd == "build":
         kw = {"max_len": args.max_len} if args.max_len else {}
-        names = jobs.denormalize_job(spark, args.sf_dir, out_dir=args.out, buckets=args.buckets, **kw)
+        names = jobs.denormalize_job(spark, args.sf_dir, out_dir=args.out, buckets=args.buckets,
+                                     prefix=args.prefix, **kw)
         print(json.dumps(names))
         return
-    names = jobs.attach_catalogue(spark, args.out, args.buckets)
+    names = jobs.attach_catalogue(spark, args.out, args.buckets, prefix=args.prefix)
     tables = jobs.open_catalogue(spark, names)
     if args.cmd == "export-json":
         print(json.dumps(jobs.export_json(tables, args.to)))
