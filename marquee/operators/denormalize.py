@@ -41,9 +41,20 @@ def den_movies(movies: DataFrame, movies_genres: DataFrame, movies_directors: Da
     )
 
 
+def only_keys(df: DataFrame, col: str, keys: DataFrame | None) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is in ``keys.id`` (all rows when None)."""
+    return df if keys is None else df.join(keys.select(F.col("id").alias(col)), col, "left_semi")
+
+
 def den_directors(directors: DataFrame, movies_directors: DataFrame,
                   directors_genres: DataFrame, max_len: int = nest.DEFAULT_MAX_LEN,
-                  hot: DataFrame | None = None) -> DataFrame:
+                  hot: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
+    """``keys`` (a DataFrame with ``id``) builds only those directors'
+    documents: the parent and both children are semi-joined to it before any
+    aggregation, so a lookup of a few documents reads the few child rows."""
+    directors = only_keys(directors, "id", keys)
+    movies_directors = only_keys(movies_directors, "director_id", keys)
+    directors_genres = only_keys(directors_genres, "director_id", keys)
     parent = nest.unique_parent(directors.select("id", "first_name", "last_name"), "id")
     gmap = nest.child_map(directors_genres.withColumnRenamed("director_id", "id"),
                           "id", "genre", "prob", "dict_genres_den_prob")

@@ -12,7 +12,7 @@ lookups read every part.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,10 +39,17 @@ def director_rows(den_directors: DataFrame) -> DataFrame:
     return den_directors.filter(F.col("list_part") == F.lit(0))
 
 
-def movie_ids_of(den_directors: DataFrame, directors: DataFrame) -> DataFrame:
+# builds the director documents of the given keys (a DataFrame with ``id``);
+# for a lazily built catalogue this keeps a lookup from building every list
+DocsFor = Callable[[DataFrame], DataFrame]
+
+
+def movie_ids_of(den_directors: DataFrame, directors: DataFrame,
+                 docs_for: DocsFor | None = None) -> DataFrame:
     """(id): movie ids listed by the given directors, over all list parts.
     (A semi join never multiplies rows, so ``directors`` needs no distinct.)"""
-    rows = L.keep_matching(den_directors, directors.select("id"), "id")
+    keys = directors.select("id")
+    rows = docs_for(keys) if docs_for else L.keep_matching(den_directors, keys, "id")
     return L.unwind(rows, "list_movies_id", "id")
 
 
@@ -73,11 +80,11 @@ def ru3(den_movies: DataFrame, genre: str = RU3_GENRE, year: int = RU3_YEAR) ->
 
 
 def ru4(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RU4_FIRST,
-        last_name: str = RU4_LAST, genre: str = RU4_GENRE) -> DataFrame:
+        last_name: str = RU4_LAST, genre: str = RU4_GENRE, docs_for: DocsFor | None = None) -> DataFrame:
     """Movies of one director (the lowest id with that name, D10) in a genre."""
     one = L.one_key(director_rows(den_directors),
                     (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
-    ids = movie_ids_of(den_directors, one)
+    ids = movie_ids_of(den_directors, one, docs_for)
     return (L.keep_matching(den_movies.filter(D.has_element("list_genres", genre)), ids)
             .select("id", "name", "year", "rank"))
 
@@ -85,13 +92,13 @@ def ru4(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RU4_F
 # -- analyst queries -------------------------------------------------------
 
 def rda1(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RDA1_FIRST,
-         last_name: str = RDA1_LAST) -> DataFrame:
+         last_name: str = RDA1_LAST, docs_for: DocsFor | None = None) -> DataFrame:
     """Average rank of one director's movies; unranked movies skipped; no row
     when the director is unknown or has no ranked movie (D7)."""
     one = L.one_key(director_rows(den_directors),
                     (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
     ranked = L.keep_matching(den_movies.filter(D.not_nan("rank")),
-                             movie_ids_of(den_directors, one))
+                             movie_ids_of(den_directors, one, docs_for))
     return A.global_avg(ranked, "rank", "average_rank")
 
 
@@ -113,28 +120,28 @@ def rda3(den_movies: DataFrame, max_actors: int = RDA3_MAX_ACTORS,
 
 
 def selected_movies(den_movies: DataFrame, den_directors: DataFrame,
-                    names: Sequence[str]) -> DataFrame:
+                    names: Sequence[str], docs_for: DocsFor | None = None) -> DataFrame:
     """Rda4 step 1: movies of the directors whose full name is in the list,
     one row per (movie, genre)."""
     chosen = director_rows(den_directors).filter(D.in_list(D.full_name(), names))
-    movies = L.keep_matching(den_movies, movie_ids_of(den_directors, chosen))
+    movies = L.keep_matching(den_movies, movie_ids_of(den_directors, chosen, docs_for))
     return movies.select("id", "name", "rank", F.explode("list_genres").alias("genre"))
 
 
 def rda4_top(den_movies: DataFrame, den_directors: DataFrame,
-             names: Sequence[str] | None = None) -> DataFrame:
+             names: Sequence[str] | None = None, docs_for: DocsFor | None = None) -> DataFrame:
     """Best movie per genre among the listed directors' movies: the name and
     rank of the highest-ranked movie (ties: lowest id, D8)."""
-    m = selected_movies(den_movies, den_directors, names or default_names())
+    m = selected_movies(den_movies, den_directors, names or default_names(), docs_for)
     return A.top_per_group(m, "genre", ["name", "rank"])
 
 
 def rda4_max(den_movies: DataFrame, den_directors: DataFrame,
-             names: Sequence[str] | None = None) -> DataFrame:
+             names: Sequence[str] | None = None, docs_for: DocsFor | None = None) -> DataFrame:
     """Literal form of Rda4: per genre, the maximum rank (null counted as
     negative infinity) and the name of the group's first (lowest-id) movie,
     which need not be the best one."""
-    m = selected_movies(den_movies, den_directors, names or default_names())
+    m = selected_movies(den_movies, den_directors, names or default_names(), docs_for)
     return m.groupBy("genre").agg(A.max_or_neg_inf("rank").alias("best_rank"),
                                   A.first_by_key("name").alias("first_name"))
 

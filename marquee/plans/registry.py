@@ -42,6 +42,14 @@ def den(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return denormalize.build_all(Catalog(spark, sf_dir))
 
 
+def director_docs_for(spark: SparkSession, sf_dir: str) -> Q.DocsFor:
+    """Lookups on the lazily built catalogue build only the looked-up
+    directors' documents (see ``denormalize.den_directors(keys=...)``)."""
+    cat = Catalog(spark, sf_dir)
+    return lambda keys: denormalize.den_directors(
+        cat.directors(), cat.movies_directors(), cat.directors_genres(), keys=keys)
+
+
 # -- SQL building blocks (DuckDB) -----------------------------------------
 
 # sql text of a rounded double and of its fixed-decimal form (same formula as
@@ -230,7 +238,8 @@ where m.id in (select movie_id from one_movies)
   and exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre = 'SMALL')""")
 def q_ru4(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.ru4(d["movies"], d["directors"], "Customer", "000000007", "SMALL")
+    return Q.ru4(d["movies"], d["directors"], "Customer", "000000007", "SMALL",
+                 docs_for=director_docs_for(spark, sf_dir))
 
 
 @register("lim_find_one", oracle_with("directors") + """
@@ -252,7 +261,8 @@ where m.id in (select movie_id from one_movies) and m."rank" is not null and not
 having count(*) > 0""")
 def q_rda1(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.rda1(d["movies"], d["directors"], "Customer", "000000007")
+    return Q.rda1(d["movies"], d["directors"], "Customer", "000000007",
+                  docs_for=director_docs_for(spark, sf_dir))
 
 
 def _rda2_sql(n: int) -> str:
@@ -298,7 +308,7 @@ select genre, best_name, best_rank from (
   from x) t where rn = 1""")
 def q_rda4_top(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.rda4_top(d["movies"], d["directors"])
+    return Q.rda4_top(d["movies"], d["directors"], docs_for=director_docs_for(spark, sf_dir))
 
 
 @register("rda4_max", _rda4_rows_sql() + """
@@ -306,7 +316,7 @@ select genre, max(coalesce("rank", '-inf'::double)) as best_rank, arg_min(name,
 from x group by genre""")
 def q_rda4_max(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.rda4_max(d["movies"], d["directors"])
+    return Q.rda4_max(d["movies"], d["directors"], docs_for=director_docs_for(spark, sf_dir))
 
 
 # -- document operators, one key each --------------------------------------
@@ -439,7 +449,8 @@ def q_agg_push(spark, sf_dir):
     of a DataFrame (one per unwound element) instead of one global array."""
     d = den(spark, sf_dir)["directors"]
     chosen = Q.director_rows(d).filter(D.in_list(D.full_name(), Q.default_names()))
-    return Q.movie_ids_of(d, chosen).withColumnRenamed("id", "movie_id")
+    return (Q.movie_ids_of(d, chosen, director_docs_for(spark, sf_dir))
+            .withColumnRenamed("id", "movie_id"))
 
 
 @register("project_full_name", oracle_with("directors") + """

@@ -1,5 +1,7 @@
 """Plan properties: what Catalyst must see and do with our queries."""
 
+import re
+
 import pytest
 
 from marquee.operators import denormalize
@@ -79,3 +81,18 @@ def test_den_movies_joins_need_no_exchange_on_aggregated_side(spark):
     import re
     n_ex = len(re.findall(r"^\(\d+\) Exchange", text, flags=re.M))
     assert n_ex == 7, text
+
+
+def test_ru4_end_to_end_builds_only_the_looked_up_documents(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(registry.QUERIES["ru4"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    # the one-row key is broadcast into the directors, orders and genre-share
+    # inputs of the document build: every list aggregate sees that director only
+    semis = re.findall(r"^\(\d+\) BroadcastHashJoin(?: \[codegen id : \d+\])?\n"
+                       r"Left keys.*\nRight keys.*\nJoin type: LeftSemi", text, flags=re.M)
+    assert len(semis) >= 3, text
