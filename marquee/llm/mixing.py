@@ -134,12 +134,11 @@ def training_order(mixed: DataFrame) -> DataFrame:
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(common.table(spark, sf_dir, "documents"), carry=["doc_id"])
-    first = F.element_at("draws", 1)["position"]
-    last = F.element_at("draws", -1)["position"]
-    first, last = (F.when(F.size("draws") > 0, c) for c in (first, last))
+    first, last = F.get("draws", F.lit(0))["position"], F.get("draws", F.size("draws") - F.lit(1))["position"]
+    place = lambda t: F.coalesce(F.floor(t * F.lit(1e6)), F.lit(-1)).cast("long")
     digest = mixed.select("doc_id", "size", "source_size", "target", "taken",
-                          F.floor(first * F.lit(1e6)).cast("long").alias("first_position"),
-                          F.floor(last * F.lit(1e6)).cast("long").alias("last_position"))
+                          place(first).alias("first_position"),
+                          place(last).alias("last_position"))
     return (digest.repartitionByRange("first_position", "doc_id")
             .sortWithinPartitions("first_position", "doc_id"))
 
@@ -182,8 +181,8 @@ ps as (
          case when d1 > 0 then st + source_size when d0 > 0 then st end l from dr)
 select doc_id, size, source_size, target, cast(d0 + d1 as bigint) taken,
   cast(case when f is not null then floor(least(1.0::double, 2.0::double * (f::double / quota::double) /
-    ((1.0::double - ramp) + sqrt((1.0::double - ramp) * (1.0::double - ramp) + 4.0::double * ramp * (f::double / quota::double)))) * 1e6) end as bigint) first_position,
+    ((1.0::double - ramp) + sqrt((1.0::double - ramp) * (1.0::double - ramp) + 4.0::double * ramp * (f::double / quota::double)))) * 1e6) else -1 end as bigint) first_position,
   cast(case when l is not null then floor(least(1.0::double, 2.0::double * (l::double / quota::double) /
-    ((1.0::double - ramp) + sqrt((1.0::double - ramp) * (1.0::double - ramp) + 4.0::double * ramp * (l::double / quota::double)))) * 1e6) end as bigint) last_position
+    ((1.0::double - ramp) + sqrt((1.0::double - ramp) * (1.0::double - ramp) + 4.0::double * ramp * (l::double / quota::double)))) * 1e6) else -1 end as bigint) last_position
 from ps
 """

@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from marquee.llm import mixing, quality_rules, sharding
+from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, lm_scoring, mixing, ngram_join,
+                         packing, quality_rules, sharding)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
+    "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
+    "op4_packing": packing.op4_packing,
+    "op5_embedding_near_dedup": embedding_dedup.op5_embedding_near_dedup,
     "op6_mixing": mixing.op6_mixing,
+    "op7_quality_classifier": classifier.op7_quality_classifier,
+    "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_html_extraction": html_extract.op9_html_extraction,
     "op10_sharding": sharding.op10_sharding,
 }
 
 ORACLE = {
     "op1_quality_rules": quality_rules.QUALITY_SQL,
     "op6_mixing": mixing.MIXING_SQL,
+    "op8_line_dedup": line_dedup.LINE_DEDUP_SQL,
 }
