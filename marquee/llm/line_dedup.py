@@ -36,6 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.llm import common
 
@@ -160,7 +161,7 @@ def find_dropped(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     return ordered.mapInArrow(dropped_lines(min_docs, edges), DROP_SCHEMA)
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def keep_bitmap(n_lines: pd.Series, dropped: pd.Series) -> pd.Series:
     """Compressed keep bitmap of a document: one bit a line, 0 where dropped."""
     def one(n: int, positions: np.ndarray) -> bytes:
@@ -179,12 +180,12 @@ def kept(text: str | None, bitmap: bytes | None) -> str:
     return "\n".join(x for x, k in zip(lines, mask) if k)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def kept_text(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     return pd.Series([kept(x, b) for x, b in zip(text, bitmap)], dtype=object)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def kept_sha256(text: pd.Series, bitmap: pd.Series) -> pd.Series:
     return pd.Series([hashlib.sha256(kept(x, b).encode()).hexdigest() for x, b in zip(text, bitmap)], dtype=object)
 

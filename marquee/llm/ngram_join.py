@@ -145,10 +145,11 @@ def prefix(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
 def tiles_of(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
     """Tile keys: a prefix shingle and a size band."""
     p, band = prefix(s, rank, percent), len(s).bit_length()
-    own = mixed(p + np.uint64(band) * MIX)
+    in_band = lambda b: mixed(p + np.uint64(b * int(MIX) & 0xFFFFFFFFFFFFFFFF))
+    own = in_band(band)
     if 100 * len(s) < percent << band:                   # no similar set is in the next band
         return own
-    return np.concatenate([own, mixed(p + np.uint64(band + 1) * MIX)])
+    return np.concatenate([own, in_band(band + 1)])
 
 
 SET_SCHEMA = "doc_id long, _row long, n_shingles long, node long, signature binary, tiles array<long>"
