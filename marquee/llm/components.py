@@ -24,6 +24,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
     edges = common.materialize(
         links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "links")
+    if not edges.count():
+        return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     f = common.materialize(edges.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("f")), "parents")
     while True:
         # grandparents: f(f(u))

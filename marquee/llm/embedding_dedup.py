@@ -226,3 +226,20 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
 
 def op5_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(common.table(spark, sf_dir, "embeddings"))
+
+
+EMBEDDING_DEDUP_SQL = """
+with recursive v as (select row_number() over () r, vec_id, label, embedding::double[] e from embeddings),
+g as (
+  select * from v where vec_id is not null and label is not null and len(e) > 0
+    and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0),
+l as (
+  select a.r x, b.r y from g a join g b on a.label = b.label and len(a.e) = len(b.e) and a.r < b.r
+  where list_cosine_similarity(a.e, b.e) >= 0.98),
+u as (select x, y from l union all select y, x from l),
+reach as (select r x, r y from v union select reach.x, u.y from reach join u on reach.y = u.x),
+c as (select x r, min(vec_id) component_id from reach join v on v.r = reach.y group by x),
+k as (select x r, count(*) n from u group by x)
+select vec_id, coalesce(k.n, 0) n_links, component_id, coalesce(vec_id = component_id, true) kept
+from v join c using (r) left join k using (r)
+"""

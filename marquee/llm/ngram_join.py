@@ -1,20 +1,25 @@
 """Near-duplicate documents by Jaccard similarity of word shingles, exactly.
 
 1. A text becomes the sorted array of its distinct shingle hashes (64 bit) and
-   a bitmap signature: one bit a shingle, twice as many bits as shingles.
+   a bitmap signature: one bit a shingle, SIGNATURE_BITS bits per shingle or more.
    Documents with equal arrays are one node.
 2. Two sets with similarity t or more share at least one of their first
    ``n - ceil(t n) + 1`` shingles in any common order.  The order is rarest
    first, by how often a shingle's hash bucket occurs in the whole corpus (a
    histogram of fixed size), so passages that many documents share come last.
 3. A node enters one tile per such shingle and size band (powers of two; near
-   the upper end also the next band).  Tiles with one node vanish in a count
-   that combines before its shuffle.
+   the upper end also the next band).  Of a similar pair, the smaller set's
+   first common shingle lies in a shorter prefix still; those entries are
+   marked core, and a pair counts only where its smaller set is core.  Tiles
+   with one node or no core entry vanish in an aggregate that combines before
+   its shuffle, and tiles with the same nodes become one.
 4. Candidates of a tile are never all its pairs.  First each node meets one
-   leader, the least node of the tiles it shares most shingles with; links
-   found so are closed to components.  What is left are tiles that hold
-   several components: there the nodes outside the tile's largest component
-   meet all its nodes, in blocks of bounded size.
+   leader, the least node of the tiles it shares most; links found so are
+   closed to components.  What is left are tiles that hold several
+   components: there the nodes outside the tile's largest component meet all
+   its nodes, in blocks of bounded size, where a block first gives only a
+   spanning forest of its candidate pairs, best bound first.  Once those links
+   are closed too, the pairs between components that still differ follow.
 5. A candidate pair must pass the size ratio and the bitmaps (a bit that only
    one has is a shingle the other lacks, which bounds the overlap from above)
    before the arrays themselves are intersected.  Only nodes in such pairs
@@ -45,6 +50,7 @@ from marquee.llm.components import components
 BUCKET_BITS = 18                       # of the corpus histogram: 2 MB at any input size
 HISTOGRAM_PARTS = 64
 CACHE_WORDS = 1 << 18
+SIGNATURE_BITS = 4                     # per shingle, rounded up to a power of two in all
 BLOCK = 512                            # nodes a side of a tile block
 BROADCAST_IDS = 1_000_000              # doc_ids (8 MB) up to which a re-read is filtered by broadcast
 ADDED = ["n_shingles", "component_id", "node"]
@@ -63,28 +69,32 @@ class Shingler:
 
     def __init__(self, k: int):
         self.k, self.words = k, {}
+        # one odd factor per place in a shingle, and one salt per length of a short text
+        self.factors = mixed(np.arange(1, k + 1, dtype=np.uint64) * MIX) | np.uint64(1)
+        self.salts = mixed(np.arange(101, 102 + k, dtype=np.uint64) * MIX)
 
-    def word(self, w: bytes) -> int:
+    def word(self, w: bytes) -> bytes:
         if len(self.words) >= CACHE_WORDS:
             self.words.clear()
-        h = self.words[w] = xxhash.xxh3_64_intdigest(w)
+        h = self.words[w] = xxhash.xxh3_64_digest(w)
         return h
 
     def __call__(self, text: bytes | None) -> np.ndarray:
         words = (text or b"").lower().split()            # bytes: A-Z and ASCII space only
         get, word = self.words.get, self.word
-        h = np.array([get(w) or word(w) for w in words], dtype=np.uint64)
+        h = np.frombuffer(b"".join([get(w) or word(w) for w in words]), np.uint64)
         if not len(h):
             return h
         k = min(self.k, len(h))                          # a short text is one shingle of its own length
-        out = np.full(len(h) - k + 1, k, dtype=np.uint64)
+        n = len(h) - k + 1
+        out = np.full(n, self.salts[k], dtype=np.uint64)
         for i in range(k):
-            out = mixed(out * MIX + h[i:len(h) - k + 1 + i])
-        return np.unique(out)
+            out += self.factors[i] * h[i:n + i]
+        return np.unique(mixed(out))
 
 
 def signature_bits(n: int) -> int:
-    return max(64, 1 << int(2 * n - 1).bit_length())
+    return max(64, 1 << int(SIGNATURE_BITS * n - 1).bit_length())
 
 
 def signature(s: np.ndarray) -> bytes:
@@ -135,51 +145,58 @@ def corpus_order(docs: DataFrame, k: int) -> np.ndarray:
     return rank
 
 
-def prefix(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of which a similar set must have one."""
-    m = len(s) - -(-percent * len(s) // 100) + 1
+def prefix(s: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """The shingles of which a similar set must have one, and how many of them
+    are core: where the other set is no smaller, it must have one of these."""
+    n = len(s)
     order = np.lexsort((s, rank[(s >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)]))
-    return s[order[:m]]
+    return s[order[:n + percent * -n // 100 + 1]], n + 2 * percent * -n // (100 + percent) + 1
 
 
-def tiles_of(s: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
-    """Tile keys: a prefix shingle and a size band."""
-    p, band = prefix(s, rank, percent), len(s).bit_length()
-    in_band = lambda b: mixed(p + np.uint64(b * int(MIX) & 0xFFFFFFFFFFFFFFFF))
+def tiles_of(s: np.ndarray, rank: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Tile keys (a prefix shingle and a size band): core ones and others."""
+    (p, core), band = prefix(s, rank, percent), len(s).bit_length()
+    in_band = lambda b: mixed(p + np.uint64(b * int(MIX) & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
     own = in_band(band)
     if 100 * len(s) < percent << band:                   # no similar set is in the next band
-        return own
-    return np.concatenate([own, in_band(band + 1)])
+        return own[:core], own[core:]
+    up = in_band(band + 1)
+    return np.concatenate([own[:core], up[:core]]), np.concatenate([own[core:], up[core:]])
 
 
-SET_SCHEMA = "doc_id long, _row long, n_shingles long, node long, signature binary, tiles array<long>"
+SET_SCHEMA = ("doc_id long, _row long, n_shingles long, node long, signature binary, "
+              "core array<long>, rest array<long>")
+ROWS_OUT = 2000                         # described documents a batch
 
 
 def describe(k: int, percent: int, order):
-    """Rows (doc_id, _row, text) to their set's description.  Tiles and signature are
-    given once per node and task: copies only name their node."""
+    """Rows (doc_id, _row, text) to their set's description.  Tiles and
+    signature are given once per node and task: copies only name their node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, rank, done = Shingler(k), order.value, set()
-        for b in batches:
-            n, node, sig, tiles = [], [], [], []
-            for x in texts(b, 2):
-                s = shingles(x)
-                n.append(len(s))
-                h = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
-                node.append(h)
-                if h is None or h in done:
-                    sig.append(None)
-                    tiles.append(None)
-                    continue
-                if len(done) >= CACHE_WORDS:
-                    done.clear()
-                done.add(h)
-                sig.append(signature(s))
-                tiles.append(tiles_of(s, rank, percent).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64()), pa.array(sig, pa.binary()),
-                 pa.array(tiles, pa.list_(pa.int64()))],
-                ["doc_id", "_row", "n_shingles", "node", "signature", "tiles"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS_OUT):
+                b = whole.slice(at, ROWS_OUT)
+                n, node, sig, core, rest = [], [], [], [], []
+                for x in texts(b, 2):
+                    s = shingles(x)
+                    n.append(len(s))
+                    h = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63) if len(s) else None
+                    node.append(h)
+                    new = h is not None and h not in done
+                    if new:
+                        if len(done) >= CACHE_WORDS:
+                            done.clear()
+                        done.add(h)
+                    sig.append(signature(s) if new else None)
+                    c, r = tiles_of(s, rank, percent) if new else (None, None)
+                    core.append(c)
+                    rest.append(r)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(node, pa.int64()),
+                     pa.array(sig, pa.binary()), pa.array(core, pa.list_(pa.int64())),
+                     pa.array(rest, pa.list_(pa.int64()))],
+                    ["doc_id", "_row", "n_shingles", "node", "signature", "core", "rest"])
     return run
 
 
@@ -192,13 +209,13 @@ def may_match(percent: int):
             sa, sb = b.column("sig_a"), b.column("sig_b")
             for i in np.flatnonzero(ok):
                 x, y = (np.frombuffer(c[int(i)].as_py(), np.uint8)[None] for c in (sa, sb))
-                ok[i] = allowed(na[i:i + 1], x, nb[i:i + 1], y, percent)[0, 0]
+                ok[i] = allowed(na[i:i + 1], x, nb[i:i + 1], y, percent)[0, 0] > 0
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(ok))
     return run
 
 
 def allowed(na: np.ndarray, sa: np.ndarray, nb: np.ndarray, sb: np.ndarray, percent: int) -> np.ndarray:
-    """Matrix of pairs whose upper bound of the overlap reaches the similarity."""
+    """Matrix of the upper bounds of the overlap, 0 where it misses the similarity."""
     size = min(sa.shape[1], sb.shape[1])
     x, y = fold(sa, size).view(np.uint64), fold(sb, size).view(np.uint64)
     only_a = np.zeros((len(x), len(y)), dtype=np.int64)
@@ -208,56 +225,92 @@ def allowed(na: np.ndarray, sa: np.ndarray, nb: np.ndarray, sb: np.ndarray, perc
         only_a += np.bitwise_count(u & ~v)
         only_b += np.bitwise_count(v & ~u)
     overlap = np.minimum(na[:, None] - only_a, nb[None, :] - only_b)
-    return overlap * (100 + percent) >= percent * (na[:, None] + nb[None, :])
+    return np.where(overlap * (100 + percent) >= percent * (na[:, None] + nb[None, :]), overlap, 0)
+
 
+def narrow(sig: int, bits: int, to: int) -> int:
+    """A signature as an integer, folded to fewer bits."""
+    while bits > to:
+        bits //= 2
+        sig = (sig >> bits) | (sig & ((1 << bits) - 1))
+    return sig
 
-def few_pairs(outer: list, inner: list, percent: int) -> Iterator[tuple[int, int]]:
+
+def few_pairs(outer: list, inner: list, percent: int) -> Iterator[tuple]:
     """As ``many_pairs``, for blocks of a few nodes."""
-    for a, ca, na, sa in outer:
-        for b, cb, nb, sb in inner:
-            if ca == cb or 100 * min(na, nb) < percent * max(na, nb):
+    x = [(*r[:4], 8 * len(r[4]), int.from_bytes(r[4], "little")) for r in outer]
+    y = [(*r[:4], 8 * len(r[4]), int.from_bytes(r[4], "little")) for r in inner]
+    for a, ca, na, core_a, bits_a, sa in x:
+        for b, cb, nb, core_b, bits_b, sb in y:
+            if (ca == cb or 100 * min(na, nb) < percent * max(na, nb)
+                    or not (core_a if na < nb else core_b if nb < na else core_a and core_b)):
                 continue
-            x, y = (np.frombuffer(z, np.uint8)[None] for z in (sa, sb))
-            if allowed(np.array([na]), x, np.array([nb]), y, percent)[0, 0]:
-                yield min(a, b), max(a, b)
+            bits = min(bits_a, bits_b)
+            u, v = narrow(sa, bits_a, bits), narrow(sb, bits_b, bits)
+            overlap = min(na - (u & ~v).bit_count(), nb - (v & ~u).bit_count())
+            if overlap * (100 + percent) >= percent * (na + nb):
+                yield overlap / (na + nb), a, b, ca, cb
 
 
-def many_pairs(outer: list, inner: list, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of nodes of different components that sizes and bitmaps allow."""
+def many_pairs(outer: list, inner: list, percent: int) -> Iterator[tuple]:
+    """(bound, a, b, component of a, component of b) of the pairs of nodes of
+    different components that sizes, core entries and bitmaps allow."""
     def by_width(rows: list) -> Iterator[tuple[np.ndarray, ...]]:
-        for z in {len(r[3]) for r in rows}:
-            own = [r for r in rows if len(r[3]) == z]
-            node, comp, n = (np.array([r[c] for r in own], dtype=np.int64) for c in range(3))
-            yield node, comp, n, np.frombuffer(b"".join(r[3] for r in own), np.uint8).reshape(len(own), z)
-    for a, ca, na, sa in by_width(outer):
-        for b, cb, nb, sb in by_width(inner):
-            ok = (100 * np.minimum(na[:, None], nb) >= percent * np.maximum(na[:, None], nb)) & (ca[:, None] != cb)
+        for z in sorted({len(r[4]) for r in rows}):
+            own = [r for r in rows if len(r[4]) == z]
+            node, comp, n, core = (np.array([r[c] for r in own], dtype=np.int64) for c in range(4))
+            yield node, comp, n, core > 0, np.frombuffer(b"".join(r[4] for r in own), np.uint8).reshape(len(own), z)
+    for a, ca, na, core_a, sa in by_width(outer):
+        for b, cb, nb, core_b, sb in by_width(inner):
+            u, v = na[:, None], nb[None, :]
+            ok = (100 * np.minimum(u, v) >= percent * np.maximum(u, v)) & (ca[:, None] != cb)
+            ok &= ((u > v) | core_a[:, None]) & ((v > u) | core_b[None, :])
             rows, cols = np.flatnonzero(ok.any(axis=1)), np.flatnonzero(ok.any(axis=0))
             if len(rows) and len(cols):
-                i, j = np.nonzero(ok[np.ix_(rows, cols)] & allowed(na[rows], sa[rows], nb[cols], sb[cols], percent))
-                yield from zip(np.minimum(a[rows[i]], b[cols[j]]).tolist(), np.maximum(a[rows[i]], b[cols[j]]).tolist())
-
-
-def block_pairs(percent: int):
+                bound = ok[np.ix_(rows, cols)] * allowed(na[rows], sa[rows], nb[cols], sb[cols], percent)
+                i, j = np.nonzero(bound)
+                r, c = rows[i], cols[j]
+                yield from zip((bound[i, j] / (na[r] + nb[c])).tolist(), a[r].tolist(), b[c].tolist(),
+                               ca[r].tolist(), cb[c].tolist())
+
+
+def forest(pairs: Iterator[tuple]) -> Iterator[tuple]:
+    """A spanning forest of the components by their pairs, best bound first."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (p := parent.setdefault(x, x)) != x:
+            parent[x] = parent[p]
+            x = p
+        return x
+    for pair in sorted(pairs, key=lambda p: (-p[0], p[1:])):
+        u, v = find(pair[3]), find(pair[4])
+        if u != v:
+            parent[u] = v
+            yield pair
+
+
+def block_pairs(percent: int, spanning: bool):
     """Rows sorted by tile block (tile, o, i) to candidate pairs; a block holds
     about two times BLOCK nodes and may go on in the next batch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, outer, inner = None, [], []
 
-        def pairs() -> Iterator[tuple[int, int]]:
-            f = few_pairs if len(outer) * len(inner) <= 16 else many_pairs
-            return f(outer, inner, percent)
+        def pairs() -> set[tuple[int, int]]:
+            found = (few_pairs if len(outer) * len(inner) <= 256 else many_pairs)(outer, inner, percent)
+            return {(min(p[1:3]), max(p[1:3])) for p in (forest(found) if spanning else found)}
 
         for b in batches:
             found: set[tuple[int, int]] = set()
-            cols = [b.column(c).to_pylist() for c in ("tile", "o", "i", "outer", "node", "comp", "n", "signature")]
+            cols = [b.column(c).to_pylist() for c in ("tile", "o", "i", "outer", "node", "comp", "n", "core", "signature")]
             for tile, o, i, is_outer, *row in zip(*cols):
                 if (tile, o, i) != key:
-                    found.update(pairs())
+                    if outer and inner:
+                        found |= pairs()
                     key, outer, inner = (tile, o, i), [], []
                 (outer if is_outer else inner).append(row)
             yield pair_batch(found)
-        yield pair_batch(set(pairs()))
+        yield pair_batch(pairs() if outer and inner else set())
     return run
 
 
@@ -299,7 +352,9 @@ def verify(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, k: int, percent:
     wanted = (pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
               .join(nodes.select("node", "_row"), "node"))
     wanted = common.materialize(wanted, "ngram-wanted")
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    if not (n := wanted.count()):
+        return pairs
+    ids = F.broadcast(wanted) if n <= BROADCAST_IDS else wanted
     # a node's text is read from its least row; several rows may share that key, with equal texts
     again = keyed(docs).join(ids, "_row").dropDuplicates(["node"])
     sets = common.materialize(
@@ -315,52 +370,75 @@ def keyed(docs: DataFrame) -> DataFrame:
                        F.xxhash64("doc_id", "text").alias("_row"), "text")
 
 
+def tile_members(sets: DataFrame) -> DataFrame:
+    """(tile, node, core, lo) of the tiles that can hold similar sets; tiles
+    with the same nodes are one, core where any of them is."""
+    entries = lambda c, core: (sets.filter(f"{c} is not null")
+                               .select("node", F.explode(c).alias("tile"), F.lit(core).alias("core")))
+    tiles = entries("core", True).unionByName(entries("rest", False))
+    shared = (tiles.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.max("core").alias("core"))
+              .filter("lo < hi and core").select("tile"))
+    # copies in several tasks entered a tile more than once
+    members = common.materialize(
+        tiles.join(shared, "tile").groupBy("tile", "node").agg(F.max("core").alias("core")), "ngram-entries")
+    same = (members.groupBy("tile")
+            .agg(F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"),
+                 F.count(F.lit(1)).alias("n"), F.min("node").alias("lo"))
+            .select("tile", "lo", F.xxhash64("x", "y", "n", "lo").alias("same")))
+    return common.materialize(
+        members.join(same, "tile").groupBy(F.col("same").alias("tile"), "node", "lo")
+        .agg(F.max("core").alias("core"), F.count(F.lit(1)).alias("weight")), "ngram-members")
+
+
 def leader_pairs(members: DataFrame) -> DataFrame:
     """Each node with the leader it shares most tiles with."""
-    shared = members.filter("node <> lo").groupBy("node", "lo").agg(F.count(F.lit(1)).alias("n"))
-    best = shared.groupBy("node").agg(F.max(F.struct("n", "lo")).alias("_best"))
-    return best.select(F.col("_best.lo").alias("a"), F.col("node").alias("b"))
+    shared = members.filter("node <> lo").groupBy("node", "lo").agg(F.sum("weight").alias("n"))
+    best = shared.groupBy("node").agg(F.max("n").alias("n"))
+    best = shared.join(best, ["node", "n"]).groupBy("node").agg(F.min("lo").alias("a"))
+    return best.select("a", F.col("node").alias("b"))
 
 
-def left_over_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def left_over_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int,
+                    spanning: bool) -> DataFrame:
     """Candidate pairs between components that share a tile."""
     own = members.join(roots, "node", "left").select(
-        "tile", "node", F.coalesce("root", "node").alias("comp"))
+        "tile", "node", "core", F.coalesce("root", "node").alias("comp"))
     open_ = own.groupBy("tile").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
-    own = common.materialize(own.join(open_.select("tile"), "tile").distinct(), "ngram-open")
-    sizes = (own.groupBy("tile", "comp").agg(F.count(F.lit(1)).alias("n"))
-             .groupBy("tile").agg(F.max(F.struct("n", "comp")).alias("_big"), F.sum("n").alias("_all")))
+    own = common.materialize(own.join(open_.select("tile"), "tile"), "ngram-open")
+    sizes = own.groupBy("tile", "comp").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("tile").agg(F.max("n").alias("n"), F.sum("n").alias("_all"))
+    sizes = (sizes.join(most, ["tile", "n"]).groupBy("tile", "n", "_all").agg(F.min("comp").alias("big")))
     blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    sizes = sizes.select("tile", F.col("_big.comp").alias("big"), blocks(F.col("_all")).alias("_in"),
-                         blocks(F.col("_all") - F.col("_big.n")).alias("_out"))
-    rows = (own.join(sizes, "tile").join(nodes.select("node", F.col("n_shingles").alias("n"), "signature"), "node"))
+    sizes = sizes.select("tile", "big", blocks(F.col("_all")).alias("_in"),
+                         blocks(F.col("_all") - F.col("n")).alias("_out"))
+    rows = own.join(sizes, "tile").join(nodes.select("node", F.col("n_shingles").alias("n"), "signature"), "node")
     mine = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - F.lit(1)))
-    cols = ["tile", "o", "i", "outer", "node", "comp", "n", "signature"]
+    cols = ["tile", "o", "i", "outer", "node", "comp", "n", "core", "signature"]
     inner = (rows.withColumn("i", mine(F.col("_in"))).withColumn("o", every(F.col("_out")))
              .withColumn("outer", F.lit(False)).select(cols))
     outer = (rows.filter("comp <> big").withColumn("o", mine(F.col("_out"))).withColumn("i", every(F.col("_in")))
              .withColumn("outer", F.lit(True)).select(cols))
     cells = inner.unionByName(outer).repartition("tile", "o", "i").sortWithinPartitions("tile", "o", "i")
-    return cells.mapInArrow(block_pairs(percent), "a long, b long").distinct()
+    return cells.mapInArrow(block_pairs(percent, spanning), "a long, b long").distinct()
 
 
 def join_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """(doc_id, _row, n_shingles, node, component_id), a row per document."""
-    spark = docs.sparkSession
-    order = spark.sparkContext.broadcast(corpus_order(docs, k))
+    order = docs.sparkSession.sparkContext.broadcast(corpus_order(docs, k))
     sets = common.materialize(keyed(docs).mapInArrow(describe(k, percent, order), SET_SCHEMA), "ngram-sets")
     nodes = common.materialize(
         sets.filter("node is not null").groupBy("node")
         .agg(F.min("doc_id").alias("least_doc"), F.min("_row").alias("_row"),
              F.max("n_shingles").alias("n_shingles"), F.max("signature").alias("signature")), "ngram-nodes")
-    tiles = sets.filter("tiles is not null").select("node", F.explode("tiles").alias("tile"))
-    shared = (tiles.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .filter("lo < hi").select("tile", "lo"))
-    members = common.materialize(tiles.join(shared, "tile"), "ngram-members")
+    members = tile_members(sets)
     links = verify(leader_pairs(members), nodes, docs, k, percent)
-    more = verify(left_over_pairs(members, nodes, components(links), percent), nodes, docs, k, percent)
-    roots = components(links.unionByName(more))
+    roots = components(links)
+    for spanning in (True, False):
+        more = verify(left_over_pairs(members, nodes, roots, percent, spanning), nodes, docs, k, percent)
+        if more.count():
+            links = links.unionByName(more)
+            roots = components(links)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     of_node = named.join(least, "root").select("node", "component_id")
@@ -392,3 +470,27 @@ def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     return join_components(docs, k=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+NGRAM_JOIN_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+s as (
+  select distinct doc_id, unnest(case
+    when len(w) >= 4 then list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+    when len(w) > 0 then [array_to_string(w, ' ')] end) shingle from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+c as (
+  select a.doc_id x, b.doc_id y, count(*) m from s a join s b on a.shingle = b.shingle and a.doc_id < b.doc_id
+  group by all),
+l as (
+  select x, y from c join n nx on nx.doc_id = x join n ny on ny.doc_id = y
+  where 100 * m >= 85 * (nx.n + ny.n - m)),
+u as (select x, y from l union all select y, x from l),
+reach as (
+  select doc_id x, doc_id y from documents
+  union select reach.x, u.y from reach join u on reach.y = u.x)
+select d.doc_id, coalesce(any_value(n.n), 0) n_shingles, min(reach.y) component_id
+from documents d left join n using (doc_id) join reach on reach.x = d.doc_id group by d.doc_id
+"""

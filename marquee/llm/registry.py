@@ -20,6 +20,8 @@ QUERIES = {
 
 ORACLE = {
     "op1_quality_rules": quality_rules.QUALITY_SQL,
+    "op3_ngram_jaccard_join": ngram_join.NGRAM_JOIN_SQL,
+    "op5_embedding_near_dedup": embedding_dedup.EMBEDDING_DEDUP_SQL,
     "op6_mixing": mixing.MIXING_SQL,
     "op8_line_dedup": line_dedup.LINE_DEDUP_SQL,
 }
