@@ -25,6 +25,7 @@ input columns are not carried, except those named in ``carry``.
 from __future__ import annotations
 
 import bisect
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -49,12 +50,17 @@ MARK = "<|"                                     # begins the tokenizer's special
 
 
 def byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in the vocabulary."""
+    """The printable letter that stands for each byte in the vocabulary; it
+    is the byte's own character for plain letters, digits and punctuation."""
     own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in own]
     return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Token ids (little-endian unsigned 32 bit) of texts, by cached words."""
 
@@ -63,7 +69,7 @@ class WordIds:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path or public_tokenizers.path(TOKENIZER))
         self.model = self.tokenizer.model
-        self.letters = byte_letters()
+        self.letters = str.maketrans(byte_letters())
         self.words: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
@@ -71,16 +77,19 @@ class WordIds:
         if (ids := self.parts.get(s)) is None:
             if len(self.parts) >= CACHE_WORDS:
                 self.parts.clear()
-            tokens = self.model.tokenize("".join([self.letters[b] for b in s.encode()]))
-            ids = self.parts[s] = np.array([t.id for t in tokens], "<u4").tobytes()
+            letters = s if s.isascii() else s.encode().decode("latin-1").translate(self.letters)
+            ids = self.parts[s] = id_bytes([t.id for t in self.model.tokenize(letters)])
         return ids
 
     def word(self, w: bytes) -> bytes:
         s = w.decode("utf-8", "replace")
-        if PLAIN.fullmatch(s) and MARK not in s:
+        core, tail = (s[:-1], s[-1]) if s[-1] in ".,!?;:" else (s, "")
+        if core.isalpha() and (core.isascii() or PLAIN.fullmatch(core)):     # letters, perhaps one mark
+            ids = self.part(core.lower()) + (self.part(tail) if tail else b"")
+        elif PLAIN.fullmatch(s) and MARK not in s:
             ids = b"".join([self.part(p) for p in WORD_PARTS.findall(s.lower())])
         else:
-            ids = np.array(self.tokenizer.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+            ids = id_bytes(self.tokenizer.encode(s, add_special_tokens=False).ids)
         if len(self.words) >= CACHE_WORDS:
             self.words.clear()
         self.words[w] = ids
