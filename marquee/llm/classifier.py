@@ -54,19 +54,20 @@ class Features:
     """Texts to feature numbers with their weights."""
 
     def __init__(self):
-        self.cache: dict[bytes, tuple[int, int]] = {}
+        self.cache: dict[bytes, bytes] = {}
 
-    def word(self, w: bytes) -> tuple[int, int]:
+    def word(self, w: bytes) -> bytes:
+        """Hashes of the word and of its shape."""
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
         s = shape(w[:64].decode("utf-8", "replace"))
-        h = self.cache[w] = (xxhash.xxh3_64_intdigest(w), xxhash.xxh3_64_intdigest(s.encode(), seed=1))
+        h = self.cache[w] = xxhash.xxh3_64_digest(w) + xxhash.xxh3_64_digest(s.encode(), seed=1)
         return h
 
     def __call__(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
         words = (text or b"").split()
         get, word = self.cache.get, self.word
-        h = np.array([get(w) or word(w) for w in words], dtype=np.uint64).reshape(-1, 2)
+        h = np.frombuffer(b"".join([get(w) or word(w) for w in words]), np.uint64).reshape(-1, 2)
         if not len(h):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
         w, s = h[:, 0], h[:, 1]

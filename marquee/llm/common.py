@@ -33,12 +33,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores added until no column of ``df`` has it (in any case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def broadcast_if_small(stored: DataFrame, max_rows: int) -> DataFrame:
+    """A stored table, marked for broadcast when it has at most ``max_rows``
+    rows; beyond that the join shuffles it like any other."""
+    return F.broadcast(stored) if stored.count() <= max_rows else stored
 
 
 def drop_clashes(df: DataFrame, names: list[str]) -> DataFrame:

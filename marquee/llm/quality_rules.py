@@ -34,6 +34,7 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 MIN_DOCS = 200
 REACH = 6
+BROADCAST_GROUPS = 100_000              # (lang, source) groups, about 10 MB of fences
 SYMBOLS = "#*$%&|<>"
 #: measure -> (least spread, has an upper fence, has a lower fence)
 MEASURES = {
@@ -175,6 +176,8 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
                               "_source": common.key_text(F.col("source"))})
     measured = common.materialize(measure(keyed, [*carry, "_lang", "_source"]), "quality-measures")
     limits = fences(common.materialize(sketches(measured), "quality-sketches"))
+    # one row of seven numbers per group: a group may hold a third of the documents, so they don't move
+    limits = common.broadcast_if_small(common.materialize(limits, "quality-fences"), BROADCAST_GROUPS)
     inside = F.lit(True)
     for m, (_, high, low) in MEASURES.items():
         if high:
