@@ -1,13 +1,13 @@
 """Command line entry point (also usable with spark-submit).
 
-    python -m marquee.cli build  --sf-dir DIR --out OUT [--buckets N] [--max-len N]
-    python -m marquee.cli query  --out OUT --buckets N NAME [key=value ...] --to PATH
-    python -m marquee.cli export-json --out OUT --buckets N --to PATH
+    python -m marquee.cli build  --sf-dir DIR --out OUT --buckets N
+    python -m marquee.cli query  --out OUT NAME [key=value ...] --to PATH
+    python -m marquee.cli export-json --out OUT --to PATH
 
 ``build`` runs the denormalisation job and writes the bucketed catalogue under
 OUT; ``query`` attaches that catalogue and writes one query's result (the
 Spark SQL form, parameters as key=value) as Parquet to PATH; ``export-json``
-writes the three document tables as JSON lines.  Results go to files, never
+writes the document tables as JSON lines.  Results go to files, never
 through the driver.
 """
 
@@ -35,17 +35,14 @@ def main(argv: list[str] | None = None) -> None:
     b = sub.add_parser("build")
     b.add_argument("--sf-dir", required=True)
     b.add_argument("--out", required=True)
-    b.add_argument("--buckets", type=int)
-    b.add_argument("--max-len", type=int, default=None)
+    b.add_argument("--buckets", type=int, required=True)
     q = sub.add_parser("query")
     q.add_argument("--out", required=True)
-    q.add_argument("--buckets", type=int, required=True)
     q.add_argument("--to", required=True)
     q.add_argument("name", choices=sorted(S.QUERIES))
     q.add_argument("params", nargs="*", help="key=value, values as Python literals")
     e = sub.add_parser("export-json")
     e.add_argument("--out", required=True)
-    e.add_argument("--buckets", type=int, required=True)
     e.add_argument("--to", required=True)
     for p in (b, q, e):
         p.add_argument("--prefix", default="den", help="table name prefix")
@@ -53,12 +50,10 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = build_session()
     if args.cmd == "build":
-        kw = {"max_len": args.max_len} if args.max_len else {}
-        names = jobs.denormalize_job(spark, args.sf_dir, out_dir=args.out, buckets=args.buckets,
-                                     prefix=args.prefix, **kw)
+        names = jobs.denormalize_job(spark, args.sf_dir, args.buckets, out_dir=args.out, prefix=args.prefix)
         print(json.dumps(names))
         return
-    names = jobs.attach_catalogue(spark, args.out, args.buckets, prefix=args.prefix)
+    names = jobs.attach_catalogue(spark, args.out, prefix=args.prefix)
     tables = jobs.open_catalogue(spark, names)
     if args.cmd == "export-json":
         print(json.dumps(jobs.export_json(tables, args.to)))

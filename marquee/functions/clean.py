@@ -25,9 +25,20 @@ def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+# A number as text: digits with at most one point and an exponent, or an
+# infinity.  Type suffixes that a cast would take ("3d", "2.5f") are no numbers.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|[iI]nf(inity)?)\s*$"
+NUMERIC = ("double", "float", "bigint", "int", "long", "smallint", "tinyint")
+
+
+def numeric_text(c: Column) -> Column:
+    """The column where its text is a number, else null."""
+    return F.when(c.cast("string").rlike(NUMBER), c)
+
+
 def lenient(c: Column, to: str) -> Column:
     """Null on null and on text that does not parse."""
-    out = c.try_cast(to)
+    out = (numeric_text(c) if to in NUMERIC else c).try_cast(to)
     if to in ("double", "float"):
         out = nan_to_null(out)
     return out
@@ -56,8 +67,8 @@ def type_table(df: DataFrame, table: str, mode: str = "lenient") -> DataFrame:
 def clean_numeric(df: DataFrame, rank: str = "rank", year: str = "year") -> DataFrame:
     """Cleaned load of movies (SRV step): rank parsed to double (NaN to null),
     year parsed to a nullable int.  Works on text or on numeric columns."""
-    r = F.col(rank).cast("string").try_cast("double")
-    y = F.col(year).cast("string").try_cast("double")
+    r = numeric_text(F.col(rank).cast("string")).try_cast("double")
+    y = numeric_text(F.col(year).cast("string")).try_cast("double")
     return df.withColumns({
         rank: nan_to_null(r),
         # to_numeric then Int64: a whole number keeps its value, else null

@@ -20,17 +20,19 @@ def has_element(arr: Column | str, value) -> Column:
 def any_element_in(arr: Column | str, values: Iterable) -> Column:
     """Some element of the array is in the list (elemMatch with $in).
 
-    A null array, or an array whose only overlap would be null, does not match.
+    A null array, or an array whose only overlap would be null, gives null,
+    which no filter keeps.
     """
     lits = [F.lit(v) for v in values]
     if not lits:
         return F.lit(False)
-    return F.coalesce(F.arrays_overlap(_c(arr), F.array(*lits)), F.lit(False))
+    return F.arrays_overlap(_c(arr), F.array(*lits))
 
 
 def in_list(c: Column | str, values: Iterable) -> Column:
-    """P10: scalar membership in a literal list; null never matches."""
-    return F.coalesce(_c(c).isin(list(values)), F.lit(False))
+    """P10: scalar membership in a literal list; null gives null, which no
+    filter keeps.  Left bare so that the scan can evaluate it."""
+    return _c(c).isin(list(values))
 
 
 def greater(c: Column | str, v) -> Column:
@@ -50,7 +52,7 @@ def not_nan(c: Column | str) -> Column:
 
 def map_has_key(m: Column | str, key: str) -> Column:
     """The map has the key ($exists on a nested path)."""
-    return F.coalesce(F.map_contains_key(_c(m), F.lit(key)), F.lit(False))
+    return F.map_contains_key(_c(m), F.lit(key))
 
 
 def map_value(m: Column | str, key: str) -> Column:
@@ -94,10 +96,10 @@ def map_text(m: Column | str, digits: int = 6) -> Column:
 
 
 def split_trim(text: Column | str, sep: str = ",") -> Column:
-    """split a delimited list and strip blanks and single quotes."""
+    """split a delimited list and strip white space, then single quotes."""
     return F.transform(
         F.split(_c(text), sep),
-        lambda p: F.regexp_replace(F.trim(p), r"^'+|'+$", ""),
+        lambda p: F.regexp_replace(F.regexp_replace(p, r"^\s+|\s+$", ""), r"^'+|'+$", ""),
     )
 
 
@@ -125,9 +127,13 @@ def round_half_up(c: Column | str, digits: int = 6) -> Column:
 
     Written with plain arithmetic so any engine evaluating the same formula
     gets the same double (``round`` differs across engines on decimal ties).
+    Values too large to have that many digits, infinities and NaN stay as they
+    are.
     """
     scale = float(10 ** digits)
-    return F.floor(_c(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    x = _c(c)
+    return (F.when(F.abs(x) < F.lit(2.0 ** 52 / scale), F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
+            .otherwise(x))
 
 
 def fixed_text(c: Column | str, digits: int = 6) -> Column:

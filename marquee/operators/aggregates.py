@@ -10,27 +10,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.docops import percent_label, round_half_up
+from marquee.functions.docops import percent_label
 
 NEG_INF = float("-inf")
 
 
-def best_order(rank: str = "rank", key: str = "id") -> Column:
-    """D8 ordering for max_by: ranked rows beat unranked ones, then the
-    higher rank, then the lower id."""
-    return F.struct(F.col(rank).isNotNull(), F.coalesce(F.col(rank), F.lit(0.0)),
-                    -F.col(key))
-
-
 def top_per_group(df: DataFrame, group: str, fields: list[str], rank: str = "rank",
                   key: str = "id", prefix: str = "best_") -> DataFrame:
-    """Per group, the fields of the row with the best rank (D8 ties).
+    """Per group, the fields of the row with the best rank; ranked rows
+    beat unranked ones, ties go to the lowest key (D8).
 
-    A group of unranked rows still returns its lowest-id row, with a null rank.
+    Three steps with primitive buffers, so every aggregate is a hash aggregate
+    with a map-side part: the best rank of a group, the lowest key among the
+    rows with that rank, and the join that fetches this row's fields.  A group
+    of unranked rows still returns its lowest-key row, with a null rank.
     """
-    best = F.max_by(F.struct(*[F.col(f) for f in fields]), best_order(rank, key))
-    return (df.groupBy(group).agg(best.alias("_best"))
-            .select(group, *[F.col("_best")[f].alias(prefix + f) for f in fields]))
+    score = F.coalesce(F.col(rank), F.lit(NEG_INF))
+    best = df.groupBy(group).agg(F.max(score).alias("_best"))
+    tied = df.select(group, key, score.alias("_best")).join(best, [group, "_best"])
+    first = tied.groupBy(group).agg(F.min(key).alias(key))
+    return (df.select(group, key, *[F.col(f).alias(prefix + f) for f in fields])
+            .join(first, [group, key]).select(group, *[prefix + f for f in fields]))
 
 
 def max_or_neg_inf(c: str) -> Column:
@@ -38,16 +38,10 @@ def max_or_neg_inf(c: str) -> Column:
     return F.max(F.coalesce(F.col(c), F.lit(NEG_INF)))
 
 
-def first_by_key(value: str, key: str = "id") -> Column:
-    """A10, made deterministic: the value of the lowest-key row."""
-    return F.min_by(F.col(value), F.col(key))
-
-
-def global_avg(df: DataFrame, c: str, out: str, digits: int = 6) -> DataFrame:
+def global_avg(df: DataFrame, c: str, out: str) -> DataFrame:
     """A5 with D7: one row with the mean, or no row when nothing matched."""
     return (df.agg(F.avg(c).alias(out), F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > 0)
-            .select(round_half_up(out, digits).alias(out)))
+            .filter(F.col("_n") > 0).select(out))
 
 
 def trimmed_mean(c: str) -> Column:
@@ -61,7 +55,7 @@ def trimmed_mean(c: str) -> Column:
     return F.when(n > 2, (F.sum(x) - F.max(x) - F.min(x)) / (n - 2))
 
 
-def share(df: DataFrame, pred: Column, digits: int = 6) -> DataFrame:
+def share(df: DataFrame, pred: Column) -> DataFrame:
     """Rows matching ``pred`` against the rest, in one pass.
 
     The total is counted, not taken from a constant.
@@ -70,6 +64,6 @@ def share(df: DataFrame, pred: Column, digits: int = 6) -> DataFrame:
     pct = F.when(F.col("total") > 0, F.col("matched") * F.lit(100.0) / F.col("total"))
     return agg.select(
         "matched", (F.col("total") - F.col("matched")).alias("other"), "total",
-        round_half_up(pct, digits).alias("pct_matched"),
+        pct.alias("pct_matched"),
         percent_label(pct).alias("pct_label"),
     )

@@ -1,16 +1,17 @@
-"""The three document tables (denormalisation job).
-
-``den_movies``     id, name, year, rank, list_genres, list_directors_id, den_nb_actors
-``den_directors``  id, list_part, first_name, last_name, list_movies_id, dict_genres_den_prob
-``den_actors``     id, list_part, first_name, last_name, list_movies_id
-
-All three are built as "aggregate each child on the parent key, then left
-join", never as join-then-group: list columns never become grouping keys and
-every join meets a child that is unique on the key.  A movie's lists are
-bounded (its genres by the genre vocabulary, its directors by its crew); a
-person's filmography is not, so the person tables use the bucket layout of
-``operators.nest``.  ``join_then_group_movies`` keeps the literal
-join-then-group form for equivalence tests.
+"""The document tables (denormalisation job).
+
+``movies``           id, name, year, rank, list_genres, list_directors_id, den_nb_actors
+``directors``        id, first_name, last_name, n_movies, dict_genres_den_prob
+``actors``           id, first_name, last_name, n_movies
+``director_movies``  id, movie_id, n    (flat links, one row per distinct pair)
+``actor_movies``     id, movie_id, n
+
+All are built as "aggregate each child on the parent key, then left join",
+never as join-then-group: list columns never become grouping keys and every
+join meets a child that is unique on the key.  A movie's lists are bounded
+(its genres by the genre vocabulary, its directors by its crew); a person's
+filmography is not, so it stays flat and is chunked by ``nest.chunk_lists``
+where a list is asked for.  Every person is exactly one row at any size.
 """
 
 from __future__ import annotations
@@ -20,16 +21,23 @@ from pyspark.sql import functions as F
 
 from marquee.operators import nest
 
+KINDS = ("movies", "directors", "actors", "director_movies", "actor_movies")
+
+
+def only_keys(df: DataFrame, col: str, keys: DataFrame | None) -> DataFrame:
+    """Rows of ``df`` whose ``col`` is in ``keys.id`` (all rows when None)."""
+    return df if keys is None else df.join(keys.select(F.col("id").alias(col)), col, "left_semi")
+
 
 def den_movies(movies: DataFrame, movies_genres: DataFrame, movies_directors: DataFrame,
-               roles: DataFrame) -> DataFrame:
-    parent = nest.unique_parent(movies.select("id", "name", "year", "rank"), "id")
-    genres = nest.child_list(movies_genres.withColumnRenamed("movie_id", "id"),
-                             "id", "genre", "list_genres")
-    directors = nest.child_list(movies_directors.withColumnRenamed("movie_id", "id"),
-                                "id", "director_id", "list_directors_id")
-    actors = nest.child_count(roles.withColumnRenamed("movie_id", "id"),
-                              "id", "actor_id", "den_nb_actors")
+               roles: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """``keys`` (a DataFrame with ``id``) builds only those movies: the parent
+    and every child are semi-joined to it before any join or aggregate."""
+    parent = nest.unique_parent(only_keys(movies, "id", keys).select("id", "name", "year", "rank"))
+    child = lambda df: only_keys(df, "movie_id", keys).withColumnRenamed("movie_id", "id")
+    genres = nest.child_list(child(movies_genres), "id", "genre", "list_genres")
+    directors = nest.child_list(child(movies_directors), "id", "director_id", "list_directors_id")
+    actors = nest.child_count(child(roles), "id", "actor_id", "den_nb_actors")
     j = (parent.join(genres, "id", "left")
          .join(directors, "id", "left")
          .join(actors, "id", "left"))
@@ -41,79 +49,46 @@ def den_movies(movies: DataFrame, movies_genres: DataFrame, movies_directors: Da
     )
 
 
-def only_keys(df: DataFrame, col: str, keys: DataFrame | None) -> DataFrame:
-    """Rows of ``df`` whose ``col`` is in ``keys.id`` (all rows when None)."""
-    return df if keys is None else df.join(keys.select(F.col("id").alias(col)), col, "left_semi")
+def _people(people: DataFrame, child: DataFrame, person: str) -> DataFrame:
+    parent = nest.unique_parent(people.select("id", "first_name", "last_name"))
+    n = nest.child_count(child.withColumnRenamed(person, "id"), "id", "movie_id", "n_movies")
+    return (parent.join(n, "id", "left")
+            .withColumn("n_movies", F.coalesce("n_movies", F.lit(0).cast("bigint"))))
 
 
 def den_directors(directors: DataFrame, movies_directors: DataFrame,
-                  directors_genres: DataFrame, max_len: int = nest.DEFAULT_MAX_LEN,
-                  hot: DataFrame | None = None, keys: DataFrame | None = None) -> DataFrame:
-    """``keys`` (a DataFrame with ``id``) builds only those directors'
-    documents: the parent and both children are semi-joined to it before any
-    aggregation, so a lookup of a few documents reads the few child rows."""
-    directors = only_keys(directors, "id", keys)
-    movies_directors = only_keys(movies_directors, "director_id", keys)
-    directors_genres = only_keys(directors_genres, "director_id", keys)
-    parent = nest.unique_parent(directors.select("id", "first_name", "last_name"), "id")
+                  directors_genres: DataFrame) -> DataFrame:
     gmap = nest.child_map(directors_genres.withColumnRenamed("director_id", "id"),
                           "id", "genre", "prob", "dict_genres_den_prob")
-    child = movies_directors.withColumnRenamed("director_id", "id").select("id", "movie_id")
-    hot = hot if hot is not None else nest.hot_keys(child, "id", max_len)
-    with_map = parent.join(gmap, "id", "left")
-    j = nest.nest_parts(with_map, "id", child, "movie_id", "list_movies_id", hot)
-    return j.select(
-        "id", "list_part", "first_name", "last_name",
-        F.coalesce("list_movies_id", nest.empty_array("bigint")).alias("list_movies_id"),
-        F.coalesce("dict_genres_den_prob", nest.empty_map("string", "double"))
-        .alias("dict_genres_den_prob"),
-    )
+    j = _people(directors, movies_directors, "director_id").join(gmap, "id", "left")
+    return j.select("id", "first_name", "last_name", "n_movies",
+                    F.coalesce("dict_genres_den_prob", nest.empty_map("string", "double"))
+                    .alias("dict_genres_den_prob"))
 
 
-def den_actors(actors: DataFrame, roles: DataFrame,
-               max_len: int = nest.DEFAULT_MAX_LEN, hot: DataFrame | None = None) -> DataFrame:
+def den_actors(actors: DataFrame, roles: DataFrame) -> DataFrame:
     # gender is read from the source but not kept (as in the reference)
-    parent = nest.unique_parent(actors.select("id", "first_name", "last_name"), "id")
-    child = roles.withColumnRenamed("actor_id", "id").select("id", "movie_id")
-    hot = hot if hot is not None else nest.hot_keys(child, "id", max_len)
-    j = nest.nest_parts(parent, "id", child, "movie_id", "list_movies_id", hot)
-    return j.select(
-        "id", "list_part", "first_name", "last_name",
-        F.coalesce("list_movies_id", nest.empty_array("bigint")).alias("list_movies_id"),
-    )
+    return _people(actors, roles, "actor_id").select("id", "first_name", "last_name", "n_movies")
+
 
+def build_all(cat, movies_genres: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The five document tables from a ``Catalog`` (lazy).
 
-def join_then_group_movies(movies: DataFrame, movies_genres: DataFrame,
-                           movies_directors: DataFrame, roles: DataFrame) -> DataFrame:
-    """Literal form of the reference job: join a child, group by every parent
-    column plus the lists built so far, repeat.  Kept only as a cross-check:
-    it groups by array columns (A4) and multiplies rows before each group."""
-    g = (movies.join(movies_genres, movies.id == movies_genres.movie_id, "left_outer")
-         .groupBy("id", "name", "year", "rank")
-         .agg(F.sort_array(F.collect_list("genre")).alias("list_genres")))
-    d = (g.join(movies_directors, g.id == movies_directors.movie_id, "left_outer")
-         .groupBy("id", "name", "year", "rank", "list_genres")
-         .agg(F.sort_array(F.collect_list("director_id")).alias("list_directors_id")))
-    a = (d.join(roles, d.id == roles.movie_id, "left_outer")
-         .groupBy("id", "name", "year", "rank", "list_genres", "list_directors_id")
-         .agg(F.size(F.collect_list("actor_id")).cast("bigint").alias("den_nb_actors")))
-    return a
-
-
-def build_all(cat, max_len: int = nest.DEFAULT_MAX_LEN,
-              movies_genres: DataFrame | None = None,
-              hot: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The three document tables from a ``Catalog`` (lazy).
-
-    ``movies_genres`` is read by two tables and ``hot`` (hot keys per person
-    table) by two joins each; a job passes them in materialised so each is
-    computed once (see ``plans.jobs``).
+    ``movies_genres`` is read by two tables; a job passes it in materialised
+    so the join behind it runs once (see ``plans.jobs``).
     """
     mg = movies_genres if movies_genres is not None else cat.movies_genres()
-    hot = hot or {}
     return {
         "movies": den_movies(cat.movies(), mg, cat.movies_directors(), cat.roles()),
-        "directors": den_directors(cat.directors(), cat.movies_directors(),
-                                   cat.directors_genres(mg), max_len, hot.get("directors")),
-        "actors": den_actors(cat.actors(), cat.roles(), max_len, hot.get("actors")),
+        "directors": den_directors(cat.directors(), cat.movies_directors(), cat.directors_genres(mg)),
+        "actors": den_actors(cat.actors(), cat.roles()),
+        "director_movies": nest.link_rows(cat.movies_directors(), "director_id"),
+        "actor_movies": nest.link_rows(cat.roles(), "actor_id"),
     }
+
+
+def movies_for(cat):
+    """Builds only the movies with the given ids (see ``den_movies``); the
+    line-item join behind the genres starts from those movies' lines."""
+    return lambda keys: den_movies(cat.movies(), cat.movies_genres(keys), cat.movies_directors(),
+                                   cat.roles(), keys)

@@ -1,20 +1,18 @@
-"""Nesting child rows under a parent key: lists, counts and maps.
-
-Each child is aggregated on its own key *before* it meets the parent, so
-
-* the aggregate runs partial-then-final (map-side combine), and a hot key
-  ships one partial row per map task instead of all its rows;
-* the aggregated child is unique on the key, so the later left join cannot
-  multiply parent rows, and Catalyst removes the join from any query that
-  does not read the child's column;
-* the aggregate's output is already hash-partitioned on the key, so the join
-  with the parent needs no second exchange on that side.
-
-Unbounded lists (a director's or actor's whole filmography) use a bucket
-layout: a key with more than ``max_len`` child rows is split over
-``ceil(n / max_len)`` rows numbered by ``list_part``; every other key keeps
-one row with ``list_part = 0``.  No task ever holds one giant list, and no
-element is dropped: the union of a key's parts is its whole list.
+"""Nesting child rows under a parent key: lists, counts, maps and chunked lists.
+
+Each child is aggregated on its own key *before* it meets the parent, so the
+aggregated child is unique on the key (the later left join cannot multiply
+parent rows, and Catalyst removes the join from any query that does not read
+the child's column), and its output is already hash-partitioned on the key.
+Counts combine map-side: a hot key ships one partial row per map task.  A
+collected list does not shrink that way, so only lists bounded by a small
+domain (a movie's genres, its crew, a director's genre map) are nested.
+
+A person's movies have no such bound.  They stay flat rows, one per distinct
+(person, movie) pair with the number of repeats (``link_rows``), and where a
+list is asked for, every person's list is cut by one rule that knows no counts
+(``chunk_lists``): the movie ids of one chunk come from one range of ``width``
+ids, so no list is longer than ``width``, for any person at any size.
 """
 
 from __future__ import annotations
@@ -22,10 +20,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Target elements per list row in the bucket layout: large enough that real
-# catalogues never split, small enough that a row stays far below the 2 GB
-# row limit and the JVM heap of one task (100k bigints is about 0.8 MB).
-DEFAULT_MAX_LEN = 100_000
+# Range of movie ids in one list chunk: a list row holds at most this many
+# (id, repeats) pairs, about 1.6 MB.
+CHUNK_IDS = 100_000
 
 
 def child_list(child: DataFrame, key: str, value: str, out: str) -> DataFrame:
@@ -49,90 +46,33 @@ def child_map(child: DataFrame, key: str, k: str, v: str, out: str) -> DataFrame
     return pairs.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(k, v))).alias(out))
 
 
-def hot_keys(child: DataFrame, key: str, max_len: int) -> DataFrame:
-    """(key, _parts) for keys with more than ``max_len`` child rows.
+def link_rows(child: DataFrame, person: str, movie: str = "movie_id") -> DataFrame:
+    """(id, movie_id, n): one row per distinct pair with its number of repeats.
 
-    The count is a partial aggregate, safe under skew.  The result has at most
-    rows / max_len entries.  In a lazy plan AQE turns the joins against it
-    into broadcast joins once its runtime size is known; the job
-    (``plans.jobs.hot_table``) writes it, bounds it and always broadcasts it.
+    Grouping by the pair spreads a hot person over all tasks; a pair repeated
+    very often is one partial row per map task.  Pairs with a null side are
+    no links.
     """
-    n = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return (n.filter(F.col("_n") > F.lit(max_len))
-            .select(key, F.ceil(F.col("_n") / F.lit(max_len)).cast("int").alias("_parts")))
+    pairs = child.select(F.col(person).alias("id"), F.col(movie).alias("movie_id"))
+    return (pairs.filter(F.col("id").isNotNull() & F.col("movie_id").isNotNull())
+            .groupBy("id", "movie_id").agg(F.count(F.lit(1)).alias("n")))
 
 
-def part_of(value: Column, parts: Column) -> Column:
-    """Bucket of one element: 0 for ordinary keys, hash of the value for hot
-    keys.  Hashing the value keeps equal values in one part, so per-part
-    distinct counts add up to the per-key distinct count."""
-    return F.when(parts.isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(value), parts).cast("int"))
+def chunk_lists(links: DataFrame, width: int = CHUNK_IDS) -> DataFrame:
+    """(id, chunk, list_movies): per person and range of ``width`` movie ids,
+    the (movie_id, n) pairs sorted by movie.  Persons without movies have no row.
 
-
-def tag_parts(child: DataFrame, key: str, value: str, hot: DataFrame) -> DataFrame:
-    """(key, value, list_part): the part each child row belongs to."""
-    return (child.join(hot, key, "left")
-            .select(key, value, part_of(F.col(value), F.col("_parts")).alias("list_part")))
-
-
-def first_part_lists(tagged: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """(key, out): part 0 of every key's list, grouped by ``key`` alone.
-
-    Unique on ``key``, so a left join against it is removed by Catalyst from
-    any query that does not read ``out``.  A hot key's part 0 holds about
-    max_len elements, like every other part.
-    """
-    return (tagged.filter(F.col("list_part") == 0)
-            .groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(out)))
-
-
-def other_part_lists(tagged: DataFrame, key: str, value: str, out: str) -> DataFrame:
-    """(key, list_part, out): parts 1.. of hot keys.
-
-    The explicit exchange on (key, list_part) is the one the grouping needs
-    anyway; it also keeps a sort-merge join partitioned by ``key`` alone (when
-    ``hot`` is not broadcast) from satisfying the grouping, which would build
-    every part of a hot key in one task.
+    The shuffle is by (id, chunk), so the chunks of a hot person land in many
+    tasks and none builds more than ``width`` pairs.
     """
-    return (tagged.filter(F.col("list_part") > 0)
-            .repartition(key, "list_part")
-            .groupBy(key, "list_part").agg(F.sort_array(F.collect_list(value)).alias(out)))
-
+    chunk = F.floor(F.col("movie_id") / F.lit(width)).cast("bigint")
+    return (links.withColumn("chunk", chunk).groupBy("id", "chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("movie_id", "n"))).alias("list_movies")))
 
-def nest_parts(parent: DataFrame, key: str, child: DataFrame, value: str, out: str,
-               hot: DataFrame) -> DataFrame:
-    """Parent rows with their bucketed list: one row per (key, list_part).
 
-    * part 0, for every parent: the parent left-joined to ``first_part_lists``
-      on ``key`` (empty list when nothing is there);
-    * parts 1.., only for hot keys: the hot parents, expanded to one row per
-      part, inner-joined to ``other_part_lists`` on (key, list_part), so the
-      parts of one hot key land in different tasks; empty parts are skipped.
-
-    A query on ``list_part = 0`` folds the second branch away (its guard
-    ``list_part > 0`` contradicts it), and one that does not read ``out``
-    loses the list join too.
-    """
-    tagged = tag_parts(child, key, value, hot)
-    first = (parent.join(first_part_lists(tagged, key, value, out), key, "left")
-             .withColumn("list_part", F.lit(0)))
-    hot_parents = (parent.join(hot, key, "inner")
-                   .withColumn("list_part", F.explode(F.sequence(F.lit(1), F.col("_parts") - F.lit(1))))
-                   .drop("_parts"))
-    rest = (hot_parents.join(other_part_lists(tagged, key, value, out), [key, "list_part"], "inner")
-            .filter(F.col("list_part") > 0))
-    cols = parent.columns + ["list_part", out]
-    return first.select(cols).unionByName(rest.select(cols))
-
-
-def unique_parent(parent: DataFrame, key: str) -> DataFrame:
-    """Exact duplicate parent rows are kept once.
-
-    The hash exchange on ``key`` also satisfies the distinct (a finer grouping)
-    and the following joins on ``key``: one exchange for all three.
-    """
-    return parent.repartition(key).dropDuplicates()
+def unique_parent(parent: DataFrame) -> DataFrame:
+    """Exact duplicate parent rows are kept once (combined map-side)."""
+    return parent.dropDuplicates()
 
 
 def empty_array(elem: str) -> Column:

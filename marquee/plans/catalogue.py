@@ -5,9 +5,9 @@ tables it reads plus its parameters and returns a lazy DataFrame.  Where the
 reference runs two queries and ships ids through the client, the plan here is
 one DataFrame with a semi join.
 
-Director-level results read ``list_part = 0`` of ``den_directors`` so a
-director split over several list parts (bucket layout) is counted once; list
-lookups read every part.
+A director's movies come from the flat link rows, never from nested lists.
+Movies are then taken by a semi join on the ids; a lazily built catalogue can
+pass ``movies_for`` instead, which builds the documents of those ids only.
 """
 
 from __future__ import annotations
@@ -34,23 +34,19 @@ RDA3_MAX_ACTORS, RDA3_MIN_RANK = 5, 7
 RDA4_N_DIRECTORS = 10
 
 
-def director_rows(den_directors: DataFrame) -> DataFrame:
-    """One row per director (its first list part)."""
-    return den_directors.filter(F.col("list_part") == F.lit(0))
+# builds the movie documents of the given keys (a DataFrame with ``id``)
+MoviesFor = Callable[[DataFrame], DataFrame]
 
 
-# builds the director documents of the given keys (a DataFrame with ``id``);
-# for a lazily built catalogue this keeps a lookup from building every list
-DocsFor = Callable[[DataFrame], DataFrame]
+def movie_ids_of(director_movies: DataFrame, directors: DataFrame) -> DataFrame:
+    """(id): movie ids linked to the given directors, once per director.
+    (A semi join never multiplies rows, so ``directors`` needs no distinct.)"""
+    return L.keep_matching(director_movies, directors.select("id"), "id").select(
+        F.col("movie_id").alias("id"))
 
 
-def movie_ids_of(den_directors: DataFrame, directors: DataFrame,
-                 docs_for: DocsFor | None = None) -> DataFrame:
-    """(id): movie ids listed by the given directors, over all list parts.
-    (A semi join never multiplies rows, so ``directors`` needs no distinct.)"""
-    keys = directors.select("id")
-    rows = docs_for(keys) if docs_for else L.keep_matching(den_directors, keys, "id")
-    return L.unwind(rows, "list_movies_id", "id")
+def movies_of(den_movies: DataFrame, ids: DataFrame, movies_for: MoviesFor | None) -> DataFrame:
+    return movies_for(ids) if movies_for else L.keep_matching(den_movies, ids)
 
 
 # -- user queries ----------------------------------------------------------
@@ -70,7 +66,7 @@ def ru2(den_directors: DataFrame, genre: str = RU2_GENRE, strict: bool = False)
     neither null nor zero (D9).
     """
     cond = (D.map_value_set if strict else D.map_has_key)("dict_genres_den_prob", genre)
-    return director_rows(den_directors).filter(cond).select("first_name", "last_name")
+    return den_directors.filter(cond).select("first_name", "last_name")
 
 
 def ru3(den_movies: DataFrame, genre: str = RU3_GENRE, year: int = RU3_YEAR) -> DataFrame:
@@ -79,32 +75,32 @@ def ru3(den_movies: DataFrame, genre: str = RU3_GENRE, year: int = RU3_YEAR) ->
             .select("name"))
 
 
-def ru4(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RU4_FIRST,
-        last_name: str = RU4_LAST, genre: str = RU4_GENRE, docs_for: DocsFor | None = None) -> DataFrame:
+def ru4(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataFrame,
+        first_name: str = RU4_FIRST, last_name: str = RU4_LAST, genre: str = RU4_GENRE,
+        movies_for: MoviesFor | None = None) -> DataFrame:
     """Movies of one director (the lowest id with that name, D10) in a genre."""
-    one = L.one_key(director_rows(den_directors),
+    one = L.one_key(den_directors,
                     (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
-    ids = movie_ids_of(den_directors, one, docs_for)
-    return (L.keep_matching(den_movies.filter(D.has_element("list_genres", genre)), ids)
-            .select("id", "name", "year", "rank"))
+    found = movies_of(den_movies, movie_ids_of(director_movies, one), movies_for)
+    return found.filter(D.has_element("list_genres", genre)).select("id", "name", "year", "rank")
 
 
 # -- analyst queries -------------------------------------------------------
 
-def rda1(den_movies: DataFrame, den_directors: DataFrame, first_name: str = RDA1_FIRST,
-         last_name: str = RDA1_LAST, docs_for: DocsFor | None = None) -> DataFrame:
+def rda1(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataFrame,
+         first_name: str = RDA1_FIRST, last_name: str = RDA1_LAST,
+         movies_for: MoviesFor | None = None) -> DataFrame:
     """Average rank of one director's movies; unranked movies skipped; no row
     when the director is unknown or has no ranked movie (D7)."""
-    one = L.one_key(director_rows(den_directors),
+    one = L.one_key(den_directors,
                     (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
-    ranked = L.keep_matching(den_movies.filter(D.not_nan("rank")),
-                             movie_ids_of(den_directors, one, docs_for))
-    return A.global_avg(ranked, "rank", "average_rank")
+    found = movies_of(den_movies, movie_ids_of(director_movies, one), movies_for)
+    return A.global_avg(found.filter(D.not_nan("rank")), "rank", "average_rank")
 
 
 def rda2(den_directors: DataFrame, n_genres: int = RDA2_N_GENRES) -> DataFrame:
     """Directors with exactly N genres of non-null, non-zero probability."""
-    kept = director_rows(den_directors).select(
+    kept = den_directors.select(
         "first_name", "last_name",
         D.nonzero_entries("dict_genres_den_prob").alias("filtered_genres"))
     return (kept.filter(F.col("filtered_genres").isNotNull()
@@ -119,31 +115,32 @@ def rda3(den_movies: DataFrame, max_actors: int = RDA3_MAX_ACTORS,
             .select("name"))
 
 
-def selected_movies(den_movies: DataFrame, den_directors: DataFrame,
-                    names: Sequence[str], docs_for: DocsFor | None = None) -> DataFrame:
+def selected_movies(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataFrame,
+                    names: Sequence[str], movies_for: MoviesFor | None = None) -> DataFrame:
     """Rda4 step 1: movies of the directors whose full name is in the list,
     one row per (movie, genre)."""
-    chosen = director_rows(den_directors).filter(D.in_list(D.full_name(), names))
-    movies = L.keep_matching(den_movies, movie_ids_of(den_directors, chosen, docs_for))
+    chosen = den_directors.filter(D.in_list(D.full_name(), names))
+    movies = movies_of(den_movies, movie_ids_of(director_movies, chosen), movies_for)
     return movies.select("id", "name", "rank", F.explode("list_genres").alias("genre"))
 
 
-def rda4_top(den_movies: DataFrame, den_directors: DataFrame,
-             names: Sequence[str] | None = None, docs_for: DocsFor | None = None) -> DataFrame:
+def rda4_top(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataFrame,
+             names: Sequence[str] | None = None, movies_for: MoviesFor | None = None) -> DataFrame:
     """Best movie per genre among the listed directors' movies: the name and
     rank of the highest-ranked movie (ties: lowest id, D8)."""
-    m = selected_movies(den_movies, den_directors, names or default_names(), docs_for)
+    m = selected_movies(den_movies, den_directors, director_movies, names or default_names(), movies_for)
     return A.top_per_group(m, "genre", ["name", "rank"])
 
 
-def rda4_max(den_movies: DataFrame, den_directors: DataFrame,
-             names: Sequence[str] | None = None, docs_for: DocsFor | None = None) -> DataFrame:
+def rda4_max(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataFrame,
+             names: Sequence[str] | None = None, movies_for: MoviesFor | None = None) -> DataFrame:
     """Literal form of Rda4: per genre, the maximum rank (null counted as
     negative infinity) and the name of the group's first (lowest-id) movie,
     which need not be the best one."""
-    m = selected_movies(den_movies, den_directors, names or default_names(), docs_for)
-    return m.groupBy("genre").agg(A.max_or_neg_inf("rank").alias("best_rank"),
-                                  A.first_by_key("name").alias("first_name"))
+    m = selected_movies(den_movies, den_directors, director_movies, names or default_names(), movies_for)
+    best = m.groupBy("genre").agg(A.max_or_neg_inf("rank").alias("best_rank"), F.min("id").alias("id"))
+    return (best.join(m.select("genre", "id", F.col("name").alias("first_name")), ["genre", "id"])
+            .select("genre", "best_rank", "first_name"))
 
 
 def default_names(n: int = RDA4_N_DIRECTORS) -> list[str]:

@@ -1,19 +1,24 @@
 """The denormalisation job and the stored document catalogue.
 
-``denormalize_job`` builds the three document tables and writes them once as
-Parquet tables under the shared folder (``spark.checkpoint.dir``).  Queries
-then read the stored tables: the lineage of the build is cut, and a lost
-executor costs a re-read of files, not a re-run of the joins.
+``denormalize_job`` builds the document tables and writes them once as Parquet
+tables in a folder all executors share.  Queries then read the stored tables:
+the lineage of the build is cut, and a lost executor costs a re-read of files,
+not a re-run of the joins.
 
 Layout, chosen for the queries that read it:
 
-* every table is bucketed by ``id``: the id lookups (Ru4, Rda1, Rda4) join a
-  small id list against the bucketed side without shuffling it;
-* ``den_movies`` is sorted by (year, rank) inside each bucket, so Parquet
-  row-group statistics skip most of the file for ``year = y`` and
-  ``rank > x`` filters;
-* the data is repartitioned by ``id`` into the bucket count before writing, so
-  each task writes one file per bucket instead of one per (task, bucket).
+* documents are bucketed by ``id``, links by ``movie_id``: the movies of a
+  director are a semi join of two equally bucketed tables, so the movies are
+  never shuffled, and the links of one person spread over all buckets;
+* links are sorted by person inside a bucket, so row-group statistics skip
+  most of the file for a looked-up person;
+* ``movies`` is sorted by (year, rank) inside a bucket: statistics skip row
+  groups for ``year = y``.  A filter on rank alone is pushed to the scan but
+  skips little, as every year holds all ranks.
+
+A manifest written beside the tables holds the bucket count, columns, bucket
+and sort keys.  ``attach_catalogue`` declares the tables from it, so a reader
+cannot name another bucket count by mistake.
 """
 
 from __future__ import annotations
@@ -22,67 +27,48 @@ import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from marquee import schemas
-from marquee.operators import denormalize, nest
+from marquee.operators import denormalize
 from marquee.session import ensure_checkpoint_dir
 from marquee.sources.testdata import Catalog
 
-SORT_KEYS = {"movies": ["year", "rank"], "directors": ["id"], "actors": ["id"]}
+BUCKET_KEY = {"movies": "id", "directors": "id", "actors": "id",
+              "director_movies": "movie_id", "actor_movies": "movie_id"}
+SORT_KEYS = {"movies": ["year", "rank"], "directors": ["id"], "actors": ["id"],
+             "director_movies": ["id"], "actor_movies": ["id"]}
+MANIFEST = "_catalogue_manifest"
+MANIFEST_SCHEMA = "kind string, buckets int, bucket_key string, sort_keys array<string>, ddl string"
 
-# hot-key tables up to this many rows (16 bytes each) are broadcast
-HOT_BROADCAST_ROWS = 1_000_000
 
-
-def denormalize_job(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
-                    buckets: int | None = None, max_len: int = nest.DEFAULT_MAX_LEN,
+def denormalize_job(spark: SparkSession, sf_dir: str, buckets: int, out_dir: str | None = None,
                     prefix: str = "den") -> dict[str, str]:
-    """Write den_movies, den_directors, den_actors; return table names.
+    """Write the document tables; return table names by kind.
 
-    ``buckets`` defaults to the session's shuffle partition count; size it so
-    a bucket file of den_movies stays around 0.5-1 GB at the target scale.
+    ``buckets``: size it so a bucket file of the movies stays around 0.5-1 GB
+    at the target scale.  ``out_dir`` defaults to a new folder under
+    ``spark.checkpoint.dir``.
     """
     out_dir = out_dir or os.path.join(ensure_checkpoint_dir(spark), f"catalogue-{uuid.uuid4().hex[:8]}")
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cat = Catalog(spark, sf_dir)
     # the movie-genre pairs come from the largest join of the job (line items
     # against parts) and feed two tables: write them once, read them twice
+    cat = Catalog(spark, sf_dir)
     mg = materialize(cat.movies_genres(), "movies_genres", out_dir)
-    hot = {kind: hot_table(child, max_len, out_dir, f"hot_{kind}")
-           for kind, child in (
-               ("directors", cat.movies_directors().select(F.col("director_id").alias("id"))),
-               ("actors", cat.roles().select(F.col("actor_id").alias("id"))))}
-    tables = denormalize.build_all(cat, max_len, movies_genres=mg, hot=hot)
-    names = {}
-    for kind, df in tables.items():
-        name = f"{prefix}_{kind}"
-        (df.repartition(buckets, "id")
+    names, rows = {}, []
+    for kind, df in denormalize.build_all(cat, movies_genres=mg).items():
+        name = names[kind] = f"{prefix}_{kind}"
+        key = BUCKET_KEY[kind]
+        (df.repartition(buckets, key)
            .write.mode("overwrite")
-           .bucketBy(buckets, "id").sortBy(*SORT_KEYS[kind])
-           .option("path", os.path.join(out_dir, name))
+           .bucketBy(buckets, key).sortBy(*SORT_KEYS[kind])
+           .option("path", os.path.join(out_dir, kind))
            .saveAsTable(name))
-        names[kind] = name
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        rows.append((kind, buckets, key, SORT_KEYS[kind], ddl))
+    # written last: a folder with a manifest is complete
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).write.mode("overwrite").json(os.path.join(out_dir, MANIFEST))
     return names
 
 
-def hot_table(child: DataFrame, max_len: int, base: str, name: str) -> DataFrame:
-    """Hot keys of ``child`` (one row per key with more than max_len rows),
-    written once and returned as a broadcast with a proven size bound.
-
-    There are at most rows / max_len hot keys.  If that is still more than
-    HOT_BROADCAST_ROWS, the bucket size is raised to rows / HOT_BROADCAST_ROWS
-    (longer list parts, never dropped elements), which caps the hot table at
-    HOT_BROADCAST_ROWS rows.  The joins against it are then broadcast joins:
-    the child is never shuffled by a hot key.
-    """
-    h = materialize(nest.hot_keys(child, "id", max_len), name, base)
-    if h.count() > HOT_BROADCAST_ROWS:
-        wider = -(-child.count() // HOT_BROADCAST_ROWS)
-        h = materialize(nest.hot_keys(child, "id", max(wider, max_len)), name, base)
-    return F.broadcast(h)
-
-
 def export_json(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """The document tables as JSON lines (the interchange format of the
     reference's job), one file per task, never funnelled into one writer."""
@@ -98,33 +84,40 @@ def open_catalogue(spark: SparkSession, names: dict[str, str]) -> dict[str, Data
     return {k: spark.table(v) for k, v in names.items()}
 
 
-DEN_SCHEMAS = {"movies": schemas.DEN_MOVIES, "directors": schemas.DEN_DIRECTORS,
-               "actors": schemas.DEN_ACTORS}
-
-
-def attach_catalogue(spark: SparkSession, out_dir: str, buckets: int,
-                     prefix: str = "den") -> dict[str, str]:
+def attach_catalogue(spark: SparkSession, out_dir: str, prefix: str = "den",
+                     buckets: int | None = None) -> dict[str, str]:
     """Declare the tables written by ``denormalize_job`` in another session.
 
-    The table definitions (columns, bucket spec, sort keys) are re-declared
-    over the files already in ``out_dir``, so a new session gets the same
-    bucketed scans without rewriting anything.
+    Columns, bucket spec and sort keys come from the manifest.  A ``buckets``
+    other than the manifest's, and a table of the same name over another
+    folder, are errors: both would give wrong rows without one.
     """
     names = {}
-    for kind, schema in DEN_SCHEMAS.items():
-        name = f"{prefix}_{kind}"
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet "
-                  f"CLUSTERED BY (id) SORTED BY ({', '.join(SORT_KEYS[kind])}) INTO {buckets} BUCKETS "
-                  f"LOCATION '{os.path.join(out_dir, name)}'")
-        names[kind] = name
+    for m in spark.read.schema(MANIFEST_SCHEMA).json(os.path.join(out_dir, MANIFEST)).collect():  # a row per table
+        if buckets is not None and buckets != m.buckets:
+            raise ValueError(f"{out_dir} was written with {m.buckets} buckets, not {buckets}")
+        name = names[m.kind] = f"{prefix}_{m.kind}"
+        path = os.path.join(out_dir, m.kind)
+        if spark.catalog.tableExists(name):
+            detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect()}
+            if _plain(detail.get("Location", "")) != _plain(path) or detail.get("Num Buckets") != str(m.buckets):
+                raise ValueError(f"table {name} exists over {detail.get('Location')}; choose another prefix")
+            continue
+        spark.sql(f"CREATE TABLE {name} ({m.ddl}) USING parquet "
+                  f"CLUSTERED BY ({m.bucket_key}) SORTED BY ({', '.join(m.sort_keys)}) INTO {m.buckets} BUCKETS "
+                  f"LOCATION '{path}'")
+    if set(names) != set(BUCKET_KEY):
+        raise ValueError(f"{out_dir} holds no complete catalogue")
     return names
 
 
+def _plain(path: str) -> str:
+    return path.removeprefix("file:").replace("//", "/").rstrip("/")
+
+
 def materialize(df: DataFrame, name: str, base: str | None = None) -> DataFrame:
     """Cut lineage: write to the shared folder and read back."""
     base = base or ensure_checkpoint_dir(df.sparkSession)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:8]}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
-

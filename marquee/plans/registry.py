@@ -20,9 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.functions import docops as D
-from marquee.operators import denormalize
+from marquee.operators import denormalize, nest
 from marquee.plans import catalogue as Q
-from marquee.sources.testdata import Catalog, oracle_with
+from marquee.plans import jobs
+from marquee.plans.reports import column_stats, table_stats
+from marquee.functions import clean
+from marquee.sources.testdata import Catalog, UncleanCatalog, oracle_with, unclean_with
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -42,12 +45,27 @@ def den(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return denormalize.build_all(Catalog(spark, sf_dir))
 
 
-def director_docs_for(spark: SparkSession, sf_dir: str) -> Q.DocsFor:
-    """Lookups on the lazily built catalogue build only the looked-up
-    directors' documents (see ``denormalize.den_directors(keys=...)``)."""
-    cat = Catalog(spark, sf_dir)
-    return lambda keys: denormalize.den_directors(
-        cat.directors(), cat.movies_directors(), cat.directors_genres(), keys=keys)
+def movies_for(spark: SparkSession, sf_dir: str) -> Q.MoviesFor:
+    """Lookups on the lazily built catalogue build only the looked-up movies."""
+    return denormalize.movies_for(Catalog(spark, sf_dir))
+
+
+STORED_BUCKETS = 8
+_stored: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The stored catalogue of ``sf_dir``: written by the job on the first
+    call of this application, then opened."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        _stored[key] = jobs.denormalize_job(spark, sf_dir, STORED_BUCKETS, prefix=f"stored{len(_stored)}")
+    return jobs.open_catalogue(spark, _stored[key])
+
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    """Derived doubles rounded for comparison between engines, here only."""
+    return df.withColumns({c: D.round_half_up(c) for c in cols})
 
 
 # -- SQL building blocks (DuckDB) -----------------------------------------
@@ -81,14 +99,18 @@ _GENRE_MAPS = f"""genre_maps as (select director_id,
     string_agg(genre || ':' || {_fx('prob')}, ',' order by genre) as dict_text,
     count(*) as n_genres
   from directors_genres where genre is not null and prob is not null group by director_id)"""
-_MOVIE_LISTS = """movie_lists as (select director_id,
-    string_agg(cast(movie_id as varchar), ',' order by movie_id) as list_movies_id,
-    count(movie_id) as n_movies
+_MOVIE_COUNTS = """movie_counts as (select director_id, count(movie_id) as n_movies
   from movies_directors group by director_id)"""
-_ROLE_LISTS = """role_lists as (select actor_id,
-    string_agg(cast(movie_id as varchar), ',' order by movie_id) as list_movies_id,
-    count(movie_id) as n_movies, count(distinct movie_id) as n_distinct
-  from roles group by actor_id)"""
+_ROLE_COUNTS = """role_counts as (select actor_id, count(movie_id) as n_movies from roles group by actor_id)"""
+
+
+def _chunks(links: str, person: str, width: int) -> str:
+    """Chunked lists of a person's movies as text: movie:repeats."""
+    return f"""select id, chunk, string_agg(movie_id || ':' || n, ',' order by movie_id) as list_movies,
+  count(*) as n_movies
+from (select {person} as id, movie_id, movie_id // {width} as chunk, count(*) as n
+      from {links} where {person} is not null and movie_id is not null group by all)
+group by id, chunk"""
 
 
 def _with(views: tuple[str, ...], *extra: str) -> str:
@@ -101,11 +123,11 @@ def _with(views: tuple[str, ...], *extra: str) -> str:
 _W_DEN_MOVIES = _with(("movies", "movies_genres", "movies_directors", "roles"),
                       _GENRE_LISTS, _DIRECTOR_LISTS, _ACTOR_COUNTS, _DEN_MOVIES)
 _W_DIRECTORS = _with(("directors", "movies_directors", "directors_genres"),
-                     _GENRE_MAPS, _MOVIE_LISTS)
+                     _GENRE_MAPS, _MOVIE_COUNTS)
 _W_ALL = _with(("movies", "movies_genres", "movies_directors", "roles", "directors",
                 "actors", "directors_genres"),
                _GENRE_LISTS, _DIRECTOR_LISTS, _ACTOR_COUNTS, _DEN_MOVIES, _GENRE_MAPS,
-               _MOVIE_LISTS, _ROLE_LISTS)
+               _MOVIE_COUNTS, _ROLE_COUNTS)
 
 
 def _one_director(first: str, last: str) -> str:
@@ -132,26 +154,24 @@ def q_den_movies(spark, sf_dir):
 
 
 @register("den_directors", _W_DIRECTORS + """
-select d.id, 0 as list_part, d.first_name, d.last_name,
-  coalesce(l.list_movies_id, '') as list_movies_id,
+select d.id, d.first_name, d.last_name, coalesce(l.n_movies, 0) as n_movies,
   coalesce(g.dict_text, '') as dict_genres_den_prob
-from directors d left join movie_lists l on l.director_id = d.id
+from directors d left join movie_counts l on l.director_id = d.id
 left join genre_maps g on g.director_id = d.id""")
 def q_den_directors(spark, sf_dir):
-    d = den(spark, sf_dir)["directors"]
-    return d.select("id", "list_part", "first_name", "last_name",
-                    D.sorted_text("list_movies_id").alias("list_movies_id"),
+    return _directors_text(den(spark, sf_dir)["directors"])
+
+
+def _directors_text(d: DataFrame) -> DataFrame:
+    return d.select("id", "first_name", "last_name", "n_movies",
                     D.map_text("dict_genres_den_prob").alias("dict_genres_den_prob"))
 
 
-@register("den_actors", _with(("actors", "roles"), _ROLE_LISTS) + """
-select a.id, 0 as list_part, a.first_name, a.last_name,
-  coalesce(l.list_movies_id, '') as list_movies_id
-from actors a left join role_lists l on l.actor_id = a.id""")
+@register("den_actors", _with(("actors", "roles"), _ROLE_COUNTS) + """
+select a.id, a.first_name, a.last_name, coalesce(l.n_movies, 0) as n_movies
+from actors a left join role_counts l on l.actor_id = a.id""")
 def q_den_actors(spark, sf_dir):
-    a = den(spark, sf_dir)["actors"]
-    return a.select("id", "list_part", "first_name", "last_name",
-                    D.sorted_text("list_movies_id").alias("list_movies_id"))
+    return den(spark, sf_dir)["actors"]
 
 
 @register("den_list_genres", _W_DEN_MOVIES + "select id, list_genres from den_movies")
@@ -171,21 +191,37 @@ def q_den_nb_actors(spark, sf_dir):
     return den(spark, sf_dir)["movies"].select("id", "den_nb_actors")
 
 
-@register("den_list_movies", _W_DIRECTORS + """
-select d.id, 0 as list_part, coalesce(l.list_movies_id, '') as list_movies_id,
-  coalesce(l.n_movies, 0) as n_movies
-from directors d left join movie_lists l on l.director_id = d.id""")
+def _list_rows(links: DataFrame, width: int) -> DataFrame:
+    lists = nest.chunk_lists(links, width)
+    text = F.transform("list_movies", lambda e: F.concat_ws(":", e["movie_id"], e["n"]))
+    return lists.select("id", "chunk", F.array_join(text, ",").alias("list_movies"),
+                        F.size("list_movies").cast("bigint").alias("n_movies"))
+
+
+SMALL_CHUNK = 1000
+
+
+@register("den_list_movies", oracle_with("movies_directors") + _chunks("movies_directors", "director_id", nest.CHUNK_IDS))
 def q_den_list_movies(spark, sf_dir):
-    d = den(spark, sf_dir)["directors"]
-    return d.select("id", "list_part", D.sorted_text("list_movies_id").alias("list_movies_id"),
-                    F.size("list_movies_id").cast("bigint").alias("n_movies"))
+    return _list_rows(den(spark, sf_dir)["director_movies"], nest.CHUNK_IDS)
+
+
+@register("den_list_movies_small", oracle_with("movies_directors") + _chunks("movies_directors", "director_id", SMALL_CHUNK))
+def q_den_list_movies_small(spark, sf_dir):
+    """The same rule with a small range, so every list has several chunks."""
+    return _list_rows(den(spark, sf_dir)["director_movies"], SMALL_CHUNK)
+
+
+@register("den_list_roles_small", oracle_with("roles") + _chunks("roles", "actor_id", SMALL_CHUNK))
+def q_den_list_roles_small(spark, sf_dir):
+    return _list_rows(den(spark, sf_dir)["actor_movies"], SMALL_CHUNK)
 
 
 @register("den_genre_prob_map", _W_DIRECTORS + """
 select d.id, coalesce(g.dict_text, '') as dict_genres_den_prob, coalesce(g.n_genres, 0) as n_genres
 from directors d left join genre_maps g on g.director_id = d.id""")
 def q_den_genre_prob_map(spark, sf_dir):
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     return d.select("id", D.map_text("dict_genres_den_prob").alias("dict_genres_den_prob"),
                     F.size("dict_genres_den_prob").cast("bigint").alias("n_genres"))
 
@@ -238,8 +274,8 @@ where m.id in (select movie_id from one_movies)
   and exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre = 'SMALL')""")
 def q_ru4(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.ru4(d["movies"], d["directors"], "Customer", "000000007", "SMALL",
-                 docs_for=director_docs_for(spark, sf_dir))
+    return Q.ru4(d["movies"], d["directors"], d["director_movies"], "Customer", "000000007", "SMALL",
+                 movies_for=movies_for(spark, sf_dir))
 
 
 @register("lim_find_one", oracle_with("directors") + """
@@ -247,7 +283,7 @@ select id, first_name, last_name from directors
 where first_name = 'Customer' and last_name = '000000007' order by id limit 1""")
 def q_lim_find_one(spark, sf_dir):
     from marquee.operators.lookup import find_one
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     return find_one(d, (F.col("first_name") == "Customer") & (F.col("last_name") == "000000007")
                     ).select("id", "first_name", "last_name")
 
@@ -261,8 +297,8 @@ where m.id in (select movie_id from one_movies) and m."rank" is not null and not
 having count(*) > 0""")
 def q_rda1(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.rda1(d["movies"], d["directors"], "Customer", "000000007",
-                  docs_for=director_docs_for(spark, sf_dir))
+    return _rounded(Q.rda1(d["movies"], d["directors"], d["director_movies"], "Customer", "000000007",
+                           movies_for=movies_for(spark, sf_dir)), "average_rank")
 
 
 def _rda2_sql(n: int) -> str:
@@ -308,7 +344,7 @@ select genre, best_name, best_rank from (
   from x) t where rn = 1""")
 def q_rda4_top(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.rda4_top(d["movies"], d["directors"], docs_for=director_docs_for(spark, sf_dir))
+    return Q.rda4_top(d["movies"], d["directors"], d["director_movies"], movies_for=movies_for(spark, sf_dir))
 
 
 @register("rda4_max", _rda4_rows_sql() + """
@@ -316,7 +352,7 @@ select genre, max(coalesce("rank", '-inf'::double)) as best_rank, arg_min(name,
 from x group by genre""")
 def q_rda4_max(spark, sf_dir):
     d = den(spark, sf_dir)
-    return Q.rda4_max(d["movies"], d["directors"], docs_for=director_docs_for(spark, sf_dir))
+    return Q.rda4_max(d["movies"], d["directors"], d["director_movies"], movies_for=movies_for(spark, sf_dir))
 
 
 # -- document operators, one key each --------------------------------------
@@ -336,11 +372,19 @@ def q_flt_array_contains(spark, sf_dir):
 select id, first_name || ' ' || last_name as full_name from directors
 where first_name || ' ' || last_name in ({_names_sql(_NAMES_IN)})""")
 def q_flt_in_list(spark, sf_dir):
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     return (d.select("id", D.full_name().alias("full_name"))
             .filter(D.in_list("full_name", _NAMES_IN)))
 
 
+@register("flt_in_list_id", oracle_with("movies") + """
+select id, name from movies where id in (1, 2, 3, 32, 33, 1000000007)""")
+def q_flt_in_list_id(spark, sf_dir):
+    """P10 on a stored column: the list reaches the scan."""
+    m = den(spark, sf_dir)["movies"]
+    return m.filter(D.in_list("id", [1, 2, 3, 32, 33, 1000000007])).select("id", "name")
+
+
 @register("flt_arrays_overlap", oracle_with("movies", "movies_genres") + """
 select m.id, m.name from movies m
 where exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre in ('PROMO', 'SMALL'))""")
@@ -356,17 +400,15 @@ def q_flt_not_nan(spark, sf_dir):
     return m.filter(D.not_nan("rank")).select("id", "rank")
 
 
-@register("arr_transform", _with(("actors", "roles"), _ROLE_LISTS) + """
-select a.id, 0 as list_part, coalesce(l.list_movies_id, '') as list_movies_id,
-  coalesce(l.n_movies, 0) as n_movies
-from actors a left join role_lists l on l.actor_id = a.id""")
+@register("arr_transform", oracle_with("roles") + f"""
+select id, chunk, string_agg(cast(movie_id as varchar), ',' order by movie_id) as list_movies_id, count(*) as n_movies
+from (select distinct actor_id as id, movie_id, movie_id // {SMALL_CHUNK} as chunk from roles) group by id, chunk""")
 def q_arr_transform(spark, sf_dir):
     """map a conversion over every element (text ids back to bigint)."""
-    a = den(spark, sf_dir)["actors"]
-    as_text = a.select("id", "list_part", F.col("list_movies_id").cast("array<string>").alias("l"))
-    typed = as_text.select("id", "list_part",
-                           F.transform("l", lambda e: e.try_cast("bigint")).alias("l"))
-    return typed.select("id", "list_part", D.sorted_text("l").alias("list_movies_id"),
+    lists = nest.chunk_lists(den(spark, sf_dir)["actor_movies"], SMALL_CHUNK)
+    as_text = lists.select("id", "chunk", F.transform("list_movies", lambda e: e["movie_id"].cast("string")).alias("l"))
+    typed = as_text.select("id", "chunk", F.transform("l", lambda e: e.try_cast("bigint")).alias("l"))
+    return typed.select("id", "chunk", D.sorted_text("l").alias("list_movies_id"),
                         F.size("l").cast("bigint").alias("n_movies"))
 
 
@@ -391,7 +433,7 @@ def q_arr_unwind(spark, sf_dir):
 select d.id, g.genre, g.prob from directors d join directors_genres g on g.director_id = d.id
 where g.genre is not null and g.prob is not null""")
 def q_map_entries(spark, sf_dir):
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     e = d.select("id", F.explode(F.map_entries("dict_genres_den_prob")).alias("e"))
     return e.select("id", F.col("e.key").alias("genre"), F.col("e.value").alias("prob"))
 
@@ -402,7 +444,7 @@ from directors d left join directors_genres g on g.director_id = d.id and g.prob
 group by d.id""")
 def q_map_from_entries(spark, sf_dir):
     """entries filtered as an array, then turned back into a map."""
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     kept = F.filter(F.map_entries("dict_genres_den_prob"), lambda e: e["value"] >= F.lit(0.5))
     return d.select("id", D.map_text(F.map_from_entries(kept)).alias("dict_major"))
 
@@ -413,7 +455,7 @@ from directors d left join genre_maps g on g.director_id = d.id""")
 def q_map_transform_values(spark, sf_dir):
     """A map of text values converted value by value to double."""
     from marquee.functions.clean import fix_types
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     as_text = d.select("id", F.col("dict_genres_den_prob").cast("map<string,string>")
                        .alias("dict_genres_den_prob"))
     fixed = fix_types(as_text, {"dict_genres_den_prob": "map<string,double>"})
@@ -425,7 +467,7 @@ select d.id, coalesce(c.n, 0) as n_nonzero from directors d
 left join (select director_id, count(*) as n from directors_genres
            where genre is not null and prob is not null and prob <> 0 group by 1) c on c.director_id = d.id""")
 def q_map_filter(spark, sf_dir):
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     return d.select("id", F.size(D.nonzero_entries("dict_genres_den_prob")).cast("bigint")
                     .alias("n_nonzero"))
 
@@ -447,28 +489,30 @@ where d.first_name || ' ' || d.last_name in ({_names_sql(Q.default_names())})"""
 def q_agg_push(spark, sf_dir):
     """The pushed list of movie ids of the chosen directors, kept as rows
     of a DataFrame (one per unwound element) instead of one global array."""
-    d = den(spark, sf_dir)["directors"]
-    chosen = Q.director_rows(d).filter(D.in_list(D.full_name(), Q.default_names()))
-    return (Q.movie_ids_of(d, chosen, director_docs_for(spark, sf_dir))
-            .withColumnRenamed("id", "movie_id"))
+    cat = Catalog(spark, sf_dir)
+    chosen = cat.directors().filter(D.in_list(D.full_name(), Q.default_names()))
+    links = cat.movies_directors().withColumnRenamed("director_id", "id")
+    return Q.movie_ids_of(links, chosen).withColumnRenamed("id", "movie_id")
 
 
 @register("project_full_name", oracle_with("directors") + """
 select id, first_name || ' ' || last_name as full_name from directors""")
 def q_project_full_name(spark, sf_dir):
-    d = Q.director_rows(den(spark, sf_dir)["directors"])
+    d = den(spark, sf_dir)["directors"]
     return d.select("id", D.full_name().alias("full_name"))
 
 
-@register("str_distinct_parts", _with(("actors", "roles"), _ROLE_LISTS) + """
-select a.id, 0 as list_part,
-  cast(len(list_distinct(string_split(coalesce(l.list_movies_id, ''), ','))) as bigint) as n_distinct
-from actors a left join role_lists l on l.actor_id = a.id""")
+@register("str_distinct_parts", oracle_with("roles") + f"""
+select actor_id as id, movie_id // {SMALL_CHUNK} as chunk, count(distinct movie_id) as n_distinct
+from roles group by all""")
 def q_str_distinct_parts(spark, sf_dir):
-    """distinct parts of a delimited text (an actor's movie list as text)."""
-    a = den(spark, sf_dir)["actors"]
-    text = F.array_join(F.col("list_movies_id").cast("array<string>"), ",")
-    return a.select("id", "list_part", D.distinct_parts(text).cast("bigint").alias("n_distinct"))
+    """distinct parts of a delimited text (an actor's movies, each named
+    once more if the actor has several roles in it)."""
+    lists = nest.chunk_lists(den(spark, sf_dir)["actor_movies"], SMALL_CHUNK)
+    ids = F.transform("list_movies", lambda e: e["movie_id"])
+    again = F.transform(F.filter("list_movies", lambda e: e["n"] > 1), lambda e: e["movie_id"])
+    text = F.array_join(F.concat(ids, again).cast("array<string>"), ",")
+    return lists.select("id", "chunk", D.distinct_parts(text).cast("bigint").alias("n_distinct"))
 
 
 @register("str_split_trim", _W_DEN_MOVIES + """
@@ -481,50 +525,179 @@ def q_str_split_trim(spark, sf_dir):
     return m.select("id", F.array_join(D.split_trim(quoted), "|").alias("genres"))
 
 
-# -- cleaning and type repair ---------------------------------------------
+# -- cleaning and type repair, on inputs with bad values ---------------------
 
-def _movies_as_text(spark, sf_dir):
-    m = Catalog(spark, sf_dir).movies()
-    return m.select([F.col(c).cast("string").alias(c) for c in m.columns])
+def _unclean(spark, sf_dir) -> UncleanCatalog:
+    return UncleanCatalog(spark, sf_dir)
 
 
-@register("clean_numeric", oracle_with("movies") + 'select id, "rank", "year" from movies')
+@register("clean_numeric", unclean_with("movies") + 'select id, "rank", "year" from movies')
 def q_clean_numeric(spark, sf_dir):
-    from marquee.functions.clean import clean_numeric, lenient
-    t = clean_numeric(_movies_as_text(spark, sf_dir))
-    return t.select(lenient(F.col("id"), "bigint").alias("id"), "rank", "year")
+    t = clean.clean_numeric(_unclean(spark, sf_dir).movies_text())
+    return t.select(clean.lenient(F.col("id"), "bigint").alias("id"), "rank", "year")
 
 
-@register("clean_sentinel", oracle_with("movies") + 'select id, coalesce("year", -1) as "year" from movies')
+@register("clean_sentinel", unclean_with("movies") + 'select id, coalesce("year", -1) as "year" from movies')
 def q_clean_sentinel(spark, sf_dir):
-    from marquee.functions.clean import clean_sentinel, lenient
-    t = clean_sentinel(_movies_as_text(spark, sf_dir))
-    return t.select(lenient(F.col("id"), "bigint").alias("id"), "year")
+    t = clean.clean_sentinel(_unclean(spark, sf_dir).movies_text())
+    return t.select(clean.lenient(F.col("id"), "bigint").alias("id"), "year")
 
 
-def _fix_types(spark, sf_dir, mode):
-    from marquee.functions.clean import fix_types
-    m = den(spark, sf_dir)["movies"]
-    as_text = m.select(F.col("id").cast("string").alias("id"), F.col("rank").cast("string").alias("rank"),
-                       F.col("list_directors_id").cast("array<string>").alias("list_directors_id"),
-                       "den_nb_actors")
-    fixed = fix_types(as_text, {"id": "bigint", "rank": "double",
-                                "list_directors_id": "array<bigint>"}, mode)
-    return fixed.select("id", "rank", D.sorted_text("list_directors_id").alias("list_directors_id"),
-                        "den_nb_actors")
+@register("clean_strict", oracle_with("movies") + 'select id, "rank", "year" from movies')
+def q_clean_strict(spark, sf_dir):
+    """Strict typing of well-formed text (bad text raises: tests)."""
+    m = Catalog(spark, sf_dir).movies()
+    text = m.select([F.col(c).cast("string").alias(c) for c in m.columns])
+    return clean.type_table(text, "movies", "strict").select("id", "rank", "year")
+
+
+@register("flt_not_nan_unclean", unclean_with("movies") + """
+select id, "rank" from movies where "rank" is not null""")
+def q_flt_not_nan_unclean(spark, sf_dir):
+    return _unclean(spark, sf_dir).raw_movies().filter(D.not_nan("rank")).select("id", "rank")
+
+
+_UNCLEAN_GENRES = unclean_with("directors", "movies_directors", "directors_genres")
+
+
+@register("ru2_unclean", _UNCLEAN_GENRES + """
+select d.first_name, d.last_name from directors d
+where exists (select 1 from directors_genres g where g.director_id = d.id
+              and g.genre = 'PROMO' and g.prob is not null)""")
+def q_ru2_unclean(spark, sf_dir):
+    return Q.ru2(denormalize.build_all(_unclean(spark, sf_dir))["directors"], "PROMO", strict=False)
 
 
-_FIX_SQL = _W_DEN_MOVIES + 'select id, "rank", list_directors_id, den_nb_actors from den_movies'
+@register("ru2_strict_unclean", _UNCLEAN_GENRES + """
+select d.first_name, d.last_name from directors d
+where exists (select 1 from directors_genres g where g.director_id = d.id
+              and g.genre = 'PROMO' and g.prob <> 0)""")
+def q_ru2_strict_unclean(spark, sf_dir):
+    return Q.ru2(denormalize.build_all(_unclean(spark, sf_dir))["directors"], "PROMO", strict=True)
+
+
+@register("rda2_unclean", _UNCLEAN_GENRES + """
+select d.first_name, d.last_name from directors d
+join (select director_id, count(*) as n from directors_genres where prob <> 0 group by 1) c on c.director_id = d.id
+where c.n = 2""")
+def q_rda2_unclean(spark, sf_dir):
+    return Q.rda2(denormalize.build_all(_unclean(spark, sf_dir))["directors"], 2)
+
+
+_FEW = ["Customer 000000029"]        # has genres without any ranked movie
+_UNRANKED = unclean_with("movies", "movies_genres", "movies_directors", "directors") + f""",
+x as (select distinct g.genre, m.id, m.name, m."rank" from movies m join movies_genres g on g.movie_id = m.id
+  join movies_directors md on md.movie_id = m.id join directors d on d.id = md.director_id
+  where d.first_name || ' ' || d.last_name in ({_names_sql(_FEW)}))
+"""
+
+
+@register("rda4_max_unclean", _UNRANKED + """
+select genre, max(coalesce("rank", '-inf'::double)) as best_rank, arg_min(name, id) as first_name from x group by genre""")
+def q_rda4_max_unclean(spark, sf_dir):
+    """Genres whose movies are all unranked give negative infinity."""
+    cat = _unclean(spark, sf_dir)
+    d = denormalize.build_all(cat)
+    return Q.rda4_max(d["movies"], d["directors"], d["director_movies"], _FEW, denormalize.movies_for(cat))
+
+
+@register("rda4_top_unclean", _UNRANKED + """
+select genre, best_name, best_rank from (
+  select genre, name as best_name, "rank" as best_rank,
+         row_number() over (partition by genre order by "rank" desc nulls last, id) as rn from x) where rn = 1""")
+def q_rda4_top_unclean(spark, sf_dir):
+    cat = _unclean(spark, sf_dir)
+    d = denormalize.build_all(cat)
+    return Q.rda4_top(d["movies"], d["directors"], d["director_movies"], _FEW, denormalize.movies_for(cat))
+
+
+def _repaired(spark, df: DataFrame, spec: dict[str, str], mode: str) -> DataFrame:
+    """The collection repaired, written to a new path and read back."""
+    return jobs.materialize(clean.fix_types(df, spec, mode), "repaired")
+
+
+_BAD = "x"          # stands before a number that then is none
+
+
+def _spoilt(c: str, when) -> F.Column:
+    return F.when(when, F.concat(F.lit(_BAD), F.col(c).cast("string"))).otherwise(F.col(c).cast("string")).alias(c)
+
+
+def _movies_text(d: DataFrame, spoil: bool) -> DataFrame:
+    every = lambda k: (F.col("id") % k == 0) & F.lit(spoil)
+    ids = F.col("list_directors_id").cast("array<string>")
+    return d.select("name", _spoilt("id", every(7)), _spoilt("rank", every(5)), _spoilt("year", every(3)),
+                    F.when(every(4), F.concat(ids, F.array(F.lit("?")))).otherwise(ids).alias("list_directors_id"),
+                    F.col("den_nb_actors").cast("string").alias("den_nb_actors"))
+
+
+_MOVIE_SPEC = {"id": "bigint", "rank": "double", "year": "int", "list_directors_id": "array<bigint>",
+               "den_nb_actors": "bigint"}
+
+
+def _movie_rows(df: DataFrame) -> DataFrame:
+    return df.select("name", "id", "rank", "year", D.sorted_text(F.filter("list_directors_id", lambda x: x.isNotNull()))
+                     .alias("list_directors_id"), F.size("list_directors_id").cast("bigint").alias("n_directors"),
+                     "den_nb_actors")
+
+
+@register("fix_movies_lenient", _W_DEN_MOVIES + """
+select name, case when id % 7 <> 0 then id end as id, case when id % 5 <> 0 then "rank" end as "rank",
+  case when id % 3 <> 0 then "year" end as "year", list_directors_id,
+  case when list_directors_id = '' then 0 else len(string_split(list_directors_id, ',')) end
+    + case when id % 4 = 0 then 1 else 0 end as n_directors, den_nb_actors from den_movies""")
+def q_fix_movies_lenient(spark, sf_dir):
+    text = _movies_text(den(spark, sf_dir)["movies"], spoil=True)
+    return _movie_rows(_repaired(spark, text, _MOVIE_SPEC, "lenient"))
+
+
+_FIX_SQL = _W_DEN_MOVIES + """select name, id, "rank", "year", list_directors_id,
+  cast(case when list_directors_id = '' then 0 else len(string_split(list_directors_id, ',')) end as bigint) as n_directors,
+  den_nb_actors from den_movies"""
 
 
 @register("fix_types_lenient", _FIX_SQL)
 def q_fix_types_lenient(spark, sf_dir):
-    return _fix_types(spark, sf_dir, "lenient")
+    return _movie_rows(clean.fix_types(_movies_text(den(spark, sf_dir)["movies"], spoil=False), _MOVIE_SPEC, "lenient"))
 
 
 @register("fix_types_strict", _FIX_SQL)
 def q_fix_types_strict(spark, sf_dir):
-    return _fix_types(spark, sf_dir, "strict")
+    text = _movies_text(den(spark, sf_dir)["movies"], spoil=False)
+    return _movie_rows(_repaired(spark, text, _MOVIE_SPEC, "strict"))
+
+
+@register("fix_directors_lenient", _with(("directors", "movies_directors", "directors_genres"), f"""maps as (
+  select director_id, string_agg(genre || ':' || case when length(genre) % 2 = 0 then 'null' else {_fx('prob')} end, ','
+                                 order by genre) as dict_text
+  from directors_genres where genre is not null and prob is not null group by director_id)""", _MOVIE_COUNTS) + """
+select d.last_name, case when d.id % 7 <> 0 then d.id end as id,
+  case when d.id % 3 <> 0 then coalesce(l.n_movies, 0) end as n_movies, coalesce(m.dict_text, '') as dict_genres_den_prob
+from directors d left join maps m on m.director_id = d.id left join movie_counts l on l.director_id = d.id""")
+def q_fix_directors_lenient(spark, sf_dir):
+    d = den(spark, sf_dir)["directors"]
+    values = F.transform_values("dict_genres_den_prob", lambda k, v: F.when(
+        F.length(k) % 2 == 0, F.concat(F.lit(_BAD), v.cast("string"))).otherwise(v.cast("string")))
+    text = d.select("last_name", _spoilt("id", F.col("id") % 7 == 0), _spoilt("n_movies", F.col("id") % 3 == 0),
+                    values.alias("dict_genres_den_prob"))
+    fixed = _repaired(spark, text, {"id": "bigint", "n_movies": "bigint",
+                                    "dict_genres_den_prob": "map<string,double>"}, "lenient")
+    return fixed.select("last_name", "id", "n_movies", D.map_text("dict_genres_den_prob").alias("dict_genres_den_prob"))
+
+
+@register("fix_actors_lenient", oracle_with("roles") + f"""
+select id, chunk, string_agg(case when movie_id % 3 <> 0 then cast(movie_id as varchar) end, ',' order by movie_id)
+    as list_movies_id, count(*) as n_movies
+from (select distinct actor_id as id, movie_id, movie_id // {SMALL_CHUNK} as chunk from roles) group by id, chunk""")
+def q_fix_actors_lenient(spark, sf_dir):
+    lists = nest.chunk_lists(den(spark, sf_dir)["actor_movies"], SMALL_CHUNK)
+    text = F.transform("list_movies", lambda e: F.when(e["movie_id"] % 3 == 0, F.concat(
+        F.lit(_BAD), e["movie_id"].cast("string"))).otherwise(e["movie_id"].cast("string")))
+    fixed = _repaired(spark, lists.select(F.col("id").cast("string").alias("id"), "chunk", text.alias("list_movies_id")),
+                      {"id": "bigint", "list_movies_id": "array<bigint>"}, "lenient")
+    good = F.filter("list_movies_id", lambda x: x.isNotNull())
+    return fixed.select("id", "chunk", F.when(F.size(good) > 0, D.sorted_text(good)).alias("list_movies_id"),
+                        F.size("list_movies_id").cast("bigint").alias("n_movies"))
 
 
 # -- sources and sinks (written under the shared checkpoint folder) --------
@@ -566,9 +739,8 @@ def q_sink_append(spark, sf_dir):
     n2 = files.append(a, path)
     if n1 != n2:
         raise RuntimeError(f"append wrote {n1} then {n2} rows")
-    stored = spark.read.parquet(path)
-    return (stored.filter(F.col("list_part") == 0).groupBy("id")
-            .agg(F.count(F.lit(1)).alias("n_copies")))
+    rows = spark.read.parquet(path)
+    return rows.groupBy("id").agg(F.count(F.lit(1)).alias("n_copies"))
 
 
 # -- reports -----------------------------------------------------------------
@@ -590,14 +762,14 @@ nz as (select d.id, coalesce(c.n, 0) as n from directors d
   on c.director_id = d.id)""" + _share_sql("nz", "n = 2"))
 def q_rpt_share_genres(spark, sf_dir):
     from marquee.plans.reports import share_directors_with_n_genres
-    return share_directors_with_n_genres(den(spark, sf_dir)["directors"], 2)
+    return _rounded(share_directors_with_n_genres(den(spark, sf_dir)["directors"], 2), "pct_matched")
 
 
 @register("rpt_share_movies", _W_DEN_MOVIES + _share_sql(
     "den_movies", 'den_nb_actors < 5 and "rank" > 7'))
 def q_rpt_share_movies(spark, sf_dir):
     from marquee.plans.reports import share_movies
-    return share_movies(den(spark, sf_dir)["movies"], 5, 7)
+    return _rounded(share_movies(den(spark, sf_dir)["movies"], 5, 7), "pct_matched")
 
 
 @register("rpt_distribution", oracle_with("movies", "directors", "actors") + """,
@@ -610,38 +782,52 @@ from a full outer join m on a.shard = m.shard full outer join d on coalesce(a.sh
 def q_rpt_distribution(spark, sf_dir):
     from marquee.plans.reports import distribution
     d = den(spark, sf_dir)
-    return distribution({"actors": Q.director_rows(d["actors"]), "movies": d["movies"],
-                         "directors": Q.director_rows(d["directors"])}, shards=4)
-
-
-@register("rpt_partition_sizes")
-def q_rpt_partition_sizes(spark, sf_dir):
-    from marquee.plans.reports import partition_sizes
-    return partition_sizes(den(spark, sf_dir)["movies"])
+    return distribution({k: d[k] for k in ("actors", "movies", "directors")}, shards=4)
 
 
 @register("rpt_table_stats", _W_ALL + f""",
-ds as (select d.id, coalesce(l.n_movies, 0) as n, d.first_name from directors d
-       left join movie_lists l on l.director_id = d.id),
-acs as (select a.id, coalesce(l.n_movies, 0) as n, a.first_name from actors a
-        left join role_lists l on l.actor_id = a.id),
-ms as (select id, len(string_split(list_genres, ',')) - case when list_genres = '' then 1 else 0 end as n,
-       "rank" from den_movies)
+ds as (select d.id, coalesce(l.n_movies, 0) as n from directors d left join movie_counts l on l.director_id = d.id),
+acs as (select a.id, coalesce(l.n_movies, 0) as n from actors a left join role_counts l on l.actor_id = a.id),
+ms as (select id, len(string_split(list_genres, ',')) - case when list_genres = '' then 1 else 0 end as n
+       from den_movies)
 select 'movies' as collection, count(*) as n_rows, count(distinct id) as n_distinct_id,
-  cast(min(n) as bigint) as min_list, {_r6('avg(n)')} as avg_list, cast(max(n) as bigint) as max_list,
-  count(*) filter (where "rank" is null) as n_null from ms
+  cast(min(n) as bigint) as min_list, {_r6('avg(n)')} as avg_list, cast(max(n) as bigint) as max_list from ms
 union all
-select 'directors', count(*), count(distinct id), cast(min(n) as bigint), {_r6('avg(n)')},
-  cast(max(n) as bigint), count(*) filter (where first_name is null) from ds
+select 'directors', count(*), count(distinct id), cast(min(n) as bigint), {_r6('avg(n)')}, cast(max(n) as bigint) from ds
 union all
-select 'actors', count(*), count(distinct id), cast(min(n) as bigint), {_r6('avg(n)')},
-  cast(max(n) as bigint), count(*) filter (where first_name is null) from acs""")
+select 'actors', count(*), count(distinct id), cast(min(n) as bigint), {_r6('avg(n)')}, cast(max(n) as bigint) from acs""")
 def q_rpt_table_stats(spark, sf_dir):
-    from marquee.plans.reports import table_stats
     d = den(spark, sf_dir)
-    return (table_stats("movies", d["movies"], "list_genres", "rank")
-            .unionByName(table_stats("directors", d["directors"], "list_movies_id", "first_name"))
-            .unionByName(table_stats("actors", d["actors"], "list_movies_id", "first_name")))
+    stats = (table_stats("movies", d["movies"], F.size("list_genres"))
+             .unionByName(table_stats("directors", d["directors"], F.col("n_movies")))
+             .unionByName(table_stats("actors", d["actors"], F.col("n_movies"))))
+    return _rounded(stats, "avg_list")
+
+
+_STAT_COLUMNS = {"movies": ["id", "name", "year", "den_nb_actors", "list_genres"],
+                 "directors": ["id", "first_name", "last_name", "n_movies"],
+                 "actors": ["id", "first_name", "last_name", "n_movies"]}
+_STAT_SQL = {"movies": """(select m.*, a.den_nb_actors, nullif(g.list_genres, '') list_genres from movies m
+                left join actor_counts a on a.movie_id = m.id left join genre_lists g on g.movie_id = m.id)""",
+             "directors": """(select d.*, l.n_movies from directors d left join movie_counts l on l.director_id = d.id)""",
+             "actors": """(select a.*, l.n_movies from actors a left join role_counts l on l.actor_id = a.id)"""}
+
+
+@register("rpt_column_stats", unclean_with("movies", "movies_genres", "roles", "directors", "actors", "movies_directors")
+          + f", {_GENRE_LISTS}, {_ACTOR_COUNTS}, {_MOVIE_COUNTS}, {_ROLE_COUNTS}\n" + " union all ".join(
+    f"""select '{t}' as collection, '{c}' as "column", count(*) as n_rows, count(*) - count("{c}") as n_null,
+  count(distinct "{c}") as n_distinct from {_STAT_SQL[t]}""" for t, cols in _STAT_COLUMNS.items() for c in cols))
+def q_rpt_column_stats(spark, sf_dir):
+    """Null and distinct counts of every column, on documents whose counts and
+    lists are null where there is nothing to count."""
+    d = denormalize.build_all(_unclean(spark, sf_dir))
+    none = lambda c: F.when(F.col(c) > 0, F.col(c)).alias(c)
+    d["movies"] = d["movies"].withColumns({
+        "den_nb_actors": none("den_nb_actors"),
+        "list_genres": F.when(F.size("list_genres") > 0, D.sorted_text("list_genres"))})
+    frames = [column_stats(t, d[t] if t == "movies" else d[t].withColumn("n_movies", none("n_movies")), cols)
+              for t, cols in _STAT_COLUMNS.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2])
 
 
 @register("agg_trimmed_mean", oracle_with("movies", "movies_genres") + f"""
@@ -680,13 +866,13 @@ def q_stream_load(spark, sf_dir):
     from marquee import schemas
     from marquee.session import scratch_path
     from marquee.sources import files
-    from marquee.streaming.load import load_documents
-    src, table, ckpt = (scratch_path(spark, n) for n in ("export", "collection", "load-ckpt"))
+    from marquee.streaming.load import load_documents, read_collection
+    src, table = (scratch_path(spark, n) for n in ("export", "collection"))
     files.write_json(den(spark, sf_dir)["movies"], src)
-    load_documents(spark, src, schemas.DEN_MOVIES, table, ckpt)
-    if load_documents(spark, src, schemas.DEN_MOVIES, table, ckpt) != 0:
+    load_documents(spark, src, schemas.DEN_MOVIES, table)
+    if load_documents(spark, src, schemas.DEN_MOVIES, table) != 0:
         raise RuntimeError("second load appended rows again")
-    m = spark.read.schema(schemas.DEN_MOVIES).parquet(table)
+    m = read_collection(spark, schemas.DEN_MOVIES, table)
     return m.select("id", "name", "year", "rank",
                     D.sorted_text("list_genres").alias("list_genres"),
                     D.sorted_text("list_directors_id").alias("list_directors_id"),
@@ -709,11 +895,28 @@ def q_den_from_csv(spark, sf_dir):
                     "den_nb_actors")
 
 
+@register("load_counts", oracle_with("movies", "actors") + """
+select 'movies' as collection, count(*) as n_loaded, count(*) as n_again from movies
+union all select 'actors', count(*), count(*) from actors""")
+def q_load_counts(spark, sf_dir):
+    """The rows a load reports, twice: by the append and by the loader."""
+    from marquee import schemas
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    from marquee.streaming.load import load_documents
+    d, rows = den(spark, sf_dir), []
+    for kind, schema in (("movies", schemas.DEN_MOVIES), ("actors", schemas.DEN_ACTORS)):
+        src = scratch_path(spark, "export")
+        files.write_json(d[kind], src)
+        rows.append((kind, files.append(files.read_json(spark, src, schema), scratch_path(spark, "appended")),
+                     load_documents(spark, src, schema, scratch_path(spark, "collection"))))
+    return spark.createDataFrame(rows, "collection string, n_loaded bigint, n_again bigint")
+
+
 @register("den_directors_from_csv", _W_DIRECTORS + """
-select d.id, 0 as list_part, d.first_name, d.last_name,
-  coalesce(l.list_movies_id, '') as list_movies_id,
+select d.id, d.first_name, d.last_name, coalesce(l.n_movies, 0) as n_movies,
   coalesce(g.dict_text, '') as dict_genres_den_prob
-from directors d left join movie_lists l on l.director_id = d.id
+from directors d left join movie_counts l on l.director_id = d.id
 left join genre_maps g on g.director_id = d.id""")
 def q_den_directors_from_csv(spark, sf_dir):
     """den_directors from CSV sources, directors_genres read as its own file
@@ -721,8 +924,35 @@ def q_den_directors_from_csv(spark, sf_dir):
     from marquee.session import scratch_path
     from marquee.sources import files
     base = scratch_path(spark, "sources-csv")
-    files.export_sources(Catalog(spark, sf_dir), base)
-    d = denormalize.build_all(files.CsvCatalog(spark, base))["directors"]
-    return d.select("id", "list_part", "first_name", "last_name",
-                    D.sorted_text("list_movies_id").alias("list_movies_id"),
-                    D.map_text("dict_genres_den_prob").alias("dict_genres_den_prob"))
+    names = ("directors", "movies_directors", "directors_genres")
+    files.export_sources(Catalog(spark, sf_dir), base, names)
+    csv = files.CsvCatalog(spark, base)
+    return _directors_text(denormalize.den_directors(*[csv.table(n) for n in names]))
+
+
+# -- the eight queries over the stored catalogue, as plans and as SQL ----------
+
+def _over_stored() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+    lookup = lambda fn: lambda t: fn(t["movies"], t["directors"], t["director_movies"])
+    return {"ru1": lambda t: Q.ru1(t["movies"]), "ru2": lambda t: Q.ru2(t["directors"]),
+            "ru2_strict": lambda t: Q.ru2(t["directors"], strict=True), "ru3": lambda t: Q.ru3(t["movies"]),
+            "ru4": lookup(Q.ru4), "rda1": lookup(Q.rda1), "rda2": lambda t: Q.rda2(t["directors"]),
+            "rda3": lambda t: Q.rda3(t["movies"]), "rda4_top": lookup(Q.rda4_top), "rda4_max": lookup(Q.rda4_max)}
+
+
+def _register_stored() -> None:
+    from marquee.plans import sql
+    for name, plan in _over_stored().items():
+        def by_plan(spark, sf_dir, plan=plan, name=name):
+            out = plan(stored(spark, sf_dir))
+            return _rounded(out, "average_rank") if name == "rda1" else out
+
+        def by_sql(spark, sf_dir, name=name):
+            sql.register_catalogue(stored(spark, sf_dir))
+            out = sql.run(spark, name)
+            return _rounded(out, "average_rank") if name == "rda1" else out
+        register(f"stored_{name}", ORACLE[name])(by_plan)
+        register(f"sql_{name}", ORACLE[name])(by_sql)
+
+
+_register_stored()

@@ -7,19 +7,17 @@ here the total is counted in the same pass as the matching rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions import docops as D
 from marquee.operators import aggregates as A
-from marquee.plans import catalogue as Q
 
 
 def share_directors_with_n_genres(den_directors: DataFrame, n_genres: int = 2) -> DataFrame:
     """Shr1: directors with exactly N non-zero genres against all directors."""
-    d = Q.director_rows(den_directors)
     nz = D.nonzero_entries("dict_genres_den_prob")
-    return A.share(d, F.coalesce(F.size(nz) == F.lit(n_genres), F.lit(False)))
+    return A.share(den_directors, F.coalesce(F.size(nz) == F.lit(n_genres), F.lit(False)))
 
 
 def share_movies(den_movies: DataFrame, max_actors: int = 5, min_rank: float = 7) -> DataFrame:
@@ -50,23 +48,31 @@ def distribution(tables: dict[str, DataFrame], shards: int = 4, key: str = "id")
                                  for n in tables])
 
 
-def partition_sizes(df: DataFrame) -> DataFrame:
-    """Physical distribution: rows per Spark partition of a table as read.
-    Partition counts depend on the cluster, so this has no fixed oracle."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.count(F.lit(1)).alias("rows"))
-
-
-def table_stats(name: str, df: DataFrame, list_col: str | None,
-                extra_null: str | None = None) -> DataFrame:
-    """Adm2 re-aimed: row count, distinct ids, list length min / mean / max,
-    and null count of one column, in one aggregate."""
-    size = F.size(list_col) if list_col else F.lit(None).cast("int")
+def table_stats(name: str, df: DataFrame, size: Column) -> DataFrame:
+    """Adm2 re-aimed: row count, distinct ids and the min / mean / max of a
+    list length (``size``, one value per document), in one aggregate."""
     return df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_distinct("id").alias("n_distinct_id"),
         F.min(size).cast("bigint").alias("min_list"),
-        D.round_half_up(F.avg(size)).alias("avg_list"),
+        F.avg(size).alias("avg_list"),
         F.max(size).cast("bigint").alias("max_list"),
-        F.count_if(F.col(extra_null).isNull() if extra_null else F.lit(False)).alias("n_null"),
     ).select(F.lit(name).alias("collection"), "*")
+
+
+def column_stats(name: str, df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows, nulls and distinct values of every column.
+
+    The columns are unpivoted to (column, text) first, so distinct values of
+    all columns are counted in one grouping by (column, value), combined
+    map-side and spread over all tasks, instead of one distinct per column.
+    """
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                for c in columns]))
+    values = (df.select(cells.alias("_c")).groupBy("_c.column", "_c.value")
+              .agg(F.count(F.lit(1)).alias("n")))
+    return (values.groupBy("column")
+            .agg(F.sum("n").alias("n_rows"),
+                 F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_null"),
+                 F.count("value").alias("n_distinct"))
+            .select(F.lit(name).alias("collection"), "*"))

@@ -4,7 +4,8 @@ The same plans as ``plans.catalogue``, written as parameterised SQL text
 (named markers, bound with ``spark.sql(text, args=...)``): ``IN (subquery)``
 becomes the semi join, higher-order functions (``map_filter``) stay inside
 code generation.  ``register_catalogue`` exposes the document tables as the
-views ``den_movies``, ``den_directors`` and ``den_actors``.
+views ``den_movies``, ``den_directors``, ``den_actors``, ``den_director_movies``
+and ``den_actor_movies``.
 """
 
 from __future__ import annotations
@@ -15,14 +16,14 @@ from marquee.plans import catalogue as C
 
 _DIRECTOR = """
 one AS (SELECT id FROM den_directors
-        WHERE list_part = 0 AND first_name = :first_name AND last_name = :last_name
+        WHERE first_name = :first_name AND last_name = :last_name
         ORDER BY id LIMIT 1),
-ids AS (SELECT explode(list_movies_id) AS id FROM den_directors WHERE id IN (SELECT id FROM one))"""
+ids AS (SELECT movie_id AS id FROM den_director_movies WHERE id IN (SELECT id FROM one))"""
 
 _CHOSEN = """
 chosen AS (SELECT id FROM den_directors
-           WHERE list_part = 0 AND array_contains(:names, concat(first_name, ' ', last_name))),
-ids AS (SELECT explode(list_movies_id) AS id FROM den_directors WHERE id IN (SELECT id FROM chosen)),
+           WHERE array_contains(:names, concat(first_name, ' ', last_name))),
+ids AS (SELECT movie_id AS id FROM den_director_movies WHERE id IN (SELECT id FROM chosen)),
 m AS (SELECT id, name, rank, explode(list_genres) AS genre FROM den_movies
       WHERE id IN (SELECT id FROM ids))"""
 
@@ -30,9 +31,9 @@ QUERIES: dict[str, str] = {
     "ru1": """SELECT name, rank FROM den_movies
               WHERE array_contains(list_genres, :genre) AND rank > :min_rank""",
     "ru2": """SELECT first_name, last_name FROM den_directors
-              WHERE list_part = 0 AND map_contains_key(dict_genres_den_prob, :genre)""",
+              WHERE map_contains_key(dict_genres_den_prob, :genre)""",
     "ru2_strict": """SELECT first_name, last_name FROM den_directors
-              WHERE list_part = 0 AND map_contains_key(dict_genres_den_prob, :genre)
+              WHERE map_contains_key(dict_genres_den_prob, :genre)
                 AND try_element_at(dict_genres_den_prob, :genre) != 0""",
     "ru3": """SELECT name FROM den_movies
               WHERE array_contains(list_genres, :genre) AND year = :year""",
@@ -40,22 +41,23 @@ QUERIES: dict[str, str] = {
               SELECT id, name, year, rank FROM den_movies
               WHERE array_contains(list_genres, :genre) AND id IN (SELECT id FROM ids)""",
     "rda1": f"""WITH {_DIRECTOR}
-              SELECT floor(avg(rank) * 1000000.0D + 0.5D) / 1000000.0D AS average_rank FROM den_movies
+              SELECT avg(rank) AS average_rank FROM den_movies
               WHERE rank IS NOT NULL AND NOT isnan(rank) AND id IN (SELECT id FROM ids)
               HAVING count(*) > 0""",
     "rda2": """SELECT first_name, last_name FROM den_directors
-              WHERE list_part = 0
-                AND size(map_filter(dict_genres_den_prob, (k, v) -> v IS NOT NULL AND v != 0)) = :n_genres""",
+              WHERE size(map_filter(dict_genres_den_prob, (k, v) -> v IS NOT NULL AND v != 0)) = :n_genres""",
     "rda3": """SELECT name FROM den_movies WHERE den_nb_actors < :max_actors AND rank > :min_rank""",
-    "rda4_top": f"""WITH {_CHOSEN}
-              SELECT genre, best.name AS best_name, best.rank AS best_rank FROM (
-                SELECT genre, max_by(named_struct('name', name, 'rank', rank),
-                                     struct(rank IS NOT NULL, coalesce(rank, 0D), -id)) AS best
-                FROM m GROUP BY genre)""",
-    "rda4_max": f"""WITH {_CHOSEN}
-              SELECT genre, max(coalesce(rank, CAST('-Infinity' AS DOUBLE))) AS best_rank,
-                     min_by(name, id) AS first_name
-              FROM m GROUP BY genre""",
+    "rda4_top": f"""WITH {_CHOSEN},
+              best AS (SELECT genre, max(coalesce(rank, CAST('-Infinity' AS DOUBLE))) AS best FROM m GROUP BY genre),
+              tied AS (SELECT m.genre, min(m.id) AS id FROM m JOIN best b
+                       ON m.genre = b.genre AND coalesce(m.rank, CAST('-Infinity' AS DOUBLE)) = b.best GROUP BY m.genre)
+              SELECT m.genre, m.name AS best_name, m.rank AS best_rank
+              FROM m JOIN tied t ON m.genre = t.genre AND m.id = t.id""",
+    "rda4_max": f"""WITH {_CHOSEN},
+              best AS (SELECT genre, max(coalesce(rank, CAST('-Infinity' AS DOUBLE))) AS best_rank, min(id) AS id
+                       FROM m GROUP BY genre)
+              SELECT m.genre, b.best_rank, m.name AS first_name
+              FROM m JOIN best b ON m.genre = b.genre AND m.id = b.id""",
 }
 
 # default arguments of each query: the fixed values of plans.catalogue
@@ -80,6 +82,10 @@ def register_catalogue(tables: dict[str, DataFrame]) -> None:
 
 
 def run(spark: SparkSession, name: str, **params) -> DataFrame:
+    """One query with its default arguments, some replaced.  Spark ignores
+    named arguments that a text does not use, so unknown names are errors here."""
+    if unknown := set(params) - set(DEFAULTS[name]):
+        raise ValueError(f"{name} has no parameter {', '.join(sorted(unknown))}; it has {', '.join(DEFAULTS[name])}")
     args = dict(DEFAULTS[name])
     args.update(params)
     return spark.sql(QUERIES[name], args=args)

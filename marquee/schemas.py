@@ -51,17 +51,21 @@ DEN_MOVIES = T.StructType([
 
 DEN_DIRECTORS = T.StructType([
     T.StructField("id", T.LongType()),
-    T.StructField("list_part", T.IntegerType()),
     T.StructField("first_name", S),
     T.StructField("last_name", S),
-    T.StructField("list_movies_id", T.ArrayType(T.LongType())),
+    T.StructField("n_movies", T.LongType()),
     T.StructField("dict_genres_den_prob", T.MapType(S, T.DoubleType())),
 ])
 
 DEN_ACTORS = T.StructType([
     T.StructField("id", T.LongType()),
-    T.StructField("list_part", T.IntegerType()),
     T.StructField("first_name", S),
     T.StructField("last_name", S),
-    T.StructField("list_movies_id", T.ArrayType(T.LongType())),
+    T.StructField("n_movies", T.LongType()),
+])
+
+LINKS = T.StructType([
+    T.StructField("id", T.LongType()),
+    T.StructField("movie_id", T.LongType()),
+    T.StructField("n", T.LongType()),
 ])

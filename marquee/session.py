@@ -1,15 +1,18 @@
 """Session construction and the shared scratch folder.
 
-The library never picks a machine-local folder on its own: anything it has to
-write (round-trip sinks, materialised document tables, checkpoints) goes under
-the folder the cluster names in ``spark.checkpoint.dir``.  Only when that
-setting is absent (local runs, tests) do we create one and record it on the
-session.
+Anything the library writes (round-trip sinks, materialised tables, stored
+catalogues) goes under the folder the cluster names in
+``spark.checkpoint.dir``.  Only a single-machine session (master ``local`` or
+``local[n]``, as in tests) that has none gets one, removed when the process
+ends; on any other master a missing setting is an error.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -18,20 +21,20 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "marquee", extra: dict | None = None) -> SparkSession:
     """Session with the settings the plans are written for.
 
     AQE stays on: it coalesces small shuffle partitions, turns a join into a
     broadcast only once the runtime size of a side is known to be small, and
     splits skewed sort-merge join partitions.  Nothing in the library forces a
-    broadcast on a side whose size is not bounded.
+    broadcast on a side whose size is not bounded.  Sizes (shuffle partitions,
+    memory) stay as submitted unless given here.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
     conf = {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -40,6 +43,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -49,14 +54,20 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def single_machine(master: str) -> bool:
+    """``local`` and ``local[n]``; ``local-cluster`` has executors of its own."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a local one only if unset."""
+    """The shared checkpoint folder; a single machine without one gets its own."""
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        if not single_machine(spark.sparkContext.master):
             raise RuntimeError(f"{CHECKPOINT_CONF} is not set: name a folder every executor "
                                "shares (HDFS, object store); a machine-local one would not survive")
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set(CHECKPOINT_CONF, d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

@@ -81,14 +81,19 @@ class CsvCatalog:
         return type_table(read_source_csv(self.spark, os.path.join(self.base, name), name),
                           name, self.mode)
 
+    def movies_genres(self, keys: DataFrame | None = None) -> DataFrame:
+        pairs = self.table("movies_genres")
+        return pairs if keys is None else pairs.join(
+            keys.select(F.col("id").alias("movie_id")), "movie_id", "left_semi")
+
     def __getattr__(self, name: str):
         if name in schemas.SOURCE_COLUMNS:
             return lambda *args, **kw: self.table(name)
         raise AttributeError(name)
 
 
-def export_sources(cat, base: str) -> None:
-    """Write the seven source tables of a catalogue as headerless CSV under
-    ``base`` (one folder per table, one file per task)."""
-    for name in schemas.SOURCE_COLUMNS:
+def export_sources(cat, base: str, names: tuple[str, ...] = tuple(schemas.SOURCE_COLUMNS)) -> None:
+    """Write source tables of a catalogue as headerless CSV under ``base``
+    (one folder per table, one file per task)."""
+    for name in names:
         write_source_csv(cat.table(name), os.path.join(base, name))

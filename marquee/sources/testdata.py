@@ -43,12 +43,15 @@ class Catalog:
             nan_to_null(F.col("o_totalprice") / F.lit(RANK_SCALE)).alias("rank"),
         )
 
-    def movies_genres(self) -> DataFrame:
+    def movies_genres(self, keys: DataFrame | None = None) -> DataFrame:
+        """``keys`` (a DataFrame with ``id``) reads only those movies' pairs."""
         # N:M movie-genre pairs.  The join is on part key: Spark broadcasts part
         # only when its runtime size is under the threshold, else sort-merge.
         # distinct() runs a partial (map-side) aggregate first, so a movie with
         # very many lines ships at most one row per genre per map task.
         li = self.raw("lineitem").select("l_orderkey", "l_partkey")
+        if keys is not None:
+            li = li.join(keys.select(F.col("id").alias("l_orderkey")), "l_orderkey", "left_semi")
         p = self.raw("part").select("p_partkey", "p_type")
         return (li.join(p, li.l_partkey == p.p_partkey)
                 .select(F.col("l_orderkey").alias("movie_id"), F.col("p_type").alias("genre"))
@@ -92,6 +95,37 @@ class Catalog:
         return getattr(self, name)()
 
 
+class UncleanCatalog(Catalog):
+    """The same tables with a fixed share of bad values, chosen by id: text
+    that is no number, NaN and missing ranks, unknown years, zero and missing
+    genre shares.  ``UNCLEAN_CTES`` is its mapping after cleaning."""
+
+    def movies_text(self) -> DataFrame:
+        """Movies as raw text, as a source file would hold them."""
+        m = super().movies()
+        r, y = F.col("id") % 19, F.col("id") % 17
+        rank = (F.when(r == 0, "NULL").when(r == 1, "").when(r == 2, "3d").when(r == 3, "2.5f").when(r == 4, "nan")
+                .when(r == 6, "n/a").when(r != 5, F.col("rank").cast("string")))
+        year = (F.when(y == 1, "unknown").when(y == 2, "1999.5").when(y == 3, F.concat(F.col("year"), F.lit(".0")))
+                .when(y != 0, F.col("year").cast("string")))
+        return m.select(F.col("id").cast("string").alias("id"), "name", year.alias("year"), rank.alias("rank"))
+
+    def raw_movies(self) -> DataFrame:
+        """Typed, but ranks that were no number are NaN or missing."""
+        r = F.col("id") % 19
+        rank = F.when(r <= 4, F.lit(float("nan"))).when(r > 6, F.col("rank"))
+        return super().movies().withColumn("rank", rank)
+
+    def movies(self) -> DataFrame:
+        return (self.raw_movies().withColumn("rank", nan_to_null(F.col("rank")))
+                .withColumn("year", F.when(F.col("id") % 17 > 2, F.col("year"))))
+
+    def directors_genres(self, movies_genres: DataFrame | None = None) -> DataFrame:
+        k = (F.col("director_id") + F.length("genre")) % 4
+        return super().directors_genres(movies_genres).withColumn(
+            "prob", F.when(k == 0, F.lit(0.0)).when(k != 1, F.col("prob")))
+
+
 def _people(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.select(
         F.col(key).alias("id"),
@@ -123,7 +157,20 @@ ORACLE_CTES = {
 }
 
 
-def oracle_with(*names: str) -> str:
+UNCLEAN_CTES = ORACLE_CTES | {
+    "movies": """select o_orderkey as id, 'Order#' || cast(o_orderkey as varchar) as name,
+        case when o_orderkey % 17 > 2 then cast(year(o_orderdate) as int) end as "year",
+        case when o_orderkey % 19 > 6 then o_totalprice / 50000.0 end as "rank" from orders""",
+    "directors_genres": f"""select director_id, genre, case (director_id + length(genre)) % 4 when 0 then 0.0::double
+        when 1 then null else prob end as prob from ({ORACLE_CTES["directors_genres"]})""",
+}
+
+
+def unclean_with(*names: str) -> str:
+    return oracle_with(*names, ctes=UNCLEAN_CTES)
+
+
+def oracle_with(*names: str, ctes: dict[str, str] | None = None) -> str:
     """``with`` clause defining the named views (and what they depend on)."""
     deps = {"directors_genres": ["movies_directors", "movies_genres"]}
     order = ["movies", "movies_genres", "movies_directors", "roles", "directors",
@@ -137,5 +184,5 @@ def oracle_with(*names: str) -> str:
 
     for n in names:
         add(n)
-    parts = [f"{n} as ({ORACLE_CTES[n]})" for n in order if n in want]
+    parts = [f"{n} as ({(ctes or ORACLE_CTES)[n]})" for n in order if n in want]
     return "with " + ",\n".join(parts) + "\n"

@@ -115,9 +115,9 @@ def test_duplicate_map_key_raises(spark):
 
 def _dirs(spark):
     return den_directors_df(spark, [
-        (1, 0, "Zero", "Prob", [], {"Romance": 0.0, "War": 0.5}),
-        (2, 0, "Null", "Value", [], {"Romance": None, "War": 0.5}),
-        (3, 0, "Real", "One", [], {"Romance": 0.3, "War": 0.5}),
+        (1, "Zero", "Prob", 0, {"Romance": 0.0, "War": 0.5}),
+        (2, "Null", "Value", 0, {"Romance": None, "War": 0.5}),
+        (3, "Real", "One", 0, {"Romance": 0.3, "War": 0.5}),
     ])
 
 
@@ -151,33 +151,35 @@ def _catalogue(spark):
         (6, "m6", 2000, 8.0, ["Drama"], [12], 2),
     ])
     d = den_directors_df(spark, [
-        (11, 0, "Renée", "Dumont", [3, 5], {}),
-        (10, 0, "Renée", "Dumont", [1, 2, 4], {}),   # homonym with the lower id
-        (12, 0, "Other", "One", [6], {}),
+        (11, "Renée", "Dumont", 2, {}),
+        (10, "Renée", "Dumont", 3, {}),   # homonym with the lower id
+        (12, "Other", "One", 1, {}),
     ])
-    return m, d
+    links = spark.createDataFrame([(11, 3, 1), (11, 5, 1), (10, 1, 2), (10, 2, 1), (10, 4, 1), (12, 6, 1)],
+                                  schemas.LINKS)
+    return m, d, links
 
 
 def test_homonyms_use_lowest_id(spark):
-    m, d = _catalogue(spark)
-    assert sorted(r.id for r in Q.ru4(m, d, "Renée", "Dumont", "Drama").collect()) == [1, 2]
-    assert Q.rda1(m, d, "Renée", "Dumont").first().average_rank == 8.0
+    t = _catalogue(spark)
+    assert sorted(r.id for r in Q.ru4(*t, "Renée", "Dumont", "Drama").collect()) == [1, 2]
+    assert Q.rda1(*t, "Renée", "Dumont").first().average_rank == 8.0
 
 
 def test_unknown_director(spark):
-    m, d = _catalogue(spark)
-    assert Q.ru4(m, d, "No", "Body", "Drama").count() == 0
-    assert Q.rda1(m, d, "No", "Body").count() == 0
-    assert Q.rda4_top(m, d, ["No Body"]).count() == 0
-    assert Q.rda4_max(m, d, ["No Body"]).count() == 0
+    t = _catalogue(spark)
+    assert Q.ru4(*t, "No", "Body", "Drama").count() == 0
+    assert Q.rda1(*t, "No", "Body").count() == 0
+    assert Q.rda4_top(*t, ["No Body"]).count() == 0
+    assert Q.rda4_max(*t, ["No Body"]).count() == 0
 
 
 def test_rank_tie_and_unranked_group(spark):
-    m, d = _catalogue(spark)
-    top = {r.genre: (r.best_name, r.best_rank) for r in Q.rda4_top(m, d, ["Renée Dumont"]).collect()}
+    t = _catalogue(spark)
+    top = {r.genre: (r.best_name, r.best_rank) for r in Q.rda4_top(*t, ["Renée Dumont"]).collect()}
     assert top["Drama"] == ("m2", 9.0)     # m2 and m3 tie on 9.0: lowest id
     assert top["Noir"] == ("m4", None)     # only unranked movies: lowest id
-    mx = {r.genre: (r.best_rank, r.first_name) for r in Q.rda4_max(m, d, ["Renée Dumont"]).collect()}
+    mx = {r.genre: (r.best_rank, r.first_name) for r in Q.rda4_max(*t, ["Renée Dumont"]).collect()}
     assert mx["Noir"] == (float("-inf"), "m4")
     assert mx["Drama"] == (9.0, "m1")      # literal form: first name is not the best
 
@@ -224,11 +226,60 @@ def test_share_counts_total(spark):
 
 
 def test_split_trim(spark):
-    df = spark.createDataFrame([("Mike Nichols, 'Arthur Penn' ,  Woody Allen",)], "s string")
-    assert df.select(D.split_trim("s")).first()[0] == ["Mike Nichols", "Arthur Penn", "Woody Allen"]
-    assert D.split_trim_py("Mike Nichols, 'Arthur Penn'") == ["Mike Nichols", "Arthur Penn"]
+    df = spark.createDataFrame([("Ana Sol, 'Ben Tau' ,\t Cleo Ursa\n",)], "s string")
+    assert df.select(D.split_trim("s")).first()[0] == ["Ana Sol", "Ben Tau", "Cleo Ursa"]
+    assert D.split_trim_py("Ana Sol, 'Ben Tau'") == ["Ana Sol", "Ben Tau"]
 
 
 def test_percent_label_half_up(spark):
     df = spark.createDataFrame([(12.25,), (12.35,), (0.0,)], "x double")
     assert [r[0] for r in df.select(D.percent_label("x")).collect()] == ["12.3%", "12.4%", "0.0%"]
+
+
+def test_numbers_with_type_suffixes_are_no_numbers(spark):
+    df = spark.createDataFrame([("3d",), ("2.5f",), ("1e3",), (" 7.5 ",), ("-.5",), ("inf",), ("nan",), ("12",)], "v string")
+    doubles = [r[0] for r in df.select(clean.lenient(F.col("v"), "double")).collect()]
+    assert doubles == [None, None, 1000.0, 7.5, -0.5, float("inf"), None, 12.0]
+    typed = spark.createDataFrame([(1e-7,), (None,), (NAN,)], "v double").select(clean.lenient(F.col("v"), "double"))
+    assert [r[0] for r in typed.collect()] == [1e-7, None, None]
+
+
+def test_rounding_neither_clamps_nor_hides_nan(spark):
+    df = spark.createDataFrame([(1e14,), (-1e300,), (NAN,), (float("inf"),), (0.0000015,), (None,)], "x double")
+    got = [r[0] for r in df.select(D.round_half_up("x")).collect()]
+    assert got[:2] == [1e14, -1e300] and math.isnan(got[2]) and got[3:] == [float("inf"), 0.000002, None]
+
+
+def test_means_and_shares_are_not_rounded(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (2.0,)], "x double")
+    assert A.global_avg(df, "x", "m").first().m == 5 / 3
+    assert A.share(df, F.col("x") > 1).first().pct_matched == 200 / 3
+
+
+def test_null_memberships_match_nothing(spark):
+    df = spark.createDataFrame([(None, None, None), ("a", ["a", None], {"a": 1.0})],
+                               "c string, l array<string>, m map<string,double>")
+    assert df.filter(D.in_list("c", ["a"])).count() == 1
+    assert df.filter(D.any_element_in("l", ["a", "b"])).count() == 1
+    assert df.filter(D.map_has_key("m", "a")).count() == 1
+
+
+def test_strict_typing_raises_on_the_unclean_text(spark):
+    from marquee.sources.testdata import UncleanCatalog
+    from conftest import SF_SMALL
+    text = UncleanCatalog(spark, SF_SMALL).movies_text()
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        clean.type_table(text, "movies", "strict").collect()
+
+
+def test_column_stats_by_hand(spark):
+    from marquee.plans.reports import column_stats
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, "a"), (None, None)], "id int, s string")
+    got = {r.column: (r.n_rows, r.n_null, r.n_distinct) for r in column_stats("t", df, ["id", "s"]).collect()}
+    assert got == {"id": (4, 1, 2), "s": (4, 2, 1)}
+
+
+def test_a_session_names_its_folder_on_a_cluster():
+    from marquee.session import single_machine
+    assert single_machine("local") and single_machine("local[8]")
+    assert not any(map(single_machine, ("local-cluster[3,2,3000]", "yarn", "spark://h:1")))

@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from marquee.operators import denormalize, nest
+from marquee.operators import denormalize
 from marquee.plans import catalogue as Q
 from marquee.sources.testdata import Catalog
 
@@ -14,60 +14,19 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_pre_aggregated_equals_join_then_group(spark):
-    c = Catalog(spark, SF_SMALL)
-    args = (c.movies(), c.movies_genres(), c.movies_directors(), c.roles())
-    a = denormalize.den_movies(*args)
-    b = denormalize.join_then_group_movies(*args).select(*a.columns)
-    assert rows(a) == rows(b)
-
-
 def test_rda4_top_equals_row_number_form(spark):
     den = denormalize.build_all(Catalog(spark, SF_SMALL))
-    m, d = den["movies"], den["directors"]
+    three = den["movies"], den["directors"], den["director_movies"]
     names = Q.default_names(40)
-    sel = Q.selected_movies(m, d, names)
+    sel = Q.selected_movies(*three, names)
     w = Window.partitionBy("genre").orderBy(F.col("rank").desc_nulls_last(), F.col("id"))
     ref = (sel.withColumn("rn", F.row_number().over(w)).filter("rn = 1")
            .select("genre", F.col("name").alias("best_name"), F.col("rank").alias("best_rank")))
-    assert rows(Q.rda4_top(m, d, names)) == rows(ref)
-
-
-def _whole_lists(df):
-    out = {}
-    for r in df.collect():
-        out.setdefault(r.id, []).extend(r.list_movies_id)
-    return {k: sorted(v) for k, v in out.items()}
-
-
-def test_bucket_layout_keeps_every_element(spark):
-    c = Catalog(spark, SF_SMALL)
-    whole = denormalize.den_actors(c.actors(), c.roles())
-    split = denormalize.den_actors(c.actors(), c.roles(), max_len=25)
-    assert whole.agg(F.max("list_part")).first()[0] == 0
-    parts = split.groupBy("id").count().collect()
-    assert max(r["count"] for r in parts) > 1          # hot keys were split
-    assert _whole_lists(split) == _whole_lists(whole)    # nothing dropped or added
-    # every bucket stays near the target size
-    assert split.agg(F.max(F.size("list_movies_id"))).first()[0] < 25 * 3
-
-
-def test_bucket_layout_directors_fields_on_every_part(spark):
-    c = Catalog(spark, SF_SMALL)
-    whole = denormalize.den_directors(c.directors(), c.movies_directors(), c.directors_genres())
-    split = denormalize.den_directors(c.directors(), c.movies_directors(), c.directors_genres(),
-                                      max_len=3)
-    assert _whole_lists(split) == _whole_lists(whole)
-    assert split.filter("list_part = 0").count() == whole.count()
-    # director-level queries read part 0 only, so splitting does not change them
-    assert rows(Q.rda2(split, 5)) == rows(Q.rda2(whole, 5))
-    m = denormalize.build_all(c)["movies"]
-    assert rows(Q.rda4_top(m, split)) == rows(Q.rda4_top(m, whole))
-    assert rows(Q.ru4(m, split, "Customer", "000000007", "SMALL")) == \
-        rows(Q.ru4(m, whole, "Customer", "000000007", "SMALL"))
+    assert rows(Q.rda4_top(*three, names)) == rows(ref)
 
 
-def test_hot_keys_bounded(spark):
-    df = spark.createDataFrame([(1, i) for i in range(100)] + [(2, 0)], "id bigint, v bigint")
-    hot = nest.hot_keys(df, "id", 10).collect()
-    assert [(r.id, r._parts) for r in hot] == [(1, 10)]
+def test_movies_of_ids_equal_the_whole_build_filtered(spark):
+    cat = Catalog(spark, SF_SMALL)
+    ids = cat.movies().filter("id % 10 = 3").select("id")
+    whole = denormalize.build_all(cat)["movies"].join(ids, "id", "left_semi")
+    assert rows(denormalize.movies_for(cat)(ids)) == rows(whole)

@@ -1,90 +1,87 @@
 """The denormalisation job writes a catalogue the queries read unchanged."""
 
-import re
+import pytest
 
 from marquee.operators import denormalize
 from marquee.plans import catalogue as Q
 from marquee.plans import jobs
 from marquee.sources.testdata import Catalog
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, planned_without_broadcast
 
 
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def lookups(t):
+    three = t["movies"], t["directors"], t["director_movies"]
+    return [rows(q(*three)) for q in (Q.ru4, Q.rda1, Q.rda4_top, Q.rda4_max)]
+
+
 def test_stored_catalogue_answers_like_lazy_build(spark):
-    names = jobs.denormalize_job(spark, SF_SMALL, prefix="t_den", max_len=20)
+    names = jobs.denormalize_job(spark, SF_SMALL, 4, prefix="t_den")
     stored = jobs.open_catalogue(spark, names)
-    lazy = denormalize.build_all(Catalog(spark, SF_SMALL), max_len=20)
-    assert rows(stored["movies"]) == rows(lazy["movies"].select(*stored["movies"].columns))
-    for q in (lambda m, d: Q.ru4(m, d), lambda m, d: Q.rda1(m, d), lambda m, d: Q.rda4_top(m, d),
-              lambda m, d: Q.rda4_max(m, d)):
-        assert rows(q(stored["movies"], stored["directors"])) == rows(q(lazy["movies"], lazy["directors"]))
+    cat = Catalog(spark, SF_SMALL)
+    lazy = denormalize.build_all(cat)
+    for k in ("movies", "director_movies", "actor_movies", "actors"):
+        assert rows(stored[k]) == rows(lazy[k].select(*stored[k].columns))
+    assert lookups(stored) == lookups(lazy)
+    three = lazy["movies"], lazy["directors"], lazy["director_movies"]
+    for got, q in zip(lookups(stored), (Q.ru4, Q.rda1, Q.rda4_top, Q.rda4_max)):
+        assert got == rows(q(*three, movies_for=denormalize.movies_for(cat)))
     assert rows(Q.rda2(stored["directors"], 5)) == rows(Q.rda2(lazy["directors"], 5))
 
 
 def test_lookup_does_not_shuffle_bucketed_movies(spark):
-    names = jobs.denormalize_job(spark, SF_SMALL, prefix="t_den2")
+    names = jobs.denormalize_job(spark, SF_SMALL, 4, prefix="t_den2")
     c = jobs.open_catalogue(spark, names)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        df = Q.ru4(c["movies"], c["directors"])
-        text = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    with planned_without_broadcast(spark):
+        text = Q.ru4(c["movies"], c["directors"], c["director_movies"])._jdf.queryExecution().executedPlan().toString()
     lines = text.splitlines()
-    scan = [i for i, ln in enumerate(lines) if "t_den2_movies" in ln][0]
-    assert "SelectedBucketsCount" in lines[scan] or "Bucketed" in text
-    # walk up from the den_movies scan to the join: no Exchange in between
-    i = scan
-    while "SortMergeJoin" not in lines[i]:
-        assert "Exchange" not in lines[i], text
-        i -= 1
-    assert "LeftSemi" in lines[i]
-
-
-def test_hot_table_is_bounded_then_broadcast(spark, monkeypatch):
-    from pyspark.sql import functions as F
-
-    from marquee.session import scratch_path
-    # key 1 holds half of all rows; 5000 other keys hold 2 each
-    child = spark.range(0, 20000).select(
-        F.when(F.col("id") % 2 == 0, F.lit(1)).otherwise(F.col("id") % 5000 + 2).cast("bigint").alias("id"))
-    monkeypatch.setattr(jobs, "HOT_BROADCAST_ROWS", 3)
-    h = jobs.hot_table(child, 1, scratch_path(spark, "hot"), "hot")
-    assert [(r.id, r._parts) for r in h.collect()] == [(1, 2)]    # widened bucket size
-    assert "ResolvedHint" in h._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in h._jdf.queryExecution().logical().toString().lower()
+    # neither the movies nor the links meet an exchange below their join
+    for table in ("t_den2_movies", "t_den2_director_movies"):
+        i = next(k for k, ln in enumerate(lines) if table in ln)
+        while "SortMergeJoin" not in lines[i]:
+            assert "Exchange" not in lines[i], text
+            i -= 1
 
 
-def test_catalogue_reattached_in_a_new_definition(spark, tmp_path):
+def test_reattached_with_its_own_bucket_count(spark, tmp_path):
     out = str(tmp_path / "cat")
-    names = jobs.denormalize_job(spark, SF_SMALL, out_dir=out, buckets=4, prefix="t_den3")
-    before = rows(Q.rda4_top(*[jobs.open_catalogue(spark, names)[k] for k in ("movies", "directors")]))
+    names = jobs.denormalize_job(spark, SF_SMALL, 8, out_dir=out, prefix="t_den3")
+    before = lookups(jobs.open_catalogue(spark, names))
     for n in names.values():
         spark.sql(f"DROP TABLE {n}")          # external tables: files stay
-    again = jobs.attach_catalogue(spark, out, 4, prefix="t_den3")
-    c = jobs.open_catalogue(spark, again)
-    assert rows(Q.rda4_top(c["movies"], c["directors"])) == before
-    plan = c["movies"].join(c["directors"].select("id"), "id", "left_semi")._jdf \
-        .queryExecution().executedPlan().toString()
-    assert "SelectedBucketsCount" in plan or "Bucketed: true" in plan or "bucket" in plan.lower()
+    for wrong in (4, 16):
+        with pytest.raises(ValueError, match="8 buckets"):
+            jobs.attach_catalogue(spark, out, prefix="t_den3", buckets=wrong)
+    again = jobs.attach_catalogue(spark, out, prefix="t_den3")
+    with planned_without_broadcast(spark):
+        assert lookups(jobs.open_catalogue(spark, again)) == before
+    assert jobs.attach_catalogue(spark, out, prefix="t_den3", buckets=8) == again
+    # the name is taken by another folder
+    other = str(tmp_path / "other")
+    jobs.denormalize_job(spark, SF_SMALL, 4, out_dir=other, prefix="t_den3b")
+    with pytest.raises(ValueError, match="another prefix"):
+        jobs.attach_catalogue(spark, other, prefix="t_den3")
+
+
+def test_incomplete_catalogue_is_an_error(spark, tmp_path):
+    spark.createDataFrame([("movies", 4, "id", ["id"], "`id` bigint")], jobs.MANIFEST_SCHEMA) \
+        .write.json(str(tmp_path / "part" / jobs.MANIFEST))
+    with pytest.raises(ValueError, match="no complete catalogue"):
+        jobs.attach_catalogue(spark, str(tmp_path / "part"), prefix="t_part")
 
 
 def test_export_json_then_stream_load(spark, tmp_path):
-    from marquee.session import scratch_path
-    from marquee.streaming.load import load_documents
     from marquee import schemas
-    names = jobs.denormalize_job(spark, SF_SMALL, prefix="t_den4")
+    from marquee.session import scratch_path
+    from marquee.streaming.load import load_documents, read_collection
+    names = jobs.denormalize_job(spark, SF_SMALL, 4, prefix="t_den4")
     c = jobs.open_catalogue(spark, names)
     paths = jobs.export_json(c, str(tmp_path / "json"))
-    assert len([f for f in __import__("os").listdir(paths["movies"]) if f.endswith(".json")]) >= 1
     table = scratch_path(spark, "loaded-actors")
-    n = load_documents(spark, paths["actors"], schemas.DEN_ACTORS, table)
-    assert n == c["actors"].count()
-    back = spark.read.parquet(table)
-    assert rows(back.select(*c["actors"].columns)) == rows(c["actors"])
+    assert load_documents(spark, paths["actors"], schemas.DEN_ACTORS, table) == c["actors"].count()
+    back = read_collection(spark, schemas.DEN_ACTORS, table)
+    assert rows(back) == rows(c["actors"].select(*back.columns))

@@ -10,7 +10,7 @@ from marquee.plans import registry
 from marquee.session import scratch_path
 from marquee.sources.testdata import Catalog
 
-from conftest import SF_SMALL
+from conftest import SF_SMALL, planned_without_broadcast
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas",
             "MapInPandas")
@@ -53,7 +53,7 @@ def test_ru1_over_stored_documents_is_one_stage(spark):
 
 def test_rda4_is_a_semi_join_plan(spark):
     d = _stored(spark)
-    df = Q.rda4_top(d["movies"], d["directors"])
+    df = Q.rda4_top(d["movies"], d["directors"], d["director_movies"])
     assert "LeftSemi" in optimized(df)
 
 
@@ -74,25 +74,39 @@ def test_den_movies_joins_need_no_exchange_on_aggregated_side(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # one exchange per input and per aggregate: movies (repartition by id),
+    # one exchange per input and per aggregate: movies (distinct, then by id),
     # lineitem and part (their join), genre pairs (distinct), genre lists,
-    # director lists, role counts = 7.  The three left joins add none: each
-    # meets an aggregate already hash-partitioned on the movie id.
-    import re
+    # director lists, role counts = 8.  The three left joins add none on the
+    # aggregated side: it is already hash-partitioned on the movie id.
     n_ex = len(re.findall(r"^\(\d+\) Exchange", text, flags=re.M))
-    assert n_ex == 7, text
+    assert n_ex == 8, text
 
 
-def test_ru4_end_to_end_builds_only_the_looked_up_documents(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        text = plan(registry.QUERIES["ru4"](spark, SF_SMALL))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # the one-row key is broadcast into the directors, orders and genre-share
-    # inputs of the document build: every list aggregate sees that director only
-    semis = re.findall(r"^\(\d+\) BroadcastHashJoin(?: \[codegen id : \d+\])?\n"
-                       r"Left keys.*\nRight keys.*\nJoin type: LeftSemi", text, flags=re.M)
-    assert len(semis) >= 3, text
+def test_lookups_build_only_the_looked_up_movies(spark):
+    with planned_without_broadcast(spark):
+        for name in ("ru4", "rda1", "rda4_top", "rda4_max"):
+            df = registry.QUERIES[name](spark, SF_SMALL)
+            text = plan(df)
+            # no list of movie ids is ever collected
+            assert not re.search(r"collect_list\(movie_id", text), name
+            # the parent and every child that is read meet the ids before any aggregate
+            assert optimized(df).count("LeftSemi") >= (2 if name == "rda1" else 3), name
+
+
+def test_pushed_ids_are_one_semi_join(spark):
+    df = registry.QUERIES["agg_push"](spark, SF_SMALL)
+    with planned_without_broadcast(spark):
+        text = plan(registry.QUERIES["agg_push"](spark, SF_SMALL))
+    assert optimized(df).count("Join ") == 1 and len(re.findall(r"Scan parquet", text)) >= 2
+    assert "Aggregate" not in optimized(df)
+
+
+def test_no_sort_aggregate_in_the_catalogue_queries(spark):
+    with planned_without_broadcast(spark):
+        for name in ("ru4", "rda1", "rda4_top", "rda4_max", "rda2", "rpt_table_stats", "rpt_share_movies"):
+            assert "SortAggregate" not in plan(registry.QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_id_list_reaches_the_scan(spark):
+    text = plan(registry.QUERIES["flt_in_list_id"](spark, SF_SMALL))
+    assert re.search(r"PushedFilters: \[In\(o_orderkey", text), text

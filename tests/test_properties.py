@@ -1,11 +1,12 @@
 """Property tests on random small inputs (brute force in Python as the oracle)."""
 
+from collections import Counter
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from marquee.operators import aggregates as A
-from marquee.operators import denormalize
+from marquee.operators import denormalize, nest
 
 SETTINGS = settings(max_examples=8, deadline=None,
                     suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -15,40 +16,39 @@ genre = st.sampled_from(["Drama", "War", "Noir", None])
 rank = st.one_of(st.none(), st.floats(min_value=0, max_value=10, allow_nan=False))
 
 
-def rows(df):
-    return sorted(tuple(r) for r in df.collect())
-
-
 @SETTINGS
 @given(movies=st.dictionaries(ids, rank, min_size=1, max_size=8),
        genres=st.lists(st.tuples(ids, genre), max_size=15),
        dirs=st.lists(st.tuples(ids, ids), max_size=15),
        roles=st.lists(st.tuples(ids, ids), max_size=15))
-def test_pre_aggregated_equals_join_then_group(spark, movies, genres, dirs, roles):
+def test_movie_documents_match_brute_force(spark, movies, genres, dirs, roles):
     m = spark.createDataFrame([(k, f"m{k}", 2000, r) for k, r in movies.items()],
                               "id bigint, name string, year int, rank double")
     g = spark.createDataFrame(genres, "movie_id bigint, genre string")
     d = spark.createDataFrame(dirs, "director_id bigint, movie_id bigint")
     r = spark.createDataFrame([(a, mv, "x") for a, mv in roles], "actor_id bigint, movie_id bigint, role string")
-    a = denormalize.den_movies(m, g, d, r)
-    b = denormalize.join_then_group_movies(m, g, d, r).select(*a.columns)
-    assert rows(a) == rows(b)
+    want = sorted((k, x, sorted(t for i, t in genres if i == k and t is not None),
+                   sorted(p for p, i in dirs if i == k), sum(i == k for _, i in roles)) for k, x in movies.items())
+    pick = ("id", "rank", "list_genres", "list_directors_id", "den_nb_actors")
+    whole = denormalize.den_movies(m, g, d, r)
+    assert sorted(tuple(x) for x in whole.select(*pick).collect()) == want
+    some = spark.createDataFrame([(k,) for k in list(movies)[::2]], "id bigint")
+    part = denormalize.den_movies(m, g, d, r, keys=some)
+    assert sorted(tuple(x) for x in part.select(*pick).collect()) == [w for w in want if w[0] in list(movies)[::2]]
 
 
 @SETTINGS
 @given(pairs=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 40)), min_size=1, max_size=60),
-       max_len=st.integers(1, 6))
-def test_bucket_layout_keeps_every_element(spark, pairs, max_len):
-    actors = spark.createDataFrame([(i, "A", "B", None) for i in range(5)],
-                                   "id bigint, first_name string, last_name string, gender string")
+       width=st.integers(1, 50))
+def test_chunks_keep_every_pair(spark, pairs, width):
     roles = spark.createDataFrame([(a, m, "r") for a, m in pairs], "actor_id bigint, movie_id bigint, role string")
     got = {}
-    for row in denormalize.den_actors(actors, roles, max_len=max_len).collect():
-        got.setdefault(row.id, []).extend(row.list_movies_id)
-    want = {i: sorted(m for a, m in pairs if a == i) for i in range(5)}
-    assert {k: sorted(v) for k, v in got.items()} == want
-    parts0 = denormalize.den_actors(actors, roles, max_len=max_len).filter("list_part = 0").count()
-    assert parts0 == 5          # every actor has its part 0, hot or not
+    for row in nest.chunk_lists(nest.link_rows(roles, "actor_id"), width).collect():
+        assert row.list_movies == sorted(row.list_movies) and len(row.list_movies) <= width
+        for e in row.list_movies:
+            assert e.movie_id // width == row.chunk
+            got[row.id, e.movie_id] = e.n
+    assert got == Counter(pairs)
 
 
 @SETTINGS
