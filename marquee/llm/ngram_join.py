@@ -50,7 +50,7 @@ from marquee.llm.components import components
 BUCKET_BITS = 18                       # of the corpus histogram: 2 MB at any input size
 HISTOGRAM_PARTS = 64
 CACHE_WORDS = 1 << 18
-SIGNATURE_BITS = 4                     # per shingle, rounded up to a power of two in all
+SIGNATURE_BITS = 3                     # per shingle, rounded up to a power of two in all
 BLOCK = 512                            # nodes a side of a tile block
 BROADCAST_IDS = 1_000_000              # doc_ids (8 MB) up to which a re-read is filtered by broadcast
 ADDED = ["n_shingles", "component_id", "node"]
@@ -296,12 +296,12 @@ def block_pairs(percent: int, spanning: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, outer, inner = None, [], []
 
-        def pairs() -> set[tuple[int, int]]:
+        def pairs() -> set[tuple[int, int, int]]:
             found = (few_pairs if len(outer) * len(inner) <= 256 else many_pairs)(outer, inner, percent)
-            return {(min(p[1:3]), max(p[1:3])) for p in (forest(found) if spanning else found)}
+            return {(key[0], min(p[1:3]), max(p[1:3])) for p in (forest(found) if spanning else found)}
 
         for b in batches:
-            found: set[tuple[int, int]] = set()
+            found: set[tuple[int, int, int]] = set()
             cols = [b.column(c).to_pylist() for c in ("tile", "o", "i", "outer", "node", "comp", "n", "core", "signature")]
             for tile, o, i, is_outer, *row in zip(*cols):
                 if (tile, o, i) != key:
@@ -315,8 +315,8 @@ def block_pairs(percent: int, spanning: bool):
 
 
 def pair_batch(pairs: set) -> pa.RecordBatch:
-    a = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], ["a", "b"])
+    a = np.array(sorted(pairs), dtype=np.int64).reshape(-1, 3)
+    return pa.RecordBatch.from_arrays([pa.array(a[:, i]) for i in range(3)], ["tile", "a", "b"])
 
 
 def node_sets(k: int):
@@ -400,7 +400,7 @@ def leader_pairs(members: DataFrame) -> DataFrame:
 
 def left_over_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int,
                     spanning: bool) -> DataFrame:
-    """Candidate pairs between components that share a tile."""
+    """(tile, a, b): candidate pairs between components that share a tile, stored."""
     own = members.join(roots, "node", "left").select(
         "tile", "node", "core", F.coalesce("root", "node").alias("comp"))
     open_ = own.groupBy("tile").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1")
@@ -420,7 +420,8 @@ def left_over_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, perc
     outer = (rows.filter("comp <> big").withColumn("o", mine(F.col("_out"))).withColumn("i", every(F.col("_in")))
              .withColumn("outer", F.lit(True)).select(cols))
     cells = inner.unionByName(outer).repartition("tile", "o", "i").sortWithinPartitions("tile", "o", "i")
-    return cells.mapInArrow(block_pairs(percent, spanning), "a long, b long").distinct()
+    return common.materialize(cells.mapInArrow(block_pairs(percent, spanning), "tile long, a long, b long"),
+                              "ngram-pairs")
 
 
 def join_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
@@ -435,7 +436,10 @@ def join_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     links = verify(leader_pairs(members), nodes, docs, k, percent)
     roots = components(links)
     for spanning in (True, False):
-        more = verify(left_over_pairs(members, nodes, roots, percent, spanning), nodes, docs, k, percent)
+        pairs = left_over_pairs(members, nodes, roots, percent, spanning)
+        more = verify(pairs.select("a", "b").distinct(), nodes, docs, k, percent)
+        # a tile without candidates has none after more components have joined either
+        members = members.join(pairs.select("tile").distinct(), "tile", "left_semi")
         if more.count():
             links = links.unionByName(more)
             roots = components(links)
