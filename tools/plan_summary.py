@@ -35,13 +35,15 @@ def stats(text: str) -> dict:
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.001"
-    import __spark_entry__ as E
+    from marquee.plans import registry
     from marquee.session import build_session
-    spark = build_session("local[4]", extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
+    spark = build_session("local[4]", shuffle_partitions=8, extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
                                              "spark.sql.adaptive.enabled": "false"})
     mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     rows = []
-    for name, fn in sorted(E.queries().items()):
+    for name, fn in sorted(registry.QUERIES.items()):
+        if name.startswith(("stored_", "sql_")):
+            continue
         df = fn(spark, sf_dir)
         s = stats(df._jdf.queryExecution().explainString(mode))
         rows.append((name, s))
@@ -59,14 +61,8 @@ def main(argv):
     for name, s in rows:
         out.append(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
     # the production path: the eight queries over the stored, bucketed catalogue
-    from marquee.plans import catalogue as Q
-    from marquee.plans import jobs
-    names = jobs.denormalize_job(spark, sf_dir, prefix="plan_den", buckets=8)
-    c = jobs.open_catalogue(spark, names)
-    m, d = c["movies"], c["directors"]
-    stored = {"ru1": Q.ru1(m), "ru2": Q.ru2(d), "ru3": Q.ru3(m), "ru4": Q.ru4(m, d),
-              "rda1": Q.rda1(m, d), "rda2": Q.rda2(d), "rda3": Q.rda3(m), "rda4_top": Q.rda4_top(m, d),
-              "rda4_max": Q.rda4_max(m, d)}
+    stored = {name.removeprefix("stored_"): fn(spark, sf_dir) for name, fn in registry.QUERIES.items()
+              if name.startswith("stored_")}
     cols2 = cols + ["bucketed"]
     out += ["",
             "## Over the stored catalogue (`plans/jobs.py`)",
