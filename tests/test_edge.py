@@ -3,9 +3,7 @@
 import math
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marquee import schemas
 from marquee.functions import clean
