@@ -36,7 +36,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def broadcast_if_small(stored: DataFrame, max_rows: int) -> DataFrame:
     """A stored table, marked for broadcast when it has at most ``max_rows``
     rows; beyond that the join shuffles it like any other."""
-    return F.broadcast(stored) if stored.count() <= max_rows else stored
+    return stored.hint("broadcast") if stored.count() <= max_rows else stored
 
 
 def drop_clashes(df: DataFrame, names: list[str]) -> DataFrame:

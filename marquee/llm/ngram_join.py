@@ -425,7 +425,7 @@ def left_over_pairs(members: DataFrame, nodes: DataFrame, roots: DataFrame, perc
 
 
 def join_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """(doc_id, _row, n_shingles, node, component_id), a row per document."""
+    """(doc_id, _row, n_shingles, node, root, component_id), a row per document."""
     order = docs.sparkSession.sparkContext.broadcast(corpus_order(docs, k))
     sets = common.materialize(keyed(docs).mapInArrow(describe(k, percent, order), SET_SCHEMA), "ngram-sets")
     nodes = common.materialize(
@@ -445,9 +445,9 @@ def join_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
             roots = components(links)
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least_doc").alias("component_id"))
-    of_node = named.join(least, "root").select("node", "component_id")
+    of_node = named.join(least, "root").select("node", "root", "component_id")
     return (sets.join(of_node, "node", "left")
-            .select("doc_id", "_row", "n_shingles", "node",
+            .select("doc_id", "_row", "n_shingles", "node", "root",
                     F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id")))
 
@@ -456,19 +456,32 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """All columns of ``docs`` plus n_shingles, component_id and ``node``, which
     equal sets share."""
     docs = common.drop_clashes(docs, [*ADDED, "_row"])
-    found = join_components(docs, k, percent).dropDuplicates(["_row"]).drop("doc_id")
+    found = join_components(docs, k, percent).dropDuplicates(["_row"]).drop("doc_id", "root")
     return (docs.withColumn("_row", F.xxhash64("doc_id", "text"))
             .join(found, "_row").select(*docs.columns, *ADDED))
 
 
 def keep_one(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The columns and rows of ``docs`` that stay when one document of each
-    group does: its least doc_id, once."""
-    found = near_duplicates(docs, k, percent)
-    alone = found.filter("node is null")
+    """The rows of ``docs`` that stay when one document of each group does: its
+    least doc_id, once.  Documents without words form no groups and all stay.
+
+    The rows to keep are found on narrow tables; texts move only if there are
+    too many such rows to broadcast their hashes.
+    """
+    docs = common.drop_clashes(docs, ["_row"])
+    found = common.materialize(join_components(docs, k, percent), "ngram-found")
     first = (found.filter("node is not null and doc_id <=> component_id")
-             .dropDuplicates(["component_id"]))
-    return alone.unionByName(first).select(*docs.columns)
+             .groupBy("root").agg(F.min("_row").alias("_row")))
+    copies = found.groupBy("_row").agg(F.count(F.lit(1)).alias("copies"))
+    keep = common.materialize(
+        first.join(copies, "_row").select("_row", F.col("copies") > 1)
+        .toDF("_row", "repeated").unionByName(
+            found.filter("node is null").select("_row", F.lit(False).alias("repeated")).distinct()), "ngram-keep")
+    keep = common.broadcast_if_small(keep, BROADCAST_IDS)
+    rows = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
+    once = rows.join(keep.filter("not repeated"), "_row", "left_semi")
+    again = rows.join(keep.filter("repeated"), "_row", "left_semi").dropDuplicates(["_row"])
+    return once.unionByName(again).select(*docs.columns)
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

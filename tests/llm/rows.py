@@ -20,7 +20,8 @@ def edge_rows() -> list[tuple]:
         (1, base[0], "en", "a", 1), (2, base[1], "en", "a", 1), (3, base[2], "de", "b", 1),
         (4, base[3], "en", None, 1), (5, base[3], None, "b", None), (6, " ".join(near), "en", "a", 1),
         (7, None, "en", "a", 0), (8, "", "en", "b", 0), (9, " \n\t ", None, None, 0),
-        (None, base[4], "en", "a", 1), (None, None, None, None, None),
+        (None, base[4], "en", "a", 1), (None, None, None, None, None), (None, "nothing like it", "en", "a", 1),
+        (None, "nor like this one", "en", "a", 1),
         (10, base[4], "en", "c", 1), (10, base[4], "en", "c", 1),          # a repeated row
         (11, "one two", "en", "c", 1), (12, "ONE  Two", "en", "c", 1), (13, "two one", "en", "c", 1),
         (14, (base[1] + " ") * 3, "en", "a", 1), (15, "###$$$ " * 70 + base[2], "en", "a", 1),

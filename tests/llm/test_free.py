@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, lm_scoring, ngram_join, packing)
 from marquee.llm.components import components
 from marquee.llm.html_pages import LABELLED_PAGES
-from marquee.llm.registry import QUERIES
+from marquee.llm.registry import ORACLE, QUERIES
 from rows import SCHEMA, documents, edge_rows, prose
 
 SF = "/root/testdata/sf0.001"
@@ -81,6 +81,10 @@ def mutated(seed, n_base, n_copies, n_words):
     return [(i, t, "en", "s", 1) for i, t in enumerate(out)]
 
 
+def mutated_ids(rows, by):
+    return [(i + by, *r) for i, *r in rows]
+
+
 def passages(n):
     """Unlike texts that share one long passage, and near copies among them."""
     rng = random.Random(3)
@@ -90,8 +94,8 @@ def passages(n):
 
 
 @pytest.mark.parametrize("rows,k,percent", [
-    (None, 4, 85), (None, 5, 80), (mutated(1, 25, 12, 120), 4, 85), (mutated(2, 60, 5, 40), 5, 80),
-    (mutated(4, 3, 60, 300), 4, 85), (passages(150), 4, 85)])
+    (None, 5, 80), (mutated(1, 25, 12, 120) + mutated_ids(mutated(4, 3, 60, 300), 10_000), 4, 85),
+    (mutated(2, 60, 5, 40), 5, 80), (passages(150), 4, 85)])
 def test_ngram_join_is_brute_force(spark, rows, k, percent):
     rows = rows or edge_rows()
     want = brute_components([r[:2] for r in rows], k, percent)
@@ -101,22 +105,28 @@ def test_ngram_join_is_brute_force(spark, rows, k, percent):
     assert all(named[r.doc_id, r.text] == (r.n_shingles, r.component_id) for r in got)
 
 
-def test_ngram_join_query(spark):
-    t = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["doc_id", "text"]).to_pylist()
-    rows = [(r["doc_id"], r["text"]) for r in t]
-    got = {r.doc_id: r for r in QUERIES["op3_ngram_jaccard_join"](spark, "/root/testdata/sf0.01").collect()}
-    assert len(got) == len(rows)
-    for (i, text), c in zip(rows, brute_components(rows, 4, 85)):
-        assert (got[i].n_shingles, got[i].component_id) == (len(shingles(text, 4)), c)
+@pytest.mark.parametrize("name,table", [("op3_ngram_jaccard_join", "documents"), ("op5_embedding_near_dedup", "embeddings")])
+def test_joins_match_sql(spark, name, table):
+    import duckdb
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    con.sql(f"create view {table} as select * from '{sf}/{table}.parquet'")
+    ours = QUERIES[name](spark, sf)
+    cols = sorted(ours.columns)
+    theirs = con.sql(ORACLE[name]).project(", ".join(cols)).fetchall()
+    assert sorted(tuple(r) for r in ours.select(cols).collect()) == sorted(theirs)
 
 
 def test_keep_one_of_each_group(spark):
     rows = edge_rows()
-    want = Counter(c for (i, t, *_), c in zip(rows, brute_components([r[:2] for r in rows], 5, 80)) if shingles(t, 5))
-    kept = ngram_join.keep_one(documents(spark), 5, 80).collect()
-    with_words = [r for r in kept if shingles(r.text, 5)]
-    assert sorted(r.doc_id for r in with_words) == sorted(want)
-    assert len(kept) - len(with_words) == sum(not shingles(r[1], 5) for r in rows)
+    named = {(i, t): (c, bool(shingles(t, 5))) for (i, t, *_), c in zip(rows, brute_components([r[:2] for r in rows], 5, 80))}
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_one(documents(spark), 5, 80).collect()]
+    worded = [x for x in kept if named[x][1]]
+    assert all(x[0] == named[x][0] for x in worded) and len(worded) == len(set(worded))
+    # every group once: by its least id, or by itself where it has no id
+    assert {i for i, _ in worded if i is not None} == {c for c, w in named.values() if w and c is not None}
+    assert sum(i is None for i, _ in worded) == sum(c is None and w for c, w in named.values()) == 2
+    assert len(kept) - len(worded) == sum(not shingles(r[1], 5) for r in rows)
 
 
 def test_left_over_candidates_do_not_need_the_leader(spark):
