@@ -84,8 +84,9 @@ class WordIds:
     def word(self, w: bytes) -> bytes:
         s = w.decode("utf-8", "replace")
         core, tail = (s[:-1], s[-1]) if s[-1] in ".,!?;:" else (s, "")
-        if core.isalpha() and (core.isascii() or PLAIN.fullmatch(core)):     # letters, perhaps one mark
-            ids = self.part(core.lower()) + (self.part(tail) if tail else b"")
+        low = core.lower()                  # not always letters: a dotted capital I gives a combining mark
+        if low.isalpha() and (core.isascii() or PLAIN.fullmatch(core)):      # letters, perhaps one mark
+            ids = self.part(low) + (self.part(tail) if tail else b"")
         elif PLAIN.fullmatch(s) and MARK not in s:
             ids = b"".join([self.part(p) for p in WORD_PARTS.findall(s.lower())])
         else:
