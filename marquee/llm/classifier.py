@@ -159,9 +159,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> np.
     sample = (docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")     # at most train_docs rows
               .select("place", "label", "text")
               .mapInArrow(training_rows, "place long, label int, index binary, share binary"))
-    rows = (sample.repartition(1).sortWithinPartitions("place", "index")          # the bounded sample
+    # a doc_id that many rows repeat is one training row
+    sample = (sample.groupBy("place", "label").agg(F.min(F.struct("index", "share")).alias("_x"))
+              .select("place", "label", "_x.index", "_x.share"))
+    rows = (sample.repartition(1).sortWithinPartitions("place")                   # the bounded sample
             .mapInArrow(train, "weights binary").collect())
-    return np.frombuffer(rows[0].weights, np.float32)
+    return np.frombuffer(rows[0].weights, np.float32) if rows else np.zeros((1 << DIM_BITS) + 1, np.float32)
 
 
 def classify(docs: DataFrame, labels: DataFrame, carry: list[str] | None = None,
