@@ -174,7 +174,9 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     carry = [c for c in (carry or docs.columns) if c in docs.columns]
     keyed = docs.withColumns({"_lang": common.key_text(F.col("lang")),
                               "_source": common.key_text(F.col("source"))})
-    measured = common.materialize(measure(keyed, [*carry, "_lang", "_source"]), "quality-measures")
+    measured = measure(keyed, [*carry, "_lang", "_source"])
+    if "text" not in carry:            # else the texts are measured twice rather than stored once more
+        measured = common.materialize(measured, "quality-measures")
     limits = fences(common.materialize(sketches(measured), "quality-sketches"))
     # one row of seven numbers per group: a group may hold a third of the documents, so they don't move
     limits = common.broadcast_if_small(common.materialize(limits, "quality-fences"), BROADCAST_GROUPS)
