@@ -37,7 +37,7 @@ from marquee.llm.components import components
 
 MIN_COSINE = 0.98
 SAMPLE = 4096                          # classes the codebooks are trained on
-CELL_CLASSES = 64                      # wished-for classes of one label in a cell
+CELL_CLASSES = 512                     # wished-for classes of one label in a cell: a row shipped costs some hundred comparisons
 MAX_CODES = 128                        # of a codebook
 BLOCK = 1024                           # classes a side of a tile
 EPSILON = 1e-6                         # added to the radius against rounding
