@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, lm_scoring, mixing, ngram_join,
-                         packing, quality_rules, sharding)
+from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing,
+                         quality_rules, sharding, window_lm)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
-    "op2_lm_scoring": lm_scoring.op2_lm_scoring,
+    "op2_lm_scoring": window_lm.op2_lm_scoring,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op4_packing": packing.op4_packing,
     "op5_embedding_near_dedup": embedding_dedup.op5_embedding_near_dedup,
