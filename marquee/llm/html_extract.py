@@ -1,7 +1,9 @@
 """Main text of web pages by a linear-chain conditional random field.
 
 A page is read into its leaf blocks: runs of text under one path of block
-elements, in page order, with scripts, styles, markup and comments left out.
+elements, in page order, with scripts, styles, markup and comments left out, and
+what pages show as graphics or controls (svg, button, select) or not at all
+(template, noscript, iframe, textarea).  Text in math and object is text.
 Each block has features from its ancestors (tags, words of class, id and role)
 and from its text (length, links, punctuation, place).  A chain over the blocks
 with two labels, main and rest, is trained on labelled pages (the hand-labelled
@@ -13,8 +15,9 @@ Training is a few seconds of numpy on a fixed set; extraction runs page by page
 inside tasks and needs no shuffle, so a lost executor costs its pages only.
 
 Defined cases: null and empty pages give an empty text; broken markup closes
-where the next block element or end tag says so, and unclosed comments, scripts
-and tags run to the end; a null url stays null; repeated rows give repeated
+where the next block element or end tag says so (an svg, button, select, template
+or noscript left open ends with the block around it at the latest), and unclosed
+comments, scripts, styles and tags run to the end; a null url stays null; repeated rows give repeated
 results; pages of any length are read whole; an empty table gives no rows;
 other columns are dropped unless carried.
 """
@@ -38,7 +41,13 @@ BLOCK = frozenset("""address article aside blockquote body center dd details dia
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table
 tbody td tfoot th thead title tr ul""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe textarea svg math object select button".split())
+RAW = frozenset("script style iframe textarea".split())             # no markup inside
+HIDING = frozenset("noscript template svg select button".split())   # markup inside, all of it left out
+CONTROLS = {t: re.compile(rf"<(/?){t}(?![^\s/>])", re.I) for t in ("select", "button")}
+# HTML's list of the start tags that end an svg left open, and the svg elements that hold HTML
+ENDS_SVG = frozenset("""b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li
+listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var""".split())
+HTML_IN_SVG = frozenset("foreignobject desc title".split())
 CLOSES_P = BLOCK - {"body", "html", "head"}
 SAME_KIND = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
              "th": {"td", "th"}}
@@ -77,6 +86,8 @@ def element(tag: str, raw: str) -> tuple[str, tuple[str, ...], str]:
 def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     stack: list[tuple] = []                # open block elements
+    hidden: list[str] = []                 # an open HIDING element, and the elements open inside it
+    loose = False                          # that element is a control without an end tag
     text: list[str] = []
     linked, in_link = 0, False
 
@@ -93,20 +104,40 @@ def blocks(page: str) -> list[Block]:
     while at < end:
         m = TOKEN.search(page, at)
         if m is None:
-            text.append(page[at:])
+            if not hidden:
+                text.append(page[at:])
             break
-        if m.start() > at:
+        if m.start() > at and not hidden:
             text.append(page[at:m.start()])
             linked += in_link * (m.start() - at)
         at = m.end()
         tag = m[2].lower() if m[2] else None
         if tag is None:
             continue
+        empty = not m[1] and m[3].endswith("/") and (tag == "svg" or hidden[-1:] == ["svg"])
+        if not m[1] and tag in ENDS_SVG:
+            while hidden[-1:] == ["svg"]:
+                hidden.pop()
+        if hidden and (loose and not m[1] and (tag in BLOCK or tag == hidden[0])
+                       or m[1] and tag not in hidden and any(e[0] == tag for e in stack)):
+            hidden.clear()                 # the next block, or the end of the block around it
         if not m[1] and tag in RAW:
-            # skipped whole, up to its own end tag
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else end
+            # skipped whole, up to its own end tag; a script or style without one runs to the end
+            close = None if empty else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            at = close.end() if close else end if tag in ("script", "style") and not empty else at
             text.append(" ")
+        elif hidden:
+            if m[1]:
+                if tag in hidden:
+                    del hidden[len(hidden) - 1 - hidden[::-1].index(tag):]
+            elif not empty and (tag in HIDING or tag in HTML_IN_SVG or tag in BLOCK - VOID):
+                hidden.append(tag)
+        elif tag in HIDING:
+            text.append(" ")
+            if not m[1] and not empty:
+                hidden.append(tag)
+                after = CONTROLS[tag].search(page, at) if tag in CONTROLS else None
+                loose = tag in CONTROLS and not (after and after[1])
         elif tag == "a":
             in_link = not m[1]
         elif tag == "br":
