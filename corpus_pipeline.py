@@ -10,7 +10,8 @@ stages but the last return the columns of documents.
   shingles, similarity 0.8);
 * mixing: repeats and drops whole documents so that sources meet their target
   weights, in training order;
-* packing: the pieces of the fixed-length training sequences.
+* packing: the pieces of the fixed-length training sequences, with their token
+  ids (little-endian unsigned 32 bit): a sequence is its pieces' ids by offset.
 
 Further columns go through all stages but the last unchanged, whatever their
 names; ``n_chars`` follows a text that lost lines.
@@ -69,7 +70,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, carry=["doc_id"])
+    return packing.pack(docs, carry=["doc_id"], with_ids=True)
 
 
 STAGES = [
