@@ -6,10 +6,11 @@ Only the map changes when shards are added or rebalanced; a record's slot never
 does.
 
 * The record's hash is that of its text, so equal texts share a slot.  A text
-  whose copies together hold more than ``1 / (2 * shards)`` of all bytes would
-  make one slot larger than a shard may be; only its copies are salted by
-  their doc_id over all slots.  There are fewer than ``2 * shards`` such texts,
-  which bounds the broadcast that marks them.
+  whose copies together hold more than ``1 / (2 * shards)`` of all bytes, or of
+  all rows, would make one slot larger than a shard may be, or than a task
+  should number; only its copies are salted by their doc_id over all slots.
+  There are fewer than ``4 * shards`` such texts, which bounds the broadcast
+  that marks them.
 * The map is made from one row per slot (``n_slots`` rows at any input size):
   largest slot first, each to the shard with the fewest bytes so far.  That
   loop runs over the bounded slot table, not over records.
@@ -49,11 +50,12 @@ def sized(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 def assign_slots(records: DataFrame, n_slots: int, n_shards: int) -> DataFrame:
     """``records`` with ``virtual_slot``; copies of oversized texts are salted."""
-    per_text = records.groupBy("_text_hash").agg(F.sum("size").alias("_bytes"))
-    total = records.agg(F.sum("size")).first()[0] or 0
-    heavy = (per_text.filter(F.col("_bytes") * F.lit(2 * n_shards) > F.lit(total))
+    per_text = records.groupBy("_text_hash").agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    total, rows = records.agg(F.sum("size"), F.count(F.lit(1))).first()
+    heavy = (per_text.filter((F.col("_bytes") * F.lit(2 * n_shards) > F.lit(total or 0))
+                             | (F.col("_rows") * F.lit(2 * n_shards) > F.lit(rows)))
              .select("_text_hash", F.lit(True).alias("_heavy")))
-    # fewer than 2 * n_shards texts can each hold more than 1 / (2 * n_shards) of the bytes
+    # fewer than 2 * n_shards texts can each hold more than 1 / (2 * n_shards) of the bytes, or of the rows
     tagged = records.join(F.broadcast(heavy), "_text_hash", "left")
     h = F.when(F.col("_heavy"), F.xxhash64("_text_hash", "doc_id", "_row")).otherwise(F.col("_text_hash"))
     return (tagged.withColumn("virtual_slot", F.pmod(h, F.lit(n_slots)).cast("int"))
