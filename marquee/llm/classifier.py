@@ -60,7 +60,7 @@ class Features:
         """Hashes of the word and of its shape."""
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
-        s = shape(w[:64].decode("utf-8", "replace"))
+        s = shape(w.decode("utf-8", "replace"))
         h = self.cache[w] = xxhash.xxh3_64_digest(w) + xxhash.xxh3_64_digest(s.encode(), seed=1)
         return h
 
