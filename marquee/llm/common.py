@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,3 +55,13 @@ def key_text(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), c.cast("string")), F.lit("n"))
 
 
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose texts have about ``limit`` bytes
+    (at least one row each): Arrow counts rows, a task's memory holds bytes."""
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(column).cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+        part = np.cumsum(size.astype(np.int64)) // limit
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
+        yield from (b.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:]) if hi > lo)

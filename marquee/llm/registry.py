@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing,
+from marquee.llm import (alignment, classifier, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing,
                          quality_rules, sharding, window_lm)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_html_extraction": html_extract.op9_html_extraction,
     "op10_sharding": sharding.op10_sharding,
+    "op11_cross_tokenizer_alignment": alignment.op11_cross_tokenizer_alignment,
 }
 
 ORACLE = {
