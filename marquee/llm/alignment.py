@@ -27,8 +27,7 @@ tokenized on their own and kept in a cache of bounded size.
 Defined cases: texts that are null, empty, not UTF-8, or whose joined token
 bytes of A or B differ from space + text (a literal U+2581, say) have no tokens:
 zeros and an empty digest.  Repeated rows count each time, null doc_id is a row
-like any other, very long texts are read whole, long words are not kept in the
-cache.  An empty table gives no rows.  Other columns than those in ``carry`` do
+like any other, texts and words of any length are read whole.  An empty table gives no rows.  Other columns than those in ``carry`` do
 not matter, whatever their names.
 """
 
@@ -36,12 +35,11 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections import Counter
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,20 +52,20 @@ BUCKET_PAIRS = 1 << 15
 BROADCAST_PAIRS = 1 << 24
 FAN = 64                              # vectors summed by one task
 SPOT_BITS = 24
-CACHE_SEGMENTS = 100_000
-CACHE_CHARS = 64                      # longer segments are not kept
-PARTIAL_PAIRS = 1 << 20               # pairs a task holds before it hands on their sums
+CACHE_SEGMENTS = 300_000              # a task's cache starts anew beyond so many segments
+CACHE_CHARS = 1 << 23                 # or so many characters in them
 B_BITS = 32                           # a pair is A's id above this many bits, B's id in them
 SPACE_MARK = "▁"                 # fixed value: tokenizer B's sign for a space
-SEGMENT = regex.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
+SEGMENT = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
-# (tokens of A, tokens of B, groups, the links' pairs as little-endian longs, the groups as text)
-Aligned = tuple[int, int, int, bytes, str]
-
-
 class Aligner:
-    """Aligned segments of texts; a segment that does not come back byte for byte is None."""
+    """Texts to segments, and what alignment says of each segment.
+
+    A segment's place in the tables stays until ``trim``: ``figures`` are tokens
+    of A, tokens of B, groups, and 1 if the segment's tokens do not join to its
+    bytes; ``groups`` is their text; ``pairs`` its links, from ``first`` on.
+    """
 
     def __init__(self, path_a: str | None = None, path_b: str | None = None):
         import public_tokenizers
@@ -79,61 +77,92 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or public_tokenizers.path(TOKENIZER_B))
         own = {c: bytes([b]) for b, c in byte_letters().items()}
-        self.a_bytes = {i: b"".join([own.get(c) or c.encode() for c in entry])
-                        for entry, i in self.a.get_vocab(with_added_tokens=True).items()}
+        entries = {i: e for e, i in self.a.get_vocab(with_added_tokens=True).items()}
+        self.a_bytes = [b"".join([own.get(c) or c.encode() for c in entries.get(i, "")])
+                        for i in range(max(entries) + 1)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
                         for i, p in enumerate(self.b.id_to_piece(i) for i in range(self.b.vocab_size()))]
+        self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
+        # ids as text, by what follows them: another of the group, the other tokenizer's, the next group
+        self.texts = [f"{i}{end}" for t, ends in ((self.a_bytes, ",|"), (self.b_bytes, ",;"))
+                      for end in ends for i in range(len(t))]
+        self.text_size = np.array([len(x) for x in self.texts])
         self.space = self.b.piece_to_id(SPACE_MARK)
-        self.cache: dict[str, Aligned | None] = {}
-
-    def align(self, segment: str, a: list[int], b: list[int]) -> Aligned | None:
-        want = segment.encode()
-        if segment[0] != " ":                    # B put a space of its own before it
-            if b[:1] != [self.space]:
-                return None
-            b = b[1:]
-        a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_parts) != want or b"".join(b_parts) != want:
-            return None
-        a_ends = dict(zip(itertools.accumulate(map(len, a_parts)), range(1, len(a) + 1)))
-        groups, pairs, i, j = [], [], 0, 0
-        for k, end in enumerate(itertools.accumulate(map(len, b_parts)), 1):
-            if (at := a_ends.get(end)) is not None:
-                groups.append(f"{','.join(map(str, a[i:at]))}|{','.join(map(str, b[j:k]))}")
-                pairs.append(a[at - 1] << B_BITS | b[k - 1])
-                i, j = at, k
-        return len(a), len(b), len(groups), np.array(pairs, "<i8").tobytes(), ";".join(groups)
-
-    def texts(self, batch: pa.Array) -> Iterator[list[str] | None]:
-        """Each text's segments, all of them then in the cache; None without tokens."""
-        cut: list[list[str] | None] = []
+        self.clear()
+
+    def clear(self) -> None:
+        self.cache: dict[str, int] = {}
+        self.chars = 0
+        self.figures = np.zeros((0, 4), dtype=np.int64)
+        self.groups: list[str] = []
+        self.pairs, self.first = np.zeros(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+
+    def full(self) -> bool:
+        return len(self.cache) > CACHE_SEGMENTS or self.chars > CACHE_CHARS
+
+    def tokens(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        a = [x.ids for x in self.a.encode_batch(segments, add_special_tokens=False)]
+        b = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
+        for i, s in enumerate(segments):
+            if s == " ":                         # B adds no space to empty text
+                b[i] = [self.space]
+            elif s[0] != " ":                    # B put a space of its own before it
+                b[i] = b[i][1:] if b[i][:1] == [self.space] else []
+        return a, b
+
+    def add(self, segments: list[str]) -> None:
+        """Aligns new segments, all at once: offsets run through their joined bytes."""
+        a, b = self.tokens(segments)
+        want = [s.encode() for s in segments]
+        own = [[b"".join(map(t.__getitem__, x)) for x in y] for t, y in ((self.a_bytes, a), (self.b_bytes, b))]
+        bad = np.zeros(len(segments), dtype=np.int64)
+        if own[0] != want or own[1] != want:
+            for i in (i for i, w in enumerate(want) if own[0][i] != w or own[1][i] != w):
+                bad[i], want[i], a[i], b[i] = 1, b"", [], []
+        size, n_a, n_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (want, a, b))
+        a, b = (np.array(list(itertools.chain.from_iterable(t)), dtype=np.int64) for t in (a, b))
+        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        both = np.intersect1d(a_end, b_end, assume_unique=True)
+        a_group, b_group = np.searchsorted(both, a_end), np.searchsorted(both, b_end)
+        a_last, b_last = both[a_group] == a_end, both[b_group] == b_end
+        n_groups = np.bincount(np.searchsorted(np.cumsum(size), both), minlength=len(segments))
+        order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
+        n = (len(self.a_bytes), len(self.b_bytes))
+        text = np.concatenate([a + n[0] * a_last, 2 * n[0] + b + n[1] * b_last])[order]
+        whole = "".join([self.texts[k] for k in text.tolist()])
+        ends = np.append(0, np.cumsum(self.text_size[text]))[np.append(0, np.cumsum(n_a + n_b))].tolist()
+        at = len(self.groups)
+        self.cache.update(zip(segments, range(at, at + len(segments))))
+        self.chars += sum(map(len, segments))
+        self.groups += [whole[lo:hi] for lo, hi in zip(ends, ends[1:])]
+        self.figures = np.concatenate([self.figures, np.stack([n_a, n_b, n_groups, bad], axis=1)])
+        self.pairs = np.concatenate([self.pairs, a[a_last] << B_BITS | b[b_last]])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(n_groups)])
+
+    def read(self, batch: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The segments of all texts in order, and where each text's begin; a
+        text without tokens has none."""
+        cut: list[list[str]] = []
         for x in batch.cast(pa.binary()):
-            raw = x.as_py()
             try:
-                text = (raw or b"").decode()
+                text = (x.as_py() or b"").decode()
             except UnicodeDecodeError:
                 text = ""
-            cut.append(SEGMENT.findall(" " + text) if text and SPACE_MARK not in text else None)
-        new = list(dict.fromkeys(s for c in cut if c for s in c if s not in self.cache))
-        for lo in range(0, len(new), 4096):
-            some = new[lo:lo + 4096]
-            b = self.b.encode([s[1:] if s[0] == " " else s for s in some], num_threads=1)
-            b = [ids or [self.space] for ids in b]            # a space alone: B adds none to empty text
-            for s, x, y in zip(some, self.a.encode_batch(some, add_special_tokens=False), b):
-                self.cache[s] = self.align(s, x.ids, y)
-        for c in cut:
-            yield c if c and all(self.cache[s] is not None for s in c) else None
-
-    def trim(self) -> bool:
-        """Bounds the cache between batches; true if segments went."""
-        if len(self.cache) <= CACHE_SEGMENTS:
-            return False
-        self.cache.clear()
-        return True
-
-    def drop_long(self) -> None:
-        for s in [s for s in self.cache if len(s) > CACHE_CHARS]:
-            del self.cache[s]
+            cut.append(SEGMENT.findall(" " + text) if text and SPACE_MARK not in text else [])
+        every = list(itertools.chain.from_iterable(cut))
+        new = [s for s in dict.fromkeys(every) if s not in self.cache]
+        for lo in range(0, len(new), 1 << 14):
+            self.add(new[lo:lo + (1 << 14)])
+        place = np.fromiter(map(self.cache.__getitem__, every), np.int64, len(every))
+        n = np.array([len(c) for c in cut], dtype=np.int64)
+        row = np.repeat(np.arange(len(n)), n)
+        good = np.bincount(row, self.figures[place, 3], minlength=len(n)) == 0
+        return place[good[row]], np.append(0, np.cumsum(np.where(good, n, 0)))
+
+    def sums(self, figures: np.ndarray, place: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Figures of texts from those of segments."""
+        total = np.concatenate([np.zeros((1, figures.shape[1]), np.int64), np.cumsum(figures[place], axis=0)])
+        return total[start[1:]] - total[start[:-1]]
 
 
 def mixed(pairs: np.ndarray, level: int) -> np.ndarray:
@@ -161,28 +190,28 @@ def summed(pairs: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def partial_counts(path_a: str | None, path_b: str | None):
     """Texts to (pair, spot, n): a task's links summed by pair."""
-    def rows(seen: Counter, cache: dict) -> Iterator[pa.RecordBatch]:
-        own = [np.frombuffer(cache[s][3], "<i8") for s in seen]
-        if own:
-            pairs, n = summed(np.concatenate(own), np.repeat(np.fromiter(seen.values(), np.int64),
-                                                             [len(x) for x in own]))
-            for lo in range(0, len(pairs), 1 << 16):
-                p = pairs[lo:lo + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(p), pa.array(spots(p)), pa.array(n[lo:lo + (1 << 16)])], ["pair", "spot", "n"])
-        seen.clear()
+    def rows(aligner: Aligner, seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(aligner.groups), dtype=np.int64)
+        n[:len(seen)] = seen
+        pairs, n = summed(aligner.pairs, np.repeat(n, np.diff(aligner.first)))
+        pairs, n = pairs[n > 0], n[n > 0]
+        for lo in range(0, len(pairs), 1 << 16):
+            p = pairs[lo:lo + (1 << 16)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(p), pa.array(spots(p)), pa.array(n[lo:lo + (1 << 16)])], ["pair", "spot", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, seen = Aligner(path_a, path_b), Counter()
+        aligner, seen = Aligner(path_a, path_b), np.zeros(0, dtype=np.int64)
         for b in common.byte_slices(batches):
-            for cut in aligner.texts(b.column(0)):
-                seen.update(cut or ())
-            long = [s for s in seen if len(s) > CACHE_CHARS]
-            if len(aligner.cache) > CACHE_SEGMENTS or sum(map(len, long)) > PARTIAL_PAIRS:
-                yield from rows(seen, aligner.cache)
-                aligner.trim()
-                aligner.drop_long()
-        yield from rows(seen, aligner.cache)
+            place, _ = aligner.read(b.column(0))
+            now = np.bincount(place, minlength=len(aligner.groups))
+            now[:len(seen)] += seen
+            seen = now
+            if aligner.full():
+                yield from rows(aligner, seen)
+                aligner.clear()
+                seen = seen[:0]
+        yield from rows(aligner, seen)
     return run
 
 
@@ -312,40 +341,38 @@ class PairCounts:
 FIELDS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
+def digests(aligner: Aligner, place: np.ndarray, start: np.ndarray) -> tuple[list[str], list[str]]:
+    """Each text's groups as text, and their digest."""
+    groups = aligner.groups
+    texts = ["".join([groups[k] for k in place[lo:hi].tolist()])[:-1] for lo, hi in zip(start[:-1], start[1:])]
+    return texts, [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+
+
 def look_up(counts, path_a: str | None, path_b: str | None, with_groups: bool):
     """(text, carried columns...) to the carried columns and the row's figures."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, of = Aligner(path_a, path_b), counts.value
-        figures: dict[str, np.ndarray] = {}
+        found = np.zeros((0, 2), dtype=np.int64)
         for b in common.byte_slices(batches):
-            out, sha, groups = np.zeros((b.num_rows, len(FIELDS)), dtype=np.int64), [], []
-            cuts = list(aligner.texts(b.column(0)))
-            new = [s for s in dict.fromkeys(s for c in cuts if c for s in c) if s not in figures]
-            links = [np.frombuffer(aligner.cache[s][3], "<i8") for s in new]
-            n, best = of(np.concatenate(links) if links else np.zeros(0, np.int64))
-            at = 0
-            for s, own in zip(new, links):
-                e, k = aligner.cache[s], at + len(own)
-                figures[s] = np.array([e[0], e[1], e[2], len(own), best[at:k].sum(), n[at:k].sum()], dtype=np.int64)
-                at = k
-            for i, cut in enumerate(cuts):
-                text = ""
-                if cut:
-                    out[i] = np.concatenate([figures[s] for s in cut]).reshape(-1, len(FIELDS)).sum(axis=0)
-                    text = ";".join([aligner.cache[s][4] for s in cut])
-                sha.append(hashlib.sha256(text.encode()).hexdigest() if cut else "")
-                groups.append(text if with_groups else None)
+            place, start = aligner.read(b.column(0))
+            own = aligner.pairs[aligner.first[len(found)]:]
+            n, best = of(own)
+            at = np.repeat(np.arange(len(aligner.groups) - len(found)), np.diff(aligner.first[len(found):]))
+            new = np.zeros((len(aligner.groups) - len(found), 2), dtype=np.int64)
+            np.add.at(new, at, np.stack([best, n], axis=1))
+            found = np.concatenate([found, new])
+            f = np.concatenate([aligner.figures[:, :3], aligner.figures[:, 2:3], found], axis=1)
+            out = aligner.sums(f, place, start)
+            texts, sha = digests(aligner, place, start)
             columns = [*b.columns[1:], *[pa.array(out[:, k]) for k in range(len(FIELDS))], pa.array(sha, pa.string())]
             names = [*b.schema.names[1:], *FIELDS, "groups_sha256"]
             if with_groups:
-                columns.append(pa.array(groups, pa.string()))
+                columns.append(pa.array(texts, pa.string()))
                 names.append("groups")
             yield pa.RecordBatch.from_arrays(columns, names)
-            if aligner.trim():
-                figures.clear()
-            aligner.drop_long()
-            for s in [s for s in figures if s not in aligner.cache]:
-                del figures[s]
+            if aligner.full():
+                aligner.clear()
+                found = found[:0]
     return run
 
 
@@ -354,23 +381,21 @@ def link_rows(path_a: str | None, path_b: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(path_a, path_b)
         for b in common.byte_slices(batches):
-            rows = []
-            for cut in aligner.texts(b.column(0)):
-                e = [aligner.cache[s] for s in cut or ()]
-                pairs, n = np.unique(np.frombuffer(b"".join([x[3] for x in e]), "<i8"), return_counts=True)
-                text = ";".join([x[4] for x in e])
-                rows.append({"n_a": sum(x[0] for x in e), "n_b": sum(x[1] for x in e),
-                             "n_groups": sum(x[2] for x in e), "n_links": int(n.sum()),
-                             "groups_sha256": hashlib.sha256(text.encode()).hexdigest() if cut else "",
-                             "groups": text, "pairs": pairs.tolist(), "ns": n.tolist()})
-            own = pa.Table.from_pylist(rows, pa.schema(
-                [("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()),
-                 ("groups_sha256", pa.string()), ("groups", pa.string()), ("pairs", pa.list_(pa.int64())),
-                 ("ns", pa.list_(pa.int64()))])).combine_chunks()
-            for part in own.to_batches():
-                yield pa.RecordBatch.from_arrays([b.column(1), *part.columns], ["row", *part.schema.names])
-            aligner.trim()
-            aligner.drop_long()
+            place, start = aligner.read(b.column(0))
+            out = aligner.sums(aligner.figures, place, start)
+            texts, sha = digests(aligner, place, start)
+            pairs, ns = [], []
+            for lo, hi in zip(start[:-1], start[1:]):
+                own = [aligner.pairs[aligner.first[k]:aligner.first[k + 1]] for k in place[lo:hi].tolist()]
+                p, n = np.unique(np.concatenate([aligner.pairs[:0], *own]), return_counts=True)
+                pairs.append(p.tolist())
+                ns.append(n.tolist())
+            yield pa.RecordBatch.from_arrays(
+                [b.column(1), *[pa.array(out[:, k]) for k in (0, 1, 2, 2)], pa.array(sha, pa.string()),
+                 pa.array(texts, pa.string()), pa.array(pairs, pa.list_(pa.int64())), pa.array(ns, pa.list_(pa.int64()))],
+                ["row", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups", "pairs", "ns"])
+            if aligner.full():
+                aligner.clear()
     return run
 
 

@@ -63,7 +63,7 @@ def brute(rows):
 
 
 @pytest.mark.parametrize("broadcast_pairs", [alignment.BROADCAST_PAIRS, 10])
-def test_same_as_whole_texts(spark, monkeypatch, broadcast_pairs):
+def test_same_as_whole_texts(spark, broadcast_pairs):
     rows = [r for r in edge_rows() if r[0] != 17]
     rows.append((17, edge_rows()[16][1][:20000], "en", "a", 1))
     rows += [(100 + i, t, "en", "s", 1) for i, t in enumerate(ODD)]
@@ -85,15 +85,17 @@ ALIGNER = alignment.Aligner()
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from(list(" \n\r\t\x0b ▁ab'é.$1日\x00\x1c\U0001F600")), max_size=12))
+@given(st.text(st.sampled_from(list(" \n\r\t\x0b ▁ab'é.$1日\x00\x1c\U0001F600")), max_size=12))
 def test_segments_are_independent(text):
-    [cut] = ALIGNER.texts(pa.array([text]))
+    place, start = ALIGNER.read(pa.array([text]))
     want = whole(text)
-    assert (cut is None) == (want is None)
-    if cut:
-        e = [ALIGNER.cache[s] for s in cut]
-        assert "".join(cut) == " " + text and ";".join(x[4] for x in e) == ";".join(want[2])
-        assert sum(x[0] for x in e) == len(want[0]) and sum(x[1] for x in e) == len(want[1])
+    assert len(start) == 2 and (len(place) == 0) == (want is None)
+    if want:
+        [groups], _ = alignment.digests(ALIGNER, place, start)
+        assert groups == ";".join(want[2])
+        assert ALIGNER.sums(ALIGNER.figures, place, start).tolist() == [[len(want[0]), len(want[1]), len(want[2]), 0]]
+        pairs = [p for k in place for p in ALIGNER.pairs[ALIGNER.first[k]:ALIGNER.first[k + 1]].tolist()]
+        assert [(p >> alignment.B_BITS, p % (1 << alignment.B_BITS)) for p in pairs] == want[3]
 
 
 def test_hash_is_minimal_and_perfect():
