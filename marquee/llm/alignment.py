@@ -284,26 +284,10 @@ def dense(index):
             if own.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([k], pa.int64()), pa.array([part], pa.int64()),
-                     pa.array([own.astype("<i8").tobytes()], pa.binary())], ["bucket", "part", "counts"])
+                     pa.array([own.astype("<i8").tobytes()], pa.binary())], ["key", "part", "vector"])
     return run
 
 
-def add_vectors(batch: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), "<i8") for x in batch.column("counts"))
-    return pa.table({"bucket": batch.column("bucket")[:1], "part": batch.column("up")[:1],
-                     "counts": pa.array([total.astype("<i8").tobytes()], pa.binary())})
-
-
-def tree_sum(vectors: DataFrame, parts: int) -> DataFrame:
-    """(bucket, counts) over all parts, FAN vectors a task at each level."""
-    while True:
-        vectors = (vectors.withColumn("up", F.floor(F.col("part") / FAN)).groupBy("bucket", "up")
-                   .applyInArrow(add_vectors, "bucket long, part long, counts binary"))
-        parts = -(-parts // FAN)
-        if parts <= 1:
-            return vectors.select("bucket", "counts")
-
-
 def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(keys, counts) of buckets to each B id's highest count in the bucket."""
     for b in batches:
@@ -414,9 +398,10 @@ def pair_counts(partials: DataFrame, n_pairs: int) -> PairCounts:
     # about four bits a pair; n_pairs is within the bound that pair_totals checks
     index = PairIndex(buckets, hashed.select("bucket", "sizes", "bits").collect())
     vectors = partials.select("pair", "n").mapInArrow(
-        dense(spark.sparkContext.broadcast(index)), "bucket long, part long, counts binary")
+        dense(spark.sparkContext.broadcast(index)), "key long, part long, vector binary")
+    counts = common.tree_sum(vectors, partials.rdd.getNumPartitions(), "<i8", FAN)
     stored = common.materialize(hashed.select("bucket", "keys").join(
-        tree_sum(vectors, partials.rdd.getNumPartitions()), "bucket"), "pair-counts")
+        counts.select(F.col("key").alias("bucket"), F.col("vector").alias("counts")), "bucket"), "pair-counts")
     best = (stored.select("keys", "counts").mapInArrow(counted, "b long, best long")
             .groupBy("b").agg(F.max("best").alias("best")).collect())              # at most B's vocabulary
     return PairCounts(index, stored.collect(), {r.b: r.best for r in best})

@@ -65,3 +65,21 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: int = 0, limit: int =
         part = np.cumsum(size.astype(np.int64)) // limit
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), b.num_rows]
         yield from (b.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:]) if hi > lo)
+
+
+def tree_sum(vectors: DataFrame, parts: int, dtype: str, fan: int = 64) -> DataFrame:
+    """(key long, part long, vector binary) to (key, vector): the vectors of all
+    parts added, ``fan`` of one key in a task at each level, in the order of
+    their parts, so a rerun adds alike.  ``parts`` bounds the part numbers."""
+    def add(t: pa.Table) -> pa.Table:
+        rows = sorted(zip(t.column("part").to_pylist(), t.column("vector").to_pylist()), key=lambda r: r[0])
+        total = np.sum([np.frombuffer(v, dtype) for _, v in rows], axis=0, dtype=dtype)
+        return pa.table({"key": t.column("key")[:1], "part": t.column("up")[:1],
+                         "vector": pa.array([total.tobytes()], pa.binary())})
+
+    while True:
+        vectors = (vectors.withColumn("up", F.floor(F.col("part") / fan)).groupBy("key", "up")
+                   .applyInArrow(add, "key long, part long, vector binary"))
+        parts = -(-parts // fan)
+        if parts <= 1:
+            return vectors.select("key", "vector")

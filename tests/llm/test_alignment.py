@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from marquee.llm import alignment
+from marquee.llm import alignment, common
 from marquee.llm.packing import byte_letters
 from rows import SCHEMA, documents, edge_rows
 
@@ -118,8 +118,8 @@ def test_hash_is_minimal_and_perfect():
         counts(np.array([60_000 << alignment.B_BITS]))
 
 
-def test_vectors_sum_in_a_tree(spark, monkeypatch):
-    monkeypatch.setattr(alignment, "FAN", 2)
+def test_vectors_sum_in_a_tree(spark):
     rows = [(k, p, np.full(3, p + k, "<i8").tobytes()) for k in range(2) for p in range(9)]
-    got = alignment.tree_sum(spark.createDataFrame(rows, "bucket long, part long, counts binary"), 9).collect()
-    assert sorted((r.bucket, np.frombuffer(r.counts, "<i8").tolist()) for r in got) == [(0, [36] * 3), (1, [45] * 3)]
+    vectors = spark.createDataFrame(rows, "key long, part long, vector binary")
+    got = common.tree_sum(vectors, 9, "<i8", fan=2).collect()
+    assert sorted((r.key, np.frombuffer(r.vector, "<i8").tolist()) for r in got) == [(0, [36] * 3), (1, [45] * 3)]
