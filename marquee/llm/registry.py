@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from marquee.llm import (alignment, classifier, embedding_dedup, html_extract, line_dedup, mixing, ngram_join, packing,
-                         quality_rules, sharding, whitening, window_lm)
+from marquee.llm import (alignment, classifier, embedding_dedup, html_extract, language_id, line_dedup, mixing,
+                         ngram_join, packing, quality_rules, sharding, whitening, window_lm)
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_html_extraction": html_extract.op9_html_extraction,
     "op10_sharding": sharding.op10_sharding,
     "op11_cross_tokenizer_alignment": alignment.op11_cross_tokenizer_alignment,
+    "op12_language_id": language_id.op12_language_id,
     "op13_embedding_whitening": whitening.op13_embedding_whitening,
 }
 
