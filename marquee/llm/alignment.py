@@ -35,6 +35,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import re
 from collections.abc import Iterator
 
@@ -52,8 +53,10 @@ BUCKET_PAIRS = 1 << 15
 BROADCAST_PAIRS = 1 << 24
 FAN = 64                              # vectors summed by one task
 SPOT_BITS = 24
-CACHE_SEGMENTS = 300_000              # a task's cache starts anew beyond so many segments
-CACHE_CHARS = 1 << 23                 # or so many characters in them
+CACHE_SEGMENTS = 100_000              # a task's cache starts anew beyond so many segments
+CACHE_CHARS = 1 << 22                 # or so many characters in them
+SLICE = 1 << 21                       # bytes of texts aligned together
+JOINED = 4096                         # characters of segments tokenized in one go
 B_BITS = 32                           # a pair is A's id above this many bits, B's id in them
 SPACE_MARK = "▁"                 # fixed value: tokenizer B's sign for a space
 SEGMENT = re.compile(r"[ \n]\s*\S*(?:[^\S \n]\s*\S*)*")
@@ -70,16 +73,22 @@ class Aligner:
     def __init__(self, path_a: str | None = None, path_b: str | None = None):
         import public_tokenizers
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
         from marquee.llm.packing import byte_letters
-        self.a = Tokenizer.from_file(path_a or public_tokenizers.path(TOKENIZER_A))
-        self.a.encode_special_tokens = True
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or public_tokenizers.path(TOKENIZER_B))
+        with open(path_a or public_tokenizers.path(TOKENIZER_A), encoding="utf-8") as f:
+            model = json.load(f)["model"]
         own = {c: bytes([b]) for b, c in byte_letters().items()}
-        entries = {i: e for e, i in self.a.get_vocab(with_added_tokens=True).items()}
-        self.a_bytes = [b"".join([own.get(c) or c.encode() for c in entries.get(i, "")])
-                        for i in range(max(entries) + 1)]
+        # merges of a byte-level vocabulary are in the order of the ids they make, so ids serve as ranks
+        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+        if merged != sorted(merged):
+            raise ValueError("tokenizer A's merges are not in the order of its ids")
+        made = set(merged)                       # special strings are not made by merges
+        ranks = {b"".join([own[c] for c in e]): i for e, i in model["vocab"].items() if len(e) == 1 or i in made}
+        self.a = tiktoken.Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b or public_tokenizers.path(TOKENIZER_B))
+        by_id = {i: t for t, i in ranks.items()}
+        self.a_bytes = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode()
                         for i, p in enumerate(self.b.id_to_piece(i) for i in range(self.b.vocab_size()))]
         self.a_size, self.b_size = (np.array([len(x) for x in t]) for t in (self.a_bytes, self.b_bytes))
@@ -100,32 +109,48 @@ class Aligner:
     def full(self) -> bool:
         return len(self.cache) > CACHE_SEGMENTS or self.chars > CACHE_CHARS
 
-    def tokens(self, segments: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [x.ids for x in self.a.encode_batch(segments, add_special_tokens=False)]
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in segments], num_threads=1)
-        for i, s in enumerate(segments):
-            if s == " ":                         # B adds no space to empty text
-                b[i] = [self.space]
-            elif s[0] != " ":                    # B put a space of its own before it
-                b[i] = b[i][1:] if b[i][:1] == [self.space] else []
+    def joined(self, text: str) -> tuple[list[int], list[int]]:
+        a = self.a.encode_ordinary(text)
+        b = self.b.encode(text[1:] if text[:1] == " " else text)
+        if text == " ":                          # B adds no space to empty text
+            b = [self.space]
+        elif text[:1] != " ":                    # B put a space of its own before it
+            b = b[1:] if b[:1] == [self.space] else []
         return a, b
 
+    def same(self, text: bytes, a: list[int], b: list[int]) -> bool:
+        return b"".join(map(self.a_bytes.__getitem__, a)) == text == b"".join(map(self.b_bytes.__getitem__, b))
+
     def add(self, segments: list[str]) -> None:
-        """Aligns new segments, all at once: offsets run through their joined bytes."""
-        a, b = self.tokens(segments)
-        want = [s.encode() for s in segments]
-        own = [[b"".join(map(t.__getitem__, x)) for x in y] for t, y in ((self.a_bytes, a), (self.b_bytes, b))]
+        """Aligns new segments at once: those that end in no white space stay
+        apart in their joined text, and offsets run through all bytes."""
+        first = [s for s in segments if not s[-1].isspace()]
+        cuts = np.cumsum([len(s) for s in first]) // JOINED
+        cuts = [0, *(np.flatnonzero(np.diff(cuts)) + 1).tolist(), len(first)]
+        own = [self.joined("".join(first[lo:hi])) for lo, hi in zip(cuts, cuts[1:]) if hi > lo]
+        a, b = ([i for x in own for i in x[k]] for k in (0, 1))
+        sizes = [s.encode() for s in first]
+        if not self.same(b"".join(sizes), a, b):
+            first, sizes, a, b = [], [], [], []
+        sizes = [len(x) for x in sizes]
+        done = set(first)
+        rest = [s for s in segments if s not in done]
         bad = np.zeros(len(segments), dtype=np.int64)
-        if own[0] != want or own[1] != want:
-            for i in (i for i, w in enumerate(want) if own[0][i] != w or own[1][i] != w):
-                bad[i], want[i], a[i], b[i] = 1, b"", [], []
-        size, n_a, n_b = (np.fromiter(map(len, t), np.int64, len(t)) for t in (want, a, b))
-        a, b = (np.array(list(itertools.chain.from_iterable(t)), dtype=np.int64) for t in (a, b))
-        a_end, b_end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        for i, s in enumerate(rest, len(first)):
+            own, raw = self.joined(s), s.encode()
+            bad[i] = not self.same(raw, *own)
+            if not bad[i]:
+                a += own[0]
+                b += own[1]
+            sizes.append(0 if bad[i] else len(raw))
+        segments = first + rest
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        a_end, b_end, end = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b]), np.cumsum(sizes)
+        n_a, n_b = (np.bincount(np.searchsorted(end, x), minlength=len(segments)) for x in (a_end, b_end))
         both = np.intersect1d(a_end, b_end, assume_unique=True)
         a_group, b_group = np.searchsorted(both, a_end), np.searchsorted(both, b_end)
         a_last, b_last = both[a_group] == a_end, both[b_group] == b_end
-        n_groups = np.bincount(np.searchsorted(np.cumsum(size), both), minlength=len(segments))
+        n_groups = np.bincount(np.searchsorted(end, both), minlength=len(segments))
         order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
         n = (len(self.a_bytes), len(self.b_bytes))
         text = np.concatenate([a + n[0] * a_last, 2 * n[0] + b + n[1] * b_last])[order]
@@ -202,7 +227,7 @@ def partial_counts(path_a: str | None, path_b: str | None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, seen = Aligner(path_a, path_b), np.zeros(0, dtype=np.int64)
-        for b in common.byte_slices(batches):
+        for b in common.byte_slices(batches, limit=SLICE):
             place, _ = aligner.read(b.column(0))
             now = np.bincount(place, minlength=len(aligner.groups))
             now[:len(seen)] += seen
@@ -337,7 +362,7 @@ def look_up(counts, path_a: str | None, path_b: str | None, with_groups: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, of = Aligner(path_a, path_b), counts.value
         found = np.zeros((0, 2), dtype=np.int64)
-        for b in common.byte_slices(batches):
+        for b in common.byte_slices(batches, limit=SLICE):
             place, start = aligner.read(b.column(0))
             own = aligner.pairs[aligner.first[len(found)]:]
             n, best = of(own)
@@ -364,7 +389,7 @@ def link_rows(path_a: str | None, path_b: str | None):
     """(text, row) to (row, token counts, digest, groups, its pairs, links of each)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = Aligner(path_a, path_b)
-        for b in common.byte_slices(batches):
+        for b in common.byte_slices(batches, limit=SLICE):
             place, start = aligner.read(b.column(0))
             out = aligner.sums(aligner.figures, place, start)
             texts, sha = digests(aligner, place, start)

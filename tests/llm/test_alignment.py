@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -14,6 +15,7 @@ from tokenizers import Tokenizer
 
 from marquee.llm import alignment, common
 from marquee.llm.packing import byte_letters
+from marquee.llm.registry import QUERIES
 from rows import SCHEMA, documents, edge_rows
 
 A = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -76,6 +78,12 @@ def test_same_as_whole_texts(spark, broadcast_pairs):
     assert sum(r.n_a == 0 for r in got) == 4                         # null, null, empty, U+2581
 
 
+def test_query_on_the_table(spark):
+    t = pq.read_table("/root/testdata/sf0.01/documents.parquet")
+    got = QUERIES["op11_cross_tokenizer_alignment"](spark, "/root/testdata/sf0.01").collect()
+    assert sorted(map(tuple, got)) == sorted((i, *w) for i, w in zip(t["doc_id"].to_pylist(), brute(t["text"].to_pylist())))
+
+
 def test_empty_table(spark):
     assert alignment.align(spark.createDataFrame([], SCHEMA)).collect() == []
     assert [r.n_a for r in alignment.align(documents(spark, [(1, None, None, None, None)])).collect()] == [0]
