@@ -11,7 +11,8 @@
 3. Pieces of one length are numbered in parallel (hash blocks of about
    ``BLOCK_ROWS`` pieces, then a running sum over block counts), and a piece's
    number picks its pattern, its bin and its offset.  The plan is the only
-   broadcast; its size depends on ``capacity`` alone.
+   broadcast; its size depends on ``capacity`` alone.  Token ids, where they are
+   asked for, stay in the stored pieces meanwhile and join their places once.
 
 Tokenizing looks up whole words in a bounded cache; words out of it go through
 the tokenizer's own model, and words with characters beyond the plain Latin
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,8 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 BLOCK_ROWS = 50_000
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 18
+SLICE = 1 << 20                                 # bytes of texts tokenized together
 # How the tokenizer's file splits a word, and its byte alphabet.
 WORD_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 PLAIN = regex.compile("[!-~¡-ʯ]+")
@@ -101,6 +104,7 @@ class WordIds:
         return b"".join([get(w) or word(w) for w in (text or b"").split()])
 
 
+KEY = "_piece_key"                              # a stored piece's own number
 PIECE_FIELDS = [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                 T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
 
@@ -109,8 +113,8 @@ def tokenize(capacity: int, path: str | None, n_carry: int, with_ids: bool):
     """Rows (text, carried columns...) to one row per piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, end = WordIds(path), np.array([END_ID], "<u4").tobytes()
-        step = 4 * capacity
-        for b in batches:
+        step, key = 4 * capacity, TaskContext.get().partitionId() << 40
+        for b in common.byte_slices(batches, limit=SLICE):
             row, piece, start, length, crc, own = [], [], [], [], [], []
             for i, text in enumerate(b.column(0).cast(pa.binary())):
                 ids = words.text(text.as_py()) + end
@@ -129,19 +133,21 @@ def tokenize(capacity: int, path: str | None, n_carry: int, with_ids: bool):
                      pa.array(length, pa.int64()), pa.array(crc, pa.int64())]
             names += ["piece", "start", "length", "ids_crc32"]
             if with_ids:
-                cols.append(pa.array(own, pa.binary()))
-                names.append("ids")
+                cols += [pa.array(own, pa.binary()), pa.array(range(key, key + len(row)), pa.int64())]
+                names += ["ids", KEY]
+                key += len(row)
             yield pa.RecordBatch.from_arrays(cols, names)
     return run
 
 
 def pieces(docs: DataFrame, carry: list[str], capacity: int = CAPACITY, path: str | None = None,
            with_ids: bool = False) -> DataFrame:
-    """``carry`` columns, piece, start, length, ids_crc32 (and ``ids`` as bytes)."""
+    """``carry`` columns, piece, start, length, ids_crc32 (and ``ids`` as bytes,
+    with a key that is a piece's own once the pieces are stored)."""
     carry = [c for c in carry if c in docs.columns]
     src = docs.select(F.col("text"), *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(carry)])
     schema = T.StructType([T.StructField(f"_c{i}", docs.schema[c].dataType) for i, c in enumerate(carry)]
-                          + PIECE_FIELDS + [T.StructField("ids", T.BinaryType())] * with_ids)
+                          + PIECE_FIELDS + [T.StructField("ids", T.BinaryType()), T.StructField(KEY, T.LongType())] * with_ids)
     out = src.mapInArrow(tokenize(capacity, path, len(carry), with_ids), schema)
     return out.withColumnsRenamed({f"_c{i}": c for i, c in enumerate(carry)})
 
@@ -251,7 +257,7 @@ def number(parts: DataFrame, counts: dict[int, int]) -> DataFrame:
     block of about BLOCK_ROWS pieces."""
     blocks = parts.sparkSession.createDataFrame(          # one row per length
         [(k, -(-n // BLOCK_ROWS)) for k, n in counts.items()] or [(0, 1)], "length long, _blocks long")
-    order = [c for c in parts.columns if c != "ids"]
+    order = parts.columns
     tagged = (parts.join(F.broadcast(blocks), "length")
               .withColumn("_block", F.pmod(F.xxhash64(*order), F.col("_blocks"))).drop("_blocks"))
     sizes = tagged.groupBy("length", "_block").agg(F.count(F.lit(1)).alias("_n"))
@@ -268,16 +274,19 @@ def pack(docs: DataFrame, carry: list[str] | None = None, capacity: int = CAPACI
     """One row per piece: ``carry`` columns, piece, start, length, ids_crc32,
     (ids,) sequence_id and offset."""
     spark = docs.sparkSession
-    own = {"piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "text"}
+    own = {"piece", "start", "length", "ids_crc32", "ids", "sequence_id", "offset", "text", KEY}
     carry = [c for c in (carry or ["doc_id"]) if c.lower() not in own]
     parts = common.materialize(pieces(docs, carry, capacity, path, with_ids), "pack-pieces")
     # one row per length: at most ``capacity``
     counts = {r.length: r.n for r in parts.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = spark.sparkContext.broadcast(plan_table(plan(counts, capacity)))
-    numbered = number(parts, counts)
-    schema = T.StructType([*parts.schema.fields, T.StructField("sequence_id", T.LongType()),
+    narrow = parts.drop("ids")                 # token ids move once, when every piece has its place
+    schema = T.StructType([*narrow.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
-    return numbered.mapInArrow(place(table, parts.columns.index("length"), len(parts.columns)), schema)
+    placed = number(narrow, counts).mapInArrow(place(table, narrow.columns.index("length"), len(narrow.columns)), schema)
+    if not with_ids:
+        return placed
+    return parts.join(placed.select(KEY, "sequence_id", "offset"), KEY).drop(KEY)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
