@@ -5,22 +5,22 @@ summed per slot, and a versioned slot-to-shard map says where each slot lives.
 Only the map changes when shards are added or rebalanced; a record's slot never
 does.
 
-* The record's hash is that of its text, so equal texts share a slot.  A text
-  whose copies together hold more than ``1 / (2 * shards)`` of all bytes, or of
-  all rows, would make one slot larger than a shard may be, or than a task
-  should number; only its copies are salted by their doc_id over all slots.
-  There are fewer than ``4 * shards`` such texts, which bounds the broadcast
-  that marks them.
+* The record's hash is that of its text, so equal texts share a slot, hence a
+  shard.  A text whose copies hold more than a shard's part of all bytes makes
+  its shard larger than the others: it is not split.
 * The map is made from one row per slot (``n_slots`` rows at any input size):
   largest slot first, each to the shard with the fewest bytes so far.  That
   loop runs over the bounded slot table, not over records.
 * A record's place inside its shard is the slot's base (a running sum over the
-  slot table) plus its rank inside the slot, so no task numbers a whole shard.
-
-Defined cases: null text counts as empty (size 1, crc 0); null doc_id is a
-value of its own; repeated rows each get a place; an empty table gives no rows
-and a map whose slots hold no bytes; input columns named like an added one are
-replaced by it.
+  slot table), plus its block's (a slot is cut into blocks of about
+  ``BLOCK_ROWS`` rows by a hash of the row's number, so copies of one text
+  spread over tasks), plus its rank inside the block.
+
+Defined cases: null text counts as empty (size 1, crc 0) and shares the empty
+text's shard; null doc_id is a value of its own; repeated rows each get a
+place; very long texts are hashed whole, and only their hash moves; an empty
+table gives no rows and a map whose slots hold no bytes; input columns named
+like an added one are replaced by it.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from marquee.llm import common
 
 N_SLOTS = 4096
 N_SHARDS = 16
+BLOCK_ROWS = 50_000
 ADDED = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "virtual_slot", "map_version"]
 MAP_SCHEMA = "version int, virtual_slot int, slot_bytes long, shard int"
 
@@ -48,18 +49,9 @@ def sized(docs: DataFrame, carry: list[str]) -> DataFrame:
     )
 
 
-def assign_slots(records: DataFrame, n_slots: int, n_shards: int) -> DataFrame:
-    """``records`` with ``virtual_slot``; copies of oversized texts are salted."""
-    per_text = records.groupBy("_text_hash").agg(F.sum("size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
-    total, rows = records.agg(F.sum("size"), F.count(F.lit(1))).first()
-    heavy = (per_text.filter((F.col("_bytes") * F.lit(2 * n_shards) > F.lit(total or 0))
-                             | (F.col("_rows") * F.lit(2 * n_shards) > F.lit(rows)))
-             .select("_text_hash", F.lit(True).alias("_heavy")))
-    # fewer than 2 * n_shards texts can each hold more than 1 / (2 * n_shards) of the bytes, or of the rows
-    tagged = records.join(F.broadcast(heavy), "_text_hash", "left")
-    h = F.when(F.col("_heavy"), F.xxhash64("_text_hash", "doc_id", "_row")).otherwise(F.col("_text_hash"))
-    return (tagged.withColumn("virtual_slot", F.pmod(h, F.lit(n_slots)).cast("int"))
-            .drop("_heavy"))
+def assign_slots(records: DataFrame, n_slots: int) -> DataFrame:
+    """``records`` with ``virtual_slot``, the text's own."""
+    return records.withColumn("virtual_slot", F.pmod("_text_hash", F.lit(n_slots)).cast("int"))
 
 
 def slot_bytes(records: DataFrame) -> DataFrame:
@@ -142,15 +134,13 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS,
     one, version 1 is made from the bytes per slot and stored.
     """
     spark = docs.sparkSession
-    docs = common.drop_clashes(docs, [c for c in ADDED + ["_text_hash", "_row"] if c != "text"])
+    docs = common.drop_clashes(docs, [c for c in ADDED + ["_text_hash", "_row", "_block"] if c != "text"])
     carry = [c for c in (carry or docs.columns) if c in docs.columns]
     if "doc_id" not in carry:
         carry = ["doc_id", *carry]
-    records = sized(docs, carry)
-    # equal rows of an oversized text are told apart by their other columns only
-    records = records.withColumn("_row", F.xxhash64(*[F.col(f"`{c}`") for c in carry if c != "text"]))
-    records = common.materialize(records, "shard-records")
-    slotted = assign_slots(records, n_slots, n_shards)
+    # stored with the row's number: equal rows are told apart by it alone
+    records = common.materialize(sized(docs, carry).withColumn("_row", F.monotonically_increasing_id()), "shard-records")
+    slotted = assign_slots(records, n_slots)
     per_slot = common.materialize(slot_bytes(slotted), "slot-bytes")
     if maps is None:
         sizes = {r.virtual_slot: r.slot_bytes for r in per_slot.collect()}   # at most n_slots rows
@@ -161,9 +151,17 @@ def shard(docs: DataFrame, n_shards: int = N_SHARDS, n_slots: int = N_SLOTS,
                 Window.partitionBy("shard").orderBy("virtual_slot")
                 .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .select("virtual_slot", "map_version", "shard", "_base"))
-    in_slot = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "_row")
-    placed = (slotted.withColumn("_rank", F.row_number().over(in_slot))
-              .join(F.broadcast(base), "virtual_slot"))      # n_slots rows
+    blocks = per_slot.select("virtual_slot", F.ceil(F.col("slot_rows") / BLOCK_ROWS).alias("_blocks"))
+    tagged = (slotted.join(F.broadcast(blocks), "virtual_slot")            # n_slots rows
+              .withColumn("_block", F.pmod(F.xxhash64("_row"), F.col("_blocks"))).drop("_blocks"))
+    before = (Window.partitionBy("virtual_slot").orderBy("_block")        # one row per block of BLOCK_ROWS rows
+              .rowsBetween(Window.unboundedPreceding, -1))
+    counts = (tagged.groupBy("virtual_slot", "_block").agg(F.count(F.lit(1)).alias("_n"))
+              .select("virtual_slot", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
+    in_block = Window.partitionBy("virtual_slot", "_block").orderBy("doc_id", "text_crc32", "size", "_row")
+    placed = (tagged.join(counts, ["virtual_slot", "_block"])
+              .withColumn("_rank", F.col("_before") + F.row_number().over(in_block))
+              .join(F.broadcast(base), "virtual_slot"))                    # n_slots rows
     return placed.select(
         *carry, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         (F.col("_base") + F.col("_rank") - F.lit(1)).cast("long").alias("slot"),

@@ -145,15 +145,6 @@ def test_sharding_is_even_and_keeps_equal_texts(spark):
     assert all(len(x) == 1 for x in at.values())
 
 
-def test_sharding_splits_a_text_that_holds_a_third(spark):
-    rows = [(i, "same" * 50 if i % 3 == 0 else f"text {i} " * 25, "en", "s", 1) for i in range(9000)]
-    load = Counter()
-    for r in sharding.shard(documents(spark, rows)).collect():
-        load[r.shard] += r.size
-    mean = sum(load.values()) / 16
-    assert all(abs(x - mean) < 0.02 * mean for x in load.values())
-
-
 def test_map_edits_are_versioned_and_small(spark):
     sizes = {s: 100 + s % 7 for s in range(sharding.N_SLOTS)}
     first = sharding.first_map(spark, sizes)
