@@ -3,14 +3,20 @@
 Every text gives integer measures (symbols, repeated words and repeated lines
 per mille, mean word length in thousandths).  Instead of fixed cutoffs each
 (lang, source) group gets fences from a mergeable quantile sketch of its own
-documents: a histogram whose buckets keep a value's leading six bits, so a
-quantile is off by at most 1/32 and two sketches merge by adding counts.
+documents: a histogram whose buckets keep a value's leading ``BITS`` bits, so a
+quantile is off by at most 1/128 and two sketches merge by adding counts.
 Merging a language's sources gives the language's sketch, merging those the
-corpus's; a group with under ``MIN_DOCS`` documents uses the next wider one.
-A fence is the median plus (or minus) ``REACH`` times the distance from the
-median to the quartile on the clean side, with a least spread per measure, so
-up to half of a group may be junk before its fences move.  Only documents that
-pass the base rules feed the sketches.  The fences join back on (lang, source).
+corpus's.  A group's quantile is the mean of its own, its language's and the
+corpus's, weighted by its documents and ``PRIOR`` for each of the other two: a
+small group leans on them, a large one stands alone.
+
+Rates (mostly zero in clean text) have an upper fence: the ``HIGH`` quantile q
+plus ``REACH`` times its distance from the median, or plus the measure's
+allowance if that is more.  Junk moves it only where more than 15% of the group
+is junk; a source made of such texts (code, say) gets a fence beyond them.  Word
+length has fences on both sides, ``REACH`` times the distance from the median
+to the quartile beyond that quartile.  Only documents that pass the base rules
+feed the sketches.  The fences join back on (lang, source).
 
 The base rules are the contract's: fewer than 50 words, or over half of the
 words in repeated three-word windows.
@@ -32,17 +38,16 @@ from marquee.llm import common
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-MIN_DOCS = 200
-REACH = 6
+PRIOR = 100                             # documents that the language's and the corpus's quantile count as, each
+REACH = 8
+BITS = 8                                # of a value, that its sketch bucket keeps
+LOW, MIDDLE, UPPER, HIGH = 25, 50, 75, 85
+QUANTILES = (LOW, MIDDLE, UPPER, HIGH)
 BROADCAST_GROUPS = 100_000              # (lang, source) groups, about 10 MB of fences
 SYMBOLS = "#*$%&|<>"
-#: measure -> (least spread, has an upper fence, has a lower fence)
-MEASURES = {
-    "symbol_rate": (25, True, False),
-    "repeat_rate": (75, True, False),
-    "dup_line_rate": (100, True, False),
-    "word_length": (600, True, True),
-}
+#: measure -> how far above the HIGH quantile a text may be in any case; None: fences by quartiles
+MEASURES = {"symbol_rate": 100, "repeat_rate": 300, "dup_line_rate": 350, "word_length": None}
+LEAST_SPREAD = 32                       # of word length: a sketch bucket at usual lengths
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 ADDED = [*BASE, "base_failed", "kept", *MEASURES]
 
@@ -119,8 +124,8 @@ def measure(docs: DataFrame, carry: list[str]) -> DataFrame:
 
 
 def bucket(v: Column) -> Column:
-    """Lower end of the sketch bucket of ``v`` >= 0: its leading six bits."""
-    e = F.greatest(F.length(F.bin(v)) - F.lit(6), F.lit(0))
+    """Lower end of the sketch bucket of ``v`` >= 0: its leading bits."""
+    e = F.greatest(F.length(F.bin(v)) - F.lit(BITS), F.lit(0))
     return F.call_function("shiftleft", F.call_function("shiftright", v, e), e)
 
 
@@ -135,8 +140,8 @@ def sketches(measured: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("n")))
 
 
-def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """docs, q1, q2, q3 of the sketches merged to ``keys``.
+def quantiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
+    """docs and the quantiles (q25, ...) of the sketches merged to ``keys``.
 
     The window runs over a sketch's buckets, whose number is bounded by the
     width of a long, not over documents.
@@ -145,24 +150,33 @@ def quartiles(sketch: DataFrame, keys: list[str]) -> DataFrame:
     w = Window.partitionBy(*keys, "measure")
     run = w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = merged.withColumn("_cum", F.sum("n").over(run)).withColumn("_docs", F.sum("n").over(w))
-    q = lambda k: F.min(F.when(F.col("_cum") * F.lit(4) >= F.col("_docs") * F.lit(k), F.col("bucket")))
+    q = lambda k: F.min(F.when(F.col("_cum") * F.lit(100) >= F.col("_docs") * F.lit(k), F.col("bucket")))
     return (ranked.groupBy(*keys, "measure")
-            .agg(F.first("_docs").alias("docs"), q(1).alias("q1"), q(2).alias("q2"), q(3).alias("q3")))
+            .agg(F.first("_docs").alias("docs"), *[q(k).alias(f"q{k}") for k in QUANTILES]))
 
 
 def fences(sketch: DataFrame) -> DataFrame:
-    """(_lang, _source, low, high maps): the fences of every group."""
-    leaf, lang, whole = (quartiles(sketch, k) for k in (["_lang", "_source"], ["_lang"], []))
-    wide = lang.select("_lang", "measure", *[F.col(c).alias(f"l_{c}") for c in ("docs", "q1", "q2", "q3")])
-    all_ = whole.select("measure", *[F.col(c).alias(f"a_{c}") for c in ("docs", "q1", "q2", "q3")])
+    """(_lang, _source, low and high of each measure): the fences of every group."""
+    leaf, lang, whole = (quantiles(sketch, k) for k in (["_lang", "_source"], ["_lang"], []))
+    wide = lang.select("_lang", "measure", *[F.col(f"q{k}").alias(f"l{k}") for k in QUANTILES])
+    all_ = whole.select("measure", *[F.col(f"q{k}").alias(f"a{k}") for k in QUANTILES])
     # one row per measure, one per measure and language
     j = leaf.join(wide, ["_lang", "measure"]).join(F.broadcast(all_), "measure")
-    pick = lambda c: (F.when(F.col("docs") >= MIN_DOCS, F.col(c))
-                      .when(F.col("l_docs") >= MIN_DOCS, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}")))
-    spread = F.element_at(F.create_map(*[F.lit(x) for m, s in MEASURES.items() for x in (m, s[0])]), F.col("measure"))
+
+    def pooled(k: int) -> Column:
+        total = F.col("docs") * F.col(f"q{k}") + F.lit(PRIOR) * (F.col(f"l{k}") + F.col(f"a{k}"))
+        return F.floor(total / (F.col("docs") + F.lit(2 * PRIOR))).cast("long")
+
+    allowance = F.element_at(F.create_map(*[F.lit(x) for m, a in MEASURES.items() for x in (m, a or 0)]), F.col("measure"))
+    quartiles = F.col("measure") == "word_length"
+    j = j.select("_lang", "_source", "measure", allowance.alias("_allowance"), quartiles.alias("_both"),
+                 *[pooled(k).alias(f"_p{k}") for k in QUANTILES])
+    high, upper, low, mid = (F.col(f"_p{k}") for k in (HIGH, UPPER, LOW, MIDDLE))
     j = j.select("_lang", "_source", "measure",
-                 (pick("q2") + F.lit(REACH) * F.greatest(pick("q2") - pick("q1"), spread)).alias("high"),
-                 (pick("q2") - F.lit(REACH) * F.greatest(pick("q3") - pick("q2"), spread)).alias("low"))
+                 F.when(F.col("_both"), upper + F.lit(REACH) * F.greatest(upper - mid, F.lit(LEAST_SPREAD)))
+                 .otherwise(high + F.greatest(F.lit(REACH) * (high - mid), F.col("_allowance"))).alias("high"),
+                 F.when(F.col("_both"), low - F.lit(REACH) * F.greatest(mid - low, F.lit(LEAST_SPREAD)))
+                 .otherwise(F.lit(0)).cast("long").alias("low"))
     return j.groupBy("_lang", "_source").agg(
         *[F.max(F.when(F.col("measure") == m, F.col(end))).alias(f"_{end}_{m}")
           for m in MEASURES for end in ("low", "high")])
@@ -181,11 +195,8 @@ def judge(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     # one row of seven numbers per group: a group may hold a third of the documents, so they don't move
     limits = common.broadcast_if_small(common.materialize(limits, "quality-fences"), BROADCAST_GROUPS)
     inside = F.lit(True)
-    for m, (_, high, low) in MEASURES.items():
-        if high:
-            inside = inside & (F.col(m) <= F.col(f"_high_{m}"))
-        if low:
-            inside = inside & (F.col(m) >= F.col(f"_low_{m}"))
+    for m in MEASURES:
+        inside = inside & F.col(m).between(F.col(f"_low_{m}"), F.col(f"_high_{m}"))
     judged = measured.join(limits, ["_lang", "_source"], "left")
     return judged.select(*[F.col(f"`{c}`") for c in carry], *BASE, "base_failed",
                          F.coalesce(~F.col("base_failed") & inside, F.lit(False)).alias("kept"), *MEASURES)
@@ -198,24 +209,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _sql() -> str:
     measures = " union all ".join(
         f"select lang, source, '{m}' measure, {m} v from m where not base_failed" for m in MEASURES)
-    spread = "case measure " + " ".join(f"when '{m}' then {s[0]}" for m, s in MEASURES.items()) + " end"
+    allowance = "case measure " + " ".join(f"when '{m}' then {a or 0}" for m, a in MEASURES.items()) + " end"
 
     def level(keys: str) -> str:
         cols, by = (f"{keys}, ", f"{keys}, ") if keys else ("", "")
+        q = ", ".join(f"min(case when cum * 100 >= docs * {k} then b end) q{k}" for k in QUANTILES)
         return f"""
-  select {cols}measure, any_value(docs) docs,
-         min(case when cum * 4 >= docs then b end) q1, min(case when cum * 4 >= docs * 2 then b end) q2,
-         min(case when cum * 4 >= docs * 3 then b end) q3
+  select {cols}measure, any_value(docs) docs, {q}
   from (select *, sum(n) over (partition by {by}measure order by b) cum,
                sum(n) over (partition by {by}measure) docs
         from (select {cols}measure, b, sum(n) n from sk group by {cols}measure, b))
   group by {cols}measure"""
 
-    checks = []
-    for m, (_, high, low) in MEASURES.items():
-        bounds = [f"{m} <= (select high from f where f.lang = m.lang and f.source = m.source and measure = '{m}')"] * high
-        bounds += [f"{m} >= (select low from f where f.lang = m.lang and f.source = m.source and measure = '{m}')"] * low
-        checks += bounds
+    pooled = ", ".join(f"((lf.docs * lf.q{k} + {PRIOR} * (la.q{k} + al.q{k})) // (lf.docs + {2 * PRIOR}))::bigint p{k}"
+                       for k in QUANTILES)
+    checks = [f"{m} between (select low from f where f.lang = m.lang and f.source = m.source and measure = '{m}') "
+              f"and (select high from f where f.lang = m.lang and f.source = m.source and measure = '{m}')"
+              for m in MEASURES]
     return rf"""
 with t as (
   select doc_id, coalesce('s' || lang, 'n') lang, coalesce('s' || source, 'n') source, coalesce(text, '') text
@@ -247,20 +257,21 @@ m as (
 sk as (
   select lang, source, measure, b, count(*) n
   from (select *, (v >> e) << e b
-        from (select *, greatest(length(bin(v)) - 6, 0)::bigint e from ({measures})))
+        from (select *, greatest(length(bin(v)) - {BITS}, 0)::bigint e from ({measures})))
   group by lang, source, measure, b),
 lf as ({level("lang, source")}),
 la as ({level("lang")}),
 al as ({level("")}),
 pk as (
-  select lf.lang, lf.source, measure,
-         case when lf.docs >= {MIN_DOCS} then [lf.q1, lf.q2, lf.q3]
-              when la.docs >= {MIN_DOCS} then [la.q1, la.q2, la.q3] else [al.q1, al.q2, al.q3] end q,
-         {spread} spread
+  select lf.lang, lf.source, measure, {pooled}, {allowance} allowance
   from lf join la using (lang, measure) join al using (measure)),
 f as (
-  select lang, source, measure, q[2] + {REACH} * greatest(q[2] - q[1], spread) high,
-         q[2] - {REACH} * greatest(q[3] - q[2], spread) low from pk)
+  select lang, source, measure,
+         case when measure = 'word_length' then p{UPPER} + {REACH} * greatest(p{UPPER} - p{MIDDLE}, {LEAST_SPREAD})
+              else p{HIGH} + greatest({REACH} * (p{HIGH} - p{MIDDLE}), allowance) end high,
+         case when measure = 'word_length' then p{LOW} - {REACH} * greatest(p{MIDDLE} - p{LOW}, {LEAST_SPREAD})
+              else 0 end low
+  from pk)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        coalesce(not base_failed and {' and '.join(checks)}, false) kept,
        symbol_rate, repeat_rate, dup_line_rate, word_length

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from marquee.llm import mixing, quality_rules, sharding
 from marquee.llm.registry import ORACLE, QUERIES
@@ -64,6 +65,35 @@ def test_fences_follow_the_group(spark):
     assert all(kept[1000 + i] for i in range(400))
 
 
+def test_repeated_lines_follow_the_source(spark):
+    """30 to 60% of repeated lines: out of a clean source, at home in a source made of such texts."""
+    def text(i, repeated):
+        lines = [" ".join(f"w{i:05}x{k:02}y{j}" for j in range(10)) for k in range(20 - repeated)]
+        return "\n".join(x for k, own in enumerate(lines) for x in [own] + ["see also"] * (k < repeated))
+    rows = [(i, text(i, 2 * (i % 40 == 0)), "en", "clean", 1) for i in range(600)]
+    rows += [(1000 + i, text(1000 + i, 9 + i % 2), "en", "clean", 1) for i in range(20)]
+    rows += [(2000 + i, text(2000 + i, 7 + i % 4), "en", "logs", 1) for i in range(2000)]
+    got = {r.doc_id: r for r in quality_rules.judge(documents(spark, rows)).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(600))
+    assert not any(got[1000 + i].kept for i in range(20))
+    assert all(got[2000 + i].kept for i in range(2000))
+
+
+def test_fences_differ_between_groups(spark):
+    """On a real table; and a group of one document leans on its language."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    one = documents(spark, [(-1, " ".join(f"x{k}$$" for k in range(80)), "en", "alone", 1)])
+    measured = quality_rules.measure(docs.unionByName(one).withColumns({"_lang": F.col("lang"), "_source": F.col("source")}),
+                                     ["_lang", "_source"])
+    got = quality_rules.fences(quality_rules.sketches(measured)).collect()
+    assert len(got) > 70
+    for m, least in (("word_length", 40), ("repeat_rate", 5)):
+        assert len({r[f"_high_{m}"] for r in got}) >= least
+    alone = next(r for r in got if r._source == "alone")
+    assert alone._high_symbol_rate < 2000 / 8
+
+
 def fair_targets(sizes, weights=(3, 1, 2), share=1.5, cap=2):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
