@@ -7,7 +7,7 @@ map task before the shuffle and never lands whole in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.functions.docops import percent_label
@@ -20,17 +20,24 @@ def top_per_group(df: DataFrame, group: str, fields: list[str], rank: str = "ran
     """Per group, the fields of the row with the best rank; ranked rows
     beat unranked ones, ties go to the lowest key (D8).
 
-    Three steps with primitive buffers, so every aggregate is a hash aggregate
-    with a map-side part: the best rank of a group, the lowest key among the
-    rows with that rank, and the join that fetches this row's fields.  A group
-    of unranked rows still returns its lowest-key row, with a null rank.
+    One pass over ``df``: Spark cuts each task's rows to one per group before
+    the shuffle (a window group limit), so a hot group moves one row per task.
     """
-    score = F.coalesce(F.col(rank), F.lit(NEG_INF))
-    best = df.groupBy(group).agg(F.max(score).alias("_best"))
-    tied = df.select(group, key, score.alias("_best")).join(best, [group, "_best"])
-    first = tied.groupBy(group).agg(F.min(key).alias(key))
-    return (df.select(group, key, *[F.col(f).alias(prefix + f) for f in fields])
-            .join(first, [group, key]).select(group, *[prefix + f for f in fields]))
+    first = Window.partitionBy(group).orderBy(F.col(rank).desc_nulls_last(), F.col(key))
+    return (df.select(group, key, rank, *[f for f in fields if f != rank])
+            .withColumn("_place", F.row_number().over(first)).filter(F.col("_place") == 1)
+            .select(group, *[F.col(f).alias(prefix + f) for f in fields]))
+
+
+def best_state(rank: Column, key: Column, *fields: Column) -> Column:
+    """A8 as a state that merges: the best row's rank, key and fields.  States
+    of disjoint sets of rows give the state of their union by ``merge_best``."""
+    order = F.struct(F.coalesce(rank, F.lit(NEG_INF)), -key)
+    return F.max_by(F.struct(rank.alias("rank"), key.alias("key"), *fields), order)
+
+
+def merge_best(state: str) -> Column:
+    return best_state(F.col(f"{state}.rank"), F.col(f"{state}.key"), F.col(f"{state}.name").alias("name"))
 
 
 def max_or_neg_inf(c: str) -> Column:

@@ -138,9 +138,8 @@ def rda4_max(den_movies: DataFrame, den_directors: DataFrame, director_movies: D
     negative infinity) and the name of the group's first (lowest-id) movie,
     which need not be the best one."""
     m = selected_movies(den_movies, den_directors, director_movies, names or default_names(), movies_for)
-    best = m.groupBy("genre").agg(A.max_or_neg_inf("rank").alias("best_rank"), F.min("id").alias("id"))
-    return (best.join(m.select("genre", "id", F.col("name").alias("first_name")), ["genre", "id"])
-            .select("genre", "best_rank", "first_name"))
+    return m.groupBy("genre").agg(A.max_or_neg_inf("rank").alias("best_rank"),
+                                  F.min_by("name", "id").alias("first_name"))
 
 
 def default_names(n: int = RDA4_N_DIRECTORS) -> list[str]:

@@ -956,3 +956,26 @@ def _register_stored() -> None:
 
 
 _register_stored()
+
+
+# -- the eight queries as filter and stage documents -----------------------------
+
+def _documents() -> dict[str, Callable[[dict[str, DataFrame]], DataFrame]]:
+    from marquee.plans import documents as doc
+    return {"ru1": lambda t: doc.ru1(t, Q.RU1_GENRE, Q.RU1_MIN_RANK), "ru2": lambda t: doc.ru2(t, Q.RU2_GENRE),
+            "ru2_strict": lambda t: doc.ru2_strict(t, Q.RU2_GENRE), "ru3": lambda t: doc.ru3(t, Q.RU3_GENRE, Q.RU3_YEAR),
+            "ru4": lambda t: doc.ru4(t, Q.RU4_FIRST, Q.RU4_LAST, Q.RU4_GENRE),
+            "rda1": lambda t: doc.rda1(t, Q.RDA1_FIRST, Q.RDA1_LAST), "rda2": lambda t: doc.rda2(t, Q.RDA2_N_GENRES),
+            "rda3": lambda t: doc.rda3(t, Q.RDA3_MAX_ACTORS, Q.RDA3_MIN_RANK),
+            "rda4_top": lambda t: doc.rda4(t, Q.default_names())}
+
+
+def _register_documents() -> None:
+    for name, query in _documents().items():
+        def run(spark, sf_dir, query=query, name=name):
+            out = query(stored(spark, sf_dir))
+            return _rounded(out, "average_rank") if name == "rda1" else out
+        register(f"doc_{name}", ORACLE[name])(run)
+
+
+_register_documents()

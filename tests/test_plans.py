@@ -103,10 +103,20 @@ def test_pushed_ids_are_one_semi_join(spark):
 
 def test_no_sort_aggregate_in_the_catalogue_queries(spark):
     with planned_without_broadcast(spark):
-        for name in ("ru4", "rda1", "rda4_top", "rda4_max", "rda2", "rpt_table_stats", "rpt_share_movies"):
+        for name in ("ru4", "rda1", "rda4_top", "rda2", "rpt_table_stats", "rpt_share_movies"):
             assert "SortAggregate" not in plan(registry.QUERIES[name](spark, SF_SMALL)), name
 
 
 def test_id_list_reaches_the_scan(spark):
     text = plan(registry.QUERIES["flt_in_list_id"](spark, SF_SMALL))
     assert re.search(r"PushedFilters: \[In\(o_orderkey", text), text
+
+
+@pytest.mark.parametrize("name", ["rda4_top", "rda4_max"])
+def test_rda4_reads_every_table_once(spark, name):
+    """Stored: one scan per table.  Lazily: the line items are joined to the parts once."""
+    with planned_without_broadcast(spark):
+        text = plan(registry.QUERIES[f"stored_{name}"](spark, SF_SMALL))
+        assert len(re.findall(r"^\(\d+\) Scan parquet", text, flags=re.M)) == 3, text
+        text = plan(registry.QUERIES[name](spark, SF_SMALL))
+        assert len(re.findall(r"^Location: .*part\.parquet", text, flags=re.M)) == 1, text
