@@ -287,15 +287,19 @@ def fit(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> bytes | None:
     known = (docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
                          & ~held_out(F.col("doc_id")))
              .select("lang", F.xxhash64("doc_id").alias("place"), "text"))
-    languages = known.select("lang").distinct().count()
+    sizes = known.groupBy("lang").agg(F.approx_count_distinct("place").alias("_docs"))           # one row per language
+    languages = sizes.count()
     if not languages:
         return None
     each = max(LEAST_DOCS, train_docs // languages)
-    # the first ``each`` places of a language; Spark cuts every task's rows to that many before the shuffle
-    order = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
-    last = (known.select("lang", "place").distinct().withColumn("_order", order).filter(F.col("_order") <= each)
-            .groupBy("lang").agg(F.max("place").alias("_last")))
-    sample = (known.join(F.broadcast(last), "lang").filter(F.col("place") <= F.col("_last"))     # one row per language
+    # about twice as many by a share of the hash, so that ranking a large language takes no more rows than that
+    share = F.pmod("place", F.lit(1 << 32)) / F.lit(float(1 << 32))
+    some = (known.select("lang", "place").join(F.broadcast(sizes), "lang")
+            .filter(share * F.col("_docs") < F.lit(2 * each)).select("lang", "place").distinct())
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("_share", "place"))
+    last = (some.withColumn("_share", share).withColumn("_order", order).filter(F.col("_order") <= each)
+            .groupBy("lang").agg(F.max("_share").alias("_last")))
+    sample = (known.join(F.broadcast(last), "lang").filter(share <= F.col("_last"))              # one row per language
               .groupBy("lang", "place").agg(F.min("text").alias("text"))
               .select("lang", "place", "text")
               .mapInArrow(training_rows, "lang string, place long, windows array<array<string>>"))
