@@ -45,6 +45,12 @@ def movie_ids_of(director_movies: DataFrame, directors: DataFrame) -> DataFrame:
         F.col("movie_id").alias("id"))
 
 
+def one_director(den_directors: DataFrame, first_name: str, last_name: str) -> DataFrame:
+    """(id): the lowest id with that name, at most one row."""
+    return L.one_key(den_directors,
+                     (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
+
+
 def movies_of(den_movies: DataFrame, ids: DataFrame, movies_for: MoviesFor | None) -> DataFrame:
     return movies_for(ids) if movies_for else L.keep_matching(den_movies, ids)
 
@@ -79,8 +85,7 @@ def ru4(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataFr
         first_name: str = RU4_FIRST, last_name: str = RU4_LAST, genre: str = RU4_GENRE,
         movies_for: MoviesFor | None = None) -> DataFrame:
     """Movies of one director (the lowest id with that name, D10) in a genre."""
-    one = L.one_key(den_directors,
-                    (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
+    one = one_director(den_directors, first_name, last_name)
     found = movies_of(den_movies, movie_ids_of(director_movies, one), movies_for)
     return found.filter(D.has_element("list_genres", genre)).select("id", "name", "year", "rank")
 
@@ -92,8 +97,7 @@ def rda1(den_movies: DataFrame, den_directors: DataFrame, director_movies: DataF
          movies_for: MoviesFor | None = None) -> DataFrame:
     """Average rank of one director's movies; unranked movies skipped; no row
     when the director is unknown or has no ranked movie (D7)."""
-    one = L.one_key(den_directors,
-                    (F.col("first_name") == F.lit(first_name)) & (F.col("last_name") == F.lit(last_name)))
+    one = one_director(den_directors, first_name, last_name)
     found = movies_of(den_movies, movie_ids_of(director_movies, one), movies_for)
     return A.global_avg(found.filter(D.not_nan("rank")), "rank", "average_rank")
 

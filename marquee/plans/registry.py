@@ -241,7 +241,10 @@ def q_agg_group_by_array(spark, sf_dir):
 select m.name, m."rank" from movies m
 where m."rank" > 8 and exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre = 'PROMO')""")
 def q_ru1(spark, sf_dir):
-    return Q.ru1(den(spark, sf_dir)["movies"], "PROMO", 8)
+    """Only the documents of movies that pass the rank are built."""
+    cat = Catalog(spark, sf_dir)
+    ids = cat.movies().filter(D.greater("rank", 8)).select("id")
+    return Q.ru1(denormalize.movies_for(cat)(ids), "PROMO", 8)
 
 
 @register("ru2", oracle_with("directors", "movies_directors", "directors_genres") + """
@@ -264,7 +267,10 @@ def q_ru2_strict(spark, sf_dir):
 select m.name from movies m
 where m."year" = 1995 and exists (select 1 from movies_genres g where g.movie_id = m.id and g.genre = 'ECONOMY')""")
 def q_ru3(spark, sf_dir):
-    return Q.ru3(den(spark, sf_dir)["movies"], "ECONOMY", 1995)
+    """Only the documents of that year's movies are built."""
+    cat = Catalog(spark, sf_dir)
+    ids = cat.movies().filter(F.col("year") == 1995).select("id")
+    return Q.ru3(denormalize.movies_for(cat)(ids), "ECONOMY", 1995)
 
 
 @register("ru4", _with(("movies", "movies_genres", "movies_directors", "directors"),
@@ -979,3 +985,127 @@ def _register_documents() -> None:
 
 
 _register_documents()
+
+
+# -- the same questions to the further layouts ------------------------------------
+
+PERSON_BUCKETS = 16
+_layouts: dict[tuple[str, str], dict[str, str]] = {}
+
+
+def layouts_of(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Folders of the further layouts, written on the first call of this application."""
+    from marquee.plans import layouts
+    from marquee.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _layouts:
+        _layouts[key] = layouts.write_all(stored(spark, sf_dir), scratch_path(spark, "layouts"), PERSON_BUCKETS)
+    return _layouts[key]
+
+
+def person_links(spark: SparkSession, sf_dir: str, kind: str = "director_links"):
+    from marquee.plans import layouts
+    return layouts.PersonLinks(spark, layouts_of(spark, sf_dir)[kind])
+
+
+def _ids(links: DataFrame) -> DataFrame:
+    return links.select(F.col("movie_id").alias("id"))
+
+
+@register("lookup_links_of_id", oracle_with("movies_directors") + """
+select director_id as id, movie_id, count(*) as n from movies_directors where director_id = 7 group by all""")
+def q_lookup_links_of_id(spark, sf_dir):
+    """The links of one literal id, from its own folder."""
+    return person_links(spark, sf_dir).of_id(7)
+
+
+@register("lookup_actor_links", oracle_with("roles", "actors") + """
+select actor_id as id, movie_id, count(*) as n from roles
+where actor_id = (select min(id) from actors where last_name = '000000003') and movie_id is not null group by all""")
+def q_lookup_actor_links(spark, sf_dir):
+    from marquee.operators.lookup import one_key
+    actors = stored(spark, sf_dir)["actors"]
+    return person_links(spark, sf_dir, "actor_links").of(one_key(actors, F.col("last_name") == "000000003"), one=True)
+
+
+@register("lookup_ru4", ORACLE["ru4"])
+def q_lookup_ru4(spark, sf_dir):
+    t = stored(spark, sf_dir)
+    ids = _ids(person_links(spark, sf_dir).of(Q.one_director(t["directors"], Q.RU4_FIRST, Q.RU4_LAST), one=True))
+    return Q.movies_of(t["movies"], ids, None).filter(D.has_element("list_genres", Q.RU4_GENRE)).select(
+        "id", "name", "year", "rank")
+
+
+@register("lookup_rda1", ORACLE["rda1"])
+def q_lookup_rda1(spark, sf_dir):
+    from marquee.operators.aggregates import global_avg
+    t = stored(spark, sf_dir)
+    ids = _ids(person_links(spark, sf_dir).of(Q.one_director(t["directors"], Q.RDA1_FIRST, Q.RDA1_LAST), one=True))
+    return _rounded(global_avg(Q.movies_of(t["movies"], ids, None).filter(D.not_nan("rank")), "rank", "average_rank"),
+                    "average_rank")
+
+
+def _chosen(t: dict[str, DataFrame]) -> DataFrame:
+    return t["directors"].filter(D.in_list(D.full_name(), Q.default_names())).select("id")
+
+
+@register("lookup_rda4_top", ORACLE["rda4_top"])
+def q_lookup_rda4_top(spark, sf_dir):
+    from marquee.operators.aggregates import top_per_group
+    t = stored(spark, sf_dir)
+    movies = Q.movies_of(t["movies"], _ids(person_links(spark, sf_dir).of(_chosen(t))), None)
+    return top_per_group(movies.select("id", "name", "rank", F.explode("list_genres").alias("genre")), "genre", ["name", "rank"])
+
+
+@register("summary_rda4_top", ORACLE["rda4_top"])
+def q_summary_rda4_top(spark, sf_dir):
+    """A8 / Rda4 from the stored best movie per (director, genre); no document is read."""
+    from marquee.plans.layouts import best_of
+    return best_of(spark.read.parquet(layouts_of(spark, sf_dir)["best"]), _chosen(stored(spark, sf_dir)))
+
+
+def _postings(spark: SparkSession, sf_dir: str):
+    from marquee.plans.layouts import Postings
+    return Postings(spark, layouts_of(spark, sf_dir)["postings"])
+
+
+@register("posting_ru1", ORACLE["ru1"])
+def q_posting_ru1(spark, sf_dir):
+    """Genre membership by the genre's ids; no list_genres is read."""
+    p = _postings(spark, sf_dir)
+    movies = stored(spark, sf_dir)["movies"].filter(D.greater("rank", Q.RU1_MIN_RANK))
+    return Q.movies_of(movies, p.ids(p.genre(Q.RU1_GENRE)), None).select("name", "rank")
+
+
+@register("posting_ru3", ORACLE["ru3"])
+def q_posting_ru3(spark, sf_dir):
+    p = _postings(spark, sf_dir)
+    movies = stored(spark, sf_dir)["movies"].filter(F.col("year") == Q.RU3_YEAR)
+    return Q.movies_of(movies, p.ids(p.genre(Q.RU3_GENRE)), None).select("name")
+
+
+@register("posting_ru4", ORACLE["ru4"])
+def q_posting_ru4(spark, sf_dir):
+    """The director's ids and the genre's meet block by block, before any movie is read."""
+    t, p = stored(spark, sf_dir), _postings(spark, sf_dir)
+    mine = _ids(person_links(spark, sf_dir).of(Q.one_director(t["directors"], Q.RU4_FIRST, Q.RU4_LAST), one=True))
+    ids = p.ids(p.intersect(p.of(mine), p.genre(Q.RU4_GENRE)))
+    return Q.movies_of(t["movies"], ids, None).select("id", "name", "year", "rank")
+
+
+@register("posting_two_genres", oracle_with("movies_genres") + """
+select movie_id as id from movies_genres where genre = 'PROMO'
+intersect select movie_id from movies_genres where genre = 'ECONOMY'""")
+def q_posting_two_genres(spark, sf_dir):
+    p = _postings(spark, sf_dir)
+    return p.ids(p.intersect(p.genre("PROMO"), p.genre("ECONOMY")))
+
+
+def _register_clustered() -> None:
+    for name, plan in (("ru1", Q.ru1), ("ru3", Q.ru3), ("rda3", Q.rda3)):
+        def run(spark, sf_dir, plan=plan):
+            return plan(spark.read.parquet(layouts_of(spark, sf_dir)["clustered"]))
+        register(f"clustered_{name}", ORACLE[name])(run)
+
+
+_register_clustered()
