@@ -139,3 +139,30 @@ def round_half_up(c: Column | str, digits: int = 6) -> Column:
 def fixed_text(c: Column | str, digits: int = 6) -> Column:
     """fixed-decimal text of a rounded value (no formatter tie rules)."""
     return F.format_string(f"%.{digits}f", round_half_up(c, digits))
+
+
+# -- documents without a fixed schema (VARIANT) ----------------------------------
+
+def document(text: Column | str) -> Column:
+    """A JSON text as a VARIANT; null when it is no JSON."""
+    return F.try_parse_json(_c(text))
+
+
+def field_exists(doc: Column | str, path: str) -> Column:
+    """The document has the field, be it null ($exists: true)."""
+    return F.try_variant_get(_c(doc), path, "variant").isNotNull()
+
+
+def field_is_null(doc: Column | str, path: str) -> Column:
+    """The field is there and null."""
+    return F.coalesce(F.is_variant_null(F.try_variant_get(_c(doc), path, "variant")), F.lit(False))
+
+
+def field_not_null(doc: Column | str, path: str) -> Column:
+    """The field is there and not null ($ne: null)."""
+    return field_exists(doc, path) & ~field_is_null(doc, path)
+
+
+def field_value(doc: Column | str, path: str, kind: str) -> Column:
+    """F17 into a document: the value as ``kind``; null when missing, null, or of another kind."""
+    return F.try_variant_get(_c(doc), path, kind)

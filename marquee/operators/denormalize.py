@@ -92,3 +92,51 @@ def movies_for(cat):
     line-item join behind the genres starts from those movies' lines."""
     return lambda keys: den_movies(cat.movies(), cat.movies_genres(keys), cat.movies_directors(),
                                    cat.roles(), keys)
+
+
+# -- documents in parts (incremental denormalisation) ---------------------------
+
+MOVIE_PARTS = ("id long, is_movie boolean, name string, year int, rank double, list_genres array<string>, "
+               "list_directors_id array<long>, den_nb_actors long")
+
+
+def movie_parts(movies: DataFrame, movies_genres: DataFrame, movies_directors: DataFrame,
+                roles: DataFrame) -> DataFrame:
+    """What one load of source rows adds to the movie documents: a part per
+    parent row and per child list, none of them joined.  ``merge_movies`` makes
+    documents of the parts of any number of loads."""
+    child = lambda df: df.withColumnRenamed("movie_id", "id")
+    rows = [nest.unique_parent(movies.select("id", "name", "year", "rank")).withColumn("is_movie", F.lit(True)),
+            nest.child_list(child(movies_genres), "id", "genre", "list_genres"),
+            nest.child_list(child(movies_directors), "id", "director_id", "list_directors_id"),
+            nest.child_count(child(roles), "id", "actor_id", "den_nb_actors")]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r, allowMissingColumns=True)
+    return _typed(out)
+
+
+def _typed(parts: DataFrame) -> DataFrame:
+    return parts.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in MOVIE_PARTS.split(", ")])
+
+
+def merged_parts(parts: DataFrame) -> DataFrame:
+    """One part per movie; parts merged in any grouping give the same.  Genres
+    are a set (a pair may come in two loads), directors a list."""
+    lists = lambda c: F.flatten(F.collect_list(c))
+    return _typed(parts.groupBy("id").agg(
+        F.max("is_movie").alias("is_movie"), *[F.max(c).alias(c) for c in ("name", "year", "rank")],
+        F.sort_array(F.array_distinct(lists("list_genres"))).alias("list_genres"),
+        F.sort_array(lists("list_directors_id")).alias("list_directors_id"),
+        F.sum("den_nb_actors").alias("den_nb_actors")))
+
+
+def merge_movies(parts: DataFrame) -> DataFrame:
+    """Movie documents; children whose movie has not come yet make none."""
+    return (merged_parts(parts).filter("is_movie").drop("is_movie")
+            .withColumn("den_nb_actors", F.coalesce("den_nb_actors", F.lit(0).cast("bigint"))))
+
+
+def merge_links(links: DataFrame) -> DataFrame:
+    """(id, movie_id, n) of several loads."""
+    return links.groupBy("id", "movie_id").agg(F.sum("n").alias("n"))

@@ -1109,3 +1109,153 @@ def _register_clustered() -> None:
 
 
 _register_clustered()
+
+
+# -- collections that change: deltas, keyed loads, versions ------------------------
+
+def _collection(spark: SparkSession, name: str, schema: str, buckets: int = 8):
+    from pyspark.sql import types as T
+
+    from marquee.session import scratch_path
+    from marquee.sources.collections import Collection
+    return Collection(spark, scratch_path(spark, name), T.StructType.fromDDL(schema), buckets=buckets)
+
+
+def _in_three_loads(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """The source tables split by line number and order: children come before
+    and after their movie."""
+    cat = Catalog(spark, sf_dir)
+    roles, genres = cat.roles(), cat.movies_genres()
+    by = lambda df, c, k: df.filter(F.pmod(F.xxhash64(c), F.lit(3)) == k)
+    return [{"movies": by(cat.movies(), "id", k), "movies_genres": by(genres, "genre", k),
+             "movies_directors": by(cat.movies_directors(), "movie_id", (k + 1) % 3),
+             "roles": by(roles, "role", k)} for k in range(3)]
+
+
+@register("delta_den_movies", _W_DEN_MOVIES + """
+select id, name, "year", "rank", list_genres, list_directors_id, den_nb_actors from den_movies""")
+def q_delta_den_movies(spark, sf_dir):
+    """Q-DM from three loads: base, delta, compaction, another delta merged on read."""
+    parts = _collection(spark, "movie-parts", denormalize.MOVIE_PARTS)
+    loads = _in_three_loads(spark, sf_dir)
+    for load in loads[:2]:
+        parts.append(denormalize.movie_parts(**load))
+    parts.compact(denormalize.merged_parts)
+    parts.append(denormalize.movie_parts(**loads[2]))
+    m = denormalize.merge_movies(parts.read())
+    return m.select("id", "name", "year", "rank", D.sorted_text("list_genres").alias("list_genres"),
+                    D.sorted_text("list_directors_id").alias("list_directors_id"), "den_nb_actors")
+
+
+@register("delta_director_movies", oracle_with("movies_directors") + """
+select director_id as id, movie_id, count(*) as n from movies_directors group by all""")
+def q_delta_director_movies(spark, sf_dir):
+    """Q-DD's links from three loads, compacted."""
+    links = _collection(spark, "links", "id long, movie_id long, n long")
+    for load in _in_three_loads(spark, sf_dir):
+        links.append(nest.link_rows(load["movies_directors"], "director_id"))
+    links.compact(denormalize.merge_links)
+    return links.read()
+
+
+_ACTOR = "id long, first_name string, last_name string, n_movies long"
+
+
+def _loaded_actors(spark: SparkSession, sf_dir: str, replace: bool):
+    """Even actors stored, then all actors, renamed and each twice, loaded by key."""
+    a = den(spark, sf_dir)["actors"]
+    c = _collection(spark, "actors", _ACTOR)
+    c.load(a.filter(F.col("id") % 2 == 0))
+    again = a.withColumn("last_name", F.concat(F.lit("new "), F.col("last_name")))
+    return c, c.load(again.unionByName(again), replace=replace)
+
+
+@register("load_keyed_reject", _with(("actors", "roles"), _ROLE_COUNTS) + """
+select a.id, a.first_name, case when a.id % 2 = 0 then a.last_name else 'new ' || a.last_name end as last_name,
+  coalesce(l.n_movies, 0) as n_movies from actors a left join role_counts l on l.actor_id = a.id""")
+def q_load_keyed_reject(spark, sf_dir):
+    """S4 with a key: stored ids refuse the batch's rows."""
+    return _loaded_actors(spark, sf_dir, replace=False)[0].read()
+
+
+@register("load_keyed_replace", _with(("actors", "roles"), _ROLE_COUNTS) + """
+select a.id, a.first_name, 'new ' || a.last_name as last_name, coalesce(l.n_movies, 0) as n_movies
+from actors a left join role_counts l on l.actor_id = a.id""")
+def q_load_keyed_replace(spark, sf_dir):
+    """S4 with a key: the batch's rows replace the stored ones."""
+    return _loaded_actors(spark, sf_dir, replace=True)[0].read()
+
+
+@register("load_keyed_counts", oracle_with("actors") + """
+select 'reject' as mode, count(*) filter (where id % 2 = 1) as n_loaded, 2 * count(*) - count(*) filter (where id % 2 = 1) as n_refused,
+  cast(0 as bigint) as n_replaced from actors
+union all select 'replace', count(*), count(*), count(*) filter (where id % 2 = 0) from actors""")
+def q_load_keyed_counts(spark, sf_dir):
+    """What the two loads report."""
+    rows = [(mode, *[_loaded_actors(spark, sf_dir, mode == "replace")[1][k] for k in ("loaded", "refused", "replaced")])
+            for mode in ("reject", "replace")]
+    return spark.createDataFrame(rows, "mode string, n_loaded long, n_refused long, n_replaced long")
+
+
+def _rewritten_actors(spark: SparkSession, sf_dir: str):
+    """S10 as one commit: text ids repaired, zero counts made null."""
+    a = den(spark, sf_dir)["actors"]
+    c = _collection(spark, "actors", _ACTOR)
+    c.append(a)
+    c.rewrite(lambda df: df.withColumns({"n_movies": F.when(F.col("n_movies") > 0, F.col("n_movies")),
+                                         "last_name": F.concat(F.lit("No. "), F.col("last_name"))}))
+    return c
+
+
+@register("snapshot_rewrite", _with(("actors", "roles"), _ROLE_COUNTS) + """
+select a.id, a.first_name, 'No. ' || a.last_name as last_name, l.n_movies
+from actors a left join role_counts l on l.actor_id = a.id""")
+def q_snapshot_rewrite(spark, sf_dir):
+    return _rewritten_actors(spark, sf_dir).read()
+
+
+@register("snapshot_as_of", ORACLE["den_actors"])
+def q_snapshot_as_of(spark, sf_dir):
+    """The version before the rewrite still answers."""
+    return _rewritten_actors(spark, sf_dir).read(as_of=1)
+
+
+# -- documents without a fixed schema -----------------------------------------------
+
+def _loose_movies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movies as JSON lines: a null rank is left out where the id is even, and
+    written as null where it is odd; the year is text in every third."""
+    from marquee.session import scratch_path
+    from marquee.sources import files
+    m = _unclean(spark, sf_dir).movies().select("id", "name", "year", "rank")
+    year = F.when(F.col("id") % 3 == 0, F.concat(F.lit('"'), F.col("year"), F.lit('"'))).otherwise(F.col("year").cast("string"))
+    rank = F.when(F.col("rank").isNotNull(), F.concat(F.lit(',"rank":'), F.col("rank").cast("string"))) \
+        .when(F.col("id") % 2 == 0, F.lit("")).otherwise(F.lit(',"rank":null'))
+    text = F.concat(F.lit('{"id":'), F.col("id"), F.lit(',"year":'), F.coalesce(year, F.lit("null")), rank, F.lit("}"))
+    path = scratch_path(spark, "loose-movies")
+    m.select(text).write.text(path)
+    return files.read_documents(spark, path)
+
+
+_LOOSE = unclean_with("movies") + ", m as (select id, \"year\", case when isnan(\"rank\") then null else \"rank\" end r from movies)\n"
+
+
+@register("variant_field_counts", _LOOSE + """
+select count(*) as n_rows, count(*) filter (where r is not null or id % 2 = 1) as n_exists,
+  count(*) filter (where r is not null) as n_not_null, count(*) filter (where r is null and id % 2 = 1) as n_null,
+  count(*) filter (where id % 3 <> 0 and "year" is not null) as n_number_year from m""")
+def q_variant_field_counts(spark, sf_dir):
+    """A missing field, a null field and a field of another kind are three things."""
+    d = _loose_movies(spark, sf_dir)
+    is_number = F.schema_of_variant(D.field_value("doc", "$.year", "variant")) == "BIGINT"
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(D.field_exists("doc", "$.rank")).alias("n_exists"),
+                 F.count_if(D.field_not_null("doc", "$.rank")).alias("n_not_null"),
+                 F.count_if(D.field_is_null("doc", "$.rank")).alias("n_null"),
+                 F.count_if(is_number).alias("n_number_year"))
+
+
+@register("variant_null_rank", _LOOSE + "select id from m where r is null and id % 2 = 1")
+def q_variant_null_rank(spark, sf_dir):
+    """Documents whose rank is there and null."""
+    d = _loose_movies(spark, sf_dir).filter(D.field_is_null("doc", "$.rank"))
+    return d.select(D.field_value("doc", "$.id", "long").alias("id"))

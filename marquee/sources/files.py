@@ -97,3 +97,10 @@ def export_sources(cat, base: str, names: tuple[str, ...] = tuple(schemas.SOURCE
     (one folder per table, one file per task)."""
     for name in names:
         write_source_csv(cat.table(name), os.path.join(base, name))
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """S3 without a schema: JSON lines as one VARIANT column ``doc``, in which
+    a missing field and a null field differ.  Lines that are no JSON are null."""
+    from marquee.functions.docops import document
+    return spark.read.text(path).select(document("value").alias("doc"))
