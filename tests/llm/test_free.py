@@ -10,7 +10,7 @@ import pyarrow.parquet as pq
 import pytest
 from tokenizers import Tokenizer
 
-from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, lm_scoring, ngram_join, packing)
+from marquee.llm import (classifier, embedding_dedup, html_extract, line_dedup, ngram_join, packing, window_lm)
 from marquee.llm.components import components
 from marquee.llm.html_pages import LABELLED_PAGES
 from marquee.llm.registry import ORACLE, QUERIES
@@ -349,47 +349,13 @@ def test_line_dedup_edge_rows(spark):
 
 # ---- language model
 
-def test_lm_scores_are_sums_of_conditionals(spark):
-    docs = documents(spark, extra=True)
-    got = lm_scoring.score(docs).collect()
-    cls, share, table = lm_scoring.fit(docs)
-    table = table.reshape(lm_scoring.N_CLASSES, lm_scoring.N_CLASSES, lm_scoring.N_CLASSES)
-    assert np.allclose(np.exp(table).sum(axis=2), 1)
-    buckets = lm_scoring.Buckets()
-    want = []
-    for i, text, *_ in edge_rows():
-        b = buckets((text or "").encode())
-        c = [lm_scoring.END, *cls[b], lm_scoring.END]
-        want.append((str(i), len(b), sum(table[c[k - 1], c[k + 1], c[k]] + share[b[k - 1]] for k in range(1, len(c) - 1))))
-    have = sorted((str(r.doc_id), r.n_tokens, r.log_likelihood) for r in got)
-    for a, b in zip(have, sorted(want)):
-        assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6 * (1 + abs(b[2]))
-    assert lm_scoring.score(spark.createDataFrame([], SCHEMA)).collect() == []
-
-
-def test_lm_gradient_and_likelihood():
-    """Training lowers the loss below that of independent classes, on both sides' evidence."""
-    rng = np.random.default_rng(0)
-    c = lm_scoring.N_CLASSES
-    n = np.zeros((c, c, c))
-    for left in range(8):
-        for right in range(8):
-            n[left, right, (left + 3 * right) % 8] = rng.integers(50, 100)
-    model = lm_scoring.WindowNetwork()
-    model.fit(n)
-    logp = model.table().reshape(c, c, c)
-    p = n.sum(axis=(0, 1)) / n.sum()
-    unigram = (n.sum(axis=(0, 1))[p > 0] * np.log(p[p > 0])).sum()
-    assert (n * logp).sum() > 0.5 * unigram        # both are negative: less than half the loss
-
-
 def test_lm_prefers_the_corpus(spark):
     scores = {r.doc_id: r for r in QUERIES["op2_lm_scoring"](spark, SF).collect()}
     assert all(r.log_likelihood <= 0 and r.n_tokens >= 0 for r in scores.values())
     rows = [(i, " ".join(f"w{(i + k) % 9}" for k in range(60)), "en", "s", 1) for i in range(300)]
     rng = random.Random(4)
     rows.append((1000, " ".join(rng.choice([f"w{k}" for k in range(9)]) for _ in range(60)), "en", "s", 1))
-    got = {r.doc_id: r.mean_log_likelihood for r in lm_scoring.score(documents(spark, rows)).collect()}
+    got = {r.doc_id: r.mean_log_likelihood for r in window_lm.score(documents(spark, rows)).collect()}
     assert got[1000] < min(v for k, v in got.items() if k != 1000)
 
 
