@@ -4,12 +4,14 @@ A page is read into its leaf blocks: runs of text under one path of block
 elements, in page order, with scripts, styles, markup and comments left out, and
 what pages show as graphics or controls (svg, button, select) or not at all
 (template, noscript, iframe, textarea).  Text in math and object is text.
-Each block has features from its ancestors (tags, words of class, id and role)
+Each block has features from its ancestors (tags, words of class, id and role, kinds)
 and from its text (length, links, punctuation, place).  A chain over the blocks
-with two labels, main and rest, is trained on labelled pages (the hand-labelled
-set of ``html_pages``, or any other) by its exact likelihood gradient, and
+with two labels, main and rest, is trained on labelled pages (those of
+``html_pages``, or any other) by its exact likelihood gradient, and
 decoded by Viterbi.  The blocks labelled main, joined by line feeds, are the
-page's text.
+page's text.  Names of classes count by the kind of furniture they stand for (lists
+of words in several languages), and the innermost element that means something
+counts on its own, so an aside or a form inside an article is not the article.
 
 Training is a few seconds of numpy on a fixed set; extraction runs page by page
 inside tasks and needs no shuffle, so a lost executor costs its pages only.
@@ -34,7 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.llm import common
-from marquee.llm.html_pages import LABELLED_PAGES
+from marquee.llm.html_pages import CONTENT, KIND_OF, LABELLED_PAGES, written_pages
+from marquee.llm.language_id import Field
 
 # HTML's elements by their part in the page.
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption
@@ -55,9 +58,11 @@ HOLDS = frozenset("ul ol menu dl table article section div main aside nav header
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
                    re.S)
 ATTRIBUTE = re.compile(r"([\w-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([\w-]+)")
-NAME_PART = re.compile(r"[a-z]+")
+NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"\s+")
 LABELS = ("rest", "main")
+MEANS = frozenset("article main aside nav form footer header".split())
+WRITTEN = 240                                                       # pages written for training, besides the labelled ones
 
 
 class Block:
@@ -77,7 +82,7 @@ def element(tag: str, raw: str) -> tuple[str, tuple[str, ...], str]:
     if not raw.strip(" \t\r\n/"):
         return tag, (f"tag={tag}",), ""
     a = attributes(raw)
-    names = {w for k in ("class", "id", "role") for w in NAME_PART.findall(a.get(k, "").lower())}
+    names = {w for k in ("class", "id", "role") for w in map(str.lower, NAME_PART.findall(a.get(k, "")))}
     hidden = "hidden" in a or "display:none" in a.get("style", "").replace(" ", "").lower()
     mark = "main" if "data-main" in a else "rest" if "data-rest" in a else ""
     return tag, (f"tag={tag}", *sorted(f"name={n}" for n in names), *(["hidden"] if hidden else [])), mark
@@ -165,10 +170,36 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def sense(e: tuple) -> tuple[str, ...]:
+    """What an element says of its contents: its tag where that means something,
+    and the kinds of furniture, or main text, that its names stand for."""
+    tag = (f"<{e[0]}>",) if e[0] in MEANS else ()
+    names = [f[5:] for f in e[1] if f.startswith("name=")]
+    kinds = {kind_of(n) for n in names} - {None}
+    return (*tag, *sorted(kinds))
+
+
+def kind_of(name: str) -> str | None:
+    """The kind of a name, or of the longest listed word of five letters or more that it begins with."""
+    if name in KIND_OF or name in CONTENT:
+        return KIND_OF.get(name, "content")
+    stem = max((w for w in (*KIND_OF, *CONTENT) if len(w) > 4 and name.startswith(w)), key=len, default=None)
+    return KIND_OF.get(stem, "content") if stem else None
+
+
 def path_features(path: tuple) -> list[str]:
+    """The path's tags and names, and its senses: every one that occurs, and the
+    innermost, with whether it lies inside an article or main text."""
     own = path[-1][0] if path else "none"
     names = {f for e in path for f in e[1]}
-    return [f"own={own}", *sorted(names)]
+    senses = [sense(e) for e in path]
+    said = {s for e in senses for s in e}
+    inner, within = (), False
+    for s in senses:
+        if s:
+            inner, within = s, within or bool({"<article>", "<main>", "content"} & set(inner))
+    return [f"own={own}", *sorted(names), *sorted(f"sense={s}" for s in said),
+            *[f"inner={s}{' within' * within}" for s in inner]]
 
 
 def text_features(b: Block, place: int, n: int) -> list[str]:
@@ -236,41 +267,31 @@ def marked(b: Block) -> int:
     return int(next((e[2] for e in reversed(b.path) if e[2]), "rest") == "main")
 
 
-def train(pages: list[str] = LABELLED_PAGES, rounds: int = 400, rate: float = 0.5, l2: float = 0.002) -> BlockModel:
-    """Gradient ascent (AdaGrad) on the exact conditional log-likelihood."""
-    parsed = [p for p in map(blocks, pages) if p]
-    feats = [[path_features(b.path) + text_features(b, i, len(p)) for i, b in enumerate(p)] for p in parsed]
+def train(pages: list[str] | None = None, rounds: int = 200, rate: float = 0.5, l2: float = 0.01) -> BlockModel:
+    """Gradient ascent (AdaGrad) on the exact conditional log-likelihood of labelled pages."""
+    parsed = [p for p in map(blocks, LABELLED_PAGES + written_pages(WRITTEN) if pages is None else pages) if p]
+    feats = [path_features(b.path) + text_features(b, i, len(p)) for p in parsed for i, b in enumerate(p)]
     names: dict[str, int] = {}
-    for f in (f for p in feats for b in p for f in b):
+    for f in (f for b in feats for f in b):
         names.setdefault(f, len(names))
-    data = []
-    for p, fs in zip(parsed, feats):
-        x = np.zeros((len(p), len(names)))
-        for i, b in enumerate(fs):
-            x[i, [names[f] for f in b]] = 1
-        data.append((x, np.array([marked(b) for b in p])))
+    x = np.zeros((len(feats), len(names)), dtype=np.float32)
+    for i, b in enumerate(feats):
+        x[i, [names[f] for f in b]] = 1
+    y = np.array([marked(b) for p in parsed for b in p])
+    n = np.array([len(p) for p in parsed])
+    begin = np.cumsum(n) - n
+    follows = np.ones(len(y), dtype=bool)
+    follows[begin] = False
+    turns = np.zeros((2, 2))
+    np.add.at(turns, (y[:-1][follows[1:]], y[1:][follows[1:]]), 1)
     w = {"emit": np.zeros((len(names), 2)), "step": np.zeros((2, 2)), "start": np.zeros(2)}
     seen = {k: np.full_like(v, 1e-6) for k, v in w.items()}
     for _ in range(rounds):
-        grad = {k: -l2 * len(data) * v for k, v in w.items()}
-        for x, y in data:
-            e = x @ w["emit"]
-            n = len(y)
-            f, b = np.zeros((n, 2)), np.zeros((n, 2))
-            f[0] = w["start"] + e[0]
-            for i in range(1, n):
-                f[i] = e[i] + np.logaddexp.reduce(f[i - 1][:, None] + w["step"], axis=0)
-            for i in range(n - 2, -1, -1):
-                b[i] = np.logaddexp.reduce(w["step"] + e[i + 1] + b[i + 1], axis=1)
-            z = np.logaddexp.reduce(f[-1])
-            own = -np.exp(f + b - z)
-            own[np.arange(n), y] += 1
-            grad["emit"] += x.T @ own
-            grad["start"] += own[0]
-            for i in range(1, n):
-                grad["step"] -= np.exp(f[i - 1][:, None] + w["step"] + e[i] + b[i] - z)
-                grad["step"][y[i - 1], y[i]] += 1
-        for k, g in grad.items():
+        own, steps = Field(list(LABELS), w["emit"], w["step"], w["start"]).marginals(x @ w["emit"], begin, n)
+        own = -own
+        own[np.arange(len(y)), y] += 1
+        for k, g in (("emit", x.T @ own), ("step", turns - steps), ("start", own[begin].sum(axis=0))):
+            g = g - l2 * w[k]
             seen[k] += g * g
             w[k] += rate * g / np.sqrt(seen[k])
     return BlockModel(names, w["emit"], w["step"], w["start"])

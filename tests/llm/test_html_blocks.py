@@ -2,7 +2,7 @@
 
 import pytest
 
-from marquee.llm import html_extract
+from marquee.llm import html_extract, html_pages
 
 
 @pytest.mark.parametrize("page, want", [
@@ -44,3 +44,72 @@ def test_an_article_with_figures_is_kept_whole():
     page = (f'<body><nav><a href="/">Home</a></nav><article><h1>Title</h1><p>{line}<svg class="i"/></p><p>{line}</p>'
             f'<p>So <math><mi>x</mi></math> is large.<button>Share</p><p>{line}</p></article><footer>&copy; x</footer>')
     assert html_extract.train().text(page) == f"Title\n{line}\n{line}\nSo x is large.\n{line}"
+
+
+LINE = "The committee met on Tuesday to review the proposal, and several members asked for more time."
+
+
+@pytest.fixture(scope="module")
+def model():
+    return html_extract.train()
+
+
+@pytest.mark.parametrize("part", [
+    "<aside><p>{}</p></aside>", "<form><p>{}</p></form>", '<div class="promo"><p>{}</p></div>',
+    '<div class="sponsored-content"><p>{}</p></div>', '<div id="discussion"><p>{}</p></div>', '<section class="userComments"><p>{}</p></section>',
+    '<div id="gdpr-consent"><p>{}</p></div>', '<div class="widget"><p>{}</p></div>', '<div class="werbung">{}</div>',
+    "<nav><p>{}</p></nav>", "<footer><p>{}</p></footer>", '<div class="newsletter-signup"><p>{}</p></div>'])
+def test_furniture_is_left_out_wherever_it_stands(model, part):
+    x = part.format("Buy two today, and get one free in every shop of the town.")
+    body = f"<h1>Title</h1><p>{LINE}</p><p>{LINE}</p>"
+    want = f"Title\n{LINE}\n{LINE}"
+    assert model.text(f"<body>{x}<article>{body}</article></body>") == want
+    assert model.text(f"<body><article>{body}</article>{x}</body>") == want
+    assert model.text(f"<body><article>{body}{x}<p>{LINE}</p></article></body>") == f"{want}\n{LINE}"
+
+
+@pytest.mark.parametrize("page, want", [
+    ('<body><div class="masthead"><a href="/">The Paper</a></div><div class="story-body"><h1>Flood</h1><p>Water rose overnight &amp; fell.'
+     '</p><p>Nobody was\n hurt.</p><ul class="share-tools"><li><a href="#">Post</a></li></ul></div><div class="reader-comments">'
+     '<p>Bob: I saw it from my window and it was high.</p></div><div class="colophon">&copy; The Paper</div></body>',
+     "Flood\nWater rose overnight & fell.\nNobody was hurt."),
+    ('<body><header><h2>Blatt</h2></header><main id="inhalt"><h1>Brand</h1><p>Das Haus brannte die ganze Nacht.</p><div class="anzeigen">'
+     '<p>Jetzt kaufen und sparen.</p></div><p>Die Ursache ist nicht bekannt.</p></main><footer>Impressum</footer></body>',
+     "Brand\nDas Haus brannte die ganze Nacht.\nDie Ursache ist nicht bekannt."),
+    ("<body><nav><a href='/'>Home</a></nav><article><header><h1>With header</h1></header><p>One paragraph of text.</p>"
+     "<figure><figcaption>A map of the town.</figcaption></figure></article></body>",
+     "With header\nOne paragraph of text.\nA map of the town."),
+    ("<body><div class='cookies'>We use them. <button>OK</button></div><form><p>Your e-mail</p></form></body>", ""),
+])
+def test_texts_written_by_hand(model, page, want):
+    assert model.text(page) == want
+
+
+def share_right(model, pages):
+    pairs = [(y, html_extract.marked(b)) for p in pages for f in [html_extract.blocks(p)] for b, y in zip(f, model.decode(f))]
+    return sum(a == b for a, b in pairs) / len(pairs), len(pairs)
+
+
+def test_names_left_out_of_training(model):
+    right, n = share_right(model, html_pages.written_pages(150, seed=77, part=1))
+    assert n > 2000 and right > 0.95
+
+
+def test_frames_left_out_of_training(monkeypatch):
+    """Trained without every third frame, tested on those frames and on the other names."""
+    frames = html_pages.FRAMES
+    monkeypatch.setattr(html_pages, "FRAMES", [f for k, f in enumerate(frames) if k % 3])
+    m = html_extract.train(html_pages.LABELLED_PAGES + html_pages.written_pages(150))
+    monkeypatch.setattr(html_pages, "FRAMES", frames[::3])
+    right, n = share_right(m, html_pages.written_pages(120, seed=5, part=1))
+    assert n > 1500 and right > 0.95
+
+
+def test_every_kind_of_furniture_is_trained():
+    from collections import Counter
+    found = Counter()
+    for page in html_pages.written_pages(html_extract.WRITTEN):
+        for b in html_extract.blocks(page):
+            if not html_extract.marked(b):
+                found.update({s for e in b.path for s in html_extract.sense(e)} & set(html_pages.FURNITURE))
+    assert set(found) == set(html_pages.FURNITURE) and min(found.values()) >= 30 and sum(found.values()) > 1000
