@@ -16,7 +16,8 @@ broadcast.  Scoring reads every whole text once.
 Defined cases: null and empty texts score by the bias alone; a null doc_id is
 never held out nor trained on; several labels of one doc_id count as their
 greatest; no labels give scores of 0.5; repeated rows score alike; an empty
-table gives no rows.
+table gives no rows; texts of any length are read whole; input columns named
+like an added one are replaced by it.
 """
 
 from __future__ import annotations

@@ -38,7 +38,6 @@ from marquee.llm.components import components
 MIN_COSINE = 0.98
 SAMPLE = 4096                          # classes the codebooks are trained on
 CELL_CLASSES = 512                     # wished-for classes of one label in a cell: a row shipped costs some hundred comparisons
-MAX_CODES = 128                        # of a codebook
 BLOCK = 1024                           # classes a side of a tile
 EPSILON = 1e-6                         # added to the radius against rounding
 
@@ -161,9 +160,10 @@ def link_tile(min_cosine: float):
 TILE_SCHEMA = pa.schema([(c, pa.int64()) for c in ("cls", "rep", "links", "root")])
 
 
-def codebooks(classes: DataFrame, n_classes: int, n_labels: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Per vector length, the centres of either half, from at most SAMPLE classes."""
-    codes = int(np.clip(np.sqrt(n_classes / max(1, n_labels) / CELL_CLASSES), 2, MAX_CODES))
+def codebooks(classes: DataFrame, largest: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per vector length, the centres of either half, from at most SAMPLE
+    classes: so many that the largest label has about CELL_CLASSES a cell."""
+    codes = max(2, int(np.sqrt(largest / CELL_CLASSES)))          # the sample's size at most, see kmeans
     sample = (classes.orderBy(F.xxhash64("cls"), "cls").limit(SAMPLE).select("dim", "embedding").collect())
     books = {}
     for dim in classes.select("dim").distinct().toLocalIterator():
@@ -191,8 +191,8 @@ def near_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> DataF
             F.first("label").alias("label"), F.first(F.size("embedding")).alias("dim"),
             F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
             F.first("embedding").alias("embedding")), "vec-classes")
-    n = classes.agg(F.count(F.lit(1)), F.countDistinct("label")).first()
-    books = spark.sparkContext.broadcast(codebooks(classes, *n) if n[0] else {})
+    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0]
+    books = spark.sparkContext.broadcast(codebooks(classes, largest) if largest else {})
     radius2 = 2 - 2 * min_cosine + EPSILON
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in classes.schema) \
         + ", cell int, visitor boolean, home boolean"

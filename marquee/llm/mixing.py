@@ -23,7 +23,8 @@ summed by window, and each block numbers its own documents.
 
 Defined cases: null or empty text has size 0 and is taken 0 times; a source
 without words has target 0; null doc_id and null source are values of their
-own; repeated rows are separate documents; an empty table gives no rows; input
+own; repeated rows are separate documents; texts of any length count whole; an
+empty table gives no rows; input
 columns named like an added one are replaced by it.
 """
 

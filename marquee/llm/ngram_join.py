@@ -31,7 +31,8 @@ verified links already connect, so components are exact.
 Defined cases: null, empty and blank texts have an empty set and link with
 nothing; repeated rows and equal texts share a component; a null doc_id takes
 part but is never a component's id unless alone (then the id is null); an empty
-table gives no rows; input columns named like an added one are replaced by it.
+table gives no rows; texts of any length give all their shingles; input columns
+named like an added one are replaced by it.
 """
 
 from __future__ import annotations
