@@ -15,6 +15,11 @@ stages but the last return the columns of documents.
 
 Further columns go through all stages but the last unchanged, whatever their
 names; ``n_chars`` follows a text that lost lines.
+
+Defined cases: the quality stage rejects null, empty and short texts; a null
+doc_id is a value of its own and may repeat; repeated rows are documents of
+their own up to the near-duplicate stage, which keeps one (ties: the lowest
+doc_id); texts of any length are read whole; an empty table gives no sequences.
 """
 
 from __future__ import annotations

@@ -1259,3 +1259,42 @@ def q_variant_null_rank(spark, sf_dir):
     """Documents whose rank is there and null."""
     d = _loose_movies(spark, sf_dir).filter(D.field_is_null("doc", "$.rank"))
     return d.select(D.field_value("doc", "$.id", "long").alias("id"))
+
+
+# -- statistics from mergeable sketches ---------------------------------------------
+
+_SKETCHED = {"movies": ["id", "name", "year", "rank", "den_nb_actors"], "directors": ["id", "last_name", "n_movies"]}
+_sketches: dict[tuple[str, str], str] = {}
+
+
+def sketches_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the stored collections, written once per application."""
+    from marquee.plans.reports import column_sketches
+    from marquee.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _sketches:
+        _sketches[key] = scratch_path(spark, "sketches")
+        t = stored(spark, sf_dir)
+        for k, columns in _SKETCHED.items():
+            column_sketches(k, t[k], columns, STORED_BUCKETS).write.mode("append").parquet(_sketches[key])
+    return spark.read.parquet(_sketches[key])
+
+
+def _sketch_sql(t: str, c: str) -> str:
+    text = c.endswith("name")
+    lo, hi = (f'{f}("{c}")' for f in ("min", "max"))
+    num, txt = ("cast(null as double)", "cast(null as varchar)")
+    return (f"""select '{t}' as collection, '{c}' as "column", count(*) as n_rows, count(*) - count("{c}") as n_null, """
+            + ", ".join(f"{e} as {n}" for n, e in (
+                ("min_number", num if text else f"cast({lo} as double)"), ("max_number", num if text else f"cast({hi} as double)"),
+                ("min_text", lo if text else txt), ("max_text", hi if text else txt)))
+            + f" from {dict(movies='den_movies', directors='dd')[t]}")
+
+
+@register("rpt_sketch_stats", _W_ALL + """,
+dd as (select d.*, coalesce(l.n_movies, 0) as n_movies from directors d left join movie_counts l on l.director_id = d.id)
+""" + " union all ".join(_sketch_sql(t, c) for t, cols in _SKETCHED.items() for c in cols))
+def q_rpt_sketch_stats(spark, sf_dir):
+    """A15 / Adm2: the exact columns of the merged sketches (the distinct estimate: tests)."""
+    from marquee.plans.reports import merged_stats
+    return merged_stats(sketches_of(spark, sf_dir)).drop("n_distinct_estimate")
