@@ -69,6 +69,16 @@ def denormalize_job(spark: SparkSession, sf_dir: str, buckets: int, out_dir: str
     return names
 
 
+def write_parameters(spark: SparkSession, path: str, **values: int) -> None:
+    """The numbers that readers of a layout need, written last: a folder that has them is complete."""
+    spark.createDataFrame(list(values.items()), "name string, value long").write.json(os.path.join(path, MANIFEST))
+
+
+def read_parameters(spark: SparkSession, path: str) -> dict[str, int]:
+    schema = "name string, value long"
+    return {r.name: r.value for r in spark.read.schema(schema).json(os.path.join(path, MANIFEST)).collect()}   # a row each
+
+
 def export_json(tables: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
     """The document tables as JSON lines (the interchange format of the
     reference's job), one file per task, never funnelled into one writer."""

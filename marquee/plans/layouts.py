@@ -15,8 +15,8 @@
 ``best movies``  the best movie per (director, genre) as a state that merges over
     any list of directors (Rda4 without documents).
 
-``write`` functions take a new folder; a small ``_layout`` table inside keeps the
-parameters that readers need.
+``write`` functions take a new folder; a manifest inside keeps the parameters that
+readers need.
 """
 
 from __future__ import annotations
@@ -28,24 +28,13 @@ from pyspark.sql import functions as F
 
 from marquee.operators import aggregates as A
 from marquee.operators import lookup as L
+from marquee.plans.jobs import materialize, read_parameters, write_parameters
 
 POSTING_IDS = 100_000
 BITS = 4
-PEOPLE_BROADCAST = 100_000              # persons (16 bytes each) that a lookup may broadcast
 CLUSTER_BY = ("year", "rank", "den_nb_actors")
 
 
-def _note(spark: SparkSession, path: str, name: str, value: int) -> None:
-    # written last: a folder with a note is complete
-    spark.createDataFrame([(name, value)], "name string, value long").coalesce(1).write.json(os.path.join(path, "_layout"))
-
-
-def _noted(spark: SparkSession, path: str, name: str) -> int:
-    rows = spark.read.schema("name string, value long").json(os.path.join(path, "_layout")).collect()   # one row
-    [value] = [r.value for r in rows if r.name == name]
-    return value
-
-
 # -- links by person ---------------------------------------------------------
 
 def person_bucket(person: Column, buckets: int) -> Column:
@@ -63,14 +52,14 @@ def write_person_links(links: DataFrame, path: str, buckets: int, page_rows: int
      # sorted longs as differences: a dictionary would be read whole for one person
      .option("parquet.writer.version", "PARQUET_2_0").option("parquet.enable.dictionary#movie_id", "false")
      .partitionBy("person_bucket").parquet(path))
-    _note(links.sparkSession, path, "buckets", buckets)
+    write_parameters(links.sparkSession, path, buckets=buckets)
 
 
 class PersonLinks:
     """Stored links by person: ``of_id`` for one id, ``of`` for a DataFrame of persons."""
 
     def __init__(self, spark: SparkSession, path: str):
-        self.buckets = _noted(spark, path, "buckets")
+        self.buckets = read_parameters(spark, path)["buckets"]
         self.links = spark.read.schema("id long, movie_id long, n long, person_bucket int").parquet(path)
 
     def of_id(self, person: int) -> DataFrame:
@@ -80,12 +69,14 @@ class PersonLinks:
 
     def of(self, people: DataFrame, one: bool = False) -> DataFrame:
         """Links of ``people`` (``id``); the folders are pruned when the query
-        runs (a dynamic partition filter) if the persons, once counted, are few
-        enough to broadcast.  ``one``: at most one row, so not counted."""
-        keys = people.select("id", person_bucket(F.col("id"), self.buckets).alias("person_bucket"))
-        if one or people.select("id").limit(PEOPLE_BROADCAST + 1).count() <= PEOPLE_BROADCAST:
-            keys = F.broadcast(keys)
-        return self.links.join(keys, ["person_bucket", "id"], "left_semi").drop("person_bucket")
+        runs (a dynamic partition filter) wherever Spark broadcasts the persons.
+        They are written first, so it decides by their size.  ``one``: at most
+        one row, broadcast as it is."""
+        bucket = person_bucket(F.col("id"), self.buckets).alias("person_bucket")
+        keys = people.select("id", bucket) if one else materialize(people.select("id", bucket).distinct(), "people")
+        # what Spark takes for a selective filter, and so a reason to prune; every bucket passes
+        keys = keys.filter(F.col("person_bucket") >= 0)
+        return self.links.join(F.broadcast(keys) if one else keys, ["person_bucket", "id"], "left_semi").drop("person_bucket")
 
 
 # -- genre postings ----------------------------------------------------------
@@ -102,12 +93,12 @@ def write_postings(movies: DataFrame, path: str, width: int = POSTING_IDS) -> No
     rows = blocks(movies.select("id", F.explode("list_genres").alias("genre")), ["genre"], width)
     (rows.repartitionByRange("genre", "block").sortWithinPartitions("genre", "block")
      .write.option("parquet.writer.version", "PARQUET_2_0").parquet(path))       # delta-coded integers
-    _note(movies.sparkSession, path, "width", width)
+    write_parameters(movies.sparkSession, path, width=width)
 
 
 class Postings:
     def __init__(self, spark: SparkSession, path: str):
-        self.width = _noted(spark, path, "width")
+        self.width = read_parameters(spark, path)["width"]
         self.rows = spark.read.schema("genre string, block long, offsets array<int>").parquet(path)
 
     def genre(self, name: str) -> DataFrame:
@@ -139,19 +130,23 @@ def interleaved(steps: list[Column], bits: int = BITS) -> Column:
     return out
 
 
-def cluster_key(movies: DataFrame, columns: tuple[str, ...] = CLUSTER_BY, bits: int = BITS) -> Column:
-    """The key over quantile steps of the columns (one pass; 2**bits - 1 cuts each); null is the lowest step."""
+def with_cluster_key(movies: DataFrame, columns: tuple[str, ...] = CLUSTER_BY, bits: int = BITS) -> DataFrame:
+    """``movies`` with ``_key`` over quantile steps of the columns (2**bits - 1
+    cuts each, in one row that every task gets); null is the lowest step."""
     n = 1 << bits
     shares = [k / n for k in range(1, n)]
-    cuts = movies.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, 10_000).alias(c) for c in columns]).first()
-    step = lambda c: sum((F.when(F.col(c).cast("double") > F.lit(cut), 1).otherwise(0)
-                          for cut in sorted(set(cuts[c] or []))), F.lit(0))
-    return interleaved([step(c) for c in columns], bits)
+    value = lambda c: F.col(c).cast("double")
+    cuts = movies.agg(F.struct(*[F.array_distinct(F.percentile_approx(value(c), shares, 10_000)).alias(c)
+                                 for c in columns]).alias("_cuts")).withColumn("_one", F.lit(1))
+    step = lambda c: F.size(F.filter(F.col(f"_cuts.{c}"), lambda cut: cut < value(c)))
+    steps = [F.greatest(F.coalesce(step(c), F.lit(0)), F.lit(0)) for c in columns]
+    return (movies.withColumn("_one", F.lit(1)).join(F.broadcast(cuts), "_one")
+            .withColumn("_key", interleaved(steps, bits)).drop("_one", "_cuts"))
 
 
 def write_clustered(movies: DataFrame, path: str, row_group_bytes: int | None = None,
                     columns: tuple[str, ...] = CLUSTER_BY) -> None:
-    out = (movies.withColumn("_key", cluster_key(movies, columns)).repartitionByRange("_key", "id")
+    out = (with_cluster_key(movies, columns).repartitionByRange("_key", "id")
            .sortWithinPartitions("_key", *columns).drop("_key"))
     writer = out.write
     if row_group_bytes:

@@ -28,7 +28,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marquee.sources import files
+
 BUCKET = "_bucket"
+FILES = 4                               # of a bucket, at most, in one write
 
 
 class Conflict(RuntimeError):
@@ -59,7 +62,11 @@ class Collection:
         """{bucket, folder, rows} of a version."""
         if not version:
             return []
-        return json.loads(self.spark.read.text(self._file(version), wholetext=True).first().value)
+        stream = self._fs.open(self._place(self._file(version)))
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
 
     def commit(self, parts: list[dict], base: int) -> int:
         """The next version, if ``base`` is still the latest."""
@@ -90,12 +97,14 @@ class Collection:
         """New data folders of ``df``; at most one line per bucket comes back."""
         folder = f"data-{uuid.uuid4().hex[:12]}"
         path = f"{self.path}/{folder}"
+        seen = Observation(folder)
+        per_bucket = [F.count_if(F.col(BUCKET) == k).alias(str(k)) for k in range(self.buckets)]
+        plain = [c for c in self.schema.names if not _is_map(self.schema[c].dataType)]
         (df.select(*self.schema.names, self._bucket().alias(BUCKET))
-         .repartition(BUCKET, F.pmod(F.xxhash64(*[c for c in self.schema.names if not _is_map(self.schema[c].dataType)]), F.lit(4)))
-         .write.partitionBy(BUCKET).parquet(path))
-        counts = (self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())]))
-                  .parquet(path).groupBy(BUCKET).count().collect())
-        return [{"bucket": r[BUCKET], "folder": folder, "rows": r["count"]} for r in counts]
+         .repartition(BUCKET, F.pmod(F.xxhash64(*plain), F.lit(FILES)))
+         .observe(seen, *per_bucket).write.partitionBy(BUCKET).parquet(path))
+        rows = {k: int(seen.get[str(k)]) for k in range(self.buckets)}
+        return [{"bucket": k, "folder": folder, "rows": n} for k, n in rows.items() if n]
 
     def append(self, df: DataFrame) -> int:
         """Adds rows as they are (deltas, for ``compact`` to merge)."""
@@ -116,9 +125,9 @@ class Collection:
         """
         base = self.version()
         old = self.parts(base)
-        seen = Observation("batch")
-        own = batch.observe(seen, F.count(F.lit(1)).alias("rows"))
-        first = own.filter(F.col(self.key).isNotNull()).withColumn("_text", F.to_json(F.struct(*self.schema.names)))
+        incoming = f"{self.path}/incoming-{uuid.uuid4().hex[:12]}"        # the batch, computed once
+        n = files.append(batch.select(*self.schema.names), incoming)
+        first = self.spark.read.schema(self.schema).parquet(incoming).filter(F.col(self.key).isNotNull()).withColumn("_text", F.to_json(F.struct(*self.schema.names)))
         # the least row of a key per task before the shuffle: a key that a third of the batch repeats stays small
         first = (first.groupBy(self.key).agg(F.min_by(F.struct(*self.schema.names), "_text").alias("_row"))
                  .select("_row.*"))
@@ -134,7 +143,7 @@ class Collection:
             loaded = sum(p["rows"] for p in fresh)
             replaced = sum(p["rows"] for p in stay) - sum(p["rows"] for p in kept)
             parts = [p for p in old if p["bucket"] not in touched] + kept + fresh
-        return {"version": self.commit(parts, base), "loaded": loaded, "refused": int(seen.get["rows"]) - loaded,
+        return {"version": self.commit(parts, base), "loaded": loaded, "refused": n - loaded,
                 "replaced": replaced}
 
     def compact(self, merge: Callable[[DataFrame], DataFrame]) -> int:
