@@ -27,6 +27,9 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS + "+")), F.lit(0)).cast("long")
 
 
+WRITTEN: list[str] = []                 # paths of this process's stored tables, in order
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write under the shared folder, read back.
 
@@ -34,10 +37,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     scratch space of the job (``spark.checkpoint.dir``).
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
+    WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Gives back the space of stored tables that nothing will read again."""
+    for p in paths:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def broadcast_if_small(stored: DataFrame, max_rows: int) -> DataFrame:
     """A stored table, marked for broadcast when it has at most ``max_rows``
     rows; beyond that the join shuffles it like any other."""

@@ -83,3 +83,20 @@ def test_null_ids_repeated_rows_and_no_rows(spark, tmp_path):
         sf = tmp_path / f"sf{len(rows)}"
         documents(spark, rows).write.parquet(str(sf / "documents.parquet"))
         assert len(corpus_pipeline.run(spark, str(sf)).collect()) >= bool(rows)
+
+
+def test_a_stage_gives_back_the_tables_of_the_one_before(spark, tmp_path):
+    """Only those: results stay, and so do the tables that other queries have stored."""
+    import os
+
+    from marquee.llm import common
+    other = common.materialize(spark.range(5).toDF("n"), "other")
+    docs, at = spark.read.parquet(f"{SF}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        at[name] = list(corpus_pipeline._own)
+        docs = stored(out, tmp_path / name)
+    there = {name: [os.path.exists(p.removeprefix("file:")) for p in paths] for name, paths in at.items()}
+    assert all(at.values()) and all(there["packing"])
+    assert not any(x for name, xs in there.items() if name != "packing" for x in xs)
+    assert other.count() == 5 and docs.count() > 0
