@@ -1,7 +1,8 @@
 """From raw documents to packed sequences, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` and the
-check tool write it as Parquet and read it again as the next stage's docs.  All
+check tool write it as Parquet and read it again as the next stage's docs.  The
+tables that a stage stores on its way are deleted when the next one starts.  All
 stages but the last return the columns of documents.
 
 * quality_rules: rejects the documents that break the base or adaptive rules;
@@ -78,13 +79,29 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return packing.pack(docs, carry=["doc_id"], with_ids=True)
 
 
-STAGES = [
+_own: list[str] = []                    # tables that the latest stage has stored for itself
+
+
+def freeing(stage):
+    """The stage, after the one before has given back its own tables: its result
+    is written by then.  (So call a stage once the one before is written.)"""
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if stage is not quality_stage:                       # the first: nothing of this run is stored yet
+            common.delete_tables(spark, _own)
+        at = len(common.WRITTEN)
+        out = stage(spark, docs, sf_dir)
+        _own[:] = common.WRITTEN[at:]
+        return out
+    return run
+
+
+STAGES = [(name, freeing(stage)) for name, stage in [
     ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
     ("ngram_join", near_duplicate_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
-]
+]]
 
 # tokens and best-fit plans are not SQL; tests/llm compares the stages with brute force
 ORACLE_SQL = None
