@@ -23,8 +23,11 @@ cannot name another bucket count by mistake.
 
 from __future__ import annotations
 
+import contextlib
+import math
 import os
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +41,26 @@ SORT_KEYS = {"movies": ["year", "rank"], "directors": ["id"], "actors": ["id"],
              "director_movies": ["id"], "actor_movies": ["id"]}
 MANIFEST = "_catalogue_manifest"
 MANIFEST_SCHEMA = "kind string, buckets int, bucket_key string, sort_keys array<string>, ddl string"
+LINES_PER_TASK = 1_000_000              # with the movies, links and documents that belong to them
+
+
+def parts_of(cat: Catalog) -> int:
+    """Partitions that keep a task's share of the line items the same at any size (counted in file footers)."""
+    return math.ceil(cat.raw("lineitem").count() / LINES_PER_TASK)
+
+
+@contextlib.contextmanager
+def shuffled_in(spark: SparkSession, parts: int) -> Iterator[None]:
+    """Shuffles of the jobs inside have ``parts`` partitions, none merged."""
+    conf = {"spark.sql.shuffle.partitions": str(parts), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
 
 
 def denormalize_job(spark: SparkSession, sf_dir: str, buckets: int, out_dir: str | None = None,
@@ -49,26 +72,35 @@ def denormalize_job(spark: SparkSession, sf_dir: str, buckets: int, out_dir: str
     ``spark.checkpoint.dir``.
     """
     out_dir = out_dir or os.path.join(ensure_checkpoint_dir(spark), f"catalogue-{uuid.uuid4().hex[:8]}")
-    # the movie-genre pairs come from the largest join of the job (line items
-    # against parts) and feed two tables: write them once, read them twice
     cat = Catalog(spark, sf_dir)
-    mg = materialize(cat.movies_genres(), "movies_genres", out_dir)
     names, rows = {}, []
-    for kind, df in denormalize.build_all(cat, movies_genres=mg).items():
-        name = names[kind] = f"{prefix}_{kind}"
-        key = BUCKET_KEY[kind]
-        (df.repartition(buckets, key)
-           .write.mode("overwrite")
-           .bucketBy(buckets, key).sortBy(*SORT_KEYS[kind])
-           .option("path", os.path.join(out_dir, kind))
-           .saveAsTable(name))
-        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-        rows.append((kind, buckets, key, SORT_KEYS[kind], ddl))
+    # as many partitions as buckets: tables joined on their bucket key are not dealt again for the write
+    with shuffled_in(spark, max(buckets, parts_of(cat))):
+        # the movie-genre pairs come from the largest join of the job (line items
+        # against parts) and feed two tables: write them once, by movie, read them twice
+        pairs = f"{prefix}_movies_genres_{uuid.uuid4().hex[:8]}"
+        mg = _bucketed(cat.movies_genres(), buckets, "movie_id", ["movie_id"], os.path.join(out_dir, pairs), pairs)
+        for kind, df in denormalize.build_all(cat, movies_genres=mg).items():
+            key, name = BUCKET_KEY[kind], f"{prefix}_{kind}"
+            _bucketed(df, buckets, key, SORT_KEYS[kind], os.path.join(out_dir, kind), name)
+            names[kind] = name
+            ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+            rows.append((kind, buckets, key, SORT_KEYS[kind], ddl))
+    spark.sql(f"DROP TABLE {pairs}")                # its files stay, like those of the tables
     # written last: a folder with a manifest is complete
     spark.createDataFrame(rows, MANIFEST_SCHEMA).write.mode("overwrite").json(os.path.join(out_dir, MANIFEST))
     return names
 
 
+def _bucketed(df: DataFrame, buckets: int, key: str, sort_keys: list[str], path: str, name: str) -> DataFrame:
+    (df.repartition(buckets, key)
+       .write.mode("overwrite")
+       .bucketBy(buckets, key).sortBy(*sort_keys)
+       .option("path", path)
+       .saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def write_parameters(spark: SparkSession, path: str, **values: int) -> None:
     """The numbers that readers of a layout need, written last: a folder that has them is complete."""
     spark.createDataFrame(list(values.items()), "name string, value long").write.json(os.path.join(path, MANIFEST))

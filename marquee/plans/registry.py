@@ -50,7 +50,7 @@ def movies_for(spark: SparkSession, sf_dir: str) -> Q.MoviesFor:
     return denormalize.movies_for(Catalog(spark, sf_dir))
 
 
-STORED_BUCKETS = 8
+STORED_BUCKETS = 8                      # at least
 _stored: dict[tuple[str, str], dict[str, str]] = {}
 
 
@@ -59,7 +59,8 @@ def stored(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     call of this application, then opened."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _stored:
-        _stored[key] = jobs.denormalize_job(spark, sf_dir, STORED_BUCKETS, prefix=f"stored{len(_stored)}")
+        buckets = max(STORED_BUCKETS, jobs.parts_of(Catalog(spark, sf_dir)))
+        _stored[key] = jobs.denormalize_job(spark, sf_dir, buckets, prefix=f"stored{len(_stored)}")
     return jobs.open_catalogue(spark, _stored[key])
 
 
