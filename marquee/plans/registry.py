@@ -1000,7 +1000,9 @@ def layouts_of(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     from marquee.session import scratch_path
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _layouts:
-        _layouts[key] = layouts.write_all(stored(spark, sf_dir), scratch_path(spark, "layouts"), PERSON_BUCKETS)
+        tables = stored(spark, sf_dir)
+        with jobs.shuffled_in(spark, max(STORED_BUCKETS, jobs.parts_of(Catalog(spark, sf_dir)))):
+            _layouts[key] = layouts.write_all(tables, scratch_path(spark, "layouts"), PERSON_BUCKETS)
     return _layouts[key]
 
 

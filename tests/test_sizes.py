@@ -60,6 +60,16 @@ def test_small_inputs_keep_the_least_number_of_buckets(spark, sf_dir):
     assert {buckets_of(spark, n) for n in names.values()} == {registry.STORED_BUCKETS}
 
 
+def test_layouts_are_written_in_parts_by_lines(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(jobs, "LINES_PER_TASK", 100)
+    paths = registry.layouts_of(spark, sf_dir)
+    assert len(glob.glob(f"{paths['clustered']}/*.parquet")) > LINES // 200
+    want = rows(registry.QUERIES["rda4_top"](spark, sf_dir))
+    assert want and rows(registry.QUERIES["lookup_rda4_top"](spark, sf_dir)) == want
+    assert rows(registry.QUERIES["summary_rda4_top"](spark, sf_dir)) == want
+    assert rows(registry.QUERIES["lookup_rda1"](spark, sf_dir)) == rows(registry.QUERIES["rda1"](spark, sf_dir))
+
+
 def test_parts_grow_with_the_lines(spark, sf_dir, monkeypatch):
     assert jobs.parts_of(Catalog(spark, sf_dir)) == 1
     monkeypatch.setattr(jobs, "LINES_PER_TASK", 250)
