@@ -49,6 +49,12 @@ def parts_of(cat: Catalog) -> int:
     return math.ceil(cat.raw("lineitem").count() / LINES_PER_TASK)
 
 
+def spread(ids: DataFrame, cat: Catalog) -> DataFrame:
+    """``ids`` dealt by number, so that what is joined to many of them is not
+    merged into as many tasks as there are cores."""
+    return ids.repartition(max(parts_of(cat), ids.sparkSession.sparkContext.defaultParallelism), "id")
+
+
 @contextlib.contextmanager
 def shuffled_in(spark: SparkSession, parts: int) -> Iterator[None]:
     """Shuffles of the jobs inside have ``parts`` partitions, none merged."""

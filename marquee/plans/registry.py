@@ -245,7 +245,7 @@ def q_ru1(spark, sf_dir):
     """Only the documents of movies that pass the rank are built."""
     cat = Catalog(spark, sf_dir)
     ids = cat.movies().filter(D.greater("rank", 8)).select("id")
-    return Q.ru1(denormalize.movies_for(cat)(ids), "PROMO", 8)
+    return Q.ru1(denormalize.movies_for(cat)(jobs.spread(ids, cat)), "PROMO", 8)
 
 
 @register("ru2", oracle_with("directors", "movies_directors", "directors_genres") + """
@@ -271,7 +271,7 @@ def q_ru3(spark, sf_dir):
     """Only the documents of that year's movies are built."""
     cat = Catalog(spark, sf_dir)
     ids = cat.movies().filter(F.col("year") == 1995).select("id")
-    return Q.ru3(denormalize.movies_for(cat)(ids), "ECONOMY", 1995)
+    return Q.ru3(denormalize.movies_for(cat)(jobs.spread(ids, cat)), "ECONOMY", 1995)
 
 
 @register("ru4", _with(("movies", "movies_genres", "movies_directors", "directors"),

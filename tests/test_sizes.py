@@ -70,6 +70,15 @@ def test_layouts_are_written_in_parts_by_lines(spark, sf_dir, monkeypatch):
     assert rows(registry.QUERIES["lookup_rda1"](spark, sf_dir)) == rows(registry.QUERIES["rda1"](spark, sf_dir))
 
 
+@pytest.mark.parametrize("name", ["ru1", "ru3"])
+def test_many_ids_meet_the_lines_in_parts_by_lines(spark, sf_dir, monkeypatch, name):
+    want = rows(registry.QUERIES[name](spark, sf_dir))
+    monkeypatch.setattr(jobs, "LINES_PER_TASK", 100)
+    df = registry.QUERIES[name](spark, sf_dir)
+    assert want and rows(df) == want
+    assert re.search(rf"hashpartitioning\(id#\d+L, {LINES // 100}\), REPARTITION_BY_NUM", plan(df))
+
+
 def test_parts_grow_with_the_lines(spark, sf_dir, monkeypatch):
     assert jobs.parts_of(Catalog(spark, sf_dir)) == 1
     monkeypatch.setattr(jobs, "LINES_PER_TASK", 250)
