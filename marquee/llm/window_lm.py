@@ -34,11 +34,12 @@ carried.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -55,34 +56,47 @@ ROUNDS = 1                              # passes over the documents
 MEETINGS = 2                            # times in a round that the replicas are averaged
 REPLICA_WORDS = 1_000_000               # at least so many words for another replica
 BATCH = 2048
+SCORED = 1024                           # words scored together
 RATE = 0.1
 BLOCK = 4096                            # rows of a table averaged together
 CACHE_WORDS = 1 << 18
 SLICE, SLICE_ROWS = 1 << 21, 500        # bytes and rows of texts read together
 
 
-def texts(batch: pa.RecordBatch, i: int) -> Iterator[bytes | None]:
-    return (x.as_py() for x in batch.column(i).cast(pa.binary()))
-
-
 def slices(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.RecordBatch]:
     for b in common.byte_slices(batches, column, SLICE):
         yield from (b.slice(at, SLICE_ROWS) for at in range(0, b.num_rows, SLICE_ROWS))
 
 
-def word_hash(w: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(w) >> 1
+def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The number of words of each text, the hashes of their distinct words, and every word's place among these."""
+    texts = pc.fill_null(texts.cast(pa.binary()).view(pa.string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    n, words = lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().dictionary_encode()
+    kinds, at = words.dictionary, words.indices.to_numpy()
+    _, ends, data = kinds.cast(pa.binary()).buffers()
+    ends = np.frombuffer(ends, np.int32)[kinds.offset:kinds.offset + len(kinds) + 1] if len(kinds) else np.zeros(1, np.int32)
+    data, cuts = data.to_pybytes() if data else b"", ends.tolist()
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(cuts, cuts[1:])), np.uint64, len(kinds)) >> np.uint64(1)
+    blank = np.diff(ends) == 0
+    if blank.any():                                      # before leading and after trailing white space
+        word = ~blank[at]
+        n = np.bincount(np.repeat(np.arange(len(n)), n)[word], minlength=len(n))
+        at = at[word]
+    return n, hashes.astype(np.int64), at
 
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
-        h = np.fromiter((word_hash(w) for w in n), np.int64, len(n))
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(list(n.values()), pa.int64())],
+        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())],
                                           ["hash", "n"])
-    n: Counter[bytes] = Counter()
+    n: dict[int, int] = defaultdict(int)
     for b in slices(batches):
-        for x in texts(b, 0):
-            n.update((x or b"").lower().split())
+        _, h, at = distinct_words(b.column(0))
+        uses = np.bincount(at, minlength=len(h))
+        for word, used in zip(h.tolist(), uses.tolist()):
+            if used:
+                n[word] += used
         if len(n) > CACHE_WORDS:
             yield out()
             n.clear()
@@ -108,26 +122,21 @@ class Vocabulary:
         return 1 << self.depth
 
     def reader(self):
-        """Texts to their words' leaves and log parts of these."""
-        own = dict(zip(self.hashes.tolist(), range(len(self.hashes))))
-        first, free = len(own), self.end - len(own)
+        """A column of texts to each text's words: their leaves and log parts of these."""
+        order = np.argsort(self.hashes, kind="stable")
+        ranked, first, free = self.hashes[order], len(order), self.end - len(order)
         per_leaf = len(self.cells) // free
-        cache: dict[bytes, bytes] = {}
-
-        def word(w: bytes) -> bytes:
-            if len(cache) >= CACHE_WORDS:
-                cache.clear()
-            h = word_hash(w)
-            leaf, share = own.get(h), 0.0
-            if leaf is None:
-                at = h % free
-                leaf, share = first + at, self.cells[at * per_leaf + h // free % per_leaf]
-            out = cache[w] = np.array((leaf, share), WORD).tobytes()
-            return out
-
-        def read(text: bytes | None) -> np.ndarray:
-            get = cache.get
-            return np.frombuffer(b"".join([get(w) or word(w) for w in (text or b"").lower().split()]), WORD)
+
+        def read(texts: pa.Array | bytes) -> list[np.ndarray] | np.ndarray:
+            if isinstance(texts, bytes):
+                return read(pa.array([texts], pa.binary()))[0]
+            n, h, at = distinct_words(texts)
+            rank = np.searchsorted(ranked, h)
+            own = np.flatnonzero(ranked[np.minimum(rank, first - 1)] == h) if first else []
+            kinds = np.empty(len(h), WORD)
+            kinds["leaf"], kinds["share"] = first + h % free, self.cells[h % free * per_leaf + h // free % per_leaf]
+            kinds["leaf"][own], kinds["share"][own] = order[rank[own]], 0
+            return np.split(kinds.take(at), np.cumsum(n)[:-1]) if len(n) else []
         return read
 
 
@@ -137,6 +146,17 @@ def framed(seqs: list[np.ndarray], end: int) -> np.ndarray:
     return np.concatenate(ends + [p for s in seqs for p in (s, ends[0])])
 
 
+def run_sums(rows: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of n rows; reduceat loops by run and column, so single rows are copied and columns added in pairs."""
+    out, many = rows.take(first, axis=0), n > 1
+    starts = many.copy()                                 # of longer runs, and of what lies between them
+    starts[1:] |= many[:-1]
+    starts[:1] = True
+    pairs = rows.view(np.result_type(rows, np.complex64))
+    out[many] = np.add.reduceat(pairs, first[starts])[many[starts]].view(rows.dtype)
+    return out
+
+
 class TreeNetwork:
     """P(word | WINDOW words to the left and to the right)."""
 
@@ -164,7 +184,7 @@ class TreeNetwork:
 
     def hidden(self, seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Embeddings of a framed sequence, and the hidden layer of its places."""
-        x, n = self.p["embed"][seq], len(seq) - 2 * WINDOW
+        x, n = self.p["embed"].take(seq, axis=0), len(seq) - 2 * WINDOW
         z = np.zeros((n, HIDDEN), dtype=np.float32)
         for k in range(2 * WINDOW + 1):
             if k != WINDOW:
@@ -179,18 +199,22 @@ class TreeNetwork:
         return node, (((leaf >> (self.depth - 1 - d)) & 1) * 2 - 1).astype(np.float32)
 
     def choices(self, h: np.ndarray, node: np.ndarray, side: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        u = self.p["tree"][node]
-        z = np.einsum("bdh,bh->bd", u, h) + self.bias[node]
-        return u, np.exp(-np.clip(side * z, -30, 30))
+        u = self.p["tree"].take(node, axis=0)
+        z = np.matmul(u, h[:, :, None])[:, :, 0]
+        z += self.bias.take(node)
+        z *= side
+        return u, np.exp(-np.maximum(np.minimum(z, 30), -30))
 
     def log_probability(self, h: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-        return -np.log1p(self.choices(h, *self.way(leaf))[1], dtype=np.float64).sum(axis=1)
+        # no overflow: at most DEPTH_MAX factors of at most 1 + exp(30)
+        e = self.choices(h, *self.way(leaf))[1]
+        return -np.log(np.multiply.reduce(1 + e.astype(np.float64), axis=1))
 
     def score(self, seq: np.ndarray) -> np.ndarray:
         """Log-probabilities of the words of a framed sequence, in order."""
         end, out = 1 << self.depth, []
-        for at in range(0, len(seq) - 2 * WINDOW, BATCH):
-            part = seq[at:at + BATCH + 2 * WINDOW]
+        for at in range(0, len(seq) - 2 * WINDOW, SCORED):
+            part = seq[at:at + SCORED + 2 * WINDOW]
             own = part[WINDOW:len(part) - WINDOW]
             k = np.flatnonzero(own != end)
             out.append(self.log_probability(self.hidden(part)[1][k], own[k]))
@@ -212,34 +236,39 @@ class TreeNetwork:
         if not len(at):
             return []
         at = at[np.argsort(own[at], kind="stable")]      # by leaf: the words below a node are neighbours
-        leaf = own[at]
         x, every = self.hidden(seq)
         h = every[at]
-        node, side = self.way(leaf)
+        node, side = self.way(own[at])
         u, e = self.choices(h, node, side)
         g = -side * e / (1 + e)
-        out = []
-        for d in range(self.depth):
-            first = np.flatnonzero(np.r_[True, node[1:, d] != node[:-1, d]])
-            out.append(("tree", node[first, d], np.add.reduceat(g[:, d, None] * h, first), np.diff(np.r_[first, len(at)])))
         dz = np.zeros_like(every)
-        dz[at] = np.einsum("bd,bdh->bh", g, u) * (1 - h * h)
-        dx, n = np.zeros_like(x), len(every)
+        dz[at] = np.matmul(g[:, None, :], u)[:, 0] * (1 - h * h)
+        # level by level, in the memory of u
+        of_tree = np.multiply(g.T[:, :, None], h, out=u.reshape(self.depth, len(at), HIDDEN)).reshape(-1, HIDDEN)
+        flat = node.T.ravel()
+        first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+        n = np.diff(np.r_[first, len(flat)])
+        out = [("tree", flat[first], run_sums(of_tree, first, n), n)]
+        dx, places = np.zeros_like(x), len(every)
         place = np.zeros_like(self.p["place"])
         for k in range(2 * WINDOW + 1):
             if k != WINDOW:
-                dx[k:k + n] += self.p["place"][k] * dz
-                place[k] = (dz * x[k:k + n]).sum(axis=0)
+                dx[k:k + places] += self.p["place"][k] * dz
+                place[k] = np.einsum("bh,bh->h", dz, x[k:k + places])
         order = np.argsort(seq, kind="stable")
-        first = np.flatnonzero(np.r_[True, seq[order][1:] != seq[order][:-1]])
-        out.append(("embed", seq[order][first], np.add.reduceat(dx[order], first), np.diff(np.r_[first, len(seq)])))
+        of = seq[order]
+        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
+        n = np.diff(np.r_[first, len(seq)])
+        out.append(("embed", of[first], run_sums(dx.take(order, axis=0), first, n), n))
         out.append(("place", np.arange(len(place)), place, np.full(len(place), len(at))))
         return out
 
     def step(self, seq: np.ndarray, seen: dict, touched: dict) -> None:
         for k, rows, g, n in self.gradients(seq):
-            seen[k][rows] += (g * g).mean(axis=1)
-            self.p[k][rows] -= RATE * g / np.sqrt(seen[k][rows])[:, None]
+            s = seen[k].take(rows) + np.einsum("rh,rh->r", g, g) / HIDDEN
+            seen[k][rows] = s
+            g *= (RATE / np.sqrt(s))[:, None]
+            self.p[k][rows] = self.p[k].take(rows, axis=0) - g
             touched[k][rows] += n
 
 
@@ -248,7 +277,7 @@ def replica(model, epochs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = Vocabulary(*model.value[0]), TreeNetwork(*model.value[1])
         read = vocabulary.reader()
-        read_once = (framed([read(x)["leaf"] for x in texts(b, 0)], vocabulary.end) for b in slices(batches))
+        read_once = (framed([s["leaf"] for s in read(b.column(0))], vocabulary.end) for b in slices(batches))
         if epochs > 1:                                   # held in memory
             stored = list(read_once)
             read_once = (s for _ in range(epochs) for s in stored)
@@ -336,7 +365,7 @@ def scored(model):
         vocabulary, network = Vocabulary(*model.value[0]), TreeNetwork(*model.value[1])
         read = vocabulary.reader()
         for b in slices(batches, -1):
-            w = [read(x) for x in texts(b, b.num_columns - 1)]
+            w = read(b.column(b.num_columns - 1))
             n = np.array([len(s) for s in w], dtype=np.int64)
             own = np.concatenate([s["share"] for s in w]) if w else np.zeros(0, np.float32)
             each = network.score(framed([s["leaf"] for s in w], vocabulary.end)) + own

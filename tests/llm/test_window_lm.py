@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from marquee.llm import window_lm
@@ -184,3 +185,38 @@ def test_one_law_of_training_for_any_size(spark, monkeypatch, tmp_path, document
     names = [w for p in tmp_path.iterdir() for w in p.read_text().split()]
     assert sorted(names) == sorted(f"t{i}" for i in range(documents_of))
     assert set(passes) == {1}
+
+
+@pytest.mark.parametrize("kind", [np.float32, np.float64])
+def test_sums_of_runs(kind):
+    rng = np.random.default_rng(5)
+    for n in ([1] * 9, [4], [1, 1, 3, 2, 1, 7, 1, 1, 1], rng.integers(1, 4, 500), [2, 1], [1]):
+        n = np.array(n)
+        rows, first = rng.normal(0, 1, (n.sum(), window_lm.HIDDEN)).astype(kind), np.r_[0, np.cumsum(n)[:-1]]
+        got = window_lm.run_sums(rows, first, n)
+        assert got.dtype == kind and np.allclose(got, np.add.reduceat(rows, first), atol=1e-5)
+
+
+def test_log_probability_of_the_deepest_unlikely_leaf_is_finite():
+    """Choices at the limit all the way down the deepest tree: their product is the sum of their logs."""
+    network = window_lm.TreeNetwork.untrained(np.ones(1 << window_lm.DEPTH_MAX))
+    network.bias[:] = 80
+    got = network.log_probability(np.zeros((2, window_lm.HIDDEN), np.float32), np.array([0, network.p["tree"].shape[0] - 1]))
+    assert np.allclose(got, [-window_lm.DEPTH_MAX * np.log1p(np.exp(30)), -window_lm.DEPTH_MAX * np.log1p(np.exp(-30))])
+
+
+def test_columns_of_texts_have_the_words_of_each_text():
+    texts = [None, b"", b" \t\n", b"One two  oNE", b"\n\x0b lead\x0ctrail\r\n", "Straße ÉTÉ\x85x y\x1cz".encode(), b"\xff\xfe Bad\xc3 one"]
+    words = [(t or b"").lower().split() for t in texts]
+    for lo, hi in ((0, 7), (3, 7), (0, 3), (2, 2)):
+        column = pa.array(texts, pa.binary())
+        column = pa.Array.from_buffers(pa.string(), len(column), column.buffers()).slice(lo, hi - lo)
+        n, h, at = window_lm.distinct_words(column)
+        every = [w for t in words[lo:hi] for w in t]
+        assert n.tolist() == [len(t) for t in words[lo:hi]]
+        assert h[at].tolist() == [xxhash.xxh3_64_intdigest(w) >> 1 for w in every]
+        batch = pa.RecordBatch.from_arrays([column], ["text"])
+        counts = [r for b in window_lm.word_counts(iter([batch])) for r in b.to_pylist()]
+        assert {r["hash"]: r["n"] for r in counts} == Counter(xxhash.xxh3_64_intdigest(w) >> 1 for w in every)
+        each = window_lm.Vocabulary(np.sort(h)[:1], 3, np.zeros(70, np.float32)).reader()(column) if len(h) else []
+        assert [len(x) for x in each] == [len(t) for t in words[lo:hi]][:len(each)]
