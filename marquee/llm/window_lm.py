@@ -34,7 +34,6 @@ carried.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,7 +58,8 @@ BATCH = 2048
 SCORED = 1024                           # words scored together
 RATE = 0.1
 BLOCK = 4096                            # rows of a table averaged together
-CACHE_WORDS = 1 << 18
+COUNTED = 1 << 20                       # words and counts held by a task
+ROW = f"V{4 * HIDDEN}"                  # a row of a table as one value
 SLICE, SLICE_ROWS = 1 << 21, 500        # bytes and rows of texts read together
 
 
@@ -68,6 +68,48 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 0) -> Iterator[pa.Re
         yield from (b.slice(at, SLICE_ROWS) for at in range(0, b.num_rows, SLICE_ROWS))
 
 
+# from the constants of XXH3, for its seed 0
+FLIP_3, FLIP_8, FLIP_LOW, FLIP_HIGH = 0x87275A9B, 0xC73AB174C5ECD5A2, 0x6782737BEA4239B9, 0xAF56BC3B0996523A
+HALF = 0xFFFFFFFF
+
+
+def word_hashes(data: bytes, ends: np.ndarray) -> np.ndarray:
+    """XXH3 (64 bits) of the words data[ends[i]:ends[i + 1]]: those of up to 16 bytes as columns, others by the library."""
+    first, size = ends[:-1].astype(np.int64), np.diff(ends)
+    padded, out = data + bytes(8), np.empty(len(size), np.uint64)
+
+    def read(kind: str, at: np.ndarray) -> np.ndarray:
+        return np.ndarray(len(data) + 1, kind, padded, strides=(1,))[at].astype(np.uint64)
+
+    def rotated(h: np.ndarray, by: int) -> np.ndarray:
+        return h << np.uint64(by) | h >> np.uint64(64 - by)
+
+    k = np.flatnonzero((size >= 1) & (size <= 3))
+    at, n = first[k], size[k]
+    h = read("u1", at) << 16 | read("u1", at + (n >> 1)) << 24 | read("u1", at + n - 1) | n.astype(np.uint64) << 8
+    h ^= FLIP_3
+    h = (h ^ h >> 33) * 0xC2B2AE3D27D4EB4F
+    h = (h ^ h >> 29) * 0x165667B19E3779F9
+    out[k] = h ^ h >> 32
+    k = np.flatnonzero((size >= 4) & (size <= 8))
+    at, n = first[k], size[k]
+    h = (read("<u4", at + n - 4) + (read("<u4", at) << 32)) ^ FLIP_8
+    h = (h ^ rotated(h, 49) ^ rotated(h, 24)) * 0x9FB21C651E98DF25
+    h = (h ^ (h >> 35) + n.astype(np.uint64)) * 0x9FB21C651E98DF25
+    out[k] = h ^ h >> 28
+    k = np.flatnonzero((size >= 9) & (size <= 16))
+    at, n = first[k], size[k]
+    a, b = read("<u8", at) ^ FLIP_LOW, read("<u8", at + n - 8) ^ FLIP_HIGH
+    low, mid, high = (a & HALF) * (b & HALF), (a >> 32) * (b & HALF), (a >> 32) * (b >> 32)
+    cross = (low >> 32) + (mid & HALF) + (a & HALF) * (b >> 32)
+    h = n.astype(np.uint64) + a.byteswap() + b + ((mid >> 32) + (cross >> 32) + high ^ (cross << 32 | low & HALF))
+    h = (h ^ h >> 37) * 0x165667919E3779F9
+    out[k] = h ^ h >> 32
+    for i in np.flatnonzero((size == 0) | (size > 16)).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[ends[i]:ends[i + 1]])
+    return out
+
+
 def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The number of words of each text, the hashes of their distinct words, and every word's place among these."""
     texts = pc.fill_null(texts.cast(pa.binary()).view(pa.string()), "")
@@ -76,8 +118,7 @@ def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     kinds, at = words.dictionary, words.indices.to_numpy()
     _, ends, data = kinds.cast(pa.binary()).buffers()
     ends = np.frombuffer(ends, np.int32)[kinds.offset:kinds.offset + len(kinds) + 1] if len(kinds) else np.zeros(1, np.int32)
-    data, cuts = data.to_pybytes() if data else b"", ends.tolist()
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(cuts, cuts[1:])), np.uint64, len(kinds)) >> np.uint64(1)
+    hashes = word_hashes(data.to_pybytes() if data else b"", ends) >> np.uint64(1)
     blank = np.diff(ends) == 0
     if blank.any():                                      # before leading and after trailing white space
         word = ~blank[at]
@@ -88,18 +129,28 @@ def distinct_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(n), pa.int64()), pa.array(list(n.values()), pa.int64())],
-                                          ["hash", "n"])
-    n: dict[int, int] = defaultdict(int)
+        return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(n)], ["hash", "n"])
+
+    def added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        hashes, n = (np.concatenate(column) for column in zip(*parts))
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        first = np.flatnonzero(np.diff(hashes, prepend=-1))
+        return hashes[first], np.add.reduceat(n[order], first) if len(first) else n
+    hashes = n = np.zeros(0, np.int64)
+    parts, held = [(hashes, n)], 0
     for b in slices(batches):
         _, h, at = distinct_words(b.column(0))
         uses = np.bincount(at, minlength=len(h))
-        for word, used in zip(h.tolist(), uses.tolist()):
-            if used:
-                n[word] += used
-        if len(n) > CACHE_WORDS:
-            yield out()
-            n.clear()
+        parts.append((h[uses > 0], uses[uses > 0]))
+        held += len(h)
+        if held > COUNTED:
+            hashes, n = added(parts)
+            parts, held = [(hashes, n)], len(n)
+            if held > COUNTED // 2:
+                yield out()
+                parts, held = [(hashes[:0], n[:0])], 0
+    hashes, n = added(parts)
     yield out()
 
 
@@ -121,29 +172,61 @@ class Vocabulary:
     def end(self) -> int:
         return 1 << self.depth
 
-    def reader(self):
-        """A column of texts to each text's words: their leaves and log parts of these."""
+    def columns(self):
+        """A column of texts to the number of words of each, and all words: their leaves and log parts of these."""
         order = np.argsort(self.hashes, kind="stable")
         ranked, first, free = self.hashes[order], len(order), self.end - len(order)
         per_leaf = len(self.cells) // free
 
-        def read(texts: pa.Array | bytes) -> list[np.ndarray] | np.ndarray:
-            if isinstance(texts, bytes):
-                return read(pa.array([texts], pa.binary()))[0]
+        def read(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             n, h, at = distinct_words(texts)
             rank = np.searchsorted(ranked, h)
             own = np.flatnonzero(ranked[np.minimum(rank, first - 1)] == h) if first else []
             kinds = np.empty(len(h), WORD)
             kinds["leaf"], kinds["share"] = first + h % free, self.cells[h % free * per_leaf + h // free % per_leaf]
             kinds["leaf"][own], kinds["share"][own] = order[rank[own]], 0
-            return np.split(kinds.take(at), np.cumsum(n)[:-1]) if len(n) else []
+            return n, kinds.take(at)
+        return read
+
+    def reader(self):
+        """A column of texts, or one text, to each text's words."""
+        columns = self.columns()
+
+        def read(texts: pa.Array | bytes) -> list[np.ndarray] | np.ndarray:
+            if isinstance(texts, bytes):
+                return read(pa.array([texts], pa.binary()))[0]
+            n, words = columns(texts)
+            return np.split(words, np.cumsum(n)[:-1]) if len(n) else []
         return read
 
 
 def framed(seqs: list[np.ndarray], end: int) -> np.ndarray:
     """Leaf sequences with WINDOW ends before, between and after them."""
-    ends = [np.full(WINDOW, end, dtype=np.int32)]
-    return np.concatenate(ends + [p for s in seqs for p in (s, ends[0])])
+    return framed_columns(np.array([len(s) for s in seqs], np.int64), np.concatenate([np.zeros(0, np.int32), *seqs]), end)
+
+
+def framed_columns(n: np.ndarray, leaf: np.ndarray, end: int) -> np.ndarray:
+    """The same of sequences of n leaves, one after the other in leaf."""
+    seq = np.full(len(leaf) + WINDOW * (len(n) + 1), end, dtype=np.int32)
+    seq[np.arange(len(leaf)) + np.repeat(np.arange(1, len(n) + 1) * WINDOW, n)] = leaf
+    return seq
+
+
+def in_order(seq: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a sequence by leaf, then place, and their leaves: sorted as one number each."""
+    bits = len(seq).bit_length()
+    both = np.sort(seq.astype(np.int64) << bits | np.arange(len(seq)))
+    return both & (1 << bits) - 1, both >> bits
+
+
+def runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first places of runs of equal values, and their lengths."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    n = np.full(len(first), len(values)) - first
+    n[:-1] = first[1:] - first[:-1]
+    return first, n
 
 
 def run_sums(rows: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -157,6 +240,17 @@ def run_sums(rows: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return out
 
 
+def level_sums(g: np.ndarray, h: np.ndarray, node: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """By level: its nodes, the sums of their words' rows of h, weighted by g, by pair of columns, and the words' numbers."""
+    h, kind = h.astype(g.dtype, copy=False), np.result_type(g, np.complex64)
+    pairs, twice = np.ascontiguousarray(h.view(kind).T).view(g.dtype), np.repeat(g.T, 2, axis=1)
+    level = np.empty_like(pairs)
+    for d, nodes in enumerate(np.ascontiguousarray(node.T)):
+        first, n = runs(nodes)
+        np.multiply(pairs, twice[d], out=level)
+        yield nodes[first].astype(np.intp), np.add.reduceat(level.view(kind), first, axis=1), n
+
+
 class TreeNetwork:
     """P(word | WINDOW words to the left and to the right)."""
 
@@ -223,19 +317,31 @@ class TreeNetwork:
     def fit(self, seqs: Iterator[np.ndarray]) -> dict[str, np.ndarray]:
         """One pass over framed sequences; the number of examples that touched each row."""
         seen = {k: np.full(len(v), 1e-6, dtype=np.float32) for k, v in self.p.items()}
-        touched = {k: np.zeros(len(v), dtype=np.float32) for k, v in self.p.items()}
+        end, embed, leaves = 1 << self.depth, 0, 0
         for seq in seqs:
-            for at in range(0, len(seq) - 2 * WINDOW, BATCH):
-                self.step(seq[at:at + BATCH + 2 * WINDOW], seen, touched)
-        return touched
+            parts = [seq[at:at + BATCH + 2 * WINDOW] for at in range(0, len(seq) - 2 * WINDOW, BATCH)]
+            parts = [s for s in parts if (s[WINDOW:-WINDOW] != end).any()]
+            for s in parts:
+                self.step(s, seen)
+            if parts:
+                embed += np.bincount(np.concatenate(parts), minlength=end + 1)
+                leaves += np.bincount(seq[WINDOW:-WINDOW], minlength=end + 1)[:end]
+        tree, level = [np.zeros(1)], leaves + np.zeros(end)
+        while len(level) > 1:                            # a node's examples are those of its leaves
+            level = level.reshape(-1, 2).sum(axis=1)
+            tree.append(level)
+        touched = {"embed": embed + np.zeros(end + 1), "tree": np.concatenate(tree[::-1]),
+                   "place": np.full(2 * WINDOW + 1, level[0])}
+        return {k: v.astype(np.float32) for k, v in touched.items()}
 
     def gradients(self, seq: np.ndarray) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
         """(table, rows, gradient of the summed log-loss, examples) of one batch, each row once."""
         own = seq[WINDOW:len(seq) - WINDOW]
-        at = np.flatnonzero(own != 1 << self.depth)
+        order, of = in_order(seq)
+        at = order[:np.searchsorted(of, 1 << self.depth)] - WINDOW     # by leaf: the words below a node are neighbours
+        at = at[(at >= 0) & (at < len(own))]
         if not len(at):
             return []
-        at = at[np.argsort(own[at], kind="stable")]      # by leaf: the words below a node are neighbours
         x, every = self.hidden(seq)
         h = every[at]
         node, side = self.way(own[at])
@@ -243,41 +349,35 @@ class TreeNetwork:
         g = -side * e / (1 + e)
         dz = np.zeros_like(every)
         dz[at] = np.matmul(g[:, None, :], u)[:, 0] * (1 - h * h)
-        # level by level, in the memory of u
-        of_tree = np.multiply(g.T[:, :, None], h, out=u.reshape(self.depth, len(at), HIDDEN)).reshape(-1, HIDDEN)
-        flat = node.T.ravel()
-        first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
-        n = np.diff(np.r_[first, len(flat)])
-        out = [("tree", flat[first], run_sums(of_tree, first, n), n)]
+        rows, sums, n = zip(*level_sums(g, h, node))
+        sums = np.ascontiguousarray(np.concatenate(sums, axis=1).T).view(g.dtype)
+        out = [("tree", np.concatenate(rows), sums, np.concatenate(n))]
         dx, places = np.zeros_like(x), len(every)
         place = np.zeros_like(self.p["place"])
         for k in range(2 * WINDOW + 1):
             if k != WINDOW:
                 dx[k:k + places] += self.p["place"][k] * dz
                 place[k] = np.einsum("bh,bh->h", dz, x[k:k + places])
-        order = np.argsort(seq, kind="stable")
-        of = seq[order]
-        first = np.flatnonzero(np.r_[True, of[1:] != of[:-1]])
-        n = np.diff(np.r_[first, len(seq)])
+        first, n = runs(of)
         out.append(("embed", of[first], run_sums(dx.take(order, axis=0), first, n), n))
         out.append(("place", np.arange(len(place)), place, np.full(len(place), len(at))))
         return out
 
-    def step(self, seq: np.ndarray, seen: dict, touched: dict) -> None:
-        for k, rows, g, n in self.gradients(seq):
+    def step(self, seq: np.ndarray, seen: dict) -> None:
+        for k, rows, g, _ in self.gradients(seq):
             s = seen[k].take(rows) + np.einsum("rh,rh->r", g, g) / HIDDEN
             seen[k][rows] = s
             g *= (RATE / np.sqrt(s))[:, None]
-            self.p[k][rows] = self.p[k].take(rows, axis=0) - g
-            touched[k][rows] += n
+            self.p[k].view(ROW)[rows] = (self.p[k].take(rows, axis=0) - g).view(ROW)
 
 
 def replica(model, epochs: int):
     """Texts to the rows that a pass over them has changed, with their examples."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = Vocabulary(*model.value[0]), TreeNetwork(*model.value[1])
-        read = vocabulary.reader()
-        read_once = (framed([s["leaf"] for s in read(b.column(0))], vocabulary.end) for b in slices(batches))
+        read = vocabulary.columns()
+        columns = (read(b.column(0)) for b in slices(batches))
+        read_once = (framed_columns(n, words["leaf"], vocabulary.end) for n, words in columns)
         if epochs > 1:                                   # held in memory
             stored = list(read_once)
             read_once = (s for _ in range(epochs) for s in stored)
@@ -363,12 +463,10 @@ def scored(model):
     """(text column last) to the carried columns, n_tokens and log_likelihood."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, network = Vocabulary(*model.value[0]), TreeNetwork(*model.value[1])
-        read = vocabulary.reader()
+        read = vocabulary.columns()
         for b in slices(batches, -1):
-            w = read(b.column(b.num_columns - 1))
-            n = np.array([len(s) for s in w], dtype=np.int64)
-            own = np.concatenate([s["share"] for s in w]) if w else np.zeros(0, np.float32)
-            each = network.score(framed([s["leaf"] for s in w], vocabulary.end)) + own
+            n, words = read(b.column(b.num_columns - 1))
+            each = network.score(framed_columns(n, words["leaf"], vocabulary.end)) + words["share"]
             total = np.bincount(np.repeat(np.arange(len(n)), n), each, minlength=len(n))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(n), pa.array(total, pa.float64())],

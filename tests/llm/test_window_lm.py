@@ -220,3 +220,56 @@ def test_columns_of_texts_have_the_words_of_each_text():
         assert {r["hash"]: r["n"] for r in counts} == Counter(xxhash.xxh3_64_intdigest(w) >> 1 for w in every)
         each = window_lm.Vocabulary(np.sort(h)[:1], 3, np.zeros(70, np.float32)).reader()(column) if len(h) else []
         assert [len(x) for x in each] == [len(t) for t in words[lo:hi]][:len(each)]
+
+
+def test_hashes_of_columns_are_those_of_the_library():
+    rng = random.Random(4)
+    words = [rng.randbytes(n) for n in [*range(40)] * 30]
+    rng.shuffle(words)
+    ends = np.cumsum([0] + [len(w) for w in words])
+    got = window_lm.word_hashes(b"".join(words), ends)
+    assert got.tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+    assert window_lm.word_hashes(b"ab", np.array([0, 2])).tolist() == [xxhash.xxh3_64_intdigest(b"ab")]
+    assert window_lm.word_hashes(b"", np.zeros(1, np.int64)).tolist() == []
+
+
+def test_short_words_are_hashed_as_columns(monkeypatch):
+    """No call a word for words of up to 16 bytes, which are nearly all."""
+    text, calls, library = "a few words of ordinary length, antidisestablishmentarianism", [], xxhash.xxh3_64_intdigest
+    monkeypatch.setattr(window_lm.xxhash, "xxh3_64_intdigest", lambda w: calls.append(w) or library(w))
+    n, h, at = window_lm.distinct_words(pa.array([text] * 3))
+    assert calls == [b"antidisestablishmentarianism"]
+    assert h[at].tolist() == [library(w.encode()) >> 1 for w in text.split()] * 3
+
+
+def test_counts_are_whole_however_often_they_are_given_out(monkeypatch):
+    rng = random.Random(2)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 5000}" for _ in range(300)) for _ in range(200)]
+    monkeypatch.setattr(window_lm, "SLICE_ROWS", 7)
+    for held in (1, 300, 4000, 1 << 20):
+        monkeypatch.setattr(window_lm, "COUNTED", held)
+        batches = list(window_lm.word_counts(iter(pa.RecordBatch.from_pydict({"text": texts[i:i + 50]}) for i in range(0, 200, 50))))
+        got = Counter()
+        for b in batches:
+            assert len(set(b.column(0).to_pylist())) == b.num_rows
+            got.update({r["hash"]: r["n"] for r in b.to_pylist()})
+        assert got == Counter(xxhash.xxh3_64_intdigest(w.encode()) >> 1 for t in texts for w in t.split())
+    assert sum(b.num_rows for b in window_lm.word_counts(iter([]))) == 0
+
+
+def test_examples_of_a_pass_are_counted_by_row(monkeypatch):
+    """Each node's words below it, each leaf's uses in the steps, borders of steps twice; a step without words is none."""
+    monkeypatch.setattr(window_lm, "BATCH", 16)
+    rng = np.random.default_rng(6)
+    seqs = [window_lm.framed([rng.integers(0, 64, n).astype(np.int32) for n in sizes], 64)
+            for sizes in ((40, 0, 7), [0] * 20, (5,) + (0,) * 30, ())]
+    network = window_lm.TreeNetwork.untrained(rng.integers(0, 50, 64).astype(float))
+    want = {k: np.zeros(len(v)) for k, v in network.p.items()}
+    for seq in seqs:
+        for at in range(0, len(seq) - 2 * window_lm.WINDOW, 16):
+            for k, rows, _, n in network.gradients(seq[at:at + 16 + 2 * window_lm.WINDOW]):
+                want[k][rows] += n
+    got = network.fit(iter(seqs))
+    assert want["tree"][0] == 52
+    assert all((got[k] == want[k]).all() and got[k].dtype == np.float32 for k in want)
+    assert not any(v.any() for v in network.fit(iter([])).values())
